@@ -84,3 +84,192 @@ def dept_count_first(spark, sf_dir):
         "depart", "emp_count_depart",
         F.coalesce(F.col("first.emp_id"), F.lit("")).alias("emp_id"),
         T.iso_datetime(F.col("first.__o0").cast("timestamp_ntz")).alias("join_date"))
+
+
+# ---------------------------------------------------------------- A1 GroupByKey
+
+
+@query("group_by_key", ids=("A1",), sql="""
+select o_custkey, list_sort(list(o_orderkey)) as order_keys from orders group by o_custkey
+""")
+def group_by_key(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return A.group_by_key(o, "o_custkey", "o_orderkey", out="order_keys")
+
+
+@query("group_rows", ids=("A1",), sql="""
+select o_custkey, o_orderkey, count(*) over (partition by o_custkey) as n_in_group from orders
+""")
+def group_rows(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return A.group_rows(o, "o_custkey", "o_orderkey")
+
+
+# ---------------------------------------------------------------- A2, A3
+
+
+@query("combine_per_key_sum", ids=("A2",), headline=True, sql="""
+select l_partkey, sum(l_quantity) as total from lineitem group by l_partkey
+""")
+def combine_per_key_sum(spark, sf_dir):
+    return A.combine_per_key_sum(table(spark, sf_dir, "lineitem"), "l_partkey", "l_quantity")
+
+
+@query("combine_globally_concat", ids=("A3", "X3"), sql="""
+select vec_id, cast(generate_subscripts(embedding, 1) - 1 as integer) as pos,
+       unnest(embedding) as item
+from embeddings
+""")
+def combine_globally_concat(spark, sf_dir):
+    """Concatenation of every embedding list in ``vec_id`` order, as rows:
+    the global list is ``ORDER BY vec_id, pos`` and never sits in one row."""
+    return A.concat_lists_rows(table(spark, sf_dir, "embeddings"), ["vec_id"], "embedding")
+
+
+# ---------------------------------------------------------------- A4-A7, A9
+
+
+@query("count_globally", ids=("A4",), sql="select count(*) as n from orders")
+def count_globally(spark, sf_dir):
+    return A.count_globally(table(spark, sf_dir, "orders"))
+
+
+@query("count_no_defaults", ids=("A4", "T7"), sql="""
+select * from (select count(*) as n from orders where o_orderstatus = 'F') where n > 0
+""")
+def count_no_defaults(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+    return A.count_globally(o, without_defaults=True)
+
+
+@query("count_per_element", ids=("A5",), sql="""
+select l_returnflag, l_linestatus, count(*) as n from lineitem group by all
+""")
+def count_per_element(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus")
+    return A.count_per_element(li)
+
+
+@query("count_per_key", ids=("A6",), sql="""
+select o_custkey, count(*) as n from orders group by o_custkey
+""")
+def count_per_key(spark, sf_dir):
+    return A.count_per_key(table(spark, sf_dir, "orders"), "o_custkey")
+
+
+@query("mean_globally", ids=("A7",), sql="select avg(l_quantity) as mean from lineitem")
+def mean_globally(spark, sf_dir):
+    return A.mean_globally(table(spark, sf_dir, "lineitem"), "l_quantity")
+
+
+@query("mean_per_key", ids=("A7",), sql="""
+select l_suppkey, avg(l_quantity) as mean from lineitem group by l_suppkey
+""")
+def mean_per_key(spark, sf_dir):
+    return A.mean_per_key(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_quantity")
+
+
+@query("count_non_null", ids=("A9", "F11"), sql="""
+select c_nationkey, count(case when c_acctbal >= 0 then c_acctbal end) as n
+from customer group by c_nationkey
+""")
+def count_non_null(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    c = c.withColumn("c_acctbal", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")))
+    return A.count_non_null(c, "c_nationkey", "c_acctbal")
+
+
+# ---------------------------------------------------------------- A10 + P11
+
+
+@query("emission_shape_agg", ids=("A10", "P11", "S7", "P17"), headline=True, sql="""
+select cast(year(l_shipdate) as varchar) as Year, l_returnflag as Country,
+       cast(sum(cast(l_extendedprice as decimal(18, 2))) as double) as total_emission,
+       count(distinct cast(l_suppkey as varchar)) as gas_count
+from lineitem group by all
+""")
+def emission_shape_agg(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    raw = li.select(F.year("l_shipdate").cast("string").alias("Year"),
+                    F.col("l_returnflag").alias("Country"),
+                    F.col("l_suppkey").cast("string").alias("Gas"),
+                    F.col("l_extendedprice").cast("string").alias("Emissions (metric tons CO2e)"))
+    named = X.rename_column(raw, "Emissions (metric tons CO2e)", "emission_in_ton")
+    named = named.withColumn("emission_in_ton", F.col("emission_in_ton").try_cast("decimal(18,2)"))
+    out = A.sum_and_distinct(named, ["Year", "Country"], "emission_in_ton", "Gas",
+                             sum_out="total_emission", distinct_out="gas_count")
+    return out.withColumn("total_emission", F.col("total_emission").cast("double"))
+
+
+# ---------------------------------------------------------------- A11 + P16 + F12
+
+
+@query("conditional_pivot", ids=("A11", "P16", "F12"), sql="""
+select o_orderpriority,
+  cast(sum(case when o_orderstatus = 'F' then cast(o_totalprice as decimal(18,2)) else 0 end) as decimal(18,2)) as status_f,
+  cast(sum(case when o_orderstatus = 'O' then cast(o_totalprice as decimal(18,2)) else 0 end) as decimal(18,2)) as status_o,
+  cast(sum(case when o_orderstatus = 'P' then cast(o_totalprice as decimal(18,2)) else 0 end) as decimal(18,2)) as status_p
+from orders group by o_orderpriority
+""")
+def conditional_pivot(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").withColumn(
+        "amount", F.col("o_totalprice").cast("decimal(18,2)"))
+    cases = {f"status_{s.lower()}": F.col("o_orderstatus") == s for s in ("F", "O", "P")}
+    out = A.conditional_sums(o, "o_orderpriority", "amount", cases)
+    return out.select("o_orderpriority",
+                      *[F.col(c).cast("decimal(18,2)").alias(c) for c in cases])
+
+
+# ---------------------------------------------------------------- A14, A15, A16
+
+
+@query("sql_max_by_ordinal", ids=("A14", "K9", "S12"), sql="""
+select o_custkey, max(o_totalprice) as max_total from orders group by 1
+""")
+def sql_max_by_ordinal(spark, sf_dir):
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
+    return spark.sql("select o_custkey, max(o_totalprice) as max_total from orders group by 1")
+
+
+@query("distinct_rows", ids=("A16",), sql="select distinct p_brand, p_type from part")
+def distinct_rows(spark, sf_dir):
+    return A.distinct_rows(table(spark, sf_dir, "part").select("p_brand", "p_type"))
+
+
+@query("array_distinct_values", ids=("A16",), sql="""
+select p_partkey, list_sort(list_distinct(string_split(p_name, ' '))) as words from part
+""")
+def array_distinct_values(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey",
+                    F.array_sort(F.array_distinct(T.split_on("p_name", " "))).alias("words"))
+
+
+# ---------------------------------------------------------------- J1, J2
+
+
+@query("cogroup_lists", ids=("J1",), sql="""
+with k as (select c_nationkey as k from customer union select s_nationkey from supplier)
+select k.k as nationkey,
+  coalesce((select list_sort(list(c_name)) from customer where c_nationkey = k.k), []) as customers,
+  coalesce((select list_sort(list(s_name)) from supplier where s_nationkey = k.k), []) as suppliers
+from k
+""")
+def cogroup_lists(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "nationkey")
+    s = table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "nationkey")
+    return C.cogroup_lists(c, s, "nationkey", "c_name", "s_name",
+                           left_out="customers", right_out="suppliers")
+
+
+@query("named_cogroup", ids=("J2",), sql="""
+with a as (select o_orderkey as k, count(*) as n_orders from orders group by 1),
+     b as (select l_orderkey as k, cast(sum(l_quantity) as double) as qty from lineitem group by 1)
+select coalesce(a.k, b.k) as k, a.n_orders, b.qty from a full outer join b on a.k = b.k
+""")
+def named_cogroup(spark, sf_dir):
+    a = (table(spark, sf_dir, "orders").groupBy(F.col("o_orderkey").alias("k"))
+         .agg(F.count(F.lit(1)).alias("n_orders")))
+    b = (table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k"))
+         .agg(F.sum("l_quantity").alias("qty")))
+    return C.full_outer_by_key(a, b, "k")
