@@ -62,29 +62,49 @@ def sliding_windows(df: DataFrame, ts: str, size: str, slide: str,
     return _window_agg(df, F.window(ts, size, slide), keys, aggs)
 
 
-def sessions(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str] = ()) -> DataFrame:
-    """T4/T5: session windows (start = first event, end = last event + gap),
-    with the event count, per key or over all events when ``keys`` is empty."""
-    keys = list(keys)
+def session_buckets(df: DataFrame, ts: str, gap_seconds: int,
+                    keys: Sequence[str] = ()) -> DataFrame:
+    """Phase 1: (keys, bucket, first us, last us, count) per ``floor(ts / gap)``.
+    A partial-aggregated ``groupBy``: a hot key spreads over its buckets."""
     gap = int(gap_seconds) * 1_000_000
     micros = _micros(df, ts)
-    buckets = (df.select(*keys, micros.alias("__us"))
-                 .filter(F.col("__us").isNotNull())
-                 .groupBy(*keys, F.floor(F.col("__us") / F.lit(gap)).alias("__b"))
-                 .agg(F.min("__us").alias("__lo"), F.max("__us").alias("__hi"),
-                      F.count(F.lit(1)).alias("__n")))
+    return (df.select(*keys, micros.alias("__us"))
+              .filter(F.col("__us").isNotNull())
+              .groupBy(*keys, F.floor(F.col("__us") / F.lit(gap)).alias("__b"))
+              .agg(F.min("__us").alias("__lo"), F.max("__us").alias("__hi"),
+                   F.count(F.lit(1)).alias("__n")))
+
+
+def sessions_from_buckets(buckets: DataFrame, gap_seconds: int,
+                          keys: Sequence[str] = ()) -> DataFrame:
+    """Phase 2: gap logic over bucket summaries -> (keys, start us, end us, n).
+
+    A new session starts where a bucket's first event is more than one gap
+    after the previous bucket's last event.  With no keys the window has no
+    partition, but it only sees ``time span / gap`` bucket rows."""
+    keys = list(keys)
+    gap = int(gap_seconds) * 1_000_000
     w = Window.partitionBy(*keys).orderBy("__b") if keys else Window.orderBy("__b")
     with_prev = buckets.withColumn("__prev", F.lag("__hi").over(w))
     starts = F.col("__prev").isNull() | ((F.col("__lo") - F.col("__prev")) > F.lit(gap))
     numbered = with_prev.withColumn(
         "__sid", F.sum(starts.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    out = (numbered.groupBy(*keys, "__sid")
-           .agg(F.min("__lo").alias("__s"), F.max("__hi").alias("__e"),
-                F.sum("__n").alias("n")))
+    return (numbered.groupBy(*keys, "__sid")
+            .agg(F.min("__lo").alias("start_us"),
+                 (F.max("__hi") + F.lit(gap)).alias("end_us"),
+                 F.sum("__n").cast("bigint").alias("n"))
+            .drop("__sid"))
+
+
+def sessions(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str] = ()) -> DataFrame:
+    """T4/T5: session windows (start = first event, end = last event + gap),
+    with the event count, per key or over all events when ``keys`` is empty."""
+    keys = list(keys)
+    out = sessions_from_buckets(session_buckets(df, ts, gap_seconds, keys), gap_seconds, keys)
     return out.select(*keys,
-                      _from_micros(df, ts, F.col("__s")).alias("session_start"),
-                      _from_micros(df, ts, F.col("__e") + F.lit(gap)).alias("session_end"),
-                      F.col("n").cast("bigint").alias("n"))
+                      _from_micros(df, ts, F.col("start_us")).alias("session_start"),
+                      _from_micros(df, ts, F.col("end_us")).alias("session_end"),
+                      "n")
 
 
 def native_sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str] = ()) -> DataFrame:
