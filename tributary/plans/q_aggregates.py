@@ -89,7 +89,7 @@ def dept_count_first(spark, sf_dir):
 # ---------------------------------------------------------------- A1 GroupByKey
 
 
-@query("group_by_key", ids=("A1",), sql="""
+@query("group_by_key", ids=("A1",), headline=True, sql="""
 select o_custkey, list_sort(list(o_orderkey)) as order_keys from orders group by o_custkey
 """)
 def group_by_key(spark, sf_dir):
@@ -248,7 +248,7 @@ def array_distinct_values(spark, sf_dir):
 # ---------------------------------------------------------------- J1, J2
 
 
-@query("cogroup_lists", ids=("J1",), sql="""
+@query("cogroup_lists", ids=("J1",), headline=True, sql="""
 with k as (select c_nationkey as k from customer union select s_nationkey from supplier)
 select k.k as nationkey,
   coalesce((select list_sort(list(c_name)) from customer where c_nationkey = k.k), []) as customers,

@@ -27,7 +27,7 @@ def _max(s):
     return s.max()
 
 
-@query("udf_combine_hook", ids=("X3",), sql="""
+@query("udf_combine_hook", ids=("X3",), headline=True, sql="""
 select o_custkey, max(o_totalprice) as combined from orders group by o_custkey
 """)
 def udf_combine_hook(spark, sf_dir):

@@ -59,7 +59,7 @@ def regex_find_all(spark, sf_dir):
     return RX.find_all(_docs(spark, sf_dir), "text", FIND_PATTERN)
 
 
-@query("regex_find_kv", ids=("R6",), sql=f"""
+@query("regex_find_kv", ids=("R6",), headline=True, sql=f"""
 select doc_id, cast(pos as integer) as match_pos, k as key, v as value
 from (select doc_id, unnest(range(len(ks))) as pos, unnest(ks) as k, unnest(vs) as v
       from (select doc_id, regexp_extract_all(text, '{FIND_PATTERN}', 1) as ks,

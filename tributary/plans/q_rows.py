@@ -182,7 +182,7 @@ def word_count_selected(spark, sf_dir):
     return A.count_per_key(words.filter(FL.in_literals("word", SELECTED_WORDS)), "word")
 
 
-@query("side_input_semi", ids=("F4", "J4", "A6"), sql="""
+@query("side_input_semi", ids=("F4", "J4", "A6"), headline=True, sql="""
 with v as (select distinct unnest(string_split(text, ' ')) as word from benchmark),
 d as (select unnest(string_split(text, ' ')) as word from documents)
 select word, count(*) as n from d where word in (select word from v) group by word
@@ -193,7 +193,7 @@ def side_input_semi(spark, sf_dir):
     return A.count_per_key(FL.semi_join(words, vocab, "word"), "word")
 
 
-@query("side_input_anti", ids=("F5", "J5"), sql="""
+@query("side_input_anti", ids=("F5", "J5"), headline=True, sql="""
 select doc_id, n_chars from documents d
 where not exists (select 1 from labels l where l.doc_id = d.doc_id)
 """)
@@ -273,7 +273,7 @@ def fill_null_with_avg(spark, sf_dir):
     return K.fill_null_with_avg(dirty, "bal")
 
 
-@query("fill_null_with_group_avg", ids=("W2",), sql="""
+@query("fill_null_with_group_avg", ids=("W2",), headline=True, sql="""
 with d as (select c_custkey, c_mktsegment, case when c_acctbal >= 0 then c_acctbal end as bal
            from customer),
 g as (select c_mktsegment, avg(bal) as a from d group by 1)
@@ -330,7 +330,7 @@ def set_difference(spark, sf_dir):
     return S.difference(_custs_by_status(spark, sf_dir, "P"), _custs_by_status(spark, sf_dir, "F"))
 
 
-@query("set_symmetric_difference", ids=("U5",), sql=_SETS_SQL + """
+@query("set_symmetric_difference", ids=("U5",), headline=True, sql=_SETS_SQL + """
 (select value from a except select value from b) union (select value from b except select value from a)
 """)
 def set_symmetric_difference(spark, sf_dir):
@@ -338,7 +338,7 @@ def set_symmetric_difference(spark, sf_dir):
                                   _custs_by_status(spark, sf_dir, "P"))
 
 
-@query("sql_distinct_topk", ids=("L1", "L2", "S11", "F9"), sql="""
+@query("sql_distinct_topk", ids=("L1", "L2", "S11", "F9"), headline=True, sql="""
 select distinct user_id, ts from events where cast(ts as date) = date '2024-01-15'
 order by ts, user_id limit 100
 """)
@@ -350,7 +350,7 @@ def sql_distinct_topk(spark, sf_dir):
 # ---------------------------------------------------------------- R12-R24
 
 
-@query("text_stats", ids=("R12",), sql="""
+@query("text_stats", ids=("R12",), headline=True, sql="""
 select doc_id,
   cast(case when t = '' then 0 else len(regexp_split_to_array(t, '\\s+')) end as integer) as n_words,
   cast(length(regexp_replace(t, '\\s', '', 'g')) as integer) as n_chars_no_ws

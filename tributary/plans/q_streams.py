@@ -121,7 +121,7 @@ def _parsed_messages(spark, sf_dir):
 _CLOSED = f"(select max(ts) - {LATENESS_SQL} from events)"
 
 
-@query("stream_fixed_count", ids=("T2", "T7", "T10", "R15", "R21", "S13"), sql=f"""
+@query("stream_fixed_count", ids=("T2", "T7", "T10", "R15", "R21", "S13"), headline=True, sql=f"""
 select time_bucket(interval 5 seconds, ts) as window_start,
        time_bucket(interval 5 seconds, ts) + interval 5 seconds as window_end, count(*) as n
 from events group by 1, 2 having window_end <= {_CLOSED}
@@ -149,7 +149,7 @@ def stream_sliding_count(spark, sf_dir):
                       T.ltz_to_ntz("window_end").alias("window_end"), "n")
 
 
-@query("stream_session_user", ids=("T5", "T10"), sql=f"""
+@query("stream_session_user", ids=("T5", "T10"), headline=True, sql=f"""
 with e as (select user_id, ts, lag(ts) over (partition by user_id order by ts) as prev from events),
 s as (select *, sum(case when prev is null or ts - prev > interval 30 minutes then 1 else 0 end)
              over (partition by user_id order by ts rows unbounded preceding) as sid from e),
