@@ -260,3 +260,22 @@ def test_p14_numeric_columns(spark):
     types = dict(out.dtypes)
     assert types == {"p": "double", "q": "bigint", "r": "string", "s": "string"}
     assert rows(out, "p", "q") == [(1.5, 7), (2.25, 8)]
+
+
+def test_x3_combine_hook_hot_key(spark):
+    """The lifted combiner equals the built-in aggregate, with a hot key and a
+    NULL key, across many batches."""
+    from tributary.operators import hooks as H
+    data = [(1, float(i)) for i in range(5000)] + [(k, float(k)) for k in range(2, 300)] + [(None, 7.0)]
+    df = spark.createDataFrame(data, "k int, v double").repartition(7)
+    got = H.combine_hook(df, "k", "v", "sum", "sum")
+    want = df.groupBy("k").agg(F.sum("v").alias("combined"))
+    assert got.count() == want.count()
+    assert got.exceptAll(want.select("k", "combined")).count() == 0
+
+
+def test_x2_flat_map_hook(spark):
+    from tributary.operators import hooks as H
+    df = one_col(spark, ["a-b", "c"])
+    out = H.flat_map_hook(df, lambda r: ({"piece": p} for p in r["value"].split("-")), "piece string")
+    assert sorted(r.piece for r in out.collect()) == ["a", "b", "c"]

@@ -40,8 +40,8 @@ def flat_map_hook(df: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: s
 
 
 def combine_hook(df: DataFrame, key: str, value: str,
-                 partial: Callable[[pd.Series], float],
-                 merge: Callable[[pd.Series], float],
+                 partial: Callable[[pd.Series], float] | str,
+                 merge: Callable[[pd.Series], float] | str,
                  out: str = "combined", acc_type: str = "double") -> DataFrame:
     """A user combiner applied per key with combiner lifting.
 
@@ -49,9 +49,16 @@ def combine_hook(df: DataFrame, key: str, value: str,
     accumulator; only accumulators cross the shuffle, and ``merge`` reduces a
     key's accumulators to the result.  A hot key therefore sends one small
     row per batch, never its raw rows, into the final step.  ``merge`` must be
-    associative and commutative (as a combiner's merge is).
+    associative and commutative (as a combiner's merge is).  Either step may
+    be a pandas reduction name (``"sum"``, ``"max"``...) to stay vectorised.
+
+    The final step hash-partitions the accumulators by key, sorts within each
+    partition, and merges each key's contiguous run in a ``mapInPandas`` pass
+    (a key cut by a batch boundary is carried into the next batch), so Python
+    is called per batch, not per key.
     """
-    acc_schema = f"{key} {df.schema[key].dataType.simpleString()}, __acc {acc_type}"
+    key_type = df.schema[key].dataType.simpleString()
+    acc_schema = f"{key} {key_type}, __acc {acc_type}"
 
     def lift(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -59,13 +66,28 @@ def combine_hook(df: DataFrame, key: str, value: str,
                 g = pdf.groupby(key, sort=False, dropna=False)[value].agg(partial)
                 yield pd.DataFrame({key: g.index, "__acc": g.values})
 
-    accs = df.select(key, value).mapInPandas(lift, acc_schema)
-    final_schema = f"{key} {df.schema[key].dataType.simpleString()}, {out} {acc_type}"
+    def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
+        g = pdf.groupby(key, sort=False, dropna=False)["__acc"].agg(merge)
+        return pd.DataFrame({key: g.index, out: g.values})
 
-    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({key: pdf[key].iloc[:1], out: [merge(pdf["__acc"])]})
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        carry = None
+        for pdf in batches:
+            if carry is not None:
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if not len(pdf):
+                continue
+            last = pdf[key].iloc[-1]
+            tail = (pdf[key] == last) | (pdf[key].isna() & pd.isna(last))
+            carry = pdf[tail]
+            if (~tail).any():
+                yield reduce(pdf[~tail])
+        if carry is not None and len(carry):
+            yield reduce(carry)
 
-    return accs.groupBy(key).applyInPandas(finish, final_schema)
+    accs = df.select(key, value).mapInPandas(lift, acc_schema)
+    return (accs.repartition(key).sortWithinPartitions(key)
+                .mapInPandas(finish, f"{key} {key_type}, {out} {acc_type}"))
 
 
 def transform(df: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:

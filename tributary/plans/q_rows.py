@@ -139,8 +139,9 @@ def word_frequency(min_len: int = 5):
     longer than ``min_len`` -> count per word, as one reusable transform."""
     def apply(df):
         words = X.tokens(df, "text", None)
-        clean = (words.filter(F.col("word").rlike(r"^(?:[^.|,|(|)]+)"))
-                 .select(F.regexp_extract("word", r"^(?:[^.|,|(|)]+)", 0).alias("word")))
+        # The pattern needs one character or more, so "" means "no match".
+        lead = F.regexp_extract("word", r"^(?:[^.|,|(|)]+)", 0)
+        clean = words.select(lead.alias("word")).filter(F.col("word") != "")
         return A.count_per_key(clean.filter(FL.longer_than("word", min_len)), "word")
     return apply
 
