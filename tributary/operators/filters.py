@@ -1,9 +1,12 @@
 """Filters and predicates and side-input joins.
 
 Predicates are plain ``Column`` conditions so Catalyst can push them into the
-parquet scan.  Side inputs that are DataFrames are joined with semi/anti joins;
-they are broadcast only behind a row-count check, otherwise the planner (and
-AQE, from measured sizes) chooses the strategy.
+parquet scan.  Side inputs that are DataFrames are joined with semi/anti
+joins.  No broadcast hint is forced: Catalyst broadcasts a side only when its
+estimated size is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
+re-decides from measured shuffle sizes (and splits skewed partitions) when the
+estimate is unknown or too large.  ``bounded_broadcast`` is the explicit form
+for callers that want a hard row bound checked first.
 """
 
 from __future__ import annotations
@@ -76,16 +79,18 @@ def bounded_broadcast(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Da
     return F.broadcast(side) if n <= max_rows else side
 
 
-def semi_join(df: DataFrame, side: DataFrame, on, broadcast_check: bool = True) -> DataFrame:
+def semi_join(df: DataFrame, side: DataFrame, on, max_broadcast_rows: int | None = None) -> DataFrame:
     """Keep rows whose key is in the side input."""
-    side = bounded_broadcast(side) if broadcast_check else side
+    if max_broadcast_rows is not None:
+        side = bounded_broadcast(side, max_broadcast_rows)
     return df.join(side, on=on, how="left_semi")
 
 
-def anti_join(df: DataFrame, side: DataFrame, on, broadcast_check: bool = True) -> DataFrame:
+def anti_join(df: DataFrame, side: DataFrame, on, max_broadcast_rows: int | None = None) -> DataFrame:
     """Keep rows whose key is **not** in the side input.
 
     ``left_anti``, not ``NOT IN``: one NULL on the right would empty NOT IN.
     """
-    side = bounded_broadcast(side) if broadcast_check else side
+    if max_broadcast_rows is not None:
+        side = bounded_broadcast(side, max_broadcast_rows)
     return df.join(side, on=on, how="left_anti")

@@ -80,8 +80,8 @@ from nation join region on n_regionkey = r_regionkey
 """)
 def to_string_element(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")  # five rows: a fixed-size dimension
-    j = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    r = table(spark, sf_dir, "region")
+    j = n.join(r, n.n_regionkey == r.r_regionkey)
     return j.select("n_nationkey", T.to_string_tuple("n_name", "r_name").alias("element"))
 
 

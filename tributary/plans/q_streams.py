@@ -17,6 +17,7 @@ from ..functions import text as T
 from ..operators import windows as WN
 from ..session import scratch_path, table_path
 from ..sinks import writers as W
+from ..streaming import sessions as SS
 from ..streaming import streams as ST
 from .registry import query, table
 
@@ -149,7 +150,53 @@ def stream_sliding_count(spark, sf_dir):
                       T.ltz_to_ntz("window_end").alias("window_end"), "n")
 
 
-@query("stream_session_user", ids=("T5", "T10"), headline=True, sql=f"""
+def _session_sql(keys_sel: str, part: str, keys_grp: str) -> str:
+    """Final sessions from the buckets closed by the last watermark."""
+    over = f"partition by {part} order by b" if part else "order by b"
+    return f"""
+with b as (select {keys_sel} floor(epoch_us(ts) / 1800000000) as b, min(epoch_us(ts)) as lo,
+                  max(epoch_us(ts)) as hi, count(*) as n from events
+           group by {keys_grp} floor(epoch_us(ts) / 1800000000)),
+c as (select * from b where (b + 1) * 1800000000 <= epoch_us({_CLOSED})),
+h as (select (max(b) + 1) * 1800000000 as horizon from c),
+x as (select *, lag(hi) over ({over}) as prev from c),
+y as (select *, sum(case when prev is null or lo - prev > 1800000000 then 1 else 0 end)
+             over ({over} rows unbounded preceding) as sid from x),
+s as (select {keys_sel} min(lo) as lo, max(hi) + 1800000000 as hi, cast(sum(n) as bigint) as n
+      from y group by {keys_grp} sid)
+select {keys_sel} make_timestamp(lo) as session_start, make_timestamp(hi) as session_end, n
+from s where hi < (select horizon from h)
+"""
+
+
+def _two_stage_sessions(spark, sf_dir, keys, name):
+    s = ST.with_event_time(events_stream(spark, sf_dir), "ts", LATENESS)
+    buckets = SS.bucket_stream(s, "event_time", SESSION_GAP_S, keys)
+    table_out = spark.read.parquet(ST.run_to_files(buckets, name))
+    sess = SS.final_sessions(table_out, SESSION_GAP_S, keys)
+    epoch = F.expr(T.EPOCH_NTZ)
+    return sess.select(*keys,
+                       F.timestamp_add("MICROSECOND", F.col("start_us"), epoch).alias("session_start"),
+                       F.timestamp_add("MICROSECOND", F.col("end_us"), epoch).alias("session_end"),
+                       "n")
+
+
+@query("stream_session_user", ids=("T5", "T10"), headline=True,
+       sql=_session_sql("user_id,", "user_id", "user_id,"))
+def stream_session_user(spark, sf_dir):
+    """Per-user sessions from a stream in two stages: (user, bucket) state in
+    the stream, final sessions stitched from the bucket table.  A hot user
+    spreads over its buckets instead of one state key."""
+    return _two_stage_sessions(spark, sf_dir, ["user_id"], "session_user_buckets")
+
+
+@query("stream_session_global", ids=("T4", "T10"), sql=_session_sql("", "", ""))
+def stream_session_global(spark, sf_dir):
+    """One global session line from a stream, without one hot state key."""
+    return _two_stage_sessions(spark, sf_dir, [], "session_buckets")
+
+
+@query("stream_session_user_native", ids=("T5", "T10"), sql=f"""
 with e as (select user_id, ts, lag(ts) over (partition by user_id order by ts) as prev from events),
 s as (select *, sum(case when prev is null or ts - prev > interval 30 minutes then 1 else 0 end)
              over (partition by user_id order by ts rows unbounded preceding) as sid from e),
@@ -157,9 +204,9 @@ x as (select user_id, min(ts) as session_start, max(ts) + interval 30 minutes as
              count(*) as n from s group by user_id, sid)
 select * from x where session_end <= {_CLOSED}
 """)
-def stream_session_user(spark, sf_dir):
-    """Per-user sessions with Spark's streaming ``session_window``: state is
-    keyed by user, so it spreads over the state store's partitions."""
+def stream_session_user_native(spark, sf_dir):
+    """Per-user sessions with Spark's streaming ``session_window`` (state keyed
+    by user; a session is emitted once the watermark passes its end)."""
     s = ST.with_event_time(events_stream(spark, sf_dir), "ts", LATENESS)
     sess = (s.groupBy("user_id", F.session_window("event_time", "30 minutes").alias("w"))
              .agg(F.count(F.lit(1)).alias("n")))
@@ -168,37 +215,3 @@ def stream_session_user(spark, sf_dir):
         "session_user"))
     return out.select("user_id", T.ltz_to_ntz("s").alias("session_start"),
                       T.ltz_to_ntz("e").alias("session_end"), "n")
-
-
-@query("stream_session_global", ids=("T4", "T10"), sql=f"""
-with b as (select floor(epoch_us(ts) / 1800000000) as b, min(epoch_us(ts)) as lo,
-                  max(epoch_us(ts)) as hi, count(*) as n from events group by 1),
-c as (select * from b where (b + 1) * 1800000000 <= epoch_us({_CLOSED})),
-x as (select *, lag(hi) over (order by b) as prev from c),
-y as (select *, sum(case when prev is null or lo - prev > 1800000000 then 1 else 0 end)
-             over (order by b rows unbounded preceding) as sid from x)
-select make_timestamp(min(lo)) as session_start, make_timestamp(max(hi) + 1800000000) as session_end,
-       cast(sum(n) as bigint) as n
-from y group by sid
-""")
-def stream_session_global(spark, sf_dir):
-    """One global session line from a stream, without one hot state key.
-
-    The stream keeps gap-sized tumbling buckets (first, last, count) in
-    append mode: the state is spread by bucket and each bucket is final once
-    the watermark passes it.  Sessions are then stitched from the bucket
-    table (``time span / gap`` rows), exactly as the batch two-phase form."""
-    s = ST.with_event_time(events_stream(spark, sf_dir), "ts", LATENESS)
-    gap_us = SESSION_GAP_S * 1_000_000
-    us = F.unix_micros("event_time")
-    buckets = (s.groupBy(F.window("event_time", f"{SESSION_GAP_S} seconds").alias("w"))
-                .agg(F.min(us).alias("__lo"), F.max(us).alias("__hi"),
-                     F.count(F.lit(1)).alias("__n"))
-                .select(F.floor(F.unix_micros("w.start") / F.lit(gap_us)).alias("__b"),
-                        "__lo", "__hi", "__n"))
-    table_out = spark.read.parquet(ST.run_to_files(buckets, "session_buckets"))
-    sess = WN.sessions_from_buckets(table_out, SESSION_GAP_S)
-    epoch = F.expr(T.EPOCH_NTZ)
-    return sess.select(F.timestamp_add("MICROSECOND", F.col("start_us"), epoch).alias("session_start"),
-                       F.timestamp_add("MICROSECOND", F.col("end_us"), epoch).alias("session_end"),
-                       "n")
