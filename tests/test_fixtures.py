@@ -279,3 +279,14 @@ def test_x2_flat_map_hook(spark):
     df = one_col(spark, ["a-b", "c"])
     out = H.flat_map_hook(df, lambda r: ({"piece": p} for p in r["value"].split("-")), "piece string")
     assert sorted(r.piece for r in out.collect()) == ["a", "b", "c"]
+
+
+def test_whitespace_class_equals_python(spark):
+    """The whitespace class equals ``str.isspace`` over every code point."""
+    chars = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF)
+    df = spark.createDataFrame([(chars,)], "s string")
+    got = df.select(F.regexp_extract_all("s", F.lit(f"({T.WS_CLASS})"), 1)).first()[0]
+    assert got == [c for c in chars if c.isspace()]
+    s = " \x1c a b\xa0 c　"
+    row = spark.createDataFrame([(s,)], "s string").select(T.split_ws("s"), T.strip_ws("s")).first()
+    assert row[0] == s.split() and row[1] == s.strip()

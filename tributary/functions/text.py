@@ -11,9 +11,12 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's ``str.strip()``/``str.split()`` treat Unicode
-# whitespace as separators; Java regex does so under UNICODE_CHARACTER_CLASS.
-WS_CLASS = r"(?U)\s"
+# The characters Python's ``str.isspace()`` accepts (what
+# ``str.strip()``/``str.split()`` treat as whitespace) are Java's
+# ``Character.isWhitespace`` set plus \x85, \xA0, \u2007 and \u202F.  The class
+# below equals Python's set over every code point (checked in the tests);
+# Java's ``(?U)\s`` would miss \x1C-\x1F.
+WS_CLASS = r"[\p{javaWhitespace}\x85\xA0\u2007\u202F]"
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -27,15 +30,16 @@ def quote_regex(literal: str) -> str:
 
 
 def strip_ws(col) -> Column:
-    """Python ``str.strip()``: remove leading/trailing (Unicode) whitespace."""
-    return F.regexp_replace(_c(col), r"(?U)^\s+|\s+$", "")
+    """Python ``str.strip()``: remove leading/trailing whitespace."""
+    return F.regexp_replace(_c(col), f"^{WS_CLASS}+|{WS_CLASS}+$", "")
 
 
 def split_ws(col) -> Column:
-    """Python ``str.split()``: split on whitespace runs, no empty strings."""
-    s = strip_ws(col)
-    return F.when(s == "", F.array().cast("array<string>")).otherwise(
-        F.split(s, r"(?U)\s+"))
+    """Python ``str.split()``: split on whitespace runs, no empty strings.
+
+    Only a leading or trailing run can produce an empty piece, so the pieces
+    are filtered instead of stripping the whole text first (one regex pass)."""
+    return F.filter(F.split(_c(col), f"{WS_CLASS}+"), lambda x: x != F.lit(""))
 
 
 def split_on(col, delimiter: str) -> Column:

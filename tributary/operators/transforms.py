@@ -45,12 +45,15 @@ def word_lengths(df: DataFrame, col: str, delimiter: str, word: str = "word",
 
 
 def tokens(df: DataFrame, col: str, delimiter: str | None = " ", out: str = "word",
-           keep: list[str] | None = None) -> DataFrame:
+           keep: list[str] | None = None, with_position: bool = True) -> DataFrame:
     """P4 null-safe tokeniser: NULL text yields no rows (the reference logs
-    and drops).  ``delimiter=None`` splits on whitespace runs like ``split()``."""
+    and drops).  ``delimiter=None`` splits on whitespace runs like ``split()``.
+    With ``with_position`` each piece carries its 0-based position."""
     parts = T.split_ws(col) if delimiter is None else T.split_on(col, delimiter)
-    return (df.filter(_c(col).isNotNull())
-              .select(*(keep or []), F.posexplode(parts).alias("pos", out)))
+    src = df.filter(_c(col).isNotNull())
+    if with_position:
+        return src.select(*(keep or []), F.posexplode(parts).alias("pos", out))
+    return src.select(*(keep or []), F.explode(parts).alias(out))
 
 
 def keys(df: DataFrame, k: str = "k") -> DataFrame:

@@ -138,7 +138,7 @@ def word_frequency(min_len: int = 5):
     """Split on whitespace -> keep the leading run free of ``.|,()`` ->
     longer than ``min_len`` -> count per word, as one reusable transform."""
     def apply(df):
-        words = X.tokens(df, "text", None)
+        words = X.tokens(df, "text", None, with_position=False)
         # The pattern needs one character or more, so "" means "no match".
         lead = F.regexp_extract("word", r"^(?:[^.|,|(|)]+)", 0)
         clean = words.select(lead.alias("word")).filter(F.col("word") != "")
