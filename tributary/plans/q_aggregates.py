@@ -8,6 +8,7 @@ from ..functions import text as T
 from ..operators import aggregates as A
 from ..operators import cogroup as C
 from ..operators import transforms as X
+from ..session import scratch_path
 from .registry import query, table
 
 # ---------------------------------------------------------------- A12 minimum slice
@@ -227,8 +228,13 @@ def conditional_pivot(spark, sf_dir):
 select o_custkey, max(o_totalprice) as max_total from orders group by 1
 """)
 def sql_max_by_ordinal(spark, sf_dir):
+    """The SQL job: an ordinal GROUP BY, its result written to a table (an
+    external table under the shared folder), then read back by name."""
     table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
-    return spark.sql("select o_custkey, max(o_totalprice) as max_total from orders group by 1")
+    result = spark.sql("select o_custkey, max(o_totalprice) as max_total from orders group by 1")
+    name = "tributary_max_by_customer"
+    result.write.mode("overwrite").option("path", scratch_path(spark, name)).saveAsTable(name)
+    return spark.table(name)
 
 
 @query("distinct_rows", ids=("A16",), sql="select distinct p_brand, p_type from part")

@@ -457,6 +457,15 @@ def event_time_label(spark, sf_dir):
                      T.event_time_label(T.epoch_seconds_ntz("ts"), "event_type").alias("label"))
 
 
+@query("processing_time_label", ids=("P21", "P15"))
+def processing_time_label(spark, sf_dir):
+    """P21 processing-time form: ``"<now>-<name>"``; one clock value per query,
+    so only the rows are checked."""
+    ev = table(spark, sf_dir, "events")
+    now = T.python_datetime_str(F.current_timestamp().cast("timestamp_ntz"))
+    return ev.select("event_id", F.concat_ws("-", now, F.col("event_type")).alias("label"))
+
+
 @query("logical_clock_label", ids=("P21",), sql="""
 select event_id, cast(event_id as varchar) || '-' || event_type as label from events
 """)

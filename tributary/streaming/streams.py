@@ -64,16 +64,19 @@ def decode_utf8(df: DataFrame, col: str = "value", out: str = "text") -> DataFra
 
 def run_to_files(stream: DataFrame, name: str, output_mode: str = "append",
                  fmt: str = "parquet", checkpoint: str | None = None,
-                 output: str | None = None) -> str:
+                 output: str | None = None, shards: int | None = None) -> str:
     """Run a streaming query over everything available now, then stop.
 
     Append mode writes to the file sink (exactly-once through its log);
     complete/update modes go through ``foreachBatch`` overwrite, which is
-    idempotent per batch.  Returns the output path.
+    idempotent per batch.  ``shards`` (T11) sets the number of files written
+    per micro-batch.  Returns the output path.
     """
     spark = stream.sparkSession
     output = output or scratch_path(spark, f"{name}_out")
     checkpoint = checkpoint or scratch_path(spark, f"{name}_ckpt")
+    if shards:
+        stream = stream.repartition(shards)
     writer = stream.writeStream.option("checkpointLocation", checkpoint)
     if output_mode == "append":
         q = (writer.format(fmt).outputMode("append")
