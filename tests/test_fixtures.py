@@ -68,14 +68,15 @@ def test_u1_flatten(spark):
 
 def test_a1_group_by_key(spark):
     df = spark.createDataFrame(D.KV_SMALL, "k string, v int")
-    got = {r.k: r["values"] for r in A.group_by_key(df, "k", "v").collect()}
-    assert got == {"aa": [1, 2, 6, 9], "bb": [3, 10, 22], "cc": [7, 11]}
+    out = A.group_by_key(df, "k", "v").collect()
+    assert {r.k: r["values"] for r in out} == {"aa": [1, 2, 6, 9], "bb": [3, 10, 22], "cc": [7, 11]}
+    assert all(r.chunk == 0 for r in out)
 
 
 def test_a1_group_bound_raises(spark):
     df = spark.createDataFrame(D.KV_SMALL, "k string, v int")
     with pytest.raises(A.GroupTooLargeError):
-        A.group_by_key(df, "k", "v", max_group=3)
+        A.assert_group_bound(df, "k", max_rows=3)
 
 
 def test_j1_cogroup(spark):
@@ -290,3 +291,29 @@ def test_whitespace_class_equals_python(spark):
     s = " \x1c a b\xa0 c　"
     row = spark.createDataFrame([(s,)], "s string").select(T.split_ws("s"), T.strip_ws("s")).first()
     assert row[0] == s.split() and row[1] == s.strip()
+
+
+def test_a1_hot_key_is_chunked_exactly(spark):
+    """A key above the bound is split into chunks that together hold exactly
+    its values; keys under the bound keep one list."""
+    df = spark.createDataFrame(D.KV_SMALL, "k string, v int")
+    out = A.group_by_key(df, "k", "v", chunk_rows=3).collect()
+    by_key = {}
+    for r in out:
+        by_key.setdefault(r.k, []).append(r["values"])
+    assert sorted(v for chunk in by_key["aa"] for v in chunk) == [1, 2, 6, 9]
+    assert len(by_key["aa"]) == 2 and all(len(c) <= 4 for c in by_key["aa"])
+    assert by_key["cc"] == [[7, 11]]
+    assert sorted(v for chunk in by_key["bb"] for v in chunk) == [3, 10, 22]
+
+
+def test_j1_hot_key_cogroup_chunks(spark):
+    left = spark.createDataFrame([("k", f"a{i}") for i in range(50)] + [("z", "a")], "key string, v string")
+    right = spark.createDataFrame([("k", f"b{i}") for i in range(30)], "key string, v string")
+    out = C.cogroup_lists(left, right, "key", "v", "v", chunk_rows=10).collect()
+    ks = [r for r in out if r.key == "k"]
+    assert len(ks) == 8
+    assert sorted(x for r in ks for x in r.left_values) == sorted(f"a{i}" for i in range(50))
+    assert sorted(x for r in ks for x in r.right_values) == sorted(f"b{i}" for i in range(30))
+    z = [r for r in out if r.key == "z"]
+    assert len(z) == 1 and z[0].left_values == ["a"] and z[0].right_values == []

@@ -3,8 +3,11 @@
 Scalar aggregates (count, sum, min, max, avg, min-by-struct) are planned as
 partial + final aggregates, so a hot key sends one partial row per map task
 through the shuffle.  List-valued aggregates cannot be combined that way: the
-whole group ends in one row.  They are therefore guarded by a group-size check
-that fails loudly, and each has a rows form that stays distributed.
+whole group ends in one row.  They therefore build **chunked** lists: a key
+with more than ``chunk_rows`` rows is split into several (key, chunk) lists of
+about ``chunk_rows`` values each, so no task and no row ever holds an
+unbounded group.  Keys under the bound keep a single list (chunk 0).  Each
+list form also has a rows form that materialises no list at all.
 """
 
 from __future__ import annotations
@@ -31,11 +34,9 @@ def _keys(keys) -> list[str]:
 
 
 def assert_group_bound(df: DataFrame, keys, max_rows: int = MAX_LIST_GROUP) -> None:
-    """Fail when any key holds more than ``max_rows`` rows.
-
-    One partial-aggregated count per key and a global max: no rows move to the
-    driver, only the single maximum.
-    """
+    """Fail when any key holds more than ``max_rows`` rows (for callers that
+    need one list per key).  One partial-aggregated count per key and a global
+    max: only the single maximum reaches the driver."""
     ks = _keys(keys)
     counts = df.groupBy(*ks).count() if ks else df.groupBy().count()
     biggest = counts.agg(F.max("count")).first()[0]
@@ -44,17 +45,52 @@ def assert_group_bound(df: DataFrame, keys, max_rows: int = MAX_LIST_GROUP) -> N
             f"a group holds {biggest} rows (> {max_rows}); use the rows form")
 
 
+def with_chunks(df: DataFrame, keys, chunk_rows: int = MAX_LIST_GROUP,
+                out: str = "chunk") -> DataFrame:
+    """Add a chunk number that splits every key holding more than
+    ``chunk_rows`` rows into ``ceil(count / chunk_rows)`` chunks.
+
+    1. rows per key: a partial-aggregated count (the hot key costs one
+       partial row per task);
+    2. the hot keys: at most ``total rows / chunk_rows`` of them by
+       construction, so this side is provably small.  It is checkpointed to
+       the shared folder (lineage cut, computed once) and broadcast;
+    3. rows of a hot key get ``pmod(xxhash64(row, row id), n_chunks)``; rows
+       of every other key get chunk 0.  Exact: the chunks of a key partition
+       its rows.  With no hot key the input plan is returned unchanged.
+    """
+    from ..session import checkpoint_root
+    checkpoint_root(df.sparkSession)  # the shared folder the checkpoint goes to
+    ks = _keys(keys)
+    counts = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("__cnt"))
+    hot = (counts.filter(F.col("__cnt") > chunk_rows)
+           .select(*[F.col(k).alias(f"__hot_{k}") for k in ks],
+                   F.ceil(F.col("__cnt") / F.lit(chunk_rows)).cast("long").alias("__nchunks"))
+           .checkpoint(eager=True))
+    if hot.isEmpty():
+        return df.withColumn(out, F.lit(0).cast("long"))
+    cond = None
+    for k in ks:
+        c = F.col(k).eqNullSafe(F.col(f"__hot_{k}"))
+        cond = c if cond is None else cond & c
+    joined = df.join(F.broadcast(hot), cond, "left")
+    salt = F.xxhash64(*[F.col(c) for c in df.columns], F.monotonically_increasing_id())
+    chunk = F.when(F.col("__nchunks").isNull(), F.lit(0).cast("long")).otherwise(
+        F.pmod(salt, F.col("__nchunks")))
+    return joined.withColumn(out, chunk).drop("__nchunks", *[f"__hot_{k}" for k in ks])
+
+
 def group_by_key(df: DataFrame, key: str, value: str, out: str = "values",
-                 max_group: int | None = MAX_LIST_GROUP) -> DataFrame:
-    """A1 ``GroupByKey``: (key, sorted list of values).
+                 chunk_rows: int = MAX_LIST_GROUP) -> DataFrame:
+    """A1 ``GroupByKey``: (key, chunk, sorted list of values).
 
-    Lists are sorted so the result does not depend on shuffle order.  The
-    group-size check runs first; pass ``max_group=None`` only for inputs whose
-    groups are bounded by construction.
+    One list per key (chunk 0) unless the key holds more than ``chunk_rows``
+    rows; then the key's values are split over several chunk rows.  Lists are
+    sorted so the result does not depend on shuffle order.
     """
-    if max_group is not None:
-        assert_group_bound(df, key, max_group)
-    return df.groupBy(key).agg(F.array_sort(F.collect_list(value)).alias(out))
+    chunked = with_chunks(df.select(key, value), key, chunk_rows)
+    return (chunked.groupBy(key, "chunk")
+                   .agg(F.array_sort(F.collect_list(value)).alias(out)))
 
 
 def group_rows(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import materialize
 
 
 def sanitize_name(name: str) -> str:
@@ -132,11 +133,12 @@ def fill_null_with_group_avg(df: DataFrame, col: str, key: str, cast: str = "int
 
     The per-key averages are a partial-aggregated ``groupBy`` joined back on the
     key, rather than a window partitioned by the key, which would place a hot
-    key in a single task.  The averages side has one row per key; AQE turns the
-    join into a broadcast when its measured size is under the threshold, and
-    otherwise splits skewed partitions of the big side.
+    key in a single task.  The averages (one row per key) are written to the
+    shared folder first: Catalyst then plans with their real size, broadcasting
+    them when small; with many keys it is a shuffle join whose skewed
+    partitions AQE splits.
     """
-    avgs = df.groupBy(key).agg(F.avg(col).alias("__group_avg"))
+    avgs = materialize(df.groupBy(key).agg(F.avg(col).alias("__group_avg")), "group_avg")
     joined = df.join(avgs, on=key, how="left")
     return (joined.withColumn(col, F.coalesce(F.col(col).cast(cast),
                                               F.col("__group_avg").cast(cast)))

@@ -11,25 +11,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .aggregates import MAX_LIST_GROUP, assert_group_bound
+from .aggregates import MAX_LIST_GROUP, with_chunks
 
 
 def cogroup_lists(left: DataFrame, right: DataFrame, key: str,
                   left_value: str, right_value: str,
                   left_out: str = "left_values", right_out: str = "right_values",
-                  max_group: int | None = MAX_LIST_GROUP) -> DataFrame:
-    """(key, sorted left list, sorted right list); an absent side gives [].
+                  chunk_rows: int = MAX_LIST_GROUP) -> DataFrame:
+    """(key, chunk, sorted left list, sorted right list); an absent side
+    gives [].
 
     Both inputs are re-shaped to (key, tag, value), unioned, and grouped once.
+    A key with more than ``chunk_rows`` rows (both sides together) is split
+    over several chunk rows, each holding part of either side.
     """
     tagged = (left.select(F.col(key).alias("__k"), F.lit(0).alias("__tag"),
                           F.col(left_value).cast("string").alias("__v"))
               .unionByName(
               right.select(F.col(key).alias("__k"), F.lit(1).alias("__tag"),
                            F.col(right_value).cast("string").alias("__v"))))
-    if max_group is not None:
-        assert_group_bound(tagged, "__k", max_group)
-    return (tagged.groupBy("__k")
+    return (with_chunks(tagged, "__k", chunk_rows).groupBy("__k", "chunk")
             .agg(F.array_sort(F.collect_list(F.when(F.col("__tag") == 0, F.col("__v"))))
                   .alias(left_out),
                  F.array_sort(F.collect_list(F.when(F.col("__tag") == 1, F.col("__v"))))

@@ -91,7 +91,8 @@ def dept_count_first(spark, sf_dir):
 
 
 @query("group_by_key", ids=("A1",), headline=True, sql="""
-select o_custkey, list_sort(list(o_orderkey)) as order_keys from orders group by o_custkey
+select o_custkey, cast(0 as bigint) as chunk, list_sort(list(o_orderkey)) as order_keys
+from orders group by o_custkey
 """)
 def group_by_key(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
@@ -256,7 +257,7 @@ def array_distinct_values(spark, sf_dir):
 
 @query("cogroup_lists", ids=("J1",), headline=True, sql="""
 with k as (select c_nationkey as k from customer union select s_nationkey from supplier)
-select k.k as nationkey,
+select k.k as nationkey, cast(0 as bigint) as chunk,
   coalesce((select list_sort(list(c_name)) from customer where c_nationkey = k.k), []) as customers,
   coalesce((select list_sort(list(s_name)) from supplier where s_nationkey = k.k), []) as suppliers
 from k

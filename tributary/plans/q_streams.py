@@ -122,7 +122,7 @@ def _parsed_messages(spark, sf_dir):
 _CLOSED = f"(select max(ts) - {LATENESS_SQL} from events)"
 
 
-@query("stream_fixed_count", ids=("T2", "T7", "T10", "R15", "R21", "S13"), headline=True, sql=f"""
+@query("stream_fixed_count", ids=("T1", "T2", "T7", "T10", "R15", "R21", "S13"), headline=True, sql=f"""
 select time_bucket(interval 5 seconds, ts) as window_start,
        time_bucket(interval 5 seconds, ts) + interval 5 seconds as window_end, count(*) as n
 from events group by 1, 2 having window_end <= {_CLOSED}
@@ -135,7 +135,7 @@ def stream_fixed_count(spark, sf_dir):
                       T.ltz_to_ntz("window_end").alias("window_end"), "n")
 
 
-@query("stream_sliding_count", ids=("T3", "T10"), sql=f"""
+@query("stream_sliding_count", ids=("T1", "T3", "T10"), sql=f"""
 with a as (select time_bucket(interval 150 seconds, ts) as s from events
            union all
            select time_bucket(interval 150 seconds, ts) - interval 150 seconds from events)

@@ -87,3 +87,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared folder and read it back.
+
+    Cuts the lineage (a lost executor recomputes from the written table, not
+    from the whole upstream plan), and gives Catalyst the table's real size,
+    so a small derived side is broadcast on evidence, not on a hint.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
