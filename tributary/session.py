@@ -23,6 +23,7 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
