@@ -23,7 +23,6 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -40,6 +39,11 @@ def build_session(master: str | None = None, app: str = "tributary",
     if master:
         builder = builder.master(master)
     conf = dict(SCALE_CONF)
+    if master and not master.startswith("local"):
+        # On a shared cluster coalesce shuffle partitions to the advisory
+        # size (not to the core count): fewer, fuller tasks.  Locally keep
+        # Spark's default, which favours parallelism on small shuffles.
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
