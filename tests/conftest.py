@@ -34,4 +34,7 @@ def duck_small():
 def rows(df, *cols):
     """Collect (small test frames only) as sorted tuples."""
     cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+    def key(t):
+        return tuple((True, 0) if v is None else (False, v) for v in t)
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=key)
