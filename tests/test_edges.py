@@ -107,3 +107,8 @@ def test_group_avg_fill_with_null_group(spark):
                                "id int, g string, v int")
     out = {r.id: r.v for r in K.fill_null_with_group_avg(df, "v", "g").collect()}
     assert out == {1: 10, 2: 10, 3: None, 4: 5}
+
+
+def test_numeric_columns_integer_overflow_becomes_double(spark):
+    df = spark.createDataFrame([("99999999999999999999",), ("1",)], "a string")
+    assert dict(K.numeric_columns(df).dtypes) == {"a": "double"}

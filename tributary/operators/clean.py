@@ -52,10 +52,10 @@ _INT_TEXT = r"^\s*[-+]?[0-9]+\s*$"
 def numeric_columns(df: DataFrame, decimal_comma: bool = True) -> DataFrame:
     """Per string column, ``,`` -> ``.``, and convert the **whole** column to
     a number only if every non-NULL value converts; otherwise keep the fixed
-    strings.  All integer text -> bigint, other numbers -> double.
+    strings.  All integer text that fits -> bigint, other numbers -> double.
 
     One aggregate job counts, for every string column at once, the values that
-    are not numbers and those that are not integers.
+    are not numbers, those that are not integers, and integers beyond bigint.
     """
     str_cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     fixed = {c: (F.replace(F.col(c), F.lit(","), F.lit(".")) if decimal_comma else F.col(c))
@@ -67,6 +67,8 @@ def numeric_columns(df: DataFrame, decimal_comma: bool = True) -> DataFrame:
         v = fixed[c]
         probes.append(F.count_if(v.isNotNull() & ~T.number_text_ok(v)).alias(f"b{i}"))
         probes.append(F.count_if(v.isNotNull() & ~v.rlike(_INT_TEXT)).alias(f"f{i}"))
+        probes.append(F.count_if(v.rlike(_INT_TEXT) & F.trim(v).try_cast("bigint").isNull())
+                      .alias(f"o{i}"))
     stats = df.agg(*probes).first()
     out = []
     for f in df.schema.fields:
@@ -76,7 +78,7 @@ def numeric_columns(df: DataFrame, decimal_comma: bool = True) -> DataFrame:
             continue
         i = str_cols.index(c)
         if stats[f"b{i}"] == 0:
-            target = "bigint" if stats[f"f{i}"] == 0 else "double"
+            target = "bigint" if stats[f"f{i}"] == 0 and stats[f"o{i}"] == 0 else "double"
             out.append(F.trim(fixed[c]).cast(target).alias(c))
         else:
             out.append(fixed[c].alias(c))
