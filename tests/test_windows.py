@@ -74,3 +74,23 @@ def test_sliding_assigns_each_event_twice(spark):
     ev = spark.read.parquet(f"{SMALL}/events.parquet")
     total = WN.sliding_windows(ev, "ts", "300 seconds", "150 seconds").agg(F.sum("n")).first()[0]
     assert total == 2 * ev.count()
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 7])
+@pytest.mark.parametrize("keys", [[], ["user_id"]])
+def test_block_stitching_equals_native(spark, block, keys):
+    """Tiny blocks force sessions across many block boundaries."""
+    ev = spark.read.parquet(f"{SMALL}/events.parquet")
+    ours = WN.sessions(ev, "ts", 30 * 60, keys, block=block)
+    native = WN.native_sessions(ev, "ts", "30 minutes", keys)
+    assert ours.count() == native.count()
+    assert _diff(ours, native) == 0
+
+
+@pytest.mark.parametrize("block", [1, 2, 5])
+def test_block_stitching_edges(spark, block):
+    mins = [0, 30, 60, 91, 95, 125, 156, 300, 330, 331, 362, 400]
+    df = spark.createDataFrame([(_at(m),) for m in mins], "ts timestamp_ntz")
+    ours = WN.sessions(df, "ts", 30 * 60, block=block)
+    native = WN.native_sessions(df, "ts", "30 minutes")
+    assert _diff(ours, native) == 0

@@ -7,8 +7,8 @@ so that neither a global session line nor a hot key lands in one task:
 1. bucket events by ``floor(ts / gap)`` and pre-aggregate each
    (key, bucket) to (first, last, count).  Two events in one bucket are less
    than one gap apart, so a bucket never splits across sessions;
-2. run the gap logic (``lag`` + running sum) over the buckets only.  Phase 2
-   sees at most ``time span / gap`` rows per key, however many events there are.
+2. run the gap logic (``lag`` + running sum) over the buckets only, block by
+   block in parallel, then stitch the blocks (see ``sessions_from_buckets``).
 
 The merge edge follows Spark's ``session_window``: an event exactly one gap
 after the previous one joins its session.
@@ -75,20 +75,61 @@ def session_buckets(df: DataFrame, ts: str, gap_seconds: int,
                    F.count(F.lit(1)).alias("__n")))
 
 
+# Buckets per block in phase 2: sessions are numbered inside blocks in
+# parallel, then the blocks are stitched.
+SESSION_BLOCK = 4096
+
+
 def sessions_from_buckets(buckets: DataFrame, gap_seconds: int,
-                          keys: Sequence[str] = ()) -> DataFrame:
+                          keys: Sequence[str] = (), block: int = SESSION_BLOCK) -> DataFrame:
     """Phase 2: gap logic over bucket summaries -> (keys, start us, end us, n).
 
     A new session starts where a bucket's first event is more than one gap
-    after the previous bucket's last event.  With no keys the window has no
-    partition, but it only sees ``time span / gap`` bucket rows."""
+    after the previous bucket's last event.  The buckets are cut into blocks
+    of ``block`` consecutive bucket numbers:
+
+    a. inside each (key, block), in parallel: local session numbers from
+       ``lag`` + a running sum;
+    b. per (key, block) a summary (first event, last event, sessions); over
+       these summaries (``span / (gap * block)`` rows per key) the first
+       session of a block continues the previous block's last one when they
+       are at most one gap apart, and a running sum gives each block the
+       number of sessions started before it;
+    c. global session number = offset + local number, then one aggregate.
+
+    No task sees more than one block of buckets or the block summaries of
+    one key, whatever the event volume, time span or key skew.
+    """
     keys = list(keys)
     gap = int(gap_seconds) * 1_000_000
-    w = Window.partitionBy(*keys).orderBy("__b") if keys else Window.orderBy("__b")
-    with_prev = buckets.withColumn("__prev", F.lag("__hi").over(w))
+    b = buckets.withColumn("__blk", F.floor(F.col("__b") / F.lit(int(block))))
+    w_in = Window.partitionBy(*keys, "__blk").orderBy("__b")
+    with_prev = b.withColumn("__prev", F.lag("__hi").over(w_in))
     starts = F.col("__prev").isNull() | ((F.col("__lo") - F.col("__prev")) > F.lit(gap))
-    numbered = with_prev.withColumn(
-        "__sid", F.sum(starts.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    local = with_prev.withColumn(
+        "__lsid", F.sum(starts.cast("long")).over(w_in.rowsBetween(Window.unboundedPreceding, 0)))
+
+    summary = (local.groupBy(*keys, "__blk")
+               .agg(F.min("__lo").alias("__first"), F.max("__hi").alias("__last"),
+                    F.max("__lsid").alias("__nloc")))
+    w_blk = (Window.partitionBy(*keys).orderBy("__blk") if keys else Window.orderBy("__blk"))
+    prev_last = F.lag("__last").over(w_blk)
+    joins = (prev_last.isNotNull() & ((F.col("__first") - prev_last) <= F.lit(gap))).cast("long")
+    summary = summary.withColumn("__joins", joins)
+    summary = summary.withColumn("__new", F.col("__nloc") - F.col("__joins"))
+    summary = summary.withColumn(
+        "__base", F.coalesce(F.sum("__new").over(w_blk.rowsBetween(Window.unboundedPreceding, -1)),
+                             F.lit(0).cast("long")))
+    join_keys = keys + ["__blk"]
+    offsets = summary.select(*[F.col(k).alias(f"__o_{k}") for k in join_keys],
+                             (F.col("__base") - F.col("__joins")).alias("__off"))
+    cond = None
+    for k in join_keys:
+        c = F.col(k).eqNullSafe(F.col(f"__o_{k}"))
+        cond = c if cond is None else cond & c
+    numbered = (local.join(offsets, cond, "inner")
+                .select(*keys, "__lo", "__hi", "__n",
+                        (F.col("__off") + F.col("__lsid")).alias("__sid")))
     return (numbered.groupBy(*keys, "__sid")
             .agg(F.min("__lo").alias("start_us"),
                  (F.max("__hi") + F.lit(gap)).alias("end_us"),
@@ -96,11 +137,13 @@ def sessions_from_buckets(buckets: DataFrame, gap_seconds: int,
             .drop("__sid"))
 
 
-def sessions(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str] = ()) -> DataFrame:
+def sessions(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str] = (),
+             block: int = SESSION_BLOCK) -> DataFrame:
     """T4/T5: session windows (start = first event, end = last event + gap),
     with the event count, per key or over all events when ``keys`` is empty."""
     keys = list(keys)
-    out = sessions_from_buckets(session_buckets(df, ts, gap_seconds, keys), gap_seconds, keys)
+    out = sessions_from_buckets(session_buckets(df, ts, gap_seconds, keys), gap_seconds, keys,
+                                block)
     return out.select(*keys,
                       _from_micros(df, ts, F.col("start_us")).alias("session_start"),
                       _from_micros(df, ts, F.col("end_us")).alias("session_end"),
