@@ -317,3 +317,14 @@ def test_j1_hot_key_cogroup_chunks(spark):
     assert sorted(x for r in ks for x in r.right_values) == sorted(f"b{i}" for i in range(30))
     z = [r for r in out if r.key == "z"]
     assert len(z) == 1 and z[0].left_values == ["a"] and z[0].right_values == []
+
+
+def test_hot_key_chunks_deterministic_after_shuffle(spark):
+    """Chunk assignment does not depend on the row order a shuffle delivers."""
+    data = [("h", i % 7) for i in range(400)] + [(f"c{i}", i) for i in range(20)]
+    base = spark.createDataFrame(data, "k string, v int")
+    a = A.group_by_key(base.repartition(5, "v"), "k", "v", chunk_rows=50)
+    b = A.group_by_key(base.orderBy(F.desc("v")).repartition(5, "v"), "k", "v", chunk_rows=50)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    hot = [r for r in a.collect() if r.k == "h"]
+    assert len(hot) > 1 and sum(len(r["values"]) for r in hot) == 400

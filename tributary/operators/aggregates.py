@@ -58,6 +58,13 @@ def with_chunks(df: DataFrame, keys, chunk_rows: int = MAX_LIST_GROUP,
     3. rows of a hot key get ``pmod(xxhash64(row, row id), n_chunks)``; rows
        of every other key get chunk 0.  Exact: the chunks of a key partition
        its rows.  With no hot key the input plan is returned unchanged.
+
+    Retry safety: the row id depends on a row's position in its partition,
+    and after a shuffle that order can differ between task attempts.  So on
+    the hot path each partition is first sorted by its full content (a
+    map-side, spillable sort; no shuffle).  A partition's rows are fixed by
+    content-based partitioning, so ids and chunks are the same on every
+    attempt (identical rows are interchangeable).
     """
     from ..session import materialize
     ks = _keys(keys)
@@ -73,6 +80,9 @@ def with_chunks(df: DataFrame, keys, chunk_rows: int = MAX_LIST_GROUP,
         c = F.col(k).eqNullSafe(F.col(f"__hot_{k}"))
         cond = c if cond is None else cond & c
     joined = df.join(F.broadcast(hot), cond, "left")
+    orderable = [f.name for f in df.schema.fields
+                 if not f.dataType.simpleString().startswith("map")]
+    joined = joined.sortWithinPartitions(*orderable)
     salt = F.xxhash64(*[F.col(c) for c in df.columns], F.monotonically_increasing_id())
     chunk = F.when(F.col("__nchunks").isNull(), F.lit(0).cast("long")).otherwise(
         F.pmod(salt, F.col("__nchunks")))
