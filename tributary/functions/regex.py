@@ -1,4 +1,4 @@
-"""Regex transforms with the semantics of a dataflow ``Regex`` catalogue.
+"""Regex transforms with the semantics of a pipeline-SDK ``Regex`` catalogue.
 
 "matches" forms are anchored at the start of the text (Python ``re.match``),
 "find" forms search anywhere (``re.search`` / ``finditer``).  Every form is a
