@@ -37,7 +37,12 @@ def matches(df: DataFrame, col: str, pattern: str, group: int = 0,
 
 
 def all_matches(df: DataFrame, col: str, pattern: str, out: str = "groups") -> DataFrame:
-    """R2: anchored match -> list of groups 0..n."""
+    """R2: anchored match -> list of groups 0..n (n = groups in the pattern).
+
+    Python stops the list at the last group that took part in the match
+    (``lastindex``) and gives None for skipped groups; Java's extraction
+    gives "" for a group that did not take part, so the two differ only for
+    patterns with optional trailing groups."""
     p = anchored(pattern)
     n = group_count(pattern)
     groups = F.array(*[F.regexp_extract(_c(col), p, i) for i in range(n + 1)])

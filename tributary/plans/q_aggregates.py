@@ -203,6 +203,21 @@ def emission_shape_agg(spark, sf_dir):
     return out.withColumn("total_emission", F.col("total_emission").cast("double"))
 
 
+@query("emission_shape_agg_approx", ids=("A10",))
+def emission_shape_agg_approx(spark, sf_dir):
+    """A10 with ``approx_count_distinct`` (HyperLogLog++; a fixed-size sketch
+    per group, one exchange).  Approximate, so only the rows are checked."""
+    li = table(spark, sf_dir, "lineitem")
+    named = li.select(F.year("l_shipdate").cast("string").alias("Year"),
+                      F.col("l_returnflag").alias("Country"),
+                      F.col("l_suppkey").cast("string").alias("Gas"),
+                      F.col("l_extendedprice").cast("decimal(18,2)").alias("emission_in_ton"))
+    out = A.sum_and_distinct(named, ["Year", "Country"], "emission_in_ton", "Gas",
+                             sum_out="total_emission", distinct_out="gas_count",
+                             approximate=True)
+    return out.withColumn("total_emission", F.col("total_emission").cast("double"))
+
+
 # ---------------------------------------------------------------- A11 + P16 + F12
 
 
