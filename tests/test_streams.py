@@ -76,3 +76,15 @@ def test_valid_rejects_split_in_stream(spark):
         lambda d: d.select("id", "batch_id", F.col("parsed.k").alias("k"))))
     assert sorted(r.k for r in spark.read.parquet(valid).collect()) == [1, 4]
     assert sorted(r.id for r in spark.read.parquet(rejects).collect()) == [2, 3]
+
+
+def test_stream_tap_reports_metrics(spark):
+    from tributary.sinks import writers as W
+    ev = spark.read.parquet(f"{SMALL}/events.parquet")
+    s = ST.file_stream(spark, f"{SMALL}/events.parquet*", ev.schema)
+    tapped = W.tap(s, "tap_test", rows=F.count(F.lit(1)))
+    progress = []
+    ST.run_to_files(tapped.select("event_id"), "tap", progress=progress)
+    seen = sum(p["observedMetrics"]["tap_test"]["rows"]
+               for p in progress if p.get("observedMetrics", {}).get("tap_test"))
+    assert seen == ev.count()

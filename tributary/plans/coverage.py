@@ -21,7 +21,7 @@ TESTS = {
     "K5": "tests/test_io.py::test_k5_default_mode_refuses_existing",
     "K7": "tests/test_io.py::test_k7_k8_text_and_json_lines",
     "K10": "tests/test_io.py::test_k10_show_is_bounded",
-    "K11": "tests/test_io.py::test_k11_tap_metrics",
+    "K11": "tests/test_io.py::test_k11_tap_metrics, tests/test_streams.py::test_stream_tap_reports_metrics",
     "T10": "tests/test_streams.py::test_late_row_dropped_after_watermark",
     "T11": "tests/test_io.py::test_t11_shards",
     "X1": "tests/test_io.py::test_x1_map_hook",

@@ -35,12 +35,15 @@ def events_stream(spark, sf_dir, **kw):
     return ST.file_stream(spark, table_path(sf_dir, "events") + "*", schema, **kw)
 
 
-@query("stream_available_now", ids=("S13", "S14", "T9"), sql="""
+@query("stream_available_now", ids=("S13", "S14", "T9", "K11"), sql="""
 select event_id, user_id, event_type from events
 """)
 def stream_available_now(spark, sf_dir):
+    """Consume everything available, then stop.  A tap reports the row count
+    and the newest event id of every micro-batch as named metrics."""
     s = events_stream(spark, sf_dir).select("event_id", "user_id", "event_type")
-    return spark.read.parquet(ST.run_to_files(s, "available_now"))
+    tapped = W.tap(s, "events_tap", rows=F.count(F.lit(1)), newest=F.max("event_id"))
+    return spark.read.parquet(ST.run_to_files(tapped, "available_now"))
 
 
 @query("stream_file_ingest", ids=("S15",), sql="""

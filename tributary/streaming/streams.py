@@ -64,13 +64,15 @@ def decode_utf8(df: DataFrame, col: str = "value", out: str = "text") -> DataFra
 
 def run_to_files(stream: DataFrame, name: str, output_mode: str = "append",
                  fmt: str = "parquet", checkpoint: str | None = None,
-                 output: str | None = None, shards: int | None = None) -> str:
+                 output: str | None = None, shards: int | None = None,
+                 progress: list | None = None) -> str:
     """Run a streaming query over everything available now, then stop.
 
     Append mode writes to the file sink (exactly-once through its log);
     complete/update modes go through ``foreachBatch`` overwrite, which is
     idempotent per batch.  ``shards`` (T11) sets the number of files written
-    per micro-batch.  Returns the output path.
+    per micro-batch.  ``progress``, when given, receives each micro-batch's
+    progress report (with the metrics of any ``tap``).  Returns the output path.
     """
     spark = stream.sparkSession
     output = output or scratch_path(spark, f"{name}_out")
@@ -89,6 +91,8 @@ def run_to_files(stream: DataFrame, name: str, output_mode: str = "append",
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    if progress is not None:
+        progress.extend(q.recentProgress)
     return output
 
 
