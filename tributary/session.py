@@ -54,33 +54,49 @@ def build_session(master: str | None = None, app: str = "tributary",
     return spark
 
 
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        value = spark.conf.get(key, None)
+    except Exception:  # noqa: BLE001 - unset static keys raise on some versions
+        value = None
+    return value or None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return (_conf(spark, "spark.master") or "").startswith("local")
+
+
+_LOCAL_ROOTS: dict[int, str] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Set only where it is unset and the master is local (tests); on a cluster
-    an unset value is an error, since a machine-local folder is not shared.
+    Read from the session (falling back to the context's checkpoint folder
+    where a SparkContext exists).  Set only where it is unset and the master
+    is local (tests); on a cluster an unset value is an error, since a
+    machine-local folder is not shared.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    root = _conf(spark, "spark.checkpoint.dir") or _LOCAL_ROOTS.get(id(spark))
     if not root:
-        root = sc.getConf().get("spark.checkpoint.dir", None)
-        if not root:
-            try:
-                root = spark.conf.get("spark.checkpoint.dir")
-            except Exception:  # noqa: BLE001 - unset key raises on some versions
-                root = None
-        if not root:
-            if not _is_local(spark):
-                raise RuntimeError(
-                    "spark.checkpoint.dir is unset: set it to a shared folder "
-                    "(HDFS/object store) before running on a cluster")
-            root = tempfile.mkdtemp(prefix="tributary-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+            root = None
+    if root:
+        return root
+    if not _is_local(spark):
+        raise RuntimeError(
+            "spark.checkpoint.dir is unset: set it to a shared folder "
+            "(HDFS/object store) before running on a cluster")
+    root = _LOCAL_ROOTS.get(id(spark))
+    if root is None:
+        root = tempfile.mkdtemp(prefix="tributary-ckpt-")
+        _LOCAL_ROOTS[id(spark)] = root
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # noqa: BLE001 - no SparkContext
+            pass
     return root
 
 
