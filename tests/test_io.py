@@ -115,3 +115,22 @@ def test_t11_shards(spark):
     out = ST.run_to_files(ST.file_stream(spark, landing, "id bigint"), "shards", shards=3)
     files = [f for f in os.listdir(out.replace("file:", "")) if f.endswith(".parquet")]
     assert len(files) == 3 and spark.read.parquet(out).count() == 100
+
+
+def test_hooks_run_from_another_directory(tmp_path):
+    """Executors do not have this package installed: the hook functions must
+    travel by value.  Run the hook queries in a fresh process outside the repo."""
+    import subprocess
+    import sys as _sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false').getOrCreate()\n"
+        "import __spark_entry__ as E\n"
+        "q = E.queries()\n"
+        "print('ROWS', q['udf_flatmap_hook'](s, '/root/testdata/sf0.001').count(),"
+        " q['udf_combine_hook'](s, '/root/testdata/sf0.001').count())\n" % root)
+    out = subprocess.run([_sys.executable, "-c", code], cwd=tmp_path, capture_output=True,
+                         text=True, timeout=600)
+    assert "ROWS 3000 150" in out.stdout, out.stderr[-2000:]

@@ -13,12 +13,18 @@ row, and none gathers a whole group in one task:
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The batch functions below run in Python workers on the executors, which do
+# not have this package installed: ship them by value, not by module path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def map_hook(fn: Callable[[pd.Series], pd.Series], return_type: str) -> Callable[..., Column]:
     """Wrap a vectorised ``Series -> Series`` function as a column function."""

@@ -3,7 +3,14 @@ built-in operator's SQL."""
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
+
 from ..operators import hooks as H
+
+# The user functions below run on executors: ship them by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 from .registry import query, table
 
 
