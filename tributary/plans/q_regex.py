@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import regex as RX
+from ..session import spread
 from .registry import query, table
 
 # The catalogue's pattern, with ``\d`` written ``[0-9]`` (the
@@ -14,7 +15,8 @@ LEAD_PATTERN = r"([A-Za-z]+) ([a-z]+)"
 
 
 def _docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    """The documents' id and text, spread over the task slots for the regex work."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @query("regex_matches", ids=("R1",), sql=f"""

@@ -11,8 +11,15 @@ from ..operators import clean as K
 from ..operators import filters as FL
 from ..operators import sets as S
 from ..operators import transforms as X
+from ..session import spread
 from .registry import query, table
 
+
+def docs(spark, sf_dir, *cols):
+    """Columns of the documents table, spread over the task slots before the
+    per-word work (see ``session.spread``)."""
+    return spread(table(spark, sf_dir, "documents").select(*cols))
+
 # ---------------------------------------------------------------- P1-P4
 
 
@@ -45,7 +52,7 @@ from (select doc_id, unnest(range(len(w))) as pos, unnest(w) as word
       from (select doc_id, string_split(text, ' ') as w from documents where text is not null))
 """)
 def word_tokens(spark, sf_dir):
-    return X.tokens(table(spark, sf_dir, "documents"), "text", " ", keep=["doc_id"])
+    return X.tokens(docs(spark, sf_dir, "doc_id", "text"), "text", " ", keep=["doc_id"])
 
 
 # ---------------------------------------------------------------- P7-P10
@@ -126,7 +133,7 @@ select doc_id, cast(pos as integer) as pos, word, cast(length(word) as integer)
 from w where length(word) > 2 and length(word) < 10
 """)
 def side_input_len_band(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = docs(spark, sf_dir, "doc_id", "text")
     words = X.tokens(d, "text", None, keep=["doc_id"])
     return X.length_band_filter(words, "word", 2, 10).withColumn("length", F.length("word"))
 
@@ -155,7 +162,7 @@ m as (select regexp_extract(word, '^(?:[^.|,|(|)]+)', 0) as word from w
 select word, count(*) as n from m where length(word) > 5 group by word
 """)
 def composite_word_freq(spark, sf_dir):
-    return table(spark, sf_dir, "documents").transform(word_frequency(5))
+    return docs(spark, sf_dir, "text").transform(word_frequency(5))
 
 
 # ---------------------------------------------------------------- F1-F12, J4, J5
@@ -179,7 +186,7 @@ where word in ({", ".join("'" + w + "'" for w in SELECTED_WORDS)})
 group by word
 """)
 def word_count_selected(spark, sf_dir):
-    words = X.tokens(table(spark, sf_dir, "documents"), "text", " ")
+    words = X.tokens(docs(spark, sf_dir, "text"), "text", " ")
     return A.count_per_key(words.filter(FL.in_literals("word", SELECTED_WORDS)), "word")
 
 
@@ -190,7 +197,7 @@ select word, count(*) as n from d where word in (select word from v) group by wo
 """)
 def side_input_semi(spark, sf_dir):
     vocab = X.tokens(table(spark, sf_dir, "benchmark"), "text", " ").select("word").distinct()
-    words = X.tokens(table(spark, sf_dir, "documents"), "text", " ").select("word")
+    words = X.tokens(docs(spark, sf_dir, "text"), "text", " ").select("word")
     return A.count_per_key(FL.semi_join(words, vocab, "word"), "word")
 
 
@@ -360,7 +367,7 @@ select doc_id,
 from (select doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') as t from documents)
 """)
 def text_stats(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = docs(spark, sf_dir, "doc_id", "text")
     stats = T.text_stats("text")
     return d.select("doc_id", *[c.alias(n) for n, c in stats.items()])
 

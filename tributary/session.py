@@ -120,3 +120,29 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (0 when unknown)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext
+        return int(_conf(spark, "spark.default.parallelism") or 0)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin the rows over at least ``min_partitions`` partitions (default:
+    the cluster's task slots) when the input has fewer, before CPU-heavy
+    per-row work such as tokenising or regex over long texts.
+
+    A table stored as one large row group is read by a single task however
+    many splits the file is cut into; spreading its rows first lets every core
+    work.  On a cluster reading many files the scan already has far more
+    partitions than task slots and the input is returned unchanged (no
+    shuffle).  Round-robin partitioning is made retry-safe by Spark sorting the
+    rows first (``spark.sql.execution.sortBeforeRepartition``).
+    """
+    target = min_partitions or parallelism(df.sparkSession)
+    if target <= 1 or df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
