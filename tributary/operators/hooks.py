@@ -21,6 +21,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 # The batch functions below run in Python workers on the executors, which do
 # not have this package installed: ship them by value, not by module path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -34,7 +36,8 @@ def map_hook(fn: Callable[[pd.Series], pd.Series], return_type: str) -> Callable
 def flat_map_hook(df: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str) -> DataFrame:
     """``fn(row_dict)`` yields any number of output dicts (a ``DoFn``).
 
-    Runs per Arrow batch inside each partition; no shuffle."""
+    Runs per Arrow batch inside each partition; an under-partitioned input is
+    first spread over the task slots (``session.spread``)."""
     fields = [f.strip().split(" ")[0] for f in schema.split(",")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -42,7 +45,7 @@ def flat_map_hook(df: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: s
             out = [o for rec in pdf.to_dict("records") for o in fn(rec)]
             yield pd.DataFrame(out, columns=fields)
 
-    return df.mapInPandas(run, schema)
+    return spread(df).mapInPandas(run, schema)
 
 
 def combine_hook(df: DataFrame, key: str, value: str,
@@ -91,7 +94,7 @@ def combine_hook(df: DataFrame, key: str, value: str,
         if carry is not None and len(carry):
             yield reduce(carry)
 
-    accs = df.select(key, value).mapInPandas(lift, acc_schema)
+    accs = spread(df.select(key, value)).mapInPandas(lift, acc_schema)
     return (accs.repartition(key).sortWithinPartitions(key)
                 .mapInPandas(finish, f"{key} {key_type}, {out} {acc_type}"))
 
