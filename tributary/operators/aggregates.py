@@ -53,8 +53,9 @@ def with_chunks(df: DataFrame, keys, chunk_rows: int = MAX_LIST_GROUP,
     1. rows per key: a partial-aggregated count (the hot key costs one
        partial row per task);
     2. the hot keys: at most ``total rows / chunk_rows`` of them by
-       construction, so this side is provably small.  It is written to the
-       shared folder (one job; lineage cut) and broadcast;
+       construction, so this side is provably small.  When there is any, it
+       is written to the shared folder (lineage cut) and broadcast; when
+       there is none (the common case) one counting job is all it costs;
     3. rows of a hot key get ``pmod(xxhash64(row, row id), n_chunks)``; rows
        of every other key get chunk 0.  Exact: the chunks of a key partition
        its rows.  With no hot key the input plan is returned unchanged.
@@ -69,12 +70,13 @@ def with_chunks(df: DataFrame, keys, chunk_rows: int = MAX_LIST_GROUP,
     from ..session import materialize
     ks = _keys(keys)
     counts = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("__cnt"))
-    hot = materialize(counts.filter(F.col("__cnt") > chunk_rows)
-                      .select(*[F.col(k).alias(f"__hot_{k}") for k in ks],
-                              F.ceil(F.col("__cnt") / F.lit(chunk_rows)).cast("long")
-                              .alias("__nchunks")), "hot_keys")
-    if hot.isEmpty():
+    hot_keys = (counts.filter(F.col("__cnt") > chunk_rows)
+                .select(*[F.col(k).alias(f"__hot_{k}") for k in ks],
+                        F.ceil(F.col("__cnt") / F.lit(chunk_rows)).cast("long")
+                        .alias("__nchunks")))
+    if hot_keys.isEmpty():          # the common case: one counting job, nothing written
         return df.withColumn(out, F.lit(0).cast("long"))
+    hot = materialize(hot_keys, "hot_keys")
     cond = None
     for k in ks:
         c = F.col(k).eqNullSafe(F.col(f"__hot_{k}"))
