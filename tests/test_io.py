@@ -134,3 +134,15 @@ def test_hooks_run_from_another_directory(tmp_path):
     out = subprocess.run([_sys.executable, "-c", code], cwd=tmp_path, capture_output=True,
                          text=True, timeout=600)
     assert "ROWS 3000 150" in out.stdout, out.stderr[-2000:]
+
+
+def test_spread_only_when_under_partitioned(spark):
+    from tributary.session import materialize, parallelism, spread
+    slots = parallelism(spark)
+    narrow = spark.range(1000).coalesce(1)
+    wide = spark.range(0, 1000, 1, slots * 2)
+    assert spread(narrow).rdd.getNumPartitions() == slots
+    assert spread(wide) is wide
+    assert sorted(r.id for r in spread(narrow).collect()) == list(range(1000))
+    m = materialize(spark.range(10), "m_test")
+    assert sorted(r.id for r in m.collect()) == list(range(10))
