@@ -284,6 +284,18 @@ def cogroup_lists(spark, sf_dir):
                            left_out="customers", right_out="suppliers")
 
 
+@query("cogroup_rows", ids=("J1",), sql="""
+select c_nationkey as nationkey, 'left' as side, c_name as value from customer
+union all
+select s_nationkey, 'right', s_name from supplier
+""")
+def cogroup_rows(spark, sf_dir):
+    """J1 rows form: the co-group as (key, side, value) rows, no list built."""
+    c = table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "nationkey")
+    s = table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "nationkey")
+    return C.cogroup_rows(c, s, "nationkey", "c_name", "s_name")
+
+
 @query("named_cogroup", ids=("J2",), sql="""
 with a as (select o_orderkey as k, count(*) as n_orders from orders group by 1),
      b as (select l_orderkey as k, cast(sum(l_quantity) as double) as qty from lineitem group by 1)
