@@ -102,7 +102,10 @@ def test_s17_rate_source_messages(spark):
     out = scratch_path(spark, "rate_out")
     q = (s.writeStream.format("parquet").option("checkpointLocation", scratch_path(spark, "rate_ck"))
          .trigger(processingTime="1 second").start(out))
-    q.awaitTermination(4)
+    import time
+    deadline = time.time() + 60
+    while time.time() < deadline and sum(p["numInputRows"] for p in q.recentProgress) == 0:
+        time.sleep(0.5)
     q.stop()
     msgs = spark.read.parquet(out).select(F.decode("value", "UTF-8").alias("m"))
     assert msgs.count() > 0
