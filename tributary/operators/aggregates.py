@@ -17,8 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest group that the list forms will gather into one row.
-MAX_LIST_GROUP = 1_000_000
+# Largest group that the list forms will gather into one row: 100k values of
+# ~1 KB is ~100 MB, well inside a row's limits.  Keys above it are chunked; the
+# hot-key table is then at most rows / 100k entries (1M at 10^11 rows).
+MAX_LIST_GROUP = 100_000
 
 
 class GroupTooLargeError(ValueError):
