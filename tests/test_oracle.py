@@ -1,21 +1,31 @@
 """Layer 2: every registered query against its DuckDB oracle on the same
-parquet tables (sf0.001 here; the driver runs sf0.01)."""
+parquet tables (sf0.001 by default; ``TRIBUTARY_ORACLE_DIR=/root/testdata/sf0.01``
+runs them at the driver's scale)."""
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
 import __spark_entry__ as E
 from conftest import SMALL
-from oracle_compare import compare
+from oracle_compare import compare, duck
+
+ORACLE_DIR = os.environ.get("TRIBUTARY_ORACLE_DIR", SMALL)
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
 
 
+@pytest.fixture(scope="module")
+def oracle_con():
+    return duck(ORACLE_DIR)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_oracle(spark, duck_small, name):
-    res = compare(spark, name, QUERIES[name], ORACLE.get(name), SMALL, duck_small)
+def test_query_matches_oracle(spark, oracle_con, name):
+    res = compare(spark, name, QUERIES[name], ORACLE.get(name), ORACLE_DIR, oracle_con)
     assert res["status"] in ("ok", "rows-only"), res
     assert res["spark_rows"] > 0, res
 
