@@ -112,3 +112,24 @@ def test_group_avg_fill_with_null_group(spark):
 def test_numeric_columns_integer_overflow_becomes_double(spark):
     df = spark.createDataFrame([("99999999999999999999",), ("1",)], "a string")
     assert dict(K.numeric_columns(df).dtypes) == {"a": "double"}
+
+
+def test_hot_key_third_of_rows_group_by_key(spark):
+    """One key holding about a third of lineitem: chunked lists stay bounded
+    and together equal the brute-force per-key count and sum."""
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    keyed = li.select(F.when(F.col("l_returnflag") == "N", F.lit(-1))
+                      .otherwise(F.col("l_orderkey")).alias("k"),
+                      F.col("l_linenumber").alias("v"))
+    bound = 5000
+    chunks = A.group_by_key(keyed, "k", "v", chunk_rows=bound)
+    hot = chunks.filter("k = -1").select(F.size("values").alias("n")).collect()
+    total_hot = keyed.filter("k = -1").count()
+    assert total_hot > li.count() // 4
+    assert len(hot) == -(-total_hot // bound)
+    assert max(r.n for r in hot) < 2 * bound and sum(r.n for r in hot) == total_hot
+    got = (chunks.groupBy("k").agg(F.sum(F.size("values")).alias("n"),
+                                   F.sum(F.aggregate("values", F.lit(0).cast("bigint"),
+                                                     lambda acc, x: acc + x)).alias("s")))
+    want = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
