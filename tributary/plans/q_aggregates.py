@@ -76,14 +76,19 @@ select depart, cast(n as bigint) as emp_count_depart, emp_id,
 from r where rn = 1
 """)
 def dept_count_first(spark, sf_dir):
+    """Count and first joiner per department in one aggregate (one shuffle).
+    The arg-min is ``min(struct(null flag, date, id))``: exact and
+    deterministic on ties, planned as a spillable sort-based partial + final
+    aggregate.  The struct carries only fixed-width fields; the emp_id text is
+    the id's string form and is derived afterwards."""
     e = employees(spark, sf_dir).withColumn("jd", T.parse_date("join_date"))
     agg = C.named_aggregates(
         e, "depart",
         emp_count_depart=F.count(F.lit(1)),
-        first=A.first_by(["jd", "emp_key"], ["emp_id"]))
+        first=A.first_by(["jd", "emp_key"], []))
     return agg.select(
         "depart", "emp_count_depart",
-        F.coalesce(F.col("first.emp_id"), F.lit("")).alias("emp_id"),
+        F.coalesce(F.col("first.__o1").cast("string"), F.lit("")).alias("emp_id"),
         T.iso_datetime(F.col("first.__o0").cast("timestamp_ntz")).alias("join_date"))
 
 
