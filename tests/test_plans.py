@@ -83,3 +83,14 @@ def test_whole_table_average_is_a_scalar_subquery(plans):
 def test_no_cross_joins_anywhere(plans):
     for name, p in plans.items():
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_hot_key_path_broadcasts_the_bounded_side(spark):
+    from tributary.operators import aggregates as A
+    df = spark.createDataFrame([("h", i) for i in range(50)] + [("c", 1)], "k string, v int")
+    hot = A.group_by_key(df, "k", "v", chunk_rows=10)
+    plan = hot._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    cold = A.group_by_key(df, "k", "v", chunk_rows=100)
+    plan = cold._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
