@@ -161,3 +161,18 @@ def test_symmetric_sets(spark):
     out = {k: sorted(r.value for r in v.collect()) for k, v in J.symmetric_sets(a, b).items()}
     assert out == {"intersection": [4, 5], "union": list(range(1, 9)), "b_minus_a": [6, 7, 8],
                    "symmetric": [1, 2, 3, 6, 7, 8]}
+
+
+def test_clean_csv_ingest_types_stay_stable(spark):
+    landing = scratch_path(spark, "air_landing2")
+    os.makedirs(_local(landing), exist_ok=True)
+    header = "Date;CO(GT)\n"
+    with open(os.path.join(_local(landing), "a.csv"), "w", encoding="utf-8") as f:
+        f.write(header + "10/03/2004;2,5\n")
+    out_path, ckpt = scratch_path(spark, "air_out2"), scratch_path(spark, "air_ck2")
+    J.clean_csv_ingest(spark, landing, out_path, ckpt)
+    with open(os.path.join(_local(landing), "b.csv"), "w", encoding="utf-8") as f:
+        f.write(header + "11/03/2004;3\n")                # integers only: widened to double
+    out = J.clean_csv_ingest(spark, landing, out_path, ckpt)
+    assert dict(out.dtypes)["CO_GT"] == "double"
+    assert sorted(r.CO_GT for r in out.collect()) == [2.5, 3.0]

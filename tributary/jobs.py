@@ -169,12 +169,33 @@ def emissions_summary(spark: SparkSession, csv_path: str, out_path: str,
     return spark.read.parquet(out_path)
 
 
+def _conform_to_table(batch: DataFrame, existing: dict[str, str]) -> DataFrame:
+    """Cast a cleaned batch to the types the table already has where that
+    loses nothing (bigint -> double, number -> string); a column that would
+    have to narrow (double -> bigint, string -> number) fails loudly."""
+    out = []
+    for name, typ in batch.dtypes:
+        old = existing.get(name)
+        if old is None or old == typ:
+            out.append(F.col(f"`{name}`"))
+        elif (old, typ) in {("double", "bigint"), ("string", "bigint"), ("string", "double")}:
+            out.append(F.col(f"`{name}`").cast(old).alias(name))
+        else:
+            raise TypeError(f"column {name!r} was {old} in earlier files and is {typ} now; "
+                            "ingest with numeric_as_double=True for stable types")
+    return batch.select(*out)
+
+
 def clean_csv_ingest(spark: SparkSession, landing_dir: str, out_path: str,
-                     checkpoint: str, sep: str = ";") -> DataFrame:
+                     checkpoint: str, sep: str = ";",
+                     numeric_as_double: bool = False) -> DataFrame:
     """Every dirty CSV file that lands (``;`` separated, decimal commas, empty
     header cells, odd names) is cleaned once and appended: names sanitised,
     unnamed columns dropped, numeric columns typed, a processing time added.
-    Typing is decided per micro-batch (per arriving file set)."""
+
+    Types are decided from each micro-batch's content; later batches are cast
+    to the table's types where that is lossless.  ``numeric_as_double`` types
+    every numeric column as double, which never conflicts."""
     # A file stream needs a schema: take it from the header of the files present.
     files = spark.read.option("header", True).option("sep", sep).csv(landing_dir)
     stream = (spark.readStream.schema(files.schema).option("header", True)
@@ -182,12 +203,20 @@ def clean_csv_ingest(spark: SparkSession, landing_dir: str, out_path: str,
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         cleaned = K.numeric_columns(K.sanitize_column_names(K.drop_unnamed(batch)))
+        if numeric_as_double:
+            cleaned = cleaned.select(*[F.col(f"`{n}`").cast("double").alias(n) if t == "bigint"
+                                       else F.col(f"`{n}`") for n, t in cleaned.dtypes])
+        try:
+            existing = dict(spark.read.parquet(out_path).dtypes)
+        except Exception:  # noqa: BLE001 - first batch: no table yet
+            existing = {}
+        cleaned = _conform_to_table(cleaned, existing)
         K.with_processed_at(cleaned).withColumn("batch_id", F.lit(batch_id)) \
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .option("mergeSchema", True).partitionBy("batch_id").parquet(out_path)
+            .partitionBy("batch_id").parquet(out_path)
 
     ST.run_foreach_batch(stream, "clean_ingest", handle, checkpoint=checkpoint)
-    return spark.read.option("mergeSchema", True).parquet(out_path)
+    return spark.read.parquet(out_path)
 
 
 def news_lines(df: DataFrame, col: str, channels: Sequence[str],
