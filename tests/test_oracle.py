@@ -39,3 +39,19 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["depart", "emp_count_depart", "emp_id", "join_date"]
     assert df.count() > 0
+
+
+TIME_QUERIES = ["event_time_label", "epoch_seconds", "window_fixed_count", "window_session_global",
+                "window_label", "stream_fixed_count", "stream_session_user", "dept_count_first",
+                "sql_distinct_topk"]
+
+
+def test_time_queries_do_not_depend_on_session_zone(spark, oracle_con):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in TIME_QUERIES:
+            res = compare(spark, name, QUERIES[name], ORACLE.get(name), ORACLE_DIR, oracle_con)
+            assert res["status"] == "ok", res
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
