@@ -94,3 +94,25 @@ def test_hot_key_path_broadcasts_the_bounded_side(spark):
     cold = A.group_by_key(df, "k", "v", chunk_rows=100)
     plan = cold._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_library_never_pulls_data_to_the_driver():
+    """Static rule: no ``toPandas``/``localCheckpoint`` anywhere in the library,
+    and ``collect``/``first`` only on bounded frames: after a ``limit``, or on
+    a global aggregate (one row)."""
+    import os as _os
+    root = _os.path.join(_os.path.dirname(_os.path.dirname(_os.path.abspath(__file__))), "tributary")
+    pulls = 0
+    for dirpath, _, files in _os.walk(root):
+        for f in files:
+            if not f.endswith(".py") or f == "plan_report.py":
+                continue
+            rel = _os.path.relpath(_os.path.join(dirpath, f), root)
+            src = open(_os.path.join(dirpath, f), encoding="utf-8").read()
+            assert "toPandas(" not in src and "localCheckpoint" not in src, rel
+            for line in src.splitlines():
+                if ".collect()" in line or ".first()" in line:
+                    pulls += 1
+                    bounded = "limit(" in line or (".agg(" in line and "groupBy" not in line)
+                    assert bounded, (rel, line.strip())
+    assert pulls == 4
