@@ -24,6 +24,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Smaller side outputs (round trips, materialised sides, stream sinks).
+    "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.session.timeZone": "UTC",
     # Streaming state off the JVM heap, checkpointed incrementally: state of a
     # large stream does not become GC pressure or an executor OOM.
