@@ -143,6 +143,25 @@ def stream_fixed_count(spark, sf_dir):
                       T.ltz_to_ntz("window_end").alias("window_end"), "n")
 
 
+@query("stream_window_label", ids=("T2", "T6", "R18", "R15", "R21", "K1"), sql=f"""
+select format('{{}}  [{{}} - {{}}]', count(*),
+              strftime(time_bucket(interval 5 seconds, ts), '%Y-%m-%d %H:%M:%S'),
+              strftime(time_bucket(interval 5 seconds, ts) + interval 5 seconds, '%Y-%m-%d %H:%M:%S'))
+       as count_window
+from events group by time_bucket(interval 5 seconds, ts)
+having time_bucket(interval 5 seconds, ts) + interval 5 seconds <= {_CLOSED}
+""")
+def stream_window_label(spark, sf_dir):
+    """The streaming window-count job end to end (``jobs.window_counts_stream``):
+    messages -> event time -> 5 s windows -> ``"<n>  [start - end]"`` rows."""
+    from ..jobs import window_counts_stream
+    topic = scratch_path(spark, "label_topic")
+    _num_messages(spark, sf_dir).write.mode("overwrite").parquet(topic)
+    return window_counts_stream(spark, topic, scratch_path(spark, "label_out"),
+                                scratch_path(spark, "label_ckpt"), window=STREAM_FIXED,
+                                lateness=LATENESS)
+
+
 @query("stream_sliding_count", ids=("T1", "T3", "T10"), sql=f"""
 with a as (select time_bucket(interval 150 seconds, ts) as s from events
            union all
