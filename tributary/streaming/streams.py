@@ -96,6 +96,25 @@ def run_to_files(stream: DataFrame, name: str, output_mode: str = "append",
     return output
 
 
+def run_for_seconds(stream: DataFrame, name: str, seconds: float,
+                    output: str | None = None, checkpoint: str | None = None,
+                    trigger: str = "1 second", fmt: str = "parquet") -> str:
+    """S14 bounded listen on an unbounded source: run micro-batches for
+    ``seconds``, then stop cleanly (committed batches stay; a restart with the
+    same checkpoint resumes after them).  Returns the output path."""
+    spark = stream.sparkSession
+    output = output or scratch_path(spark, f"{name}_out")
+    checkpoint = checkpoint or scratch_path(spark, f"{name}_ckpt")
+    q = (stream.writeStream.format(fmt).outputMode("append")
+         .option("checkpointLocation", checkpoint)
+         .trigger(processingTime=trigger).start(output))
+    q.awaitTermination(seconds)
+    q.stop()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return output
+
+
 def run_foreach_batch(stream: DataFrame, name: str,
                       handler: Callable[[DataFrame, int], None],
                       checkpoint: str | None = None) -> None:
