@@ -16,6 +16,7 @@ SECTIONS = [("S", 17, "Sources"), ("K", 11, "Sinks"), ("P", 22, "Projections and
 TESTS = {
     "S1": "tests/test_fixtures.py (every in-memory dataset)",
     "S2": "tests/test_fixtures.py (typed and names-only frames)",
+    "S14": "tests/test_io.py::test_s17_rate_source_messages (bounded listen)",
     "S17": "tests/test_io.py::test_s17_rate_source_messages",
     "K2": "tests/test_io.py::test_k2_append_autodetect_checks_columns",
     "K5": "tests/test_io.py::test_k5_default_mode_refuses_existing",
