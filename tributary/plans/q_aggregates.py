@@ -24,7 +24,7 @@ def trades(spark, sf_dir):
         F.format_number(F.col("l_quantity") * 100, 0).alias("QuantityTraded"))
 
 
-@query("signed_quantity_sum", ids=("S5", "R10", "P16", "P17", "A12"), headline=True, sql="""
+@query("signed_quantity_sum", ids=("R10", "P16", "P17", "A12"), headline=True, sql="""
 with cte as (
   select l_partkey as Symbol,
          case when l_returnflag = 'N' then 'Buy' else 'Sell' end as BuyOrSell,
@@ -122,7 +122,7 @@ def combine_per_key_sum(spark, sf_dir):
     return A.combine_per_key_sum(table(spark, sf_dir, "lineitem"), "l_partkey", "l_quantity")
 
 
-@query("combine_globally_concat", ids=("A3", "X3"), sql="""
+@query("combine_globally_concat", ids=("A3",), sql="""
 select vec_id, cast(generate_subscripts(embedding, 1) - 1 as integer) as pos,
        unnest(embedding) as item
 from embeddings
@@ -141,7 +141,7 @@ def count_globally(spark, sf_dir):
     return A.count_globally(table(spark, sf_dir, "orders"))
 
 
-@query("count_no_defaults", ids=("A4", "T7"), sql="""
+@query("count_no_defaults", ids=("A4",), sql="""
 select * from (select count(*) as n from orders where o_orderstatus = 'F') where n > 0
 """)
 def count_no_defaults(spark, sf_dir):
@@ -189,7 +189,7 @@ def count_non_null(spark, sf_dir):
 # ---------------------------------------------------------------- A10 + P11
 
 
-@query("emission_shape_agg", ids=("A10", "P11", "S7", "P17"), headline=True, sql="""
+@query("emission_shape_agg", ids=("A10", "P11", "P17"), headline=True, sql="""
 select cast(year(l_shipdate) as varchar) as Year, l_returnflag as Country,
        cast(sum(cast(l_extendedprice as decimal(18, 2))) as double) as total_emission,
        count(distinct cast(l_suppkey as varchar)) as gas_count

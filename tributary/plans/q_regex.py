@@ -95,7 +95,7 @@ def regex_split(spark, sf_dir):
     return d.select("doc_id", RX.split("text", " ").alias("pieces"))
 
 
-@query("regex_word_lengths", ids=("R1", "R5", "P3"), sql=f"""
+@query("regex_word_lengths", ids=("R5", "A6"), sql=f"""
 select m as match, count(*) as n
 from (select unnest(regexp_extract_all(text, '{FIND_PATTERN}', 0)) as m from documents)
 group by m

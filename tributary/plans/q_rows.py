@@ -395,7 +395,7 @@ def format_ratio(spark, sf_dir):
     return d.select("doc_id", T.format_ratio("n_chars", 60, "%.2fh").alias("hours"))
 
 
-@query("to_json_rows", ids=("R16", "K8"), sql="""
+@query("to_json_rows", ids=("R16",), sql="""
 select n_nationkey, to_json({'n_nationkey': n_nationkey, 'n_name': n_name, 'n_regionkey': n_regionkey})::varchar as json
 from nation
 """)

@@ -143,7 +143,7 @@ def stream_fixed_count(spark, sf_dir):
                       T.ltz_to_ntz("window_end").alias("window_end"), "n")
 
 
-@query("stream_window_label", ids=("T2", "T6", "R18", "R15", "R21", "K1"), sql=f"""
+@query("stream_window_label", ids=("T2", "T6", "T9", "R18", "R15", "R21"), sql=f"""
 select format('{{}}  [{{}} - {{}}]', count(*),
               strftime(time_bucket(interval 5 seconds, ts), '%Y-%m-%d %H:%M:%S'),
               strftime(time_bucket(interval 5 seconds, ts) + interval 5 seconds, '%Y-%m-%d %H:%M:%S'))
