@@ -233,7 +233,10 @@ select * from x where session_end <= {_CLOSED}
 """)
 def stream_session_user_native(spark, sf_dir):
     """Per-user sessions with Spark's streaming ``session_window`` (state keyed
-    by user; a session is emitted once the watermark passes its end)."""
+    by user; a session is emitted once the watermark passes its end).  The
+    idiomatic form, kept for comparison: every event of a hot user goes
+    through one state key, so ``stream_session_user`` (two stages, state per
+    (user, bucket)) is the form to use at scale."""
     s = ST.with_event_time(events_stream(spark, sf_dir), "ts", LATENESS)
     sess = (s.groupBy("user_id", F.session_window("event_time", "30 minutes").alias("w"))
              .agg(F.count(F.lit(1)).alias("n")))
