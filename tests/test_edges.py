@@ -133,3 +133,10 @@ def test_hot_key_third_of_rows_group_by_key(spark):
                                                      lambda acc, x: acc + x)).alias("s")))
     want = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_cogroup_keeps_a_shared_value_type(spark):
+    left = spark.createDataFrame([("k", 10), ("k", 9)], "key string, v int")
+    right = spark.createDataFrame([("k", 100)], "key string, v int")
+    r = C.cogroup_lists(left, right, "key", "v", "v").first()
+    assert r.left_values == [9, 10] and r.right_values == [100]

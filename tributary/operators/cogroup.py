@@ -21,15 +21,18 @@ def cogroup_lists(left: DataFrame, right: DataFrame, key: str,
     """(key, chunk, sorted left list, sorted right list); an absent side
     gives [].
 
-    Both inputs are re-shaped to (key, tag, value), unioned, and grouped once.
+    Both inputs are re-shaped to (key, tag, value), unioned, and grouped once
+    (values keep their type when both sides share it, else become strings).
     A key with more than ``chunk_rows`` rows (both sides together) is split
     over several chunk rows, each holding part of either side.
     """
+    lt, rt = left.schema[left_value].dataType, right.schema[right_value].dataType
+    vtype = lt.simpleString() if lt == rt else "string"   # one column type for the union
     tagged = (left.select(F.col(key).alias("__k"), F.lit(0).alias("__tag"),
-                          F.col(left_value).cast("string").alias("__v"))
+                          F.col(left_value).cast(vtype).alias("__v"))
               .unionByName(
               right.select(F.col(key).alias("__k"), F.lit(1).alias("__tag"),
-                           F.col(right_value).cast("string").alias("__v"))))
+                           F.col(right_value).cast(vtype).alias("__v"))))
     return (with_chunks(tagged, "__k", chunk_rows).groupBy("__k", "chunk")
             .agg(F.array_sort(F.collect_list(F.when(F.col("__tag") == 0, F.col("__v"))))
                   .alias(left_out),
