@@ -44,10 +44,12 @@ def cogroup_lists(left: DataFrame, right: DataFrame, key: str,
 def cogroup_rows(left: DataFrame, right: DataFrame, key: str,
                  left_value: str, right_value: str) -> DataFrame:
     """J1 rows form: (key, side, value) -- the co-group without any list."""
+    lt, rt = left.schema[left_value].dataType, right.schema[right_value].dataType
+    vtype = lt.simpleString() if lt == rt else "string"
     return (left.select(F.col(key), F.lit("left").alias("side"),
-                        F.col(left_value).cast("string").alias("value"))
+                        F.col(left_value).cast(vtype).alias("value"))
             .unionByName(right.select(F.col(key), F.lit("right").alias("side"),
-                                      F.col(right_value).cast("string").alias("value"))))
+                                      F.col(right_value).cast(vtype).alias("value"))))
 
 
 def named_aggregates(df: DataFrame, key: str, **named) -> DataFrame:
