@@ -103,10 +103,15 @@ def test_replace_first_literal_with_dollar(spark):
 
 
 def test_group_avg_fill_with_null_group(spark):
-    df = spark.createDataFrame([(1, "a", None), (2, "a", 10), (3, "b", None), (4, None, 5)],
-                               "id int, g string, v int")
+    df = spark.createDataFrame([(1, "a", None), (2, "a", 10), (3, "b", None), (4, None, 5),
+                                (5, None, None)], "id int, g string, v int")
     out = {r.id: r.v for r in K.fill_null_with_group_avg(df, "v", "g").collect()}
-    assert out == {1: 10, 2: 10, 3: None, 4: 5}
+    assert out == {1: 10, 2: 10, 3: None, 4: 5, 5: 5}
+
+
+def test_group_rows_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
+    assert rows(A.group_rows(df, "k", "v")) == [("a", 3, 1), (None, 1, 2), (None, 2, 2)]
 
 
 def test_numeric_columns_integer_overflow_becomes_double(spark):

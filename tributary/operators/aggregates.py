@@ -107,9 +107,13 @@ def group_by_key(df: DataFrame, key: str, value: str, out: str = "values",
 
 
 def group_rows(df: DataFrame, key: str, value: str) -> DataFrame:
-    """A1 rows form: (key, value, n_in_group) with no list materialised."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_in_group"))
-    return df.select(key, value).join(counts, key)
+    """A1 rows form: (key, value, n_in_group) with no list materialised.
+    The join back is null-safe, so rows with a NULL key keep their group."""
+    counts = (df.groupBy(key).agg(F.count(F.lit(1)).alias("n_in_group"))
+                .withColumnRenamed(key, "__gk"))
+    return (df.select(key, value)
+              .join(counts, F.col(key).eqNullSafe(F.col("__gk")))
+              .drop("__gk"))
 
 
 def combine_per_key_sum(df: DataFrame, key, value: str, out: str = "total") -> DataFrame:

@@ -140,8 +140,9 @@ def fill_null_with_group_avg(df: DataFrame, col: str, key: str, cast: str = "int
     them when small; with many keys it is a shuffle join whose skewed
     partitions AQE splits.
     """
-    avgs = materialize(df.groupBy(key).agg(F.avg(col).alias("__group_avg")), "group_avg")
-    joined = df.join(avgs, on=key, how="left")
+    avgs = materialize(df.groupBy(key).agg(F.avg(col).alias("__group_avg"))
+                       .withColumnRenamed(key, "__gk"), "group_avg")
+    joined = df.join(avgs, F.col(key).eqNullSafe(F.col("__gk")), "left").drop("__gk")
     return (joined.withColumn(col, F.coalesce(F.col(col).cast(cast),
                                               F.col("__group_avg").cast(cast)))
                   .drop("__group_avg")
