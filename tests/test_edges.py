@@ -145,3 +145,11 @@ def test_cogroup_keeps_a_shared_value_type(spark):
     right = spark.createDataFrame([("k", 100)], "key string, v int")
     r = C.cogroup_lists(left, right, "key", "v", "v").first()
     assert r.left_values == [9, 10] and r.right_values == [100]
+
+
+def test_lists_keep_null_values(spark):
+    df = spark.createDataFrame([("a", None), ("a", 2), ("a", 1)], "k string, v int")
+    assert A.group_by_key(df, "k", "v").first()["values"] == [None, 1, 2]
+    right = spark.createDataFrame([("a", None)], "k string, v int")
+    r = C.cogroup_lists(df, right, "k", "v", "v").first()
+    assert r.left_values == [None, 1, 2] and r.right_values == [None]

@@ -103,7 +103,17 @@ def group_by_key(df: DataFrame, key: str, value: str, out: str = "values",
     """
     chunked = with_chunks(df.select(key, value), key, chunk_rows)
     return (chunked.groupBy(key, "chunk")
-                   .agg(F.array_sort(F.collect_list(value)).alias(out)))
+                   .agg(sorted_list_keeping_nulls(F.col(value)).alias(out)))
+
+
+def sorted_list_keeping_nulls(value: Column, when: Column | None = None) -> Column:
+    """``collect_list`` skips NULL values; wrapping each value in a one-field
+    struct keeps them (NULLs sort first), then the structs are unwrapped.
+    With ``when``, only rows where it holds are collected."""
+    wrapped = F.struct(value.alias("x"))
+    if when is not None:
+        wrapped = F.when(when, wrapped)
+    return F.transform(F.array_sort(F.collect_list(wrapped)), lambda s: s["x"])
 
 
 def group_rows(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .aggregates import MAX_LIST_GROUP, with_chunks
+from .aggregates import MAX_LIST_GROUP, sorted_list_keeping_nulls, with_chunks
 
 
 def cogroup_lists(left: DataFrame, right: DataFrame, key: str,
@@ -34,10 +34,8 @@ def cogroup_lists(left: DataFrame, right: DataFrame, key: str,
               right.select(F.col(key).alias("__k"), F.lit(1).alias("__tag"),
                            F.col(right_value).cast(vtype).alias("__v"))))
     return (with_chunks(tagged, "__k", chunk_rows).groupBy("__k", "chunk")
-            .agg(F.array_sort(F.collect_list(F.when(F.col("__tag") == 0, F.col("__v"))))
-                  .alias(left_out),
-                 F.array_sort(F.collect_list(F.when(F.col("__tag") == 1, F.col("__v"))))
-                  .alias(right_out))
+            .agg(sorted_list_keeping_nulls(F.col("__v"), F.col("__tag") == 0).alias(left_out),
+                 sorted_list_keeping_nulls(F.col("__v"), F.col("__tag") == 1).alias(right_out))
             .withColumnRenamed("__k", key))
 
 
