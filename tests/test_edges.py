@@ -153,3 +153,9 @@ def test_lists_keep_null_values(spark):
     right = spark.createDataFrame([("a", None)], "k string, v int")
     r = C.cogroup_lists(df, right, "k", "v", "v").first()
     assert r.left_values == [None, 1, 2] and r.right_values == [None]
+
+
+def test_partition_keeps_out_of_range_rows(spark):
+    df = spark.createDataFrame([(0,), (1,), (5,), (None,)], "b int")
+    parts = X.partition(df, F.col("b"), 2)
+    assert [parts[i].count() for i in (0, 1, -1)] == [1, 1, 2]

@@ -77,15 +77,17 @@ def with_branch(df: DataFrame, branch: Column, name: str = "branch") -> DataFram
 
 
 def partition(df: DataFrame, branch: Column, n: int, name: str = "branch") -> dict[int, DataFrame]:
-    """P19 ``Partition(fn, n)``: n lazily filtered frames over one branch column.
+    """P19 ``Partition(fn, n)``: n lazily filtered frames over one branch column,
+    plus key ``-1`` for rows whose branch is NULL or outside ``[0, n)`` (so no
+    row is lost; check that frame where such rows are an error).
 
     The parent is not re-computed per branch only if the caller persists it;
     for one pass over all branches use :func:`with_branch` and ``groupBy``.
     """
     tagged = with_branch(df, branch, name)
-    out = {}
-    for i in range(n):
-        out[i] = tagged.filter(F.col(name) == i).drop(name)
+    b = F.col(name)
+    out = {i: tagged.filter(b == i).drop(name) for i in range(n)}
+    out[-1] = tagged.filter(b.isNull() | (b < 0) | (b >= n)).drop(name)
     return out
 
 
