@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import table
-from . import decontaminate
+from . import decontaminate, simhash
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -49,3 +49,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "res.n_words", "res.n_hit", F.size("res.items").cast("long").alias("n_items"),
         F.sha2(F.array_join("res.items", ","), 256).alias("items_sha256"),
         decontaminate.contaminated(F.col("res")).alias("contaminated"))
+
+
+@query("op7_simhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
