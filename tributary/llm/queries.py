@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import table
-from . import decontaminate, simhash
+from ..session import materialize
+from . import decontaminate, quality, simhash
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -55,3 +56,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = quality.with_counts(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    counted = materialize(counted, "quality-counts")  # a few numbers a text, read twice
+    judged = quality.judge(counted, quality.fit(counted))
+    return judged.select("row.doc_id", "res.n_words", "res.word_chars", "res.n_symbols", "res.n_dup_lines",
+                         "res.n_repeat_words", "base_failed", "kept", F.round("probability", 6).alias("probability"))
