@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import table
-from ..session import materialize
-from . import decontaminate, quality, simhash
+from ..session import materialize, scratch_path
+from . import decontaminate, quality, simhash, token_orc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    """The place of a public tokenizer's file (installed, not in this repository)."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def wrap(build):
         QUERIES[name] = build
@@ -65,3 +71,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(counted, quality.fit(counted))
     return judged.select("row.doc_id", "res.n_words", "res.word_chars", "res.n_symbols", "res.n_dup_lines",
                          "res.n_repeat_words", "base_failed", "kept", F.round("probability", 6).alias("probability"))
+
+
+def token_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write the ids of all documents, read the files back."""
+    path = scratch_path(spark, "tokens.orc")
+    token_orc.write_tokens(docs, path, tokenizer_file())
+    return token_orc.with_crc32(token_orc.read_tokens(spark, path), ["doc_id", "start", "n_tokens"])
+
+
+@query("op4_token_orc")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rows(spark, table(spark, sf_dir, "documents"))
