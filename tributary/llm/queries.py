@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import table
 from ..session import materialize, scratch_path
-from . import decontaminate, quality, simhash, token_orc
+from . import decontaminate, mixing, quality, simhash, token_orc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -83,3 +83,10 @@ def token_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
 @query("op4_token_orc")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rows(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op8_mixing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return mixed.rows.select("row.doc_id", F.col("m_size").alias("size"), "source_size", "target",
+                             (F.col("m_size") * F.size("shards")).alias("taken"))
