@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import table
 from ..session import materialize, scratch_path
-from . import decontaminate, mixing, quality, simhash, token_orc
+from . import decontaminate, mixing, quality, secrets, simhash, token_orc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -90,3 +90,21 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return mixed.rows.select("row.doc_id", F.col("m_size").alias("size"), "source_size", "target",
                              (F.col("m_size") * F.size("shards")).alias("taken"))
+
+
+def span_text(findings) -> Column:
+    return F.array_join(F.transform(findings, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+
+@query("op6_secrets")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_history(table(spark, sf_dir, "documents"), scratch_path(spark, "secret-ledger"), ["doc_id"])
+    base = [r.kind for r in secrets.RULES if r.base]
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[number(k) for k in base],
+        F.sha2(span_text(F.filter("findings", lambda x: x["kind"].isin(base))), 256).alias("base_sha256"),
+        span_text(F.col("findings")).alias("spans"))
