@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import table
 from ..session import materialize, scratch_path
-from . import decontaminate, mixing, quality, secrets, simhash, token_orc
+from . import arc_warc, decontaminate, mixing, quality, secrets, simhash, token_orc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -108,3 +108,19 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[number(k) for k in base],
         F.sha2(span_text(F.filter("findings", lambda x: x["kind"].isin(base))), 256).alias("base_sha256"),
         span_text(F.col("findings")).alias("spans"))
+
+
+@query("op3_arc_to_warc", sql="""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+     d AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS h FROM p),
+     f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
+FROM f
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arc, warc = scratch_path(spark, "pages-arc"), scratch_path(spark, "pages-warc")
+    arc_warc.write_arc(table(spark, sf_dir, "pages"), arc)
+    arc_warc.convert(spark, arc, warc)
+    return arc_warc.read_warc(spark, warc).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
