@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import table
 from ..session import materialize, scratch_path
-from . import arc_warc, decontaminate, mixing, quality, secrets, simhash, token_orc
+from . import arc_warc, chat, decontaminate, licenses, mixing, quality, secrets, simhash, token_orc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -124,3 +124,38 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     arc_warc.write_arc(table(spark, sf_dir, "pages"), arc)
     arc_warc.convert(spark, arc, warc)
     return arc_warc.read_warc(spark, warc).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_licenses")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("row.doc_id", "res.n_words", "res.n_base", "res.first_word", "res.last_word",
+                        F.array_join("res.base_labels", ",").alias("base_labels"),
+                        F.array_join("res.labels", ",").alias("labels"), "res.score",
+                        F.array_join(F.transform("res.matches", lambda m: F.concat_ws(
+                            ":", m["label"], m["first_word"], m["last_word"], m["edits"])), ",").alias("spans"))
+
+
+CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@query("op9_chat", sql=r"""
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS t FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+           UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+     e AS (SELECT *, length(t) + len(regexp_extract_all(
+               t, '\|<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>')) AS n
+           FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t)) AS turns_sha256,
+       CAST(coalesce(sum(length(t)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n + length(role) + 24) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(
+        spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn long, role string, text string"))
+    stored = materialize(chat.expand(turns), "chat-examples")
+    return chat.digests(stored)
