@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import table
 from ..session import materialize, scratch_path
-from . import arc_warc, chat, decontaminate, licenses, mixing, quality, secrets, simhash, token_orc
+from . import arc_warc, chat, decontaminate, licenses, mixing, quality, secrets, simhash, token_orc, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -159,3 +159,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn long, role string, text string"))
     stored = materialize(chat.expand(turns), "chat-examples")
     return chat.digests(stored)
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    return scored.select("row.doc_id", toxicity.held_out(F.col("row.doc_id")).alias("held_out"), "res.score",
+                         (F.col("res.score") >= 0.5).cast("int").alias("predicted"))
