@@ -8,9 +8,12 @@ scan decides the tasks, a lost executor only repeats its own splits.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,11 +52,10 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def byte_groups(texts: Sequence[bytes | None], limit: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
+def byte_groups(texts: pa.Array, limit: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
     """Consecutive slices of ``texts`` of about ``limit`` bytes, one text at least."""
     start, size = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
         if i > start and size + n > limit:
             yield start, i
             start, size = i, 0
@@ -62,6 +64,15 @@ def byte_groups(texts: Sequence[bytes | None], limit: int = GROUP_BYTES) -> Iter
         yield start, len(texts)
 
 
+def per_worker(key, make):
+    """One object per key and Python worker process, kept between its tasks."""
+    kept = sys.modules.setdefault("_tributary_per_worker", types.ModuleType("_tributary_per_worker"))
+    found = kept.__dict__.setdefault("objects", {})
+    if key not in found:
+        found[key] = make()
+    return found[key]
+
+
 Kernel = Callable[[list[bytes | None]], list[pa.Array]]
 
 
@@ -84,9 +95,9 @@ def map_texts(df: DataFrame, text: str | Column, make_kernel: Callable[[], Kerne
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel = make_kernel()
         for batch in batches:
-            texts = text_bytes(batch.column(1))
+            texts = batch.column(1)
             for a, b in byte_groups(texts, group_bytes):
-                res = pa.StructArray.from_arrays(kernel(texts[a:b]), names=names)
+                res = pa.StructArray.from_arrays(kernel(text_bytes(texts.slice(a, b - a))), names=names)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), res],
                                                  names=["row", "res"])
 

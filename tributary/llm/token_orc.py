@@ -13,7 +13,7 @@ ORC reader, which skips stripes by statistics, Bloom filter and row index.
 
 Encoding: the byte-level tokenizer splits a text into pieces at white space
 before merging, so a text in which no two white-space characters meet is the
-concatenation of its space- and newline-led units, each encoded once per task
+concatenation of its space- and newline-led units, each encoded once per worker
 and remembered; any other text is encoded whole.  Both give the same ids.
 
 Defined cases: a null or empty text is the end id alone; rows that repeat a
@@ -24,7 +24,6 @@ first; an empty table writes no rows.  Extra columns are not written.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -32,21 +31,23 @@ from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import suffix_arrays as sa
-from .textmap import byte_groups
+from .textmap import byte_groups, per_worker
 
 END_ID = 2
-#: Remembered units per task; forgotten all at once when full.
-MEMORY_UNITS = 400_000
+#: Remembered units per Python worker; forgotten all at once when full.
+MEMORY_UNITS = 600_000
 ORC_OPTIONS = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01",
                "orc.row.index.stride": "1000", "orc.stripe.size": str(64 << 20),
                "orc.create.index": "true", "compression": "zstd"}
 
-_MEETING_SPACES = re.compile(r"\s\s")
+_SPACE = r"[\x09-\x0d\x1c-\x20\x{85}\p{Z}]"
+_ODD = rf"{_SPACE}{{2}}|\x00"  # such a text is encoded whole
 
 
 class Encoder:
@@ -58,70 +59,107 @@ class Encoder:
         self.tokenizer = Tokenizer.from_buffer(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
         self.end_id, self.memory_units = end_id, memory_units
+        vocabulary = self.tokenizer.get_vocab()
+        # In a byte-level vocabulary each character of an entry is one byte.
+        self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for entry, number in vocabulary.items():
+            self.id_bytes[number] = len(entry)
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = defaultdict(count().__next__)
+        self.number: dict[str, int] = defaultdict(count(1).__next__, {"": 0})  # "" has no ids
         self.tokens = np.zeros(0, np.int32)
-        self.first = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        self.first = np.zeros(1, np.int64)
+        self.length = np.zeros(1, np.int64)
+
+    def _units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The unit numbers of all texts one after another, and how many each
+        text has.  Arrow cuts the texts and folds equal units; the dictionary
+        is asked once per distinct unit."""
+        marked = pc.replace_substring(texts, " ", "\x00 ")
+        marked = pc.replace_substring(marked, "\n", "\x00\n\x00")
+        lists = pc.split_pattern(marked, "\x00")
+        units = lists.flatten().dictionary_encode()
+        distinct = units.dictionary.to_pylist()
+        number = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+        return number[units.indices.to_numpy()], pc.list_value_length(lists).to_numpy()
 
     def _encode_plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_units(self, units: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the units one after another, and the ids of each.
+
+        Units that start with a space and end in none are encoded a hundred at
+        a time: the pieces of such a run are those of its units, and the bytes
+        that each id stands for tell where one unit's ids end.
+        """
+        encoded = self._encode_plain(["".join(units[i:i + 100]) for i in range(0, len(units), 100)])
+        ids = np.fromiter(chain.from_iterable(encoded), np.int32, sum(map(len, encoded)))
+        ends = np.cumsum(sizes)
+        reached = np.cumsum(self.id_bytes[ids])
+        last = np.searchsorted(reached, ends)
+        if len(units) and not np.array_equal(reached[last], ends):
+            raise ValueError("the tokenizer merges over a space")
+        return ids, np.diff(np.append(-1, last))
+
     def _learn(self) -> None:
         """Encode the units numbered since the last call."""
         known = len(self.first)
-        new = list(islice(reversed(self.number), len(self.number) - known))[::-1]
-        if not new:
+        new = pa.array(list(islice(reversed(self.number), len(self.number) - known))[::-1], pa.string())
+        if not len(new):
             return
-        ids = self._encode_plain(new)
-        length = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.first = np.concatenate([self.first, len(self.tokens) + np.cumsum(length) - length])
-        self.length = np.concatenate([self.length, length])
-        self.tokens = np.concatenate([self.tokens, np.fromiter(chain.from_iterable(ids), np.int32, int(length.sum()))])
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = pc.binary_length(new).to_numpy()
+        joins = pc.starts_with(new, " ").to_numpy(zero_copy_only=False)
+        joins &= pc.binary_length(pc.utf8_rtrim_whitespace(new)).to_numpy() == sizes
+        ids, length = self._encode_units(new.filter(pa.array(joins)).to_pylist(), sizes[joins])
+        alone = self._encode_plain(new.filter(pa.array(~joins)).to_pylist())
+        lengths = np.empty(len(new), np.int64)
+        lengths[joins] = length
+        lengths[~joins] = np.fromiter(map(len, alone), np.int64, len(alone))
+        first = np.empty(len(new), np.int64)
+        first[joins] = np.cumsum(length) - length
+        first[~joins] = len(ids) + np.cumsum(lengths[~joins]) - lengths[~joins]
+        self.first = np.concatenate([self.first, len(self.tokens) + first])
+        self.length = np.concatenate([self.length, lengths])
+        self.tokens = np.concatenate([self.tokens, ids, np.fromiter(chain.from_iterable(alone), np.int32)])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the number of ids of each text, each
         with the end id."""
         if len(self.number) > self.memory_units:
             self._forget()
-        units: list[list[str]] = []
-        whole: dict[int, list[int]] = {}
-        for i, text in enumerate(texts):
-            text = text or ""
-            if "\x00" in text or _MEETING_SPACES.search(text):
-                whole[i] = []
-                units.append([])
-            else:
-                parts = text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
-                units.append(parts if parts[0] and parts[-1] else [p for p in parts if p])
-        if whole:
-            whole = dict(zip(whole, self._encode_plain([texts[i] or "" for i in whole]), strict=True))
-        per_text = np.fromiter(map(len, units), np.int64, len(units))
-        number = np.fromiter(map(self.number.__getitem__, chain.from_iterable(units)), np.int64, int(per_text.sum()))
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, _ODD)
+        whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
+        number, per_text = self._units(pc.if_else(odd, "", texts) if whole else texts)
         self._learn()
         length = self.length[number]
         ids = self.tokens[sa.spread(self.first[number], length)]
         ends = np.concatenate([[0], np.cumsum(length)])[np.cumsum(per_text)]
         n_ids = np.diff(np.concatenate([[0], ends]))
+        if not whole:
+            sizes = n_ids + 1
+            return np.insert(ids, ends, self.end_id), sizes
+        encoded = dict(zip(whole, self._encode_plain(texts.take(pa.array(whole)).to_pylist()), strict=True))
         pieces, sizes = [], np.empty(len(texts), np.int64)
         end = np.array([self.end_id], np.int32)
         for i, (at, n) in enumerate(zip(ends - n_ids, n_ids, strict=True)):
-            own = np.array(whole[i], np.int32) if i in whole else ids[at:at + n]
+            own = np.array(encoded[i], np.int32) if i in encoded else ids[at:at + n]
             sizes[i] = len(own) + 1
             pieces += (own, end)
-        return (np.concatenate(pieces) if pieces else np.zeros(0, np.int32)), sizes
+        return np.concatenate(pieces), sizes
 
 
-def _encode_shards(ordered: DataFrame, tokenizer_json, end_id: int) -> DataFrame:
+def _encode_shards(ordered: DataFrame, tokenizer_json, name: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        encoder, at = Encoder(tokenizer_json.value, end_id), 0
+        encoder = per_worker(("encoder", name, end_id), lambda: Encoder(tokenizer_json.value, end_id))
+        at = 0
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in byte_groups(texts, 1 << 20):
-                ids, sizes = encoder.encode(texts[a:b])
+            texts = batch.column("text")
+            for a, b in byte_groups(texts, 6 << 20):
+                ids, sizes = encoder.encode(texts.slice(a, b - a))
                 ends = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), pa.array(np.full(b - a, shard, np.int32)),
@@ -145,7 +183,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    _encode_shards(ordered, tokenizer_json, end_id).write.mode("overwrite").options(**ORC_OPTIONS).orc(path)
+    _encode_shards(ordered, tokenizer_json, tokenizer_file, end_id).write.mode("overwrite").options(**ORC_OPTIONS).orc(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -158,8 +196,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     sizes = stored.groupBy("shard").agg(F.sum("n_tokens").alias("size"))
     before = F.sum("size").over(_before_shard())
     bases = sizes.select("shard", F.coalesce(before, F.lit(0)).cast("long").alias("base"))
-    return stored.join(bases, "shard").select("doc_id", (F.col("base") + F.col("shard_start")).alias("start"),
-                                              "n_tokens", "ids")
+    return stored.join(F.broadcast(bases), "shard").select(  # one row per task of the write
+"doc_id", (F.col("base") + F.col("shard_start")).alias("start"), "n_tokens", "ids")
 
 
 def _before_shard():
