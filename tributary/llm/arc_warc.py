@@ -12,7 +12,7 @@ packs its rows into files, and Spark writes each as one gzip file, with its
 own commit protocol, wherever its file systems reach.  Readers take files
 through Spark's binary source and parse them as they are unpacked.  Only
 (digest, id) pairs are grouped to find equal payloads; the payload itself is
-shuffled once, by page, to meet its decision.
+shuffled at most once, by page, to meet its decision.
 
 Defined cases: null html is an empty payload; a null or empty url is written
 as "-"; white space and control characters in a url are percent-encoded; pages
@@ -36,6 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 FILE_BYTES = 16 << 20
 MIN_REVISIT_BYTES = 100
 CAPTURED = "20240101000000"
@@ -77,7 +79,7 @@ def _write_files(rows: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Ite
 
     files = rows.mapInArrow(run, "file binary").select(F.col("file").cast("string").alias("value"))
     files.write.mode("overwrite").option("maxRecordsPerFile", 1).option("compression", "gzip").option(
-        "lineSep", separator).text(path)
+        "zlib.compress.level", "BEST_SPEED").option("lineSep", separator).text(path)
 
 
 def _read_files(spark: SparkSession, path: str, parse: Callable[[io.BufferedReader, str], Iterator[tuple]],
@@ -156,6 +158,8 @@ def write_arc(pages: DataFrame, path: str, page_id: str = "page_id", url: str =
 def parse_arc(file: io.BufferedReader, name: str) -> Iterator[tuple]:
     """(url, ip, date, mime, status, content) of every record of an ARC file."""
     first = file.readline().split()
+    if not first:
+        return  # a task without rows leaves an empty file
     if len(first) < 5 or not first[0].startswith(b"filedesc:"):
         raise ValueError(f"{name}: no ARC version block")
     body = _exactly(file, int(first[-1]), name).split(b"\n")
@@ -168,7 +172,7 @@ def parse_arc(file: io.BufferedReader, name: str) -> Iterator[tuple]:
     while line := file.readline():
         if line == b"\n":
             continue
-        fields = line.decode("utf-8", "replace").split()
+        fields = line.rstrip(b"\n").decode("utf-8", "replace").split(" ")
         if len(fields) != len(place):
             raise ValueError(f"{name}: version {version} line {line[:200]!r}")
         content = _exactly(file, int(fields[place["Archive-length"]]), name)
@@ -212,16 +216,18 @@ def decide_types(records: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> Data
 
     Groups of equal digests are found by a pre-aggregated minimum; only ids
     that are not the group's smallest are joined to the records, by page, so
-    that a much-copied payload does not meet in one task.
+    that a much-copied payload does not meet in one task.  The revisits are
+    written first: Spark knows their size and broadcasts a small table instead
+    of shuffling all payloads to a large one.
     """
     narrow = records.where((F.octet_length("payload") >= min_bytes) & F.col("page_id").isNotNull()).select(
         "digest", "page_id", "url")
     first = narrow.groupBy("digest").agg(F.min(F.struct("page_id", "url")).alias("first"),
                                          F.max("page_id").alias("last")).where("last > first.page_id")
-    revisits = narrow.select("digest", "page_id").distinct().join(
+    revisits = materialize(narrow.select("digest", "page_id").distinct().join(
         first.select("digest", "first"), "digest").where("page_id > first.page_id").select(
         F.col("digest").alias("r_digest"), F.col("page_id").alias("r_page"),
-        F.col("first.page_id").alias("refers_to"), F.col("first.url").alias("refers_url"))
+        F.col("first.page_id").alias("refers_to"), F.col("first.url").alias("refers_url")), "warc-revisits")
     return records.join(revisits, (F.col("page_id") == F.col("r_page")) & (F.col("digest") == F.col("r_digest")),
                         "left").drop("r_page", "r_digest")
 
