@@ -44,7 +44,7 @@ END_ID = 2
 MEMORY_UNITS = 600_000
 ORC_OPTIONS = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01",
                "orc.row.index.stride": "1000", "orc.stripe.size": str(64 << 20),
-               "orc.create.index": "true", "compression": "zstd"}
+               "orc.create.index": "true", "compression": "snappy"}
 
 _SPACE = r"[\x09-\x0d\x1c-\x20\x{85}\p{Z}]"
 _ODD = rf"{_SPACE}{{2}}|\x00"  # such a text is encoded whole
