@@ -70,9 +70,12 @@ def test_k1_declared_schema(spark):
 
 def test_k7_k8_text_and_json_lines(spark):
     df = spark.createDataFrame([(1, None), (2, "b")], "id int, v string")
+    three = scratch_path(spark, "k7_null")
+    W.write_text_lines(spark.createDataFrame([("a", None, "c")], "x string, y string, z string"), three, null_text="-")
+    assert [r.value for r in spark.read.text(three).collect()] == ["a,-,c"]
     p = scratch_path(spark, "k7")
     W.write_text_lines(df, p)
-    assert sorted(r.value for r in spark.read.text(p).collect()) == ["1", "2,b"]
+    assert sorted(r.value for r in spark.read.text(p).collect()) == ["1,", "2,b"]
     j = scratch_path(spark, "k8")
     W.write_json_lines(df, j)
     assert any('"v":null' in r.value for r in spark.read.text(j).collect())
@@ -152,3 +155,44 @@ def test_spread_only_when_under_partitioned(spark):
     assert sorted(r.id for r in spread(narrow).collect()) == list(range(1000))
     m = materialize(spark.range(10), "m_test")
     assert sorted(r.id for r in m.collect()) == list(range(10))
+
+
+def test_append_refuses_other_types_and_broken_targets(spark):
+    path = scratch_path(spark, "k2_types")
+    W.append_autodetect(spark, spark.createDataFrame([(1,)], "v int"), path)
+    with pytest.raises(ValueError):
+        W.append_autodetect(spark, spark.createDataFrame([("x",)], "v string"), path)
+    W.append_autodetect(spark, spark.createDataFrame([(2,)], "v int"), path)
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 2]
+    broken = scratch_path(spark, "k2_broken")
+    spark.range(1).selectExpr("'no parquet' as value").write.text(broken)
+    with pytest.raises(Exception) as e:
+        W.append_autodetect(spark, spark.createDataFrame([(1,)], "v int"), broken)
+    assert "PATH_NOT_FOUND" not in str(e.value)
+
+
+def test_declared_schema_takes_nested_ddl(spark):
+    df = spark.createDataFrame([((1,), 2)], "s struct<x: bigint>, i bigint")
+    assert W.conform(df, "s STRUCT<x: INT>, i INT").dtypes == [("s", "struct<x:int>"), ("i", "int")]
+    assert W.conform(df, "i: INT").dtypes == [("i", "int")]
+    assert W.conform(df, "i:INTEGER").dtypes == [("i", "bigint")]
+
+
+def test_json_array_files_round_trip(spark):
+    df = spark.createDataFrame([(1, ["a", None]), (2, None), (3, [])], "id bigint, v array<string>").repartition(2)
+    path = scratch_path(spark, "arrays")
+    W.write_json_arrays(df, path)
+    from tributary.sources import files as SRC
+    back = SRC.read_json_array(spark, path, df.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    empty = scratch_path(spark, "arrays_empty")
+    W.write_json_arrays(df.limit(0), empty)
+    assert SRC.read_json_array(spark, empty, df.schema).count() == 0
+
+
+def test_sql_sources_leave_no_view_behind(spark):
+    from tributary.sources.files import sql_source
+    df = spark.createDataFrame([(1,), (5,)], "v int")
+    before = {t.name for t in spark.catalog.listTables()}
+    assert [r.v for r in sql_source(spark, "select v from {t} where v > :low", {"low": 2}, t=df).collect()] == [5]
+    assert {t.name for t in spark.catalog.listTables()} == before

@@ -150,7 +150,7 @@ def test_load_then_summarize(spark):
 
 def test_sql_to_table(spark):
     depts = spark.createDataFrame([("IT", 3), ("IT", 5), ("HR", 2)], "depart string, emp_count_depart int")
-    out = J.sql_to_table(spark, "select depart, max(emp_count_depart) as emp_count from dept_counts group by 1",
+    out = J.sql_to_table(spark, "select depart, max(emp_count_depart) as emp_count from {dept_counts} group by 1",
                          "tributary_test_sql", scratch_path(spark, "sqlt"), dept_counts=depts)
     assert sorted(tuple(r) for r in out.collect()) == [("HR", 2), ("IT", 5)]
 

@@ -11,11 +11,12 @@ import pytest
 import __spark_entry__ as E
 from conftest import SMALL
 from oracle_compare import compare, duck
+from tributary.plans import catalog
 
 ORACLE_DIR = os.environ.get("TRIBUTARY_ORACLE_DIR", SMALL)
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = {n: q.build for n, q in catalog.all_queries().items()}
+ORACLE = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -31,8 +32,8 @@ def test_query_matches_oracle(spark, oracle_con, name):
 
 
 def test_every_query_has_oracle_or_reason():
-    rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only <= {"clean_processed_at", "processing_time_label", "emission_shape_agg_approx"}, rows_only
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):

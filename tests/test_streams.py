@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
@@ -49,20 +50,42 @@ def test_file_arriving_between_runs_processed_once(spark):
     assert spark.read.parquet(out).count() == 4
 
 
-def test_stream_fixed_equals_batch_on_closed_windows(spark):
-    ev = spark.read.parquet(f"{SMALL}/events.parquet")
-    s = ST.with_event_time(ST.file_stream(spark, f"{SMALL}/events.parquet*", ev.schema),
-                           "ts", "1 minute")
-    out = spark.read.parquet(ST.run_to_files(WN.fixed_windows(s, "event_time", "5 minutes"),
-                                             "twin"))
-    batch = WN.fixed_windows(ev, "ts", "5 minutes")
-    closed = ev.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=1)
-    batch_closed = batch.filter(F.col("window_end") <= F.lit(closed))
+def test_stream_to_its_end_equals_batch(spark):
+    """Every window of the batch result, the last ones included."""
     from tributary.functions import text as T
+    ev = spark.read.parquet(f"{SMALL}/events.parquet")
+    s = ST.file_stream(spark, f"{SMALL}/events.parquet*", ev.schema)
+    out = spark.read.parquet(ST.run_to_end(s, "ts", "twin", lambda e: WN.fixed_windows(
+        ST.with_event_time(e, "ts", "1 minute"), "event_time", "5 minutes")))
     stream = out.select(T.ltz_to_ntz("window_start").alias("window_start"),
-                        T.ltz_to_ntz("window_end").alias("window_end"), "n")
-    assert stream.count() == batch_closed.count()
-    assert stream.exceptAll(batch_closed).count() == 0
+                        T.ltz_to_ntz("window_end").alias("window_end"), "n").filter(ST.before_closing("window_start"))
+    batch = WN.fixed_windows(ev, "ts", "5 minutes")
+    assert stream.count() == batch.count() and stream.exceptAll(batch).count() == 0
+    assert stream.agg(F.sum("n")).first()[0] == ev.count()
+
+
+def test_update_mode_has_no_file_form(spark):
+    s = ST.file_stream(spark, f"{SMALL}/events.parquet*", spark.read.parquet(f"{SMALL}/events.parquet").schema)
+    with pytest.raises(ValueError):
+        ST.run_to_files(s.groupBy("user_id").count(), "upd", output_mode="update")
+
+
+def test_complete_mode_holds_all_keys_over_batches(spark):
+    landing, out, ckpt = (scratch_path(spark, f"cm_{x}") for x in ("in", "out", "ckpt"))
+    for keys in (["a", "b"], ["b", "c"]):
+        spark.createDataFrame([(k,) for k in keys], "k string").write.mode("append").parquet(landing)
+        counts = ST.file_stream(spark, landing, "k string").groupBy("k").count()
+        ST.run_to_files(counts, "cm", output_mode="complete", output=out, checkpoint=ckpt)
+    assert {r.k: r["count"] for r in spark.read.parquet(out).collect()} == {"a": 1, "b": 2, "c": 1}
+
+
+def test_ingested_files_leave_the_landing_folder(spark):
+    landing, out, ckpt = (scratch_path(spark, f"rm_{x}") for x in ("in", "out", "ckpt"))
+    for n in (3, 2):
+        _drop_file(spark, landing, list(range(n)))
+        ST.ingest_and_remove(spark, landing, "ts timestamp_ntz", "rm", output=out, checkpoint=ckpt)
+        assert ST.files_in(spark, landing) == []
+    assert spark.read.parquet(out).count() == 5
 
 
 def test_valid_rejects_split_in_stream(spark):

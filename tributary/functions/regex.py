@@ -98,11 +98,17 @@ def replace_all(col, pattern: str, replacement: str) -> Column:
 def replace_first(col, pattern: str, replacement: str) -> Column:
     """Replace only the first match with a literal.
 
-    Spark's ``regexp_replace`` has no count, so the shortest prefix before the
-    first match is captured and written back in front of the replacement.
+    The pattern stays as the user wrote it (its flags, ``.`` and
+    back-references keep their meaning): the text is cut once at the first
+    match and put together around the replacement.  A first match of length
+    zero is found by its position instead (``split`` skips it).
     """
-    prefixed = f"(?s)^(.*?)(?:{pattern})"
-    return F.regexp_replace(_c(col), prefixed, "$1" + _java_replacement(replacement))
+    c = _c(col)
+    parts = F.split(c, pattern, 2)
+    at = F.regexp_instr(c, F.lit(pattern))
+    spliced = F.concat(parts[0], F.lit(replacement), parts[1])
+    inserted = F.concat(F.substring(c, F.lit(1), at - 1), F.lit(replacement), F.substring(c, at, F.length(c)))
+    return F.when(~c.rlike(pattern), c).when(F.regexp_extract(c, pattern, 0) == "", inserted).otherwise(spliced)
 
 
 def split(col, pattern: str) -> Column:

@@ -62,7 +62,7 @@ def text_stats(col) -> dict[str, Column]:
 
 
 # Printf-style conversions understood by ``format_ratio``.
-FORMAT_SPECIFIERS = ("d", "f", "e", "s", "x", "g")
+FORMAT_SPECIFIERS = ("f", "e", "s", "g")  # a ratio is a double: no integer conversions
 
 
 def format_ratio(col, divisor: float, fmt: str = "%.2fh") -> Column:
@@ -75,17 +75,26 @@ def format_ratio(col, divisor: float, fmt: str = "%.2fh") -> Column:
 
 def py_repr_str(col) -> Column:
     """Python ``repr`` of a string: single quotes unless the text holds a
-    single quote and no double quote; backslashes doubled."""
+    single quote and no double quote; backslashes doubled, line breaks and
+    tabs escaped; NULL gives ``None``."""
     c = _c(col).cast("string")
     escaped = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for raw, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        escaped = F.replace(escaped, F.lit(raw), F.lit(shown))
     use_double = c.contains("'") & ~c.contains('"')
-    return F.when(use_double, F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(
+    return F.when(c.isNull(), F.lit("None")).when(
+        use_double, F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(
         F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), F.lit("'")))
 
 
+def py_str(col) -> Column:
+    """Python ``str`` of a value's text: NULL gives ``None``."""
+    return F.coalesce(_c(col).cast("string"), F.lit("None"))
+
+
 def to_string_kv(k, v, delimiter: str = ",") -> Column:
     """P10 ``ToString.Kvs``: ``"k<delim>v"``."""
-    return F.concat_ws(delimiter, _c(k).cast("string"), _c(v).cast("string"))
+    return F.concat_ws(delimiter, py_str(k), py_str(v))
 
 
 def to_string_tuple(*cols) -> Column:
@@ -99,7 +108,7 @@ def to_string_tuple(*cols) -> Column:
 
 def to_string_iterable(*cols, delimiter: str = ",") -> Column:
     """P10 ``ToString.Iterables``: fields joined by the delimiter."""
-    return F.concat_ws(delimiter, *[_c(c).cast("string") for c in cols])
+    return F.concat_ws(delimiter, *[py_str(c) for c in cols])
 
 
 def _epoch_ntz() -> Column:
@@ -142,14 +151,12 @@ def python_datetime_str(ts_ntz) -> Column:
 
 def event_time_label(seconds, name) -> Column:
     """``"<utc datetime>-<name>"`` from epoch seconds."""
-    return F.concat_ws("-", python_datetime_str(ntz_from_seconds(seconds)),
-                       _c(name).cast("string"))
+    return F.concat_ws("-", F.coalesce(python_datetime_str(ntz_from_seconds(seconds)), F.lit("None")), py_str(name))
 
 
 def logical_clock_label(clock, name) -> Column:
     """``"<int>-<name>"`` from a logical clock."""
-    return F.concat_ws("-", _c(clock).cast("bigint").cast("string"),
-                       _c(name).cast("string"))
+    return F.concat_ws("-", py_str(_c(clock).cast("bigint")), py_str(name))
 
 
 def parse_date(col, fmt: str = "yyyy-MM-dd") -> Column:

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
@@ -66,18 +66,20 @@ def department_first_join(spark: SparkSession, csv_path: str, out_path: str) ->
                                                 "emp_id STRING, join_date STRING")
 
 
+#: Net quantity per symbol: buys count positive, all others negative; thousands
+#: commas are dropped, text that is no number counts as NULL.
+NET_QUANTITY_SQL = """
+    select Symbol,
+           sum(if(BuyOrSell = 'Buy', 1, -1) * try_cast(replace(QuantityTraded, ',', '') as bigint)) as QuantityTraded
+    from {trades} group by Symbol
+"""
+
+
 def trading_net_quantity(spark: SparkSession, csv_path: str, table_path: str) -> DataFrame:
     """Buy quantities count positive, others negative (thousands commas removed
     on both sides); the net per symbol is appended to a declared-schema table."""
     rows = SRC.read_csv_positional(spark, csv_path, TRADING_FIELDS)
-    net = SRC.sql_source(spark, """
-        with cte as (
-          select Symbol,
-                 case when BuyOrSell = 'Buy' then try_cast(replace(QuantityTraded, ',', '') as bigint)
-                      else -try_cast(replace(QuantityTraded, ',', '') as bigint) end as QuantityTraded
-          from trading_rows)
-        select Symbol, sum(QuantityTraded) as QuantityTraded from cte group by Symbol
-    """, trading_rows=rows)
+    net = SRC.sql_source(spark, NET_QUANTITY_SQL, trades=rows)
     W.append_declared(net, table_path, TRADING_SINK)
     return spark.read.parquet(table_path)
 
@@ -113,19 +115,27 @@ def player_totals(spark: SparkSession, json_path: str, table_path: str | None =
 
 def window_counts_stream(spark: SparkSession, source_dir: str, out_path: str,
                          checkpoint: str, window: str = "5 seconds",
-                         lateness: str = "1 minute", shards: int | None = None) -> DataFrame:
+                         lateness: str = "1 minute", shards: int | None = None,
+                         to_end: bool = False) -> DataFrame:
     """Messages ``"<num>,<timestamp>"`` (UTF-8 ``value``) streamed from files:
     event time from the message, fixed windows, one labelled count per closed
-    window (append mode; rows later than ``lateness`` are dropped)."""
+    window (append mode; rows later than ``lateness`` are dropped).  With
+    ``to_end`` the stream ends here and its last windows close too."""
     s = ST.decode_utf8(ST.file_stream(spark, source_dir, "value BINARY"))
     parts = F.split("text", ",", 2)
     parsed = s.select(F.to_timestamp_ntz(parts[1]).alias("ts")).filter(F.col("ts").isNotNull())
-    counts = WN.fixed_windows(ST.with_event_time(parsed, "ts", lateness), "event_time", window)
-    labelled = counts.select(
-        T.window_label("n", T.ltz_to_ntz("window_start"), T.ltz_to_ntz("window_end"))
-        .alias("count_window"))
-    ST.run_to_files(labelled, "window_counts", output=out_path, checkpoint=checkpoint,
-                    shards=shards)
+
+    def labelled(events):
+        counts = WN.fixed_windows(ST.with_event_time(events, "ts", lateness), "event_time", window)
+        start, end = T.ltz_to_ntz("window_start"), T.ltz_to_ntz("window_end")
+        return counts.withColumn("__at", start).filter(ST.before_closing("__at")).select(
+            T.window_label("n", start, end).alias("count_window"))
+
+    if to_end:
+        ST.run_to_end(parsed, "ts", "window_counts", labelled, checkpoint=checkpoint, output=out_path)
+    else:
+        ST.run_to_files(labelled(parsed), "window_counts", output=out_path, checkpoint=checkpoint,
+                        shards=shards)
     return spark.read.parquet(out_path)
 
 
@@ -188,14 +198,17 @@ def _conform_to_table(batch: DataFrame, existing: dict[str, str]) -> DataFrame:
 
 def clean_csv_ingest(spark: SparkSession, landing_dir: str, out_path: str,
                      checkpoint: str, sep: str = ";",
-                     numeric_as_double: bool = False) -> DataFrame:
+                     numeric_as_double: bool = False, remove_source: bool = False,
+                     processed_at: Column | None = None) -> DataFrame:
     """Every dirty CSV file that lands (``;`` separated, decimal commas, empty
     header cells, odd names) is cleaned once and appended: names sanitised,
     unnamed columns dropped, numeric columns typed, a processing time added.
 
     Types are decided from each micro-batch's content; later batches are cast
     to the table's types where that is lossless.  ``numeric_as_double`` types
-    every numeric column as double, which never conflicts."""
+    every numeric column as double, which never conflicts.  ``remove_source``
+    takes the files that were there when the run began out of the landing
+    folder once it has committed; ``processed_at`` replaces the clock."""
     # A file stream needs a schema: take it from the header of the files present.
     files = spark.read.option("header", True).option("sep", sep).csv(landing_dir)
     stream = (spark.readStream.schema(files.schema).option("header", True)
@@ -206,16 +219,15 @@ def clean_csv_ingest(spark: SparkSession, landing_dir: str, out_path: str,
         if numeric_as_double:
             cleaned = cleaned.select(*[F.col(f"`{n}`").cast("double").alias(n) if t == "bigint"
                                        else F.col(f"`{n}`") for n, t in cleaned.dtypes])
-        try:
-            existing = dict(spark.read.parquet(out_path).dtypes)
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            existing = {}
+        existing = {n: t.simpleString() for n, t in W.target_types(spark, out_path).items()}
         cleaned = _conform_to_table(cleaned, existing)
-        K.with_processed_at(cleaned).withColumn("batch_id", F.lit(batch_id)) \
+        K.with_processed_at(cleaned, at=processed_at).withColumn("batch_id", F.lit(batch_id)) \
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("batch_id").parquet(out_path)
 
+    present = ST.files_in(spark, landing_dir) if remove_source else []
     ST.run_foreach_batch(stream, "clean_ingest", handle, checkpoint=checkpoint)
+    ST.delete_files(spark, present)
     return spark.read.parquet(out_path)
 
 
@@ -234,9 +246,9 @@ def distinct_top_rentals(spark: SparkSession, rentals: DataFrame, day: str,
                          limit: int = 100) -> DataFrame:
     """Distinct (id, start) pairs of one day, earliest first, first ``limit``."""
     return SRC.sql_source(spark, f"""
-        select distinct `{id_col}`, `{ts_col}` from rental_rows
-        where to_date(`{ts_col}`) = date'{day}'
-        order by `{ts_col}`, `{id_col}` limit {int(limit)}""", rental_rows=rentals)
+        select distinct `{id_col}`, `{ts_col}` from {{rentals}}
+        where to_date(`{ts_col}`) = to_date(:day)
+        order by `{ts_col}`, `{id_col}` limit {int(limit)}""", {"day": day}, rentals=rentals)
 
 
 def load_then_summarize(spark: SparkSession, csv_path: str, stage_path: str,
@@ -254,7 +266,8 @@ def load_then_summarize(spark: SparkSession, csv_path: str, stage_path: str,
 
 def sql_to_table(spark: SparkSession, sql: str, table_name: str, table_path: str,
                  **views: DataFrame) -> DataFrame:
-    """Run SQL over the given views and replace a table with the result."""
+    """Run SQL over the given frames (``{name}`` in the text) and replace a
+    table with the result."""
     result = SRC.sql_source(spark, sql, **views)
     result.write.mode("overwrite").option("path", table_path).saveAsTable(table_name)
     return spark.table(table_name)

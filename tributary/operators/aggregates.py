@@ -1,13 +1,10 @@
 """Aggregations.
 
-Scalar aggregates (count, sum, min, max, avg, min-by-struct) are planned as
-partial + final aggregates, so a hot key sends one partial row per map task
-through the shuffle.  List-valued aggregates cannot be combined that way: the
-whole group ends in one row.  They therefore build **chunked** lists: a key
-with more than ``chunk_rows`` rows is split into several (key, chunk) lists of
-about ``chunk_rows`` values each, so no task and no row ever holds an
-unbounded group.  Keys under the bound keep a single list (chunk 0).  Each
-list form also has a rows form that materialises no list at all.
+Everything here is planned as partial + final aggregates, so a hot key sends
+one partial row per map task through the shuffle.  Group content (A1) is given
+as rows (key, value, multiplicity), never as one list per key: the rows of a
+hot key spread over the cluster by value, equal values fold before the
+shuffle, and the result has one shape whatever the group size.
 """
 
 from __future__ import annotations
@@ -17,15 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest group that the list forms will gather into one row: 100k values of
-# ~1 KB is ~100 MB, well inside a row's limits.  Keys above it are chunked; the
-# hot-key table is then at most rows / 100k entries (1M at 10^11 rows).
-MAX_LIST_GROUP = 100_000
-
-
-class GroupTooLargeError(ValueError):
-    """A list-valued aggregate would gather an unbounded group in one row."""
-
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -35,85 +23,10 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def assert_group_bound(df: DataFrame, keys, max_rows: int = MAX_LIST_GROUP) -> None:
-    """Fail when any key holds more than ``max_rows`` rows (for callers that
-    need one list per key).  One partial-aggregated count per key and a global
-    max: only the single maximum reaches the driver."""
-    ks = _keys(keys)
-    counts = df.groupBy(*ks).count() if ks else df.groupBy().count()
-    biggest = counts.agg(F.max("count")).first()[0]
-    if biggest is not None and biggest > max_rows:
-        raise GroupTooLargeError(
-            f"a group holds {biggest} rows (> {max_rows}); use the rows form")
-
-
-def with_chunks(df: DataFrame, keys, chunk_rows: int = MAX_LIST_GROUP,
-                out: str = "chunk") -> DataFrame:
-    """Add a chunk number that splits every key holding more than
-    ``chunk_rows`` rows into ``ceil(count / chunk_rows)`` chunks.
-
-    1. rows per key: a partial-aggregated count (the hot key costs one
-       partial row per task);
-    2. the hot keys: at most ``total rows / chunk_rows`` of them by
-       construction, so this side is provably small.  When there is any, it
-       is written to the shared folder (lineage cut) and broadcast; when
-       there is none (the common case) one counting job is all it costs;
-    3. rows of a hot key get ``pmod(xxhash64(row, row id), n_chunks)``; rows
-       of every other key get chunk 0.  Exact: the chunks of a key partition
-       its rows.  With no hot key the input plan is returned unchanged.
-
-    Retry safety: the row id depends on a row's position in its partition,
-    and after a shuffle that order can differ between task attempts.  So on
-    the hot path each partition is first sorted by its full content (a
-    map-side, spillable sort; no shuffle).  A partition's rows are fixed by
-    content-based partitioning, so ids and chunks are the same on every
-    attempt (identical rows are interchangeable).
-    """
-    from ..session import materialize
-    ks = _keys(keys)
-    counts = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("__cnt"))
-    hot_keys = (counts.filter(F.col("__cnt") > chunk_rows)
-                .select(*[F.col(k).alias(f"__hot_{k}") for k in ks],
-                        F.ceil(F.col("__cnt") / F.lit(chunk_rows)).cast("long")
-                        .alias("__nchunks")))
-    if hot_keys.isEmpty():          # the common case: one counting job, nothing written
-        return df.withColumn(out, F.lit(0).cast("long"))
-    hot = materialize(hot_keys, "hot_keys")
-    cond = None
-    for k in ks:
-        c = F.col(k).eqNullSafe(F.col(f"__hot_{k}"))
-        cond = c if cond is None else cond & c
-    joined = df.join(F.broadcast(hot), cond, "left")
-    orderable = [f.name for f in df.schema.fields
-                 if not f.dataType.simpleString().startswith("map")]
-    joined = joined.sortWithinPartitions(*orderable)
-    salt = F.xxhash64(*[F.col(c) for c in df.columns], F.monotonically_increasing_id())
-    chunk = F.when(F.col("__nchunks").isNull(), F.lit(0).cast("long")).otherwise(
-        F.pmod(salt, F.col("__nchunks")))
-    return joined.withColumn(out, chunk).drop("__nchunks", *[f"__hot_{k}" for k in ks])
-
-
-def group_by_key(df: DataFrame, key: str, value: str, out: str = "values",
-                 chunk_rows: int = MAX_LIST_GROUP) -> DataFrame:
-    """A1 ``GroupByKey``: (key, chunk, sorted list of values).
-
-    One list per key (chunk 0) unless the key holds more than ``chunk_rows``
-    rows; then the key's values are split over several chunk rows.  Lists are
-    sorted so the result does not depend on shuffle order.
-    """
-    chunked = with_chunks(df.select(key, value), key, chunk_rows)
-    return (chunked.groupBy(key, "chunk")
-                   .agg(sorted_list_keeping_nulls(F.col(value)).alias(out)))
-
-
-def sorted_list_keeping_nulls(value: Column, when: Column | None = None) -> Column:
-    """``collect_list`` skips NULL values; wrapping each value in a one-field
-    struct keeps them (NULLs sort first), then the structs are unwrapped.
-    With ``when``, only rows where it holds are collected."""
-    wrapped = F.struct(value.alias("x"))
-    if when is not None:
-        wrapped = F.when(when, wrapped)
-    return F.transform(F.array_sort(F.collect_list(wrapped)), lambda s: s["x"])
+def group_by_key(df: DataFrame, key: str, value: str, out: str = "n") -> DataFrame:
+    """A1 ``GroupByKey``: the content of every group as (key, value, n), ``n``
+    being how often the value occurs in the group (NULLs count like values)."""
+    return df.groupBy(key, value).agg(F.count(F.lit(1)).alias(out))
 
 
 def group_rows(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -126,6 +39,12 @@ def group_rows(df: DataFrame, key: str, value: str) -> DataFrame:
               .drop("__gk"))
 
 
+def all_in_group(df: DataFrame, key, pred: Column, out: str = "ok") -> DataFrame:
+    """F10 over groups: whether ``pred`` holds for every row of the key (a
+    NULL verdict is skipped, as in ``bool_and``)."""
+    return df.groupBy(*_keys(key)).agg(F.bool_and(pred).alias(out))
+
+
 def combine_per_key_sum(df: DataFrame, key, value: str, out: str = "total") -> DataFrame:
     """A2 ``CombinePerKey(sum)``."""
     return df.groupBy(*_keys(key)).agg(F.sum(value).alias(out))
@@ -133,24 +52,12 @@ def combine_per_key_sum(df: DataFrame, key, value: str, out: str = "total") -> D
 
 def concat_lists_rows(df: DataFrame, order: Sequence[str], arr: str,
                       out: str = "item") -> DataFrame:
-    """A3 scale form of a global list concatenation: one row per element with
-    the order columns and the position inside its list, so the concatenated
-    sequence is ``ORDER BY order..., pos`` and never sits in one row."""
+    """A3 global list concatenation: one row per element with the order
+    columns and the position inside its list, so the concatenated sequence is
+    ``ORDER BY order..., pos`` and never sits in one row."""
     return df.select(*order, F.posexplode(arr).alias("pos", out))
 
 
-def concat_lists(df: DataFrame, order: Sequence[str], arr: str, out: str = "items",
-                 max_group: int | None = MAX_LIST_GROUP) -> DataFrame:
-    """A3 small form: one list, lists concatenated in ``order``."""
-    if max_group is not None:
-        total = df.agg(F.sum(F.size(arr))).first()[0] or 0
-        if total > max_group:
-            raise GroupTooLargeError(f"{total} elements; use concat_lists_rows")
-    packed = F.struct(*[F.col(o) for o in order], F.col(arr).alias("__arr"))
-    return df.agg(F.flatten(F.transform(F.array_sort(F.collect_list(packed)),
-                                        lambda s: s["__arr"])).alias(out))
-
-
 def count_globally(df: DataFrame, out: str = "n", without_defaults: bool = False) -> DataFrame:
     """A4 ``Count.Globally``: one row, 0 for empty input; ``without_defaults``
     gives no row for empty input."""

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import materialize
 
 
 def sanitize_name(name: str) -> str:
@@ -52,7 +51,8 @@ _INT_TEXT = r"^\s*[-+]?[0-9]+\s*$"
 def numeric_columns(df: DataFrame, decimal_comma: bool = True) -> DataFrame:
     """Per string column, ``,`` -> ``.``, and convert the **whole** column to
     a number only if every non-NULL value converts; otherwise keep the fixed
-    strings.  All integer text that fits -> bigint, other numbers -> double.
+    strings.  All integer text that fits -> bigint, other numbers -> double; a
+    column without any value stays text.
 
     One aggregate job counts, for every string column at once, the values that
     are not numbers, those that are not integers, and integers beyond bigint.
@@ -65,6 +65,7 @@ def numeric_columns(df: DataFrame, decimal_comma: bool = True) -> DataFrame:
     probes = []
     for i, c in enumerate(str_cols):
         v = fixed[c]
+        probes.append(F.count(v).alias(f"n{i}"))
         probes.append(F.count_if(v.isNotNull() & ~T.number_text_ok(v)).alias(f"b{i}"))
         probes.append(F.count_if(v.isNotNull() & ~v.rlike(_INT_TEXT)).alias(f"f{i}"))
         probes.append(F.count_if(v.rlike(_INT_TEXT) & F.trim(v).try_cast("bigint").isNull())
@@ -77,7 +78,7 @@ def numeric_columns(df: DataFrame, decimal_comma: bool = True) -> DataFrame:
             out.append(F.col(c))
             continue
         i = str_cols.index(c)
-        if stats[f"b{i}"] == 0:
+        if stats[f"n{i}"] > 0 and stats[f"b{i}"] == 0:
             target = "bigint" if stats[f"f{i}"] == 0 and stats[f"o{i}"] == 0 else "double"
             out.append(F.trim(fixed[c]).cast(target).alias(c))
         else:
@@ -85,20 +86,26 @@ def numeric_columns(df: DataFrame, decimal_comma: bool = True) -> DataFrame:
     return df.select(*out)
 
 
-def with_processed_at(df: DataFrame, name: str = "processed_timestamp") -> DataFrame:
-    """One processing timestamp per query."""
-    return df.withColumn(name, F.current_timestamp())
+def with_processed_at(df: DataFrame, name: str = "processed_timestamp", at: Column | None = None) -> DataFrame:
+    """One processing timestamp per query (``at`` instead of the clock's)."""
+    return df.withColumn(name, F.current_timestamp() if at is None else at)
+
+
+def is_json_object(col) -> Column:
+    """Whether the text is a JSON object (NULL text: NULL)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.try_parse_json(c).isNotNull() & c.rlike(r"^\s*\{")
 
 
 def json_valid_rejects(df: DataFrame, col: str, schema: str,
                        parsed: str = "parsed") -> tuple[DataFrame, DataFrame]:
     """Split rows into (valid parsed, rejects).
 
-    Validity is "the text is JSON" (``try_parse_json`` is NULL otherwise);
-    valid rows get the typed fields of ``schema``.  Both frames come from the
+    Valid is a JSON object; a number, an array, damaged text and NULL are
+    rejects.  Valid rows get the typed fields of ``schema``.  Both frames come from the
     same plan: persist the input if both are consumed.
     """
-    ok = F.try_parse_json(F.col(col)).isNotNull()
+    ok = is_json_object(col)
     valid = df.filter(ok).withColumn(parsed, F.from_json(F.col(col), schema))
     rejects = df.filter(~ok | F.col(col).isNull())
     return valid, rejects
@@ -109,6 +116,12 @@ def fill_null_constant(df: DataFrame, col: str, value) -> DataFrame:
     return df.withColumn(col, F.coalesce(F.col(col), F.lit(value)))
 
 
+def exact_avg(col) -> Column:
+    """Average over decimals: the same whatever the order of summation, so a
+    truncation to int after it cannot move."""
+    return F.avg(F.col(col).cast("decimal(28,8)"))
+
+
 def fill_null_with_avg(df: DataFrame, col: str, as_written: bool = False,
                        cast: str = "int") -> DataFrame:
     """NULL -> whole-table average, truncated to ``cast``.
@@ -123,10 +136,10 @@ def fill_null_with_avg(df: DataFrame, col: str, as_written: bool = False,
     """
     if as_written:
         zeroed = df.withColumn(col, F.coalesce(F.col(col), F.lit(0)))
-        avg_val = zeroed.select(F.avg(col)).scalar()
+        avg_val = zeroed.select(exact_avg(col)).scalar()
         return zeroed.withColumn(col, F.when(F.col(col) == 0, avg_val.cast(cast))
                                  .otherwise(F.col(col).cast(cast)))
-    avg_val = df.select(F.avg(col)).scalar()
+    avg_val = df.select(exact_avg(col)).scalar()
     return df.withColumn(col, F.coalesce(F.col(col).cast(cast), avg_val.cast(cast)))
 
 
@@ -135,16 +148,12 @@ def fill_null_with_group_avg(df: DataFrame, col: str, key: str, cast: str = "int
 
     The per-key averages are a partial-aggregated ``groupBy`` joined back on the
     key, rather than a window partitioned by the key, which would place a hot
-    key in a single task.  The averages (one row per key) are written to the
-    shared folder first: Catalyst then plans with their real size, broadcasting
-    them when small; with many keys it is a shuffle join whose skewed
-    partitions AQE splits.
+    key in a single task.  Spark broadcasts the averages when their measured
+    size allows; else it is a shuffle join whose skewed partitions AQE splits.
     """
-    avgs = materialize(df.groupBy(key).agg(F.avg(col).alias("__group_avg"))
-                       .withColumnRenamed(key, "__gk"), "group_avg")
+    avgs = df.groupBy(F.col(key).alias("__gk")).agg(exact_avg(col).cast(cast).alias("__group_avg"))
     joined = df.join(avgs, F.col(key).eqNullSafe(F.col("__gk")), "left").drop("__gk")
-    return (joined.withColumn(col, F.coalesce(F.col(col).cast(cast),
-                                              F.col("__group_avg").cast(cast)))
+    return (joined.withColumn(col, F.coalesce(F.col(col).cast(cast), F.col("__group_avg")))
                   .drop("__group_avg")
                   .select(*df.columns))
 

@@ -1,9 +1,9 @@
 """Co-grouping.
 
-``CoGroupByKey`` is a full-outer grouping of two keyed inputs where each side
-becomes a list.  Joining two ``collect_list`` aggregates costs two exchanges
-plus a join; tagging both inputs and grouping their union once costs a single
-exchange, so that is the plan used here.
+``CoGroupByKey`` is a full-outer grouping of two keyed inputs.  Both inputs are
+tagged and their union is aggregated once by (key, side, value): one exchange,
+equal values fold before it, a hot key spreads by value, and the result has
+one shape whatever the group size.
 """
 
 from __future__ import annotations
@@ -11,32 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .aggregates import MAX_LIST_GROUP, sorted_list_keeping_nulls, with_chunks
 
-
-def cogroup_lists(left: DataFrame, right: DataFrame, key: str,
-                  left_value: str, right_value: str,
-                  left_out: str = "left_values", right_out: str = "right_values",
-                  chunk_rows: int = MAX_LIST_GROUP) -> DataFrame:
-    """(key, chunk, sorted left list, sorted right list); an absent side
-    gives [].
-
-    Both inputs are re-shaped to (key, tag, value), unioned, and grouped once
-    (values keep their type when both sides share it, else become strings).
-    A key with more than ``chunk_rows`` rows (both sides together) is split
-    over several chunk rows, each holding part of either side.
-    """
-    lt, rt = left.schema[left_value].dataType, right.schema[right_value].dataType
-    vtype = lt.simpleString() if lt == rt else "string"   # one column type for the union
-    tagged = (left.select(F.col(key).alias("__k"), F.lit(0).alias("__tag"),
-                          F.col(left_value).cast(vtype).alias("__v"))
-              .unionByName(
-              right.select(F.col(key).alias("__k"), F.lit(1).alias("__tag"),
-                           F.col(right_value).cast(vtype).alias("__v"))))
-    return (with_chunks(tagged, "__k", chunk_rows).groupBy("__k", "chunk")
-            .agg(sorted_list_keeping_nulls(F.col("__v"), F.col("__tag") == 0).alias(left_out),
-                 sorted_list_keeping_nulls(F.col("__v"), F.col("__tag") == 1).alias(right_out))
-            .withColumnRenamed("__k", key))
+def cogroup(left: DataFrame, right: DataFrame, key: str,
+            left_value: str, right_value: str) -> DataFrame:
+    """The content of both sides of every key as (key, side, value, n),
+    ``n`` being how often the value occurs on that side.  Values keep their
+    type when both sides share it, else become strings; an absent side has no
+    row; NULL keys form a group and NULL values count."""
+    rows = cogroup_rows(left, right, key, left_value, right_value)
+    return rows.groupBy(key, "side", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def cogroup_rows(left: DataFrame, right: DataFrame, key: str,

@@ -5,8 +5,7 @@ parquet scan.  Side inputs that are DataFrames are joined with semi/anti
 joins.  No broadcast hint is forced: Catalyst broadcasts a side only when its
 estimated size is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
 re-decides from measured shuffle sizes (and splits skewed partitions) when the
-estimate is unknown or too large.  ``bounded_broadcast`` is the explicit form
-for callers that want a hard row bound checked first.
+estimate is unknown or too large.
 """
 
 from __future__ import annotations
@@ -18,10 +17,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-# A side input is broadcast only when it holds at most this many rows.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -68,29 +63,14 @@ def all_elements(arr, pred) -> Column:
     return F.forall(_c(arr), pred)
 
 
-def bounded_broadcast(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``side`` only when it is proven small.
-
-    The check reads at most ``max_rows + 1`` rows (a bounded job).  Above the
-    bound the side is returned as is: a shuffle join, re-planned by AQE from
-    measured sizes, handles it.
-    """
-    n = side.limit(max_rows + 1).count()
-    return F.broadcast(side) if n <= max_rows else side
-
-
-def semi_join(df: DataFrame, side: DataFrame, on, max_broadcast_rows: int | None = None) -> DataFrame:
+def semi_join(df: DataFrame, side: DataFrame, on) -> DataFrame:
     """Keep rows whose key is in the side input."""
-    if max_broadcast_rows is not None:
-        side = bounded_broadcast(side, max_broadcast_rows)
     return df.join(side, on=on, how="left_semi")
 
 
-def anti_join(df: DataFrame, side: DataFrame, on, max_broadcast_rows: int | None = None) -> DataFrame:
+def anti_join(df: DataFrame, side: DataFrame, on) -> DataFrame:
     """Keep rows whose key is **not** in the side input.
 
     ``left_anti``, not ``NOT IN``: one NULL on the right would empty NOT IN.
     """
-    if max_broadcast_rows is not None:
-        side = bounded_broadcast(side, max_broadcast_rows)
     return df.join(side, on=on, how="left_anti")

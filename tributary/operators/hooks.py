@@ -8,7 +8,7 @@ row, and none gathers a whole group in one task:
 * ``flat_map_hook``  X2  ``mapInPandas``: a row -> n rows function
 * ``combine_hook``   X3  a combiner lifted into partial + final steps
 * ``transform``      X4  ``DataFrame.transform`` for composite transforms
-* ``branch_hook``    X5  a branch-number column (see ``transforms.partition``)
+* X5 is ``transforms.with_branch`` (a branch-number column) and ``transforms.partition``
 """
 
 from __future__ import annotations
@@ -17,35 +17,47 @@ import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from ..session import spread
+from pyspark.sql.types import StructType
 
 # The batch functions below run in Python workers on the executors, which do
 # not have this package installed: ship them by value, not by module path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+#: Accumulator types of ``combine_hook``.
+ARROW_TYPES = {"double": pa.float64(), "float": pa.float32(), "bigint": pa.int64(), "int": pa.int32(),
+               "string": pa.string(), "boolean": pa.bool_()}
+
+
 def map_hook(fn: Callable[[pd.Series], pd.Series], return_type: str) -> Callable[..., Column]:
     """Wrap a vectorised ``Series -> Series`` function as a column function."""
     return F.pandas_udf(fn, return_type)
 
 
 def flat_map_hook(df: DataFrame, fn: Callable[[dict], Iterator[dict]], schema: str) -> DataFrame:
-    """``fn(row_dict)`` yields any number of output dicts (a ``DoFn``).
-
-    Runs per Arrow batch inside each partition; an under-partitioned input is
-    first spread over the task slots (``session.spread``)."""
-    fields = [f.strip().split(" ")[0] for f in schema.split(",")]
+    """``fn(row_dict)`` yields any number of output dicts (a ``DoFn``), for
+    functions that think in rows; ``flat_map_batches`` is the form for speed."""
+    fields = StructType.fromDDL(schema).fieldNames()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = [o for rec in pdf.to_dict("records") for o in fn(rec)]
             yield pd.DataFrame(out, columns=fields)
 
-    return spread(df).mapInPandas(run, schema)
+    return df.mapInPandas(run, schema)
+
+
+def flat_map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """X2 over Arrow batches: ``fn`` turns one batch into one of any length."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield fn(batch)
+
+    return df.mapInArrow(run, schema)
 
 
 def combine_hook(df: DataFrame, key: str, value: str,
@@ -62,48 +74,47 @@ def combine_hook(df: DataFrame, key: str, value: str,
     be a pandas reduction name (``"sum"``, ``"max"``...) to stay vectorised.
 
     The final step hash-partitions the accumulators by key, sorts within each
-    partition, and merges each key's contiguous run in a ``mapInPandas`` pass
-    (a key cut by a batch boundary is carried into the next batch), so Python
-    is called per batch, not per key.
+    partition, and merges each key's contiguous run; of a key cut by a batch
+    boundary only its merged accumulator (one row) goes on to the next batch.
+    Keys stay Arrow values throughout, so 64-bit integers are exact and a NULL
+    key is a key of its own.
     """
-    key_type = df.schema[key].dataType.simpleString()
-    acc_schema = f"{key} {key_type}, __acc {acc_type}"
-
-    def lift(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                g = pdf.groupby(key, sort=False, dropna=False)[value].agg(partial)
-                yield pd.DataFrame({key: g.index, "__acc": g.values})
-
-    def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
-        g = pdf.groupby(key, sort=False, dropna=False)["__acc"].agg(merge)
-        return pd.DataFrame({key: g.index, out: g.values})
-
-    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry = None
-        for pdf in batches:
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if not len(pdf):
+    key_type, acc = df.schema[key].dataType.simpleString(), ARROW_TYPES[acc_type]
+
+    def grouped(keys: pa.Array, values: pa.Array, fn) -> tuple[pa.Array, pa.Array]:
+        coded = keys.dictionary_encode()
+        codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        # Arrow-backed series: integers with NULLs among them stay integers.
+        g = values.to_pandas(types_mapper=pd.ArrowDtype).groupby(codes, sort=False).agg(fn)
+        own = pa.array([None if c < 0 else c for c in g.index], coded.indices.type)
+        return coded.dictionary.take(own), pa.Array.from_pandas(g, type=acc)
+
+    def lift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays(list(grouped(batch.column(0), batch.column(1), partial)), names=[key, "__acc"])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            keys, values = batch.column(0), batch.column(1)
+            if held is not None:
+                keys, values = (pa.concat_arrays([h, c]) for h, c in zip(held, (keys, values), strict=True))
+            if not len(keys):
                 continue
-            last = pdf[key].iloc[-1]
-            tail = (pdf[key] == last) | (pdf[key].isna() & pd.isna(last))
-            carry = pdf[tail]
-            if (~tail).any():
-                yield reduce(pdf[~tail])
-        if carry is not None and len(carry):
-            yield reduce(carry)
-
-    accs = spread(df.select(key, value)).mapInPandas(lift, acc_schema)
+            keys, values = grouped(keys, values, merge)   # sorted input: the last key comes last
+            held = (keys.slice(len(keys) - 1), values.slice(len(values) - 1))
+            if len(keys) > 1:
+                yield pa.RecordBatch.from_arrays([keys.slice(0, len(keys) - 1), values.slice(0, len(values) - 1)],
+                                                 names=[key, out])
+        if held is not None:
+            yield pa.RecordBatch.from_arrays(list(held), names=[key, out])
+
+    accs = df.select(key, value).mapInArrow(lift, f"`{key}` {key_type}, __acc {acc_type}")
     return (accs.repartition(key).sortWithinPartitions(key)
-                .mapInPandas(finish, f"{key} {key_type}, {out} {acc_type}"))
+                .mapInArrow(finish, f"`{key}` {key_type}, `{out}` {acc_type}"))
 
 
 def transform(df: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Apply a composite transform (a function of DataFrames)."""
     return df.transform(fn)
-
-
-def branch_hook(df: DataFrame, branch: Column, name: str = "branch") -> DataFrame:
-    """The user's branch function as a column."""
-    return df.withColumn(name, branch)

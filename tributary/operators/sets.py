@@ -1,8 +1,8 @@
 """Set operations, distinct and top-k.
 
 Python set semantics are distinct-valued, so every set operator returns
-distinct rows.  The symmetric difference is one tagged union and one
-aggregate (one exchange) rather than two EXCEPTs and a union.
+distinct rows.  Intersection and the differences are one tagged union and one
+aggregate: one exchange, with duplicates folded before it.
 """
 
 from __future__ import annotations
@@ -18,9 +18,21 @@ def union_all(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
+def _by_side(a: DataFrame, b: DataFrame, keep: Column) -> DataFrame:
+    """Distinct rows of the tagged union whose sides (``lo`` and ``hi``: 0 for
+    ``a``, 1 for ``b``) satisfy ``keep``: duplicates fold before the one
+    exchange, NULLs compare equal."""
+    cols = a.columns
+    tagged = (a.select(*cols, F.lit(0).alias("__side"))
+              .unionByName(b.select(*cols, F.lit(1).alias("__side"))))
+    return (tagged.groupBy(*cols)
+            .agg(F.min("__side").alias("__lo"), F.max("__side").alias("__hi"))
+            .filter(keep).select(*cols))
+
+
 def intersect(a: DataFrame, b: DataFrame) -> DataFrame:
-    """U2 ``a & b``."""
-    return a.intersect(b)
+    """U2 ``a & b``: rows on both sides."""
+    return _by_side(a, b, F.col("__lo") != F.col("__hi"))
 
 
 def union_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -30,18 +42,12 @@ def union_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """U4 ``a - b`` (distinct, as Python sets)."""
-    return a.subtract(b)
+    return _by_side(a, b, F.col("__hi") == 0)
 
 
 def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    """U5 ``a ^ b``: values present on exactly one side."""
-    cols = a.columns
-    tagged = (a.select(*cols, F.lit(0).alias("__side"))
-              .unionByName(b.select(*cols, F.lit(1).alias("__side"))))
-    return (tagged.groupBy(*cols)
-            .agg(F.min("__side").alias("__lo"), F.max("__side").alias("__hi"))
-            .filter(F.col("__lo") == F.col("__hi"))
-            .select(*cols))
+    """U5 ``a ^ b``: rows on exactly one side."""
+    return _by_side(a, b, F.col("__lo") == F.col("__hi"))
 
 
 def distinct_top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

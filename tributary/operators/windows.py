@@ -88,17 +88,14 @@ def sessions_from_buckets(buckets: DataFrame, gap_seconds: int,
     after the previous bucket's last event.  The buckets are cut into blocks
     of ``block`` consecutive bucket numbers:
 
-    a. inside each (key, block), in parallel: local session numbers from
-       ``lag`` + a running sum;
-    b. per (key, block) a summary (first event, last event, sessions); over
-       these summaries (``span / (gap * block)`` rows per key) the first
-       session of a block continues the previous block's last one when they
-       are at most one gap apart, and a running sum gives each block the
-       number of sessions started before it;
-    c. global session number = offset + local number, then one aggregate.
-
-    No task sees more than one block of buckets or the block summaries of
-    one key, whatever the event volume, time span or key skew.
+    a. inside each (key, block), in parallel: local sessions from ``lag`` + a
+       running sum;
+    b. only a block's first and last session can go on in a neighbouring
+       block: these edge sessions (at most two per block) are stitched by the
+       same gap logic over one key's edges; all others are final.
+
+    No task sees more than one block of buckets or the edges of one key
+    (``span / (gap * block)`` rows), whatever the event volume or key skew.
 
     ``block=None`` picks the plan: with no keys (one global session line) the
     blocks are used, since otherwise all buckets meet in one task; with keys,
@@ -111,50 +108,34 @@ def sessions_from_buckets(buckets: DataFrame, gap_seconds: int,
     if block is None:
         block = SESSION_BLOCK if not keys else 0
     if block <= 0:
-        return _sessions_per_key(buckets, gap, keys)
-    b = buckets.withColumn("__blk", F.floor(F.col("__b") / F.lit(int(block))))
-    w_in = Window.partitionBy(*keys, "__blk").orderBy("__b")
-    with_prev = b.withColumn("__prev", F.lag("__hi").over(w_in))
-    starts = F.col("__prev").isNull() | ((F.col("__lo") - F.col("__prev")) > F.lit(gap))
-    local = with_prev.withColumn(
-        "__lsid", F.sum(starts.cast("long")).over(w_in.rowsBetween(Window.unboundedPreceding, 0)))
-
-    summary = (local.groupBy(*keys, "__blk")
-               .agg(F.min("__lo").alias("__first"), F.max("__hi").alias("__last"),
-                    F.max("__lsid").alias("__nloc")))
-    w_blk = (Window.partitionBy(*keys).orderBy("__blk") if keys else Window.orderBy("__blk"))
-    prev_last = F.lag("__last").over(w_blk)
-    joins = (prev_last.isNotNull() & ((F.col("__first") - prev_last) <= F.lit(gap))).cast("long")
-    summary = summary.withColumn("__joins", joins)
-    summary = summary.withColumn("__new", F.col("__nloc") - F.col("__joins"))
-    summary = summary.withColumn(
-        "__base", F.coalesce(F.sum("__new").over(w_blk.rowsBetween(Window.unboundedPreceding, -1)),
-                             F.lit(0).cast("long")))
-    join_keys = keys + ["__blk"]
-    offsets = summary.select(*[F.col(k).alias(f"__o_{k}") for k in join_keys],
-                             (F.col("__base") - F.col("__joins")).alias("__off"))
-    cond = None
-    for k in join_keys:
-        c = F.col(k).eqNullSafe(F.col(f"__o_{k}"))
-        cond = c if cond is None else cond & c
-    numbered = (local.join(offsets, cond, "inner")
-                .select(*keys, "__lo", "__hi", "__n",
-                        (F.col("__off") + F.col("__lsid")).alias("__sid")))
-    return (numbered.groupBy(*keys, "__sid")
-            .agg(F.min("__lo").alias("start_us"),
-                 (F.max("__hi") + F.lit(gap)).alias("end_us"),
-                 F.sum("__n").cast("bigint").alias("n"))
-            .drop("__sid"))
-
-
-def _sessions_per_key(buckets: DataFrame, gap: int, keys: list[str]) -> DataFrame:
-    """Phase 2 with one window per key over that key's buckets."""
-    w = Window.partitionBy(*keys).orderBy("__b")
-    with_prev = buckets.withColumn("__prev", F.lag("__hi").over(w))
-    starts = F.col("__prev").isNull() | ((F.col("__lo") - F.col("__prev")) > F.lit(gap))
-    numbered = with_prev.withColumn(
-        "__sid", F.sum(starts.cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return (numbered.groupBy(*keys, "__sid")
+        return _stitch(buckets, gap, keys, Window.partitionBy(*keys).orderBy("__b"))
+    blk = F.floor(F.col("__b") / F.lit(int(block)))
+    inside = [*keys, "__blk"]
+    local = _numbered(buckets.withColumn("__blk", blk), gap, Window.partitionBy(*inside).orderBy("__b"))
+    local = (local.groupBy(*inside, "__sid")
+             .agg(F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"), F.sum("__n").alias("__n")))
+    last = F.max("__sid").over(Window.partitionBy(*inside))
+    local = local.withColumn("__edge", (F.col("__sid") == 1) | (F.col("__sid") == last))
+    order = Window.partitionBy(*keys).orderBy("__lo") if keys else Window.orderBy("__lo")
+    edges = _stitch(local.filter("__edge").select(*keys, "__lo", "__hi", "__n"), gap, keys, order)
+    middle = local.filter(~F.col("__edge")).select(
+        *keys, F.col("__lo").alias("start_us"), (F.col("__hi") + F.lit(gap)).alias("end_us"),
+        F.col("__n").cast("bigint").alias("n"))
+    return edges.unionByName(middle)
+
+
+def _numbered(spans: DataFrame, gap: int, order) -> DataFrame:
+    """``__sid``: the running number of the session that each (``__lo``,
+    ``__hi``) span belongs to, in the window's order."""
+    prev = F.lag("__hi").over(order)
+    starts = F.coalesce((F.col("__lo") - prev) > F.lit(gap), F.lit(True)).cast("long")
+    return spans.withColumn("__new", starts).withColumn(
+        "__sid", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
+
+
+def _stitch(spans: DataFrame, gap: int, keys: list[str], order) -> DataFrame:
+    """Sessions of spans in the window's order (one window per key)."""
+    return (_numbered(spans, gap, order).groupBy(*keys, "__sid")
             .agg(F.min("__lo").alias("start_us"),
                  (F.max("__hi") + F.lit(gap)).alias("end_us"),
                  F.sum("__n").cast("bigint").alias("n"))

@@ -73,36 +73,58 @@ def kv_swap(spark, sf_dir):
     return X.kv_swap(table(spark, sf_dir, "orders"), "o_custkey", "o_totalprice")
 
 
-@query("to_string_kvs", ids=("P10",), sql="""
-select n_nationkey, n_name || ',' || cast(n_regionkey as varchar) as kv from nation
+def customers_with_gaps(spark, sf_dir):
+    """customer with NULL segments where the balance is negative."""
+    c = table(spark, sf_dir, "customer")
+    return c.withColumn("c_mktsegment", K.nullify("c_mktsegment", F.col("c_acctbal") < 0))
+
+
+_GAPS_SQL = """
+with c as (select c_custkey, c_name, c_nationkey, case when c_acctbal >= 0 then c_mktsegment end as seg from customer)
+"""
+
+
+@query("to_string_kvs", ids=("P10",), sql=_GAPS_SQL + """
+select c_custkey, coalesce(seg, 'None') || ',' || cast(c_nationkey as varchar) as kv from c
 """)
 def to_string_kvs(spark, sf_dir):
-    n = table(spark, sf_dir, "nation")
-    return n.select("n_nationkey", T.to_string_kv("n_name", "n_regionkey").alias("kv"))
+    c = customers_with_gaps(spark, sf_dir)
+    return c.select("c_custkey", T.to_string_kv("c_mktsegment", "c_nationkey").alias("kv"))
 
 
-@query("to_string_element", ids=("P10",), sql="""
-select n_nationkey, '(''' || n_name || ''', ''' || r_name || ''')' as element
-from nation join region on n_regionkey = r_regionkey
+@query("to_string_element", ids=("P10",), sql=_GAPS_SQL + """
+select c_custkey, '(' || chr(39) || c_name || chr(39) || ', ' || coalesce(chr(39) || seg || chr(39), 'None') || ')' as element
+from c
 """)
 def to_string_element(spark, sf_dir):
-    n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")
-    j = n.join(r, n.n_regionkey == r.r_regionkey)
-    return j.select("n_nationkey", T.to_string_tuple("n_name", "r_name").alias("element"))
+    c = customers_with_gaps(spark, sf_dir)
+    return c.select("c_custkey", T.to_string_tuple("c_name", "c_mktsegment").alias("element"))
 
 
-@query("to_string_iterable", ids=("P10",), sql="""
-select concat_ws(',', n_nationkey, n_name, n_regionkey) as line from nation
+@query("to_string_iterable", ids=("P10",), sql=_GAPS_SQL + """
+select concat_ws(',', c_custkey, coalesce(seg, 'None'), c_name) as line from c
 """)
 def to_string_iterable(spark, sf_dir):
-    n = table(spark, sf_dir, "nation")
-    return n.select(T.to_string_iterable("n_nationkey", "n_name", "n_regionkey").alias("line"))
+    c = customers_with_gaps(spark, sf_dir)
+    return c.select(T.to_string_iterable("c_custkey", "c_mktsegment", "c_name").alias("line"))
 
 
 # ---------------------------------------------------------------- P19, P20
 
 
+@query("partition_frames", ids=("P19",), sql="""
+select p_partkey, case when length(p_name) % 4 < 3 then length(p_name) % 4 else -1 end as frame from part
+""")
+def partition_frames(spark, sf_dir):
+    """``partition`` into three frames; rows of a fourth branch land in -1."""
+    p = table(spark, sf_dir, "part")
+    frames = X.partition(p, F.pmod(F.length("p_name"), F.lit(4)), 3)
+    first, *rest = [df.select("p_partkey", F.lit(i).cast("bigint").alias("frame")) for i, df in frames.items()]
+    for df in rest:
+        first = first.unionByName(df)
+    return first
+
+
 @query("partition_mod", ids=("P19", "X5"), sql="""
 select p_partkey, cast(length(p_name) % 2 as integer) as branch from part
 """)
@@ -146,7 +168,7 @@ def word_frequency(min_len: int = 5):
     longer than ``min_len`` -> count per word, as one reusable transform."""
     def apply(df):
         words = X.tokens(df, "text", None, with_position=False)
-        # The pattern needs one character or more, so "" means "no match".
+        # Fixed value: the pattern.  It needs one character or more, so "" means "no match".
         lead = F.regexp_extract("word", r"^(?:[^.|,|(|)]+)", 0)
         clean = words.select(lead.alias("word")).filter(F.col("word") != "")
         return A.count_per_key(clean.filter(FL.longer_than("word", min_len)), "word")
@@ -198,7 +220,8 @@ select word, count(*) as n from d where word in (select word from v) group by wo
 def side_input_semi(spark, sf_dir):
     vocab = X.tokens(table(spark, sf_dir, "benchmark"), "text", " ").select("word").distinct()
     words = X.tokens(docs(spark, sf_dir, "text"), "text", " ").select("word")
-    return A.count_per_key(FL.semi_join(words, vocab, "word"), "word")
+    # Counted first: a frequent word meets the vocabulary as one row, not as all its places.
+    return FL.semi_join(A.count_per_key(words, "word"), vocab, "word")
 
 
 @query("side_input_anti", ids=("F5", "J5"), headline=True, sql="""
@@ -254,12 +277,16 @@ def news_lines_clean(spark, sf_dir):
 select l_orderkey, bool_and(l_discount <> 0) as all_discounted from lineitem group by l_orderkey
 """)
 def array_forall(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    lists = A.group_by_key(li, "l_orderkey", "l_discount", out="discounts")
-    per_chunk = lists.select("l_orderkey",
-                             FL.all_elements("discounts", lambda x: x != 0).alias("ok"))
-    # A hot key's list comes in chunks: all() over the key = AND over its chunks.
-    return per_chunk.groupBy("l_orderkey").agg(F.bool_and("ok").alias("all_discounted"))
+    return A.all_in_group(table(spark, sf_dir, "lineitem"), "l_orderkey", F.col("l_discount") != 0,
+                          out="all_discounted")
+
+
+@query("array_forall_elements", ids=("F10",), sql="""
+select vec_id, len([x for x in embedding if abs(x) >= 0.25]) = 0 as all_small from embeddings
+""")
+def array_forall_elements(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", FL.all_elements("embedding", lambda x: F.abs(x) < 0.25).alias("all_small"))
 
 
 @query("fill_null_constant", ids=("W3", "F11"), sql="""
@@ -356,13 +383,13 @@ order by ts, user_id limit 100
 
 @query("sql_distinct_topk", ids=("L1", "L2", "S11", "S12", "F9"), headline=True, sql=_TOPK_SQL)
 def sql_distinct_topk(spark, sf_dir):
-    """The source query as SQL text over a view: ``to_date(ts) = d`` reaches
+    """The source query as SQL text over a frame: ``to_date(ts) = d`` reaches
     the parquet scan as a pushed ``>=``/``<`` range, and distinct + order +
     limit plans as a TakeOrderedAndProject (k rows per task, no full sort)."""
     from ..sources.files import sql_source
     return sql_source(spark, """
-        select distinct user_id, ts from topk_events where to_date(ts) = date'2024-01-15'
-        order by ts, user_id limit 100""", topk_events=table(spark, sf_dir, "events"))
+        select distinct user_id, ts from {events} where to_date(ts) = to_date(:day)
+        order by ts, user_id limit 100""", {"day": "2024-01-15"}, events=table(spark, sf_dir, "events"))
 
 
 @query("distinct_topk", ids=("L1", "L2", "F9"), sql=_TOPK_SQL)
@@ -395,14 +422,13 @@ def format_ratio(spark, sf_dir):
     return d.select("doc_id", T.format_ratio("n_chars", 60, "%.2fh").alias("hours"))
 
 
-@query("to_json_rows", ids=("R16",), sql="""
-select n_nationkey, to_json({'n_nationkey': n_nationkey, 'n_name': n_name, 'n_regionkey': n_regionkey})::varchar as json
-from nation
+@query("to_json_rows", ids=("R16",), sql=_GAPS_SQL + """
+select c_custkey, to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_mktsegment': seg})::varchar as json from c
 """)
 def to_json_rows(spark, sf_dir):
-    n = table(spark, sf_dir, "nation")
-    return n.select("n_nationkey", F.to_json(F.struct("n_nationkey", "n_name", "n_regionkey"))
-                    .alias("json"))
+    c = customers_with_gaps(spark, sf_dir)
+    doc = F.to_json(F.struct("c_custkey", "c_name", "c_mktsegment"), {"ignoreNullFields": "false"})
+    return c.select("c_custkey", doc.alias("json"))
 
 
 def _quantity_text():
@@ -447,18 +473,17 @@ def bytes_to_text(spark, sf_dir):
                     F.decode("payload", "UTF-8").alias("text"))
 
 
-@query("zip_to_map", ids=("R23",), sql="""
-select n_nationkey,
-  to_json(map(['id', 'name', 'region'],
-              [cast(n_nationkey as varchar), n_name, cast(n_regionkey as varchar)]))::varchar as record
-from nation
+@query("zip_to_map", ids=("R23",), sql=_GAPS_SQL + """
+select c_custkey,
+  to_json(map(['id', 'name', 'segment'], [cast(c_custkey as varchar), c_name, seg]))::varchar as record
+from c
 """)
 def zip_to_map(spark, sf_dir):
-    n = table(spark, sf_dir, "nation")
-    header = F.array(F.lit("id"), F.lit("name"), F.lit("region"))
-    vals = F.array(F.col("n_nationkey").cast("string"), F.col("n_name"),
-                   F.col("n_regionkey").cast("string"))
-    return n.select("n_nationkey", F.to_json(F.map_from_arrays(header, vals)).alias("record"))
+    c = customers_with_gaps(spark, sf_dir)
+    header = F.array(F.lit("id"), F.lit("name"), F.lit("segment"))
+    vals = F.array(F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_mktsegment"))
+    record = F.to_json(F.map_from_arrays(header, vals), {"ignoreNullFields": "false"})
+    return c.select("c_custkey", record.alias("record"))
 
 
 @query("epoch_seconds", ids=("R24",), sql="""
@@ -481,13 +506,14 @@ def event_time_label(spark, sf_dir):
                      T.event_time_label(T.epoch_seconds_ntz("ts"), "event_type").alias("label"))
 
 
-@query("processing_time_label", ids=("P21", "P15"))
+@query("processing_time_label", ids=("P21", "P15"), sql="""
+select event_id, '2024-03-01 12:30:00-' || event_type as label from events
+""")
 def processing_time_label(spark, sf_dir):
-    """P21 processing-time form: ``"<now>-<name>"``; one clock value per query,
-    so only the rows are checked."""
-    ev = table(spark, sf_dir, "events")
-    now = T.python_datetime_str(F.current_timestamp().cast("timestamp_ntz"))
-    return ev.select("event_id", F.concat_ws("-", now, F.col("event_type")).alias("label"))
+    """P21 processing-time form: ``"<now>-<name>"``, with the clock as an argument."""
+    now = F.to_timestamp_ntz(F.lit("2024-03-01 12:30:00"))
+    ev = K.with_processed_at(table(spark, sf_dir, "events"), "now", at=now)
+    return ev.select("event_id", F.concat_ws("-", T.python_datetime_str("now"), T.py_str("event_type")).alias("label"))
 
 
 @query("logical_clock_label", ids=("P21",), sql="""

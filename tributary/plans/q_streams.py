@@ -4,9 +4,9 @@ Each query runs a real Structured Streaming job over the events table as a
 file stream (``availableNow``: everything present, then a clean stop), with
 checkpoints in the shared folder, and returns the sink's contents as a batch
 DataFrame.  Windowed aggregates use append mode with a watermark, the form
-whose state stays bounded; the final no-data batch closes every window that
-ends at or before the last watermark (``max(ts) - LATENESS``), which is what
-the oracle SQL selects.
+whose state stays bounded; a closing message at the end of the stream
+(``streams.run_to_end``) closes the last windows, so every query equals its
+batch twin over all events.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import windows as WN
-from ..session import scratch_path, table_path
+from ..operators.windows import sessions_from_buckets
+from ..session import parallelism, scratch_path, table_path
 from ..sinks import writers as W
 from ..streaming import sessions as SS
 from ..streaming import streams as ST
@@ -23,7 +24,6 @@ from .registry import query, table
 
 # Allowed lateness and windows of the streaming jobs.
 LATENESS = "1 minute"
-LATENESS_SQL = "interval 1 minute"
 STREAM_FIXED = "5 seconds"
 SESSION_GAP_S = 30 * 60
 
@@ -50,14 +50,12 @@ def stream_available_now(spark, sf_dir):
 select event_id, user_id, event_type, value from events
 """)
 def stream_file_ingest(spark, sf_dir):
-    """Files arrive in a landing folder (one per event type); each is
-    processed once, appended, and then archived out of the landing folder."""
+    """Files arrive in a landing folder; each is appended once and leaves the
+    folder when the run has committed."""
     landing = scratch_path(spark, "landing")
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    ev.repartition("event_type").write.mode("overwrite").parquet(landing)
-    s = ST.file_stream(spark, landing, ev.schema, max_files_per_trigger=1,
-                       clean_source="archive", archive_dir=scratch_path(spark, "archive"))
-    return spark.read.parquet(ST.run_to_files(s, "file_ingest"))
+    ev.write.mode("overwrite").parquet(landing)
+    return spark.read.parquet(ST.ingest_and_remove(spark, landing, ev.schema, "file_ingest"))
 
 
 def _json_messages(spark, sf_dir):
@@ -95,18 +93,14 @@ def stream_json_parse(spark, sf_dir):
     return spark.read.parquet(valid).select("event_id", "timestamp", "data")
 
 
-# Files written per micro-batch by the append sink (T11: the shard count is an
-# argument that does work).
-SINK_SHARDS = 4
-
-
 @query("stream_append_sink", ids=("T9", "T11", "K1"), sql="""
 select event_id, user_id, event_type, value from events
 """)
 def stream_append_sink(spark, sf_dir):
     s = W.conform(events_stream(spark, sf_dir),
                   "event_id:INT64,user_id:INT64,event_type:STRING,value:FLOAT64")
-    return spark.read.parquet(ST.run_to_files(s, "append_sink", shards=SINK_SHARDS))
+    # The shard count is an argument (T11); here: as many as there are task slots.
+    return spark.read.parquet(ST.run_to_files(s, "append_sink", shards=parallelism(spark)))
 
 
 def _num_messages(spark, sf_dir):
@@ -124,32 +118,60 @@ def _parsed_messages(spark, sf_dir):
     parts = F.split("text", ",", 2)
     parsed = s.select(parts[0].try_cast("bigint").alias("num"),
                       F.to_timestamp_ntz(parts[1]).alias("ts"))
-    return ST.with_event_time(parsed.filter(F.col("ts").isNotNull()), "ts", LATENESS)
+    return parsed.filter(F.col("ts").isNotNull())
 
 
-_CLOSED = f"(select max(ts) - {LATENESS_SQL} from events)"
+def _windows(spark, path):
+    """The stored windows without the closing message's."""
+    out = spark.read.parquet(path)
+    return (out.select(T.ltz_to_ntz("window_start").alias("window_start"),
+                       T.ltz_to_ntz("window_end").alias("window_end"), "n")
+               .filter(ST.before_closing("window_start")))
 
 
-@query("stream_fixed_count", ids=("T1", "T2", "T7", "T10", "R15", "R21", "S13"), headline=True, sql=f"""
+@query("stream_fixed_count", ids=("T1", "T2", "T7", "T10", "R15", "R21", "S13"), headline=True, sql="""
 select time_bucket(interval 5 seconds, ts) as window_start,
        time_bucket(interval 5 seconds, ts) + interval 5 seconds as window_end, count(*) as n
-from events group by 1, 2 having window_end <= {_CLOSED}
+from events group by 1, 2
 """)
 def stream_fixed_count(spark, sf_dir):
-    s = _parsed_messages(spark, sf_dir)
-    counts = WN.fixed_windows(s, "event_time", STREAM_FIXED)
-    out = spark.read.parquet(ST.run_to_files(counts, "fixed_count"))
-    return out.select(T.ltz_to_ntz("window_start").alias("window_start"),
-                      T.ltz_to_ntz("window_end").alias("window_end"), "n")
+    def counts(s):
+        return WN.fixed_windows(ST.with_event_time(s, "ts", LATENESS), "event_time", STREAM_FIXED)
+    return _windows(spark, ST.run_to_end(_parsed_messages(spark, sf_dir), "ts", "fixed_count", counts))
 
 
-@query("stream_window_label", ids=("T2", "T6", "T9", "R18", "R15", "R21"), sql=f"""
-select format('{{}}  [{{}} - {{}}]', count(*),
+@query("stream_late_rows", ids=("T10",), sql="""
+with first as (select ts from events where event_type <> 'error'),
+mark as (select max(ts) - interval 1 minute as w from first),
+taken as (select ts from first union all
+          select ts from events, mark where event_type = 'error'
+            and time_bucket(interval 5 seconds, ts) + interval 5 seconds > w)
+select time_bucket(interval 5 seconds, ts) as window_start,
+       time_bucket(interval 5 seconds, ts) + interval 5 seconds as window_end, count(*) as n
+from taken group by 1, 2
+""")
+def stream_late_rows(spark, sf_dir):
+    """The ``error`` events arrive after all others: those whose window the
+    watermark has closed are dropped, the rest still count."""
+    events = table(spark, sf_dir, "events").select("ts", "event_type")
+    landing, out, ckpt = (scratch_path(spark, f"late_{x}") for x in ("in", "out", "ckpt"))
+    events.filter("event_type <> 'error'").write.parquet(landing)
+    s = ST.file_stream(spark, landing, events.schema)
+    counts = WN.fixed_windows(ST.with_event_time(s, "ts", LATENESS), "event_time", STREAM_FIXED)
+    ST.run_to_files(counts, "late", checkpoint=ckpt, output=out)
+    events.filter("event_type = 'error'").write.mode("append").parquet(landing)
+    ST.run_to_files(counts, "late", checkpoint=ckpt, output=out)
+    end = events.select(F.to_timestamp_ntz(F.lit(ST.CLOSING_TIME)).alias("ts"), F.lit("end").alias("event_type")).limit(1)
+    end.write.mode("append").parquet(landing)
+    return _windows(spark, ST.run_to_files(counts, "late", checkpoint=ckpt, output=out))
+
+
+@query("stream_window_label", ids=("T2", "T6", "T9", "R18", "R15", "R21"), sql="""
+select format('{}  [{} - {}]', count(*),
               strftime(time_bucket(interval 5 seconds, ts), '%Y-%m-%d %H:%M:%S'),
               strftime(time_bucket(interval 5 seconds, ts) + interval 5 seconds, '%Y-%m-%d %H:%M:%S'))
        as count_window
 from events group by time_bucket(interval 5 seconds, ts)
-having time_bucket(interval 5 seconds, ts) + interval 5 seconds <= {_CLOSED}
 """)
 def stream_window_label(spark, sf_dir):
     """The streaming window-count job end to end (``jobs.window_counts_stream``):
@@ -159,57 +181,49 @@ def stream_window_label(spark, sf_dir):
     _num_messages(spark, sf_dir).write.mode("overwrite").parquet(topic)
     return window_counts_stream(spark, topic, scratch_path(spark, "label_out"),
                                 scratch_path(spark, "label_ckpt"), window=STREAM_FIXED,
-                                lateness=LATENESS)
+                                lateness=LATENESS, to_end=True)
 
 
-@query("stream_sliding_count", ids=("T1", "T3", "T10"), sql=f"""
+@query("stream_sliding_count", ids=("T1", "T3", "T10"), sql="""
 with a as (select time_bucket(interval 150 seconds, ts) as s from events
            union all
            select time_bucket(interval 150 seconds, ts) - interval 150 seconds from events)
 select s as window_start, s + interval 300 seconds as window_end, count(*) as n
-from a group by s having window_end <= {_CLOSED}
+from a group by s
 """)
 def stream_sliding_count(spark, sf_dir):
-    s = ST.with_event_time(events_stream(spark, sf_dir), "ts", LATENESS)
-    counts = WN.sliding_windows(s, "event_time", "300 seconds", "150 seconds")
-    out = spark.read.parquet(ST.run_to_files(counts, "sliding_count"))
-    return out.select(T.ltz_to_ntz("window_start").alias("window_start"),
-                      T.ltz_to_ntz("window_end").alias("window_end"), "n")
+    def counts(s):
+        return WN.sliding_windows(ST.with_event_time(s, "ts", LATENESS), "event_time", "300 seconds", "150 seconds")
+    return _windows(spark, ST.run_to_end(events_stream(spark, sf_dir), "ts", "sliding_count", counts))
 
 
-def _session_sql(keys_sel: str, part: str, keys_grp: str) -> str:
-    """Final sessions from the buckets closed by the last watermark."""
-    over = f"partition by {part} order by b" if part else "order by b"
+def _session_sql(key: str = "") -> str:
+    """Sessions straight from the events."""
+    sel, part = (f"{key},", f"partition by {key}") if key else ("", "")
     return f"""
-with b as (select {keys_sel} floor(epoch_us(ts) / 1800000000) as b, min(epoch_us(ts)) as lo,
-                  max(epoch_us(ts)) as hi, count(*) as n from events
-           group by {keys_grp} floor(epoch_us(ts) / 1800000000)),
-c as (select * from b where (b + 1) * 1800000000 <= epoch_us({_CLOSED})),
-h as (select (max(b) + 1) * 1800000000 as horizon from c),
-x as (select *, lag(hi) over ({over}) as prev from c),
-y as (select *, sum(case when prev is null or lo - prev > 1800000000 then 1 else 0 end)
-             over ({over} rows unbounded preceding) as sid from x),
-s as (select {keys_sel} min(lo) as lo, max(hi) + 1800000000 as hi, cast(sum(n) as bigint) as n
-      from y group by {keys_grp} sid)
-select {keys_sel} make_timestamp(lo) as session_start, make_timestamp(hi) as session_end, n
-from s where hi < (select horizon from h)
+with e as (select {sel} ts, lag(ts) over ({part} order by ts) as prev from events),
+s as (select *, sum(case when prev is null or ts - prev > interval 30 minutes then 1 else 0 end)
+             over ({part} order by ts rows unbounded preceding) as sid from e)
+select {sel} min(ts) as session_start, max(ts) + interval 30 minutes as session_end, count(*) as n
+from s group by {sel} sid
 """
 
 
 def _two_stage_sessions(spark, sf_dir, keys, name):
-    s = ST.with_event_time(events_stream(spark, sf_dir), "ts", LATENESS)
-    buckets = SS.bucket_stream(s, "event_time", SESSION_GAP_S, keys)
-    table_out = spark.read.parquet(ST.run_to_files(buckets, name))
-    sess = SS.final_sessions(table_out, SESSION_GAP_S, keys)
+    def buckets(s):
+        return SS.bucket_stream(ST.with_event_time(s, "ts", LATENESS), "event_time", SESSION_GAP_S, keys)
+    stored = spark.read.parquet(ST.run_to_end(events_stream(spark, sf_dir), "ts", name, buckets))
     epoch = F.expr(T.EPOCH_NTZ)
+    stored = (stored.withColumn("__at", F.timestamp_add("MICROSECOND", F.col("__lo"), epoch))
+                    .filter(ST.before_closing("__at")).drop("__at"))
+    sess = sessions_from_buckets(stored, SESSION_GAP_S, keys)
     return sess.select(*keys,
                        F.timestamp_add("MICROSECOND", F.col("start_us"), epoch).alias("session_start"),
                        F.timestamp_add("MICROSECOND", F.col("end_us"), epoch).alias("session_end"),
                        "n")
 
 
-@query("stream_session_user", ids=("T5", "T10"), headline=True,
-       sql=_session_sql("user_id,", "user_id", "user_id,"))
+@query("stream_session_user", ids=("T5", "T10"), headline=True, sql=_session_sql("user_id"))
 def stream_session_user(spark, sf_dir):
     """Per-user sessions from a stream in two stages: (user, bucket) state in
     the stream, final sessions stitched from the bucket table.  A hot user
@@ -217,31 +231,24 @@ def stream_session_user(spark, sf_dir):
     return _two_stage_sessions(spark, sf_dir, ["user_id"], "session_user_buckets")
 
 
-@query("stream_session_global", ids=("T4", "T10"), sql=_session_sql("", "", ""))
+@query("stream_session_global", ids=("T4", "T10"), sql=_session_sql())
 def stream_session_global(spark, sf_dir):
     """One global session line from a stream, without one hot state key."""
     return _two_stage_sessions(spark, sf_dir, [], "session_buckets")
 
 
-@query("stream_session_user_native", ids=("T5", "T10"), sql=f"""
-with e as (select user_id, ts, lag(ts) over (partition by user_id order by ts) as prev from events),
-s as (select *, sum(case when prev is null or ts - prev > interval 30 minutes then 1 else 0 end)
-             over (partition by user_id order by ts rows unbounded preceding) as sid from e),
-x as (select user_id, min(ts) as session_start, max(ts) + interval 30 minutes as session_end,
-             count(*) as n from s group by user_id, sid)
-select * from x where session_end <= {_CLOSED}
-""")
+@query("stream_session_user_native", ids=("T5", "T10"), sql=_session_sql("user_id"))
 def stream_session_user_native(spark, sf_dir):
     """Per-user sessions with Spark's streaming ``session_window`` (state keyed
     by user; a session is emitted once the watermark passes its end).  The
     idiomatic form, kept for comparison: every event of a hot user goes
     through one state key, so ``stream_session_user`` (two stages, state per
     (user, bucket)) is the form to use at scale."""
-    s = ST.with_event_time(events_stream(spark, sf_dir), "ts", LATENESS)
-    sess = (s.groupBy("user_id", F.session_window("event_time", "30 minutes").alias("w"))
-             .agg(F.count(F.lit(1)).alias("n")))
-    out = spark.read.parquet(ST.run_to_files(
-        sess.select("user_id", F.col("w.start").alias("s"), F.col("w.end").alias("e"), "n"),
-        "session_user"))
+    def sessions(s):
+        grouped = ST.with_event_time(s, "ts", LATENESS).groupBy(
+            "user_id", F.session_window("event_time", "30 minutes").alias("w"))
+        return grouped.agg(F.count(F.lit(1)).alias("n")).select(
+            "user_id", F.col("w.start").alias("s"), F.col("w.end").alias("e"), "n")
+    out = spark.read.parquet(ST.run_to_end(events_stream(spark, sf_dir), "ts", "session_user", sessions))
     return out.select("user_id", T.ltz_to_ntz("s").alias("session_start"),
-                      T.ltz_to_ntz("e").alias("session_end"), "n")
+                      T.ltz_to_ntz("e").alias("session_end"), "n").filter(ST.before_closing("session_start"))

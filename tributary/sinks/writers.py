@@ -7,9 +7,13 @@ Display helpers only ever fetch a bounded number of rows.
 
 from __future__ import annotations
 
+import pyarrow as pa
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
+
+from ..session import scratch_path
 
 # Type names of the "name:TYPE,..." sink schema text and their
 # Spark equivalents.
@@ -33,18 +37,30 @@ def parse_sink_schema(text: str) -> list[tuple[str, str]]:
     return out
 
 
+def _ddl(schema: str) -> StructType | None:
+    try:
+        return StructType.fromDDL(schema)
+    except ParseException:
+        return None
+
+
 def conform(df: DataFrame, schema) -> DataFrame:
-    """Select and cast to a declared schema (sink text, DDL or StructType).
+    """Select and cast to a declared schema (DDL, sink text or StructType).
 
-    Missing columns fail; extra columns are dropped.
+    Text in which every field is ``name:TYPE`` with a sink type is sink text
+    (its ``INTEGER`` is 64 bits wide); all other text is DDL, nested types
+    included.  Missing columns fail; extra columns are dropped.
     """
     if isinstance(schema, StructType):
         fields = [(f.name, f.dataType.simpleString()) for f in schema.fields]
-    elif ":" in schema:
-        fields = parse_sink_schema(schema)
     else:
-        st = StructType.fromDDL(schema)
-        fields = [(f.name, f.dataType.simpleString()) for f in st.fields]
+        try:
+            fields = parse_sink_schema(schema)
+        except ValueError:
+            st = _ddl(schema)
+            if st is None:
+                raise
+            fields = [(f.name, f.dataType.simpleString()) for f in st.fields]
     missing = [n for n, _ in fields if n not in df.columns]
     if missing:
         raise ValueError(f"columns missing for the declared schema: {missing}")
@@ -58,18 +74,26 @@ def append_declared(df: DataFrame, path: str, schema, fmt: str = "parquet") -> D
     return out
 
 
+def target_types(spark: SparkSession, path: str, fmt: str = "parquet") -> dict[str, DataType]:
+    """Column types of a stored table; empty where the path does not exist (any
+    other read error is raised)."""
+    try:
+        return {f.name: f.dataType for f in spark.read.format(fmt).load(path).schema}
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+
+
 def append_autodetect(spark: SparkSession, df: DataFrame, path: str,
                       fmt: str = "parquet") -> None:
     """K2: append with the frame's own schema; an existing target must have the
-    same column set."""
-    try:
-        existing = spark.read.format(fmt).load(path).columns
-    except Exception:  # noqa: BLE001 - no target yet
-        existing = None
-    if existing is not None and sorted(existing) != sorted(df.columns):
-        raise ValueError(f"column set differs from the target: {existing} vs {df.columns}")
-    cols = existing or df.columns
-    df.select(*cols).write.mode("append").format(fmt).save(path)
+    same columns with the same types (names in any order)."""
+    target, own = target_types(spark, path, fmt), {f.name: f.dataType for f in df.schema}
+    if target and target != own:
+        differing = {n: (target.get(n), own.get(n)) for n in {*target, *own} if target.get(n) != own.get(n)}
+        raise ValueError(f"columns differ from the target (target, frame): {differing}")
+    df.select(*(target or own)).write.mode("append").format(fmt).save(path)
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -77,9 +101,12 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def replace_table_as_select(df: DataFrame, table_name: str) -> None:
-    """K4 ``CREATE OR REPLACE TABLE ... AS SELECT`` in the session catalog."""
-    df.write.mode("overwrite").saveAsTable(table_name)
+def replace_table_as_select(df: DataFrame, table_name: str, path: str | None = None) -> DataFrame:
+    """K4 ``CREATE OR REPLACE TABLE ... AS SELECT`` in the session catalog; the
+    files go under ``path`` (default: the shared scratch folder)."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").option("path", path or scratch_path(spark, table_name)).saveAsTable(table_name)
+    return spark.table(table_name)
 
 
 def save_default_mode(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
@@ -92,9 +119,11 @@ def append_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",") ->
     df.write.mode("append").option("header", header).option("sep", sep).csv(path)
 
 
-def write_text_lines(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
-    """K7: one line per row, fields joined (the text sink takes one column)."""
-    line = F.concat_ws(sep, *[F.col(c).cast("string") for c in df.columns])
+def write_text_lines(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite",
+                     null_text: str = "") -> None:
+    """K7: one line per row, fields joined (the text sink takes one column).
+    A NULL field is written as ``null_text``, so columns never shift."""
+    line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit(null_text)) for c in df.columns])
     df.select(line.alias("value")).write.mode(mode).text(path)
 
 
@@ -103,6 +132,23 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Files that each hold one JSON array, a document per line.  Every task
+    streams its rows between the brackets of its own file."""
+    def brackets(batches):
+        first = True
+        for batch in batches:
+            docs = batch.column(0).to_pylist()
+            lines = ["," + doc for doc in docs]
+            if first and lines:
+                lines[0], first = "[" + docs[0], False
+            yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
+        yield pa.RecordBatch.from_pydict({"value": ["[]" if first else "]"]})
+
+    docs = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    docs.mapInArrow(brackets, "value string").write.mode(mode).text(path)
+
+
 def show_rows(df: DataFrame, n: int = 20) -> list:
     """Fetch at most ``n`` rows for display."""
     return df.limit(n).collect()

@@ -70,11 +70,10 @@ def read_json_lines(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return reader.json(path)
 
 
-def sql_source(spark: SparkSession, sql: str, **views: DataFrame) -> DataFrame:
-    """Register the given frames as temp views and run SQL over them."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+def sql_source(spark: SparkSession, sql: str, args: dict | None = None, **frames: DataFrame) -> DataFrame:
+    """SQL over frames, named in the text as ``{name}``; values go in
+    as ``:marker`` arguments.  No session-wide view is left behind."""
+    return spark.sql(sql, args=args, **frames) if args else spark.sql(sql, **frames)
 
 
 def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:

@@ -5,11 +5,12 @@ Stage 1 is a streaming aggregate: gap-sized tumbling buckets per key with
 bucket.  State is spread over (key, bucket), so neither a global session line
 nor a hot key funnels every event through one state partition.
 
-Stage 2 stitches sessions from the bucket table with the batch two-phase
-logic (``time span / gap`` rows per key).  Only **final** sessions are
-returned: a session is final when its end (last event + gap) lies before the
-closed horizon H (end of the newest closed bucket).  Every event still to come
-is at or after the watermark >= H, so it can no longer join such a session.
+Stage 2 stitches sessions from the bucket table with the batch logic
+(``time span / gap`` rows per key).  Once the stream has ended and every bucket
+is closed, these are all sessions; while it still runs, ``final_sessions``
+keeps those that no event to come can join: their end (last event + gap) lies
+before the closed horizon H (end of the newest closed bucket), and every event
+still to come is at or after the watermark >= H.
 """
 
 from __future__ import annotations

@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators.clean import is_json_object
 from ..session import scratch_path
 
 
@@ -69,11 +70,16 @@ def run_to_files(stream: DataFrame, name: str, output_mode: str = "append",
     """Run a streaming query over everything available now, then stop.
 
     Append mode writes to the file sink (exactly-once through its log);
-    complete/update modes go through ``foreachBatch`` overwrite, which is
-    idempotent per batch.  ``shards`` (T11) sets the number of files written
-    per micro-batch.  ``progress``, when given, receives each micro-batch's
-    progress report (with the metrics of any ``tap``).  Returns the output path.
+    complete mode goes through ``foreachBatch`` overwrite, which is idempotent
+    per batch.  Update mode has no file form (each batch holds changed rows
+    only) and is refused: merge by key in ``run_foreach_batch``.  ``shards``
+    (T11) asks for a number of files per micro-batch; without it the stream
+    keeps its own partitions.  ``progress``, when given, receives each
+    micro-batch's progress report (with the metrics of any ``tap``).  Returns
+    the output path.
     """
+    if output_mode not in ("append", "complete"):
+        raise ValueError(f"output mode {output_mode!r} has no file form")
     spark = stream.sparkSession
     output = output or scratch_path(spark, f"{name}_out")
     checkpoint = checkpoint or scratch_path(spark, f"{name}_ckpt")
@@ -96,6 +102,66 @@ def run_to_files(stream: DataFrame, name: str, output_mode: str = "append",
     return output
 
 
+#: Event time of the message that closes a stream: later than any real event.
+CLOSING_TIME = "9000-01-01 00:00:00"
+
+
+def run_to_end(stream: DataFrame, ts: str, name: str, build: Callable[[DataFrame], DataFrame],
+               checkpoint: str | None = None, output: str | None = None) -> str:
+    """T2-T5 over a stream that ends: every window closes, the last ones too.
+
+    ``build`` turns the events into the windowed result (append mode, bounded
+    state).  The first run takes all events; then a closing message, a row
+    with only ``ts`` set to ``CLOSING_TIME``, moves the watermark past every
+    open window and a second run from the same checkpoint emits them.  Rows of
+    the closing message's own windows are the caller's to drop (see
+    ``before_closing``).  Returns the output path.
+    """
+    spark = stream.sparkSession
+    output = output or scratch_path(spark, f"{name}_out")
+    checkpoint = checkpoint or scratch_path(spark, f"{name}_ckpt")
+    closing = scratch_path(spark, f"{name}_closing")
+    row = spark.range(1).select(*[
+        (F.to_timestamp_ntz(F.lit(CLOSING_TIME)) if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in stream.schema])
+    row.limit(0).write.parquet(closing)
+    both = build(stream.unionByName(spark.readStream.schema(stream.schema).parquet(closing)))
+    run_to_files(both, name, checkpoint=checkpoint, output=output)
+    row.write.mode("append").parquet(closing)
+    return run_to_files(both, name, checkpoint=checkpoint, output=output)
+
+
+def before_closing(ts) -> Column:
+    """Rows that do not belong to the closing message (a day of slack for
+    windows that reach back from it)."""
+    return F.col(ts) < F.timestamp_add("DAY", F.lit(-1), F.to_timestamp_ntz(F.lit(CLOSING_TIME)))
+
+
+def files_in(spark: SparkSession, folder: str) -> list[str]:
+    """The data files of a folder (one name per file; contents are not read)."""
+    return [r.path for r in spark.read.format("binaryFile").load(folder).select("path").collect()]
+
+
+def delete_files(spark: SparkSession, paths: list[str]) -> None:
+    """Remove files on whatever file system they are."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(hadoop).delete(p, False)
+
+
+def ingest_and_remove(spark: SparkSession, landing: str, schema, name: str, fmt: str = "parquet",
+                      output: str | None = None, checkpoint: str | None = None) -> str:
+    """Append everything in the landing folder, then remove the files that
+    were there when the run began.  They go only after the run has committed;
+    after a failure in between, the checkpoint keeps the next run from taking
+    them twice, and it removes them.  Files that arrive meanwhile stay."""
+    present = files_in(spark, landing)
+    output = run_to_files(file_stream(spark, landing, schema, fmt), name, output=output, checkpoint=checkpoint)
+    delete_files(spark, present)
+    return output
+
+
 def run_for_seconds(stream: DataFrame, name: str, seconds: float,
                     output: str | None = None, checkpoint: str | None = None,
                     trigger: str = "1 second", fmt: str = "parquet") -> str:
@@ -136,7 +202,7 @@ def valid_rejects_sink(valid_path: str, rejects_path: str, col: str, schema: str
     is persisted once so the split does not read the source twice; rows carry
     the batch id so a retried batch replaces its own output."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ok = F.try_parse_json(F.col(col)).isNotNull()
+        ok = is_json_object(col)
         batch.persist()
         try:
             tagged = batch.withColumn("batch_id", F.lit(batch_id))
