@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Callable
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from .textmap import map_texts, space_words
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-          "n_distinct", "n_lines", "n_letters", "n_upper", "n_exclaim", "n_stops")
+          "n_distinct", "n_lines", "n_letters", "n_upper", "n_exclaim", "n_stops", "n_stutter")
 _RESULT = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS])
 
 REPEAT_WINDOW = 5
@@ -56,7 +57,7 @@ def count_text(text: bytes | None) -> list[int]:
     return [len(words), len(codepoints.translate(None, _SPACES)),
             len(text) - len(text.translate(None, b"#*$%&|<>")), len(lines) - len(set(lines)), repeated,
             len(set(words)), len(lines), len(letters), len(letters) - len(letters.translate(None, _UPPER)),
-            text.count(b"!"), text.count(b".") + text.count(b"?")]
+            text.count(b"!"), text.count(b".") + text.count(b"?"), sum(map(eq, words, words[1:]))]
 
 
 def with_counts(docs: DataFrame, text: str = "text", keep: list | None = None) -> DataFrame:
@@ -93,13 +94,14 @@ def _rules() -> dict[str, Callable[[Column], Column]]:
 
     return {
         "symbols": at_least("n_symbols", "n_words", 0.1),
-        "repeats": at_least("n_repeat_words", "n_words", 0.2),
+        "repeats": at_least("n_repeat_words", "n_words", 0.25),
         "lines": bad(lambda c: (_share(c, "n_dup_lines", "n_lines") >= 0.3) & (c["n_lines"] >= 5)),
         "capitals": at_least("n_upper", "n_letters", 0.4),
         "shouting": at_least("n_exclaim", "n_words", 0.3),
+        "stutter": at_least("n_stutter", "n_words", 0.25),
         "monotony": bad(lambda c: (_share(c, "n_distinct", "n_words") < 0.25) & (c["n_words"] < 2000)),
         "word_length": bad(lambda c: ~_share(c, "word_chars", "n_words").between(2.0, 12.0)),
-        "letters": bad(lambda c: (_share(c, "n_letters", "word_chars") < 0.75) & (c["n_words"] >= 30)),
+        "letters": bad(lambda c: (_share(c, "n_letters", "word_chars") < 0.68) & (c["n_words"] >= 30)),
         "unpunctuated": bad(lambda c: (_share(c, "n_stops", "n_words") < 0.01) & (c["n_words"] >= 40)),
         "prose": good(prose),
         "varied": good(varied),
