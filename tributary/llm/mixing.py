@@ -180,22 +180,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     numbered = _numbered(docs, id_col, text, source, n_blocks)
     by_block = materialize(numbered.groupBy("m_source", "m_block").agg(F.sum("m_size").alias("words")), "mix-blocks")
     plans = plan_targets([tuple(r) for r in by_block.groupBy("m_source").agg(F.sum("words")).collect()], weights)
-    sources = spark.createDataFrame(
+    # Written, so that Spark knows its size: a small table is broadcast unasked.
+    sources = materialize(spark.createDataFrame(
         [(p.source, p.number, p.size, p.target, p.passes, p.rest) for p in plans],
-        "m_source string, number int, source_size long, target double, passes int, rest double")
+        "m_source string, number int, source_size long, target double, passes int, rest double").coalesce(1), "mix-sources")
     same = lambda a, b: a["m_source"].eqNullSafe(b["m_source"])
-    blocks = by_block.join(F.broadcast(sources), same(by_block, sources)).drop(by_block["m_source"])
+    blocks = by_block.join(sources, same(by_block, sources)).drop(by_block["m_source"])
 
     # Of the last pass a block is taken whole, cut, or not at all.
     ran = _running(blocks.select("number", "m_block", "words"), 1024)
-    ran = materialize(ran.join(F.broadcast(sources.select("number", "rest", "passes")), "number").withColumn(
+    ran = materialize(ran.join(sources.select("number", "rest", "passes"), "number").withColumn(
         "part", F.when(F.col("before") + F.col("words") <= F.col("rest"), F.lit("all"))
         .when(F.col("before") < F.col("rest"), F.lit("cut")).otherwise(F.lit("none"))), "mix-ranks")
     cut = ran.where("part = 'cut'").select("number", "m_block", (F.col("rest") - F.col("before")).alias("need"))
+    cut = materialize(cut.join(sources, "number").select(
+        F.col("m_source").alias("c_source"), F.col("m_block").alias("c_block"), "number", "need"), "mix-cuts")
     cut_docs = numbered.select("m_source", "m_block", "m_hash", "m_size").where("m_size > 0").join(
-        F.broadcast(cut.join(F.broadcast(sources), "number").select("m_source", "m_block", "number", "need")
-                    .withColumnsRenamed({"m_source": "c_source", "m_block": "c_block"})),
-        F.expr("m_source <=> c_source and m_block = c_block"))
+        cut, F.expr("m_source <=> c_source and m_block = c_block"))
     fitted = cut_docs.groupBy("number", "need", "m_hash").agg(F.sum("m_size").alias("size")).groupBy(
         "number").applyInPandas(_fit_block, "number int, cut_hashes array<long>")
 
@@ -207,15 +208,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     dealt = split_quotas(spark, quotas, n_shards).select(
         "number", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("k"), "shard")
 
-    total = F.broadcast(spark.createDataFrame([(n, b) for n, (b, _) in per_source.items()], "number int, blocks long"))
+    total = ran.groupBy("number").agg(F.count(F.lit(1)).alias("blocks"))
     drawn = ran.join(total, "number").withColumn(
         "pass", F.explode(F.sequence(F.lit(0), F.col("passes")))).where("pass < passes or part <> 'none'")
     drawn = drawn.withColumn("k", F.col("pass") * F.col("blocks") + F.col("rank")).join(dealt, ["number", "k"])
     copies = drawn.groupBy("number", "m_block").agg(
         F.array_sort(F.collect_list(F.struct("pass", "shard"))).alias("draws"),  # at most one per pass
         F.max(F.when((F.col("pass") == F.col("passes")) & (F.col("part") == "cut"), F.col("passes"))).alias("cut_pass"))
-    copies = copies.join(F.broadcast(fitted), "number", "left").join(
-        F.broadcast(sources), "number").select(
+    copies = copies.join(materialize(fitted, "mix-fits"), "number", "left").join(sources, "number").select(
         F.col("m_source").alias("c_source"), F.col("m_block").alias("c_block"), "draws", "cut_pass",
         F.when(F.col("cut_pass").isNotNull(), F.col("cut_hashes")).alias("cut_hashes"))
 
@@ -228,7 +228,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     copies = materialize(copies, "mix-draws")
     rows = numbered.join(copies, F.expr("m_source <=> c_source and m_block = c_block"), "left").select(
         "row", "m_source", "m_size", "m_hash", shards.alias("shards"))
-    rows = rows.join(F.broadcast(sources.select(F.col("m_source").alias("p_source"), "source_size", "target")),
+    rows = rows.join(sources.select(F.col("m_source").alias("p_source"), "source_size", "target"),
                      F.expr("m_source <=> p_source"), "left")
     return Mix(rows.select("row", "m_size", "m_hash", "source_size", "target", "shards"), plans, n_shards)
 
