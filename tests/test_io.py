@@ -196,3 +196,14 @@ def test_sql_sources_leave_no_view_behind(spark):
     before = {t.name for t in spark.catalog.listTables()}
     assert [r.v for r in sql_source(spark, "select v from {t} where v > :low", {"low": 2}, t=df).collect()] == [5]
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_discard_removes_scratch_only(spark):
+    from tributary.session import discard, materialize
+    stored = materialize(spark.range(5), "discard_me")
+    folder = stored._scratch
+    assert stored.count() == 5 and os.path.exists(folder.removeprefix("file:"))
+    discard(spark.read.parquet(folder))  # a frame of the caller's own
+    assert os.path.exists(folder.removeprefix("file:"))
+    discard(stored)
+    assert not os.path.exists(folder.removeprefix("file:"))

@@ -128,10 +128,24 @@ def materialize(df, name: str):
     Cuts the lineage (a lost executor recomputes from the written table, not
     from the whole upstream plan), and gives Catalyst the table's real size,
     so a small derived side is broadcast on evidence, not on a hint.
+    ``discard`` removes the files again.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    stored._scratch = path
+    return stored
+
+
+def discard(stored) -> None:
+    """Remove the files of a frame that ``materialize`` returned, once nothing
+    that is still to run reads them; other frames are left alone."""
+    path = getattr(stored, "_scratch", None)
+    if path is None:
+        return
+    spark = stored.sparkSession
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def parallelism(spark: SparkSession) -> int:
