@@ -37,7 +37,7 @@ def expected(tokenizer, rows):
 def test_encoder_equals_whole_texts(tokenizer):
     with open(tokenizer_file(), "rb") as f:
         encoder = token_orc.Encoder(f.read(), memory_units=20)
-    for texts in (TEXTS, [None, *TEXTS[::-1]], TEXTS * 3, ["only one"], [""]):
+    for texts in (TEXTS, [None, *TEXTS[::-1]], TEXTS * 3, ["only one"], [""], ["qqz"], ["\n"], [" "]):
         ids, sizes = encoder.encode(pa.array(texts, pa.string()))
         want = [tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
         assert sizes.tolist() == [len(w) for w in want]

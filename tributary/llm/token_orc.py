@@ -27,7 +27,7 @@ import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, count, islice
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -75,44 +75,45 @@ class Encoder:
     def _units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The unit numbers of all texts one after another, and how many each
         text has.  Arrow cuts the texts and folds equal units; the dictionary
-        is asked once per distinct unit."""
+        is asked once per distinct unit, and new units are encoded."""
         marked = pc.replace_substring(texts, " ", "\x00 ")
         marked = pc.replace_substring(marked, "\n", "\x00\n\x00")
         lists = pc.split_pattern(marked, "\x00")
         units = lists.flatten().dictionary_encode()
-        distinct = units.dictionary.to_pylist()
-        number = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+        distinct = units.dictionary
+        number = np.fromiter(map(self.number.__getitem__, distinct.to_pylist()), np.int64, len(distinct))
+        new = distinct.filter(pa.array(number >= len(self.first)))  # in the order of their numbers
+        if len(new):
+            self._learn(new)
         return number[units.indices.to_numpy()], pc.list_value_length(lists).to_numpy()
 
     def _encode_plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_units(self, units: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the units one after another, and the ids of each.
 
         Units that start with a space and end in none are encoded a hundred at
         a time: the pieces of such a run are those of its units, and the bytes
         that each id stands for tell where one unit's ids end.
         """
-        encoded = self._encode_plain(["".join(units[i:i + 100]) for i in range(0, len(units), 100)])
+        if not len(units):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        ends = np.frombuffer(units.buffers()[1], np.int32)[:len(units) + 1]  # one after another in one buffer
+        content, cuts = memoryview(units.buffers()[2] or b""), np.append(ends[:-1:100], ends[-1]).tolist()
+        encoded = self._encode_plain([str(content[a:b], "utf-8") for a, b in zip(cuts, cuts[1:], strict=False)])
         ids = np.fromiter(chain.from_iterable(encoded), np.int32, sum(map(len, encoded)))
-        ends = np.cumsum(sizes)
         reached = np.cumsum(self.id_bytes[ids])
-        last = np.searchsorted(reached, ends)
-        if len(units) and not np.array_equal(reached[last], ends):
+        last = np.searchsorted(reached, ends[1:])
+        if not np.array_equal(reached[last], ends[1:]):
             raise ValueError("the tokenizer merges over a space")
         return ids, np.diff(np.append(-1, last))
 
-    def _learn(self) -> None:
-        """Encode the units numbered since the last call."""
-        known = len(self.first)
-        new = pa.array(list(islice(reversed(self.number), len(self.number) - known))[::-1], pa.string())
-        if not len(new):
-            return
-        sizes = pc.binary_length(new).to_numpy()
+    def _learn(self, new: pa.Array) -> None:
+        """Encode units that just got the next numbers."""
         joins = pc.starts_with(new, " ").to_numpy(zero_copy_only=False)
-        joins &= pc.binary_length(pc.utf8_rtrim_whitespace(new)).to_numpy() == sizes
-        ids, length = self._encode_units(new.filter(pa.array(joins)).to_pylist(), sizes[joins])
+        joins &= pc.equal(pc.binary_length(pc.utf8_rtrim_whitespace(new)), pc.binary_length(new)).to_numpy(zero_copy_only=False)
+        ids, length = self._encode_units(new.filter(pa.array(joins)))
         alone = self._encode_plain(new.filter(pa.array(~joins)).to_pylist())
         lengths = np.empty(len(new), np.int64)
         lengths[joins] = length
@@ -133,7 +134,6 @@ class Encoder:
         odd = pc.match_substring_regex(texts, _ODD)
         whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
         number, per_text = self._units(pc.if_else(odd, "", texts) if whole else texts)
-        self._learn()
         length = self.length[number]
         ids = self.tokens[sa.spread(self.first[number], length)]
         ends = np.concatenate([[0], np.cumsum(length)])[np.cumsum(per_text)]
@@ -219,7 +219,7 @@ def with_crc32(tokens: DataFrame, keep: list[str]) -> DataFrame:
         for batch in batches:
             ids = batch.column("ids")
             offsets = ids.offsets.to_numpy()
-            values = np.ascontiguousarray(ids.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False))
+            values = ids.values.to_numpy(zero_copy_only=False).astype("<i4", copy=False)
             crc = [zlib.crc32(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(k) for k in keep] + [pa.array(crc, pa.int64())],
                                              names=[*keep, "ids_crc32"])
