@@ -47,6 +47,9 @@ ORDINARY_BYTES = 1 << 16
 TOXIC_BYTES = 1 << 11
 GRAM = 6
 TELLING_GRAMS = 400
+RATIO = 3
+#: Thresholds: quantiles of the gains of unseen ordinary windows, and their least values.
+QUANTILES = ((1.0, 0.99), (2.0, 0.999), (3.0, 0.9999))
 FOLDS = 3
 
 _RESULT = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("max_gain", T.LongType()),
@@ -71,13 +74,16 @@ def _train(size: int, samples: list[bytes], segment: int) -> bytes:
         return b"".join(dict.fromkeys(samples))[-size:]
 
 
-def telling_runs(toxic: list[bytes], often: Counter, seldom: Counter, n_toxic: int, n_ordinary: int) -> list[bytes]:
-    """The stretches of toxic texts made of telling letter groups: those whose
-    share of toxic documents exceeds five times their share of ordinary ones
-    by most."""
+def telling_grams(often: Counter, seldom: Counter, n_toxic: int, n_ordinary: int) -> set[bytes]:
+    """The letter groups whose share of toxic documents exceeds ``RATIO`` times
+    their share of ordinary ones by most."""
     least = 3 if n_toxic >= 50 else 2
-    excess = {g: n / n_toxic - 5 * (seldom[g] + 0.5) / n_ordinary for g, n in often.items() if n >= least}
-    telling = {g for g in heapq.nlargest(TELLING_GRAMS, excess, key=lambda g: (excess[g], g)) if excess[g] > 0}
+    excess = {g: n / n_toxic - RATIO * (seldom[g] + 0.5) / n_ordinary for g, n in often.items() if n >= least}
+    return {g for g in heapq.nlargest(TELLING_GRAMS, excess, key=lambda g: (excess[g], g)) if excess[g] > 0}
+
+
+def telling_runs(toxic: list[bytes], telling: set[bytes]) -> list[bytes]:
+    """The stretches of texts that telling letter groups make up."""
     runs = []
     for text in toxic:
         covered = np.zeros(len(text) + 2, np.int8)
@@ -89,6 +95,15 @@ def telling_runs(toxic: list[bytes], often: Counter, seldom: Counter, n_toxic: i
     return runs
 
 
+def completed(dictionary: bytes, runs: list[bytes], size: int) -> bytes:
+    """The trained dictionary after the frequent words of the runs that it
+    lacks: training picks segments by score and can miss some."""
+    words = Counter(w for run in runs for w in set(run.split()) if len(w) >= GRAM - 1)
+    lacking = [b" " + w + b" " for w, n in sorted(words.items(), key=lambda x: (-x[1], x[0]))
+               if n >= 2 and w not in dictionary]
+    return b"".join(lacking)[:size] + dictionary
+
+
 @dataclass
 class Distance:
     """The two dictionaries as compressors."""
@@ -121,16 +136,17 @@ class Distance:
         return np.array([len(plain(w + known)) - len(toxic(w + known)) for w in windows(text)], np.float64)
 
 
-def _features(gains: np.ndarray, threshold: float) -> list[float]:
+def _features(gains: np.ndarray, thresholds: list[float]) -> list[float]:
+    """Largest gains, how many windows pass each threshold, mean gain, length."""
     top = np.sort(gains)[::-1]
-    size = np.log(len(gains))
-    return [1.0, top[0], top[1] if len(top) > 1 else 0.0, float((gains > threshold).sum()) ** 0.5, size, top[0] * size]
+    return [1.0, top[0], top[1] if len(top) > 1 else 0.0, *(float((gains > t).sum()) ** 0.5 for t in thresholds),
+            float(gains.mean()), float(np.log(len(gains)))]
 
 
 @dataclass
 class Model:
     distance: Distance | None
-    threshold: float
+    thresholds: list[float]
     weights: np.ndarray
     prior: float
 
@@ -138,7 +154,7 @@ class Model:
         if self.distance is None:
             return self.prior, 0, len(windows(text))
         gains = self.distance.gains(text)
-        z = float(np.dot(_features(gains, self.threshold), self.weights))
+        z = float(np.dot(_features(gains, self.thresholds), self.weights))
         return 1 / (1 + float(np.exp(-np.clip(z, -30, 30)))), int(gains.max()), len(gains)
 
 
@@ -164,7 +180,7 @@ def fit(toxic: list[bytes], ordinary: list[bytes], prior: float) -> Model:
     """Train the dictionaries; calibrate on gains that dictionaries of the
     other folds give."""
     if not toxic or not ordinary:
-        return Model(None, 0.0, np.zeros(6), prior)
+        return Model(None, [], np.zeros(0), prior)
     normal = [[b" " + b" ".join(alnum_words(t)) + b" " for t in side] for side in (toxic, ordinary)]
     folds = FOLDS if min(len(toxic), len(ordinary)) >= 2 * FOLDS else 1
 
@@ -180,9 +196,11 @@ def fit(toxic: list[bytes], ordinary: list[bytes], prior: float) -> Model:
         used = [f for f in range(folds) if f != without or folds == 1]
         own = [[t for f in used for t in side[f::folds]] for side in normal]
         often, seldom = (sum((side[f] for f in used), Counter()) for side in counts)
-        runs = telling_runs(own[0], often, seldom, len(own[0]), len(own[1]))
-        cut = [w for f in used for t in ordinary[f::folds] for w in windows(t)]
-        return Distance(_train(ORDINARY_BYTES, cut, 64), _train(TOXIC_BYTES, runs, 16))
+        telling = telling_grams(often, seldom, len(own[0]), len(own[1]))
+        runs = telling_runs(own[0], telling)
+        # The ordinary dictionary must not know the telling groups either.
+        cut = [w for f in used for t in ordinary[f::folds] for w in windows(t) if telling.isdisjoint(_grams(w))]
+        return Distance(_train(ORDINARY_BYTES, cut, 64), completed(_train(TOXIC_BYTES, runs, 16), runs, TOXIC_BYTES))
 
     gains, label = [], []
     for f in range(folds):
@@ -193,10 +211,10 @@ def fit(toxic: list[bytes], ordinary: list[bytes], prior: float) -> Model:
                 label.append(y)
     y = np.array(label, np.float64)
     plain = np.concatenate([g for g, one in zip(gains, label, strict=True) if not one])
-    threshold = max(1.0, float(np.quantile(plain, 0.999)))
-    x = np.array([_features(g, threshold) for g in gains])
+    thresholds = [max(least, float(np.quantile(plain, q))) for least, q in QUANTILES]
+    x = np.array([_features(g, thresholds) for g in gains])
     weight = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
-    return Model(distance(None), threshold, _logistic(x, y, weight), prior)
+    return Model(distance(None), thresholds, _logistic(x, y, weight), prior)
 
 
 def held_out(doc_id: Column) -> Column:
