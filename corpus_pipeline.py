@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tributary.llm import decontaminate, mixing, quality, simhash
 from tributary.llm.queries import token_rows
 from tributary.plans.registry import table
-from tributary.session import materialize
+from tributary.session import discard, materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,5 +51,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        kept = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)

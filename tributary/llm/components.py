@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -42,5 +42,6 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now[0] == 0 or now == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = now
-        edges = materialize(_small_star(_large_star(edges)), "links")
+        seen, before = now, edges
+        edges = materialize(_small_star(_large_star(before)), "links")
+        discard(before)
