@@ -1,7 +1,7 @@
 """Inline datasets of the reference jobs (FIXTURES.md §1), as test inputs.
 
-Fixed values: these rows and texts must equal the reference's so that the
-expected results of FIXTURES.md §3 hold.
+Fixed values: these rows must equal the reference's so that the expected
+results of FIXTURES.md §3 hold.  The longer texts are our own.
 """
 
 FARM_LINE = "Onion, Strawberry,Carrot,Potato,Eggplant,Tomato"
@@ -38,35 +38,28 @@ SOLD_LINES = ["aa sold qty is 10", "bb sold qty is 9", "cc sold qty is 22",
 PLANTS_EVENT_TIME = [("Strawberry", 1585699200), ("Carrot", 1590969600)]
 PLANTS_LOGICAL = [("Strawberry", 1), ("Carrot", 4)]
 
-_CONT = " " * 8
-AI_TEXT = (
-    "Artificial Intelligence (AI) is transforming the way we interact with technology, "
-    "revolutionizing industries ranging from healthcare and finance to transportation and "
-    "entertainment." + _CONT +
-    "By leveraging advanced algorithms, machine learning, and deep learning, AI enables "
-    "computers to perform tasks that typically require human intelligence, such as "
-    "problem-solving, decision-making, and language understanding." + _CONT +
-    "From voice assistants and recommendation systems to autonomous vehicles and medical "
-    "diagnostics, AI enhances efficiency, accuracy, and personalization. While AI offers "
-    "immense benefits," + _CONT +
-    "it also raises ethical concerns regarding Intelligence data privacy, bias, and job "
-    "displacement. As the field continues to evolve, responsible AI development and "
-    "regulation will be crucial in ensuring its positive impact on society.")
+# Own prose: a few words repeat, some carry brackets, commas or full stops.
+RIVER_TEXT = (
+    "The river (AI 7) rises in the northern hills, passes three quiet villages and turns east "
+    "towards the harbour.        Every spring the melted snow doubles its depth, and the harbour "
+    "master counts barges, rafts and ferries twice a day.        Old charts call it AI 7 as well, "
+    "though nobody remembers why; the harbour museum keeps one chart, copied in 1840, that names "
+    "every village and every bridge.")
 
+# Own lines: a channel, an indented headline, an age, blanks.
 NEWS_TEXT = "\n".join([
-    "NDTV",
-    " " * 13 + "Almost Irrelevant PM Modi Slams UN, International Organisations On Podcast",
+    "Harbour Radio",
+    " " * 13 + "Ferry line opens a third pier",
     " " * 13 + "2 hours ago",
     " " * 13,
-    " " * 12 + "By Manjiri Chitre",
+    " " * 12 + "By Nora Quay",
     "",
-    " " * 12 + "Business Today",
-    " " * 12 + "\u2018He who is afraid of\u2026\u2019: Congress criticises PM Modi\u2019s podcast "
-    "with Lex Fridman, calls it hypocrisy",
+    " " * 12 + "Valley Post",
+    " " * 12 + "“Nobody asked the villages…”: council puts off the bridge’s repair",
     " " * 12 + "1 hour ago",
     "",
-    " " * 12 + "The Hindu",
-    " " * 12 + "False narrative created over 2002 Gujarat riots, courts found us innocent: PM",
+    " " * 12 + "Hill Courier",
+    " " * 12 + "Snow is late, 12 hours ago is not",
     " " * 12 + "12 hours ago",
 ])
 
@@ -75,7 +68,7 @@ JOBS = [("Alice", "Software Engineer"), ("Bob", "Doctor"), ("Charlie", "Teacher"
 HOBBIES = [("Alice", "Reading"), ("Bob", "Cycling"), ("Charlie", "Painting"),
            ("David", "Photography"), ("Emma", "Gardening")]
 
-NEWS_CHANNELS = ["Business Today", "The Hindu", "NDTV"]
+NEWS_CHANNELS = ["Valley Post", "Hill Courier", "Harbour Radio"]
 
 CUSTOMERS_NULLS = [(1, "John", 25, "New York"), (2, "Sarah", None, "San Francisco"),
                    (3, "Michael", 40, None), (4, "Jessica", None, "Los Angeles"),

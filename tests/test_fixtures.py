@@ -3,6 +3,9 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,31 +161,30 @@ def test_p21_labels(spark):
 
 
 def test_p20_side_input_band(spark):
-    df = one_col(spark, [D.AI_TEXT])
+    df = one_col(spark, [D.RIVER_TEXT])
     words = X.tokens(df, "value", None)
     band = X.length_band_filter(words, "word", 2, 10)
-    assert band.count() == 63
-    assert band.select("word").distinct().count() == 53
-    first = band.orderBy("pos").first()
-    assert (first.word, len(first.word)) == ("(AI)", 4)
+    want = [w for w in D.RIVER_TEXT.split() if 2 < len(w) < 10]
+    assert [r.word for r in band.orderBy("pos").collect()] == want and len(want) == 59
+    assert band.select("word").distinct().count() == len(set(want)) == 50
 
 
 def test_f4_side_input_membership(spark):
-    df = one_col(spark, [D.AI_TEXT])
+    df = one_col(spark, [D.RIVER_TEXT])
     words = X.tokens(df, "value", " ")
-    side = one_col(spark, ["AI", "intelligence", "algorithm"], name="word")
+    side = one_col(spark, ["AI", "harbour", "glacier"], name="word")
     got = rows(A.count_per_key(FL.semi_join(words, side, "word"), "word"))
-    assert got == [("AI", 4)]
+    assert got == [("AI", 1), ("harbour", 2)]
 
 
 def test_p18_composite(spark):
     from tributary.plans.q_rows import word_frequency
-    df = one_col(spark, [D.AI_TEXT], name="text")
+    df = one_col(spark, [D.RIVER_TEXT], name="text")
     freq = df.transform(word_frequency(5))
-    assert freq.agg(F.sum("n")).first()[0] == 59
-    assert freq.count() == 57
-    got = dict(rows(freq))
-    assert got["Intelligence"] == 2 and got["learning"] == 2
+    lead = [re.match(r"[^.|,()]+", w) for w in D.RIVER_TEXT.split()]
+    want = Counter(m[0] for m in lead if m and len(m[0]) > 5)
+    assert dict(rows(freq)) == want
+    assert want["harbour"] == 3 and want["village"] == 1 and want["(AI"] == 0
 
 
 def test_f5_f7_news(spark):
@@ -194,7 +196,9 @@ def test_f5_f7_news(spark):
                  .orderBy("pos"))
     got = [r.line for r in kept.collect()]
     assert len(got) == 4
-    assert got[1] == "By Manjiri Chitre"
+    assert got == ["Ferry line opens a third pier", "By Nora Quay",
+                   "“Nobody asked the villages…”: council puts off the bridge’s repair",
+                   "Snow is late, 12 hours ago is not"]
 
 
 def test_w1_w3_null_fill(spark):

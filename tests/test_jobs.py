@@ -130,7 +130,7 @@ def test_clean_csv_ingest_two_arrivals(spark):
 def test_news_lines(spark):
     df = spark.createDataFrame([(D.NEWS_TEXT,)], "value string")
     got = [r.line for r in J.news_lines(df, "value", D.NEWS_CHANNELS).orderBy("pos").collect()]
-    assert len(got) == 4 and got[1] == "By Manjiri Chitre"
+    assert len(got) == 4 and got[1] == "By Nora Quay"
 
 
 def test_distinct_top_rentals(spark):
