@@ -17,17 +17,29 @@ TESTS = {
     "S1": "tests/test_fixtures.py (every in-memory dataset)",
     "S2": "tests/test_fixtures.py (typed and names-only frames)",
     "S14": "tests/test_io.py::test_s17_rate_source_messages (bounded listen)",
+    "S10": "tests/test_io.py::test_json_array_files_round_trip",
+    "S11": "tests/test_io.py::test_sql_sources_leave_no_view_behind",
+    "S15": "tests/test_streams.py::test_ingested_files_leave_the_landing_folder",
     "S17": "tests/test_io.py::test_s17_rate_source_messages",
-    "K2": "tests/test_io.py::test_k2_append_autodetect_checks_columns",
+    "K1": "tests/test_io.py::test_declared_schema_takes_nested_ddl",
+    "K2": "tests/test_io.py::test_k2_append_autodetect_checks_columns, ::test_append_refuses_other_types_and_broken_targets",
     "K5": "tests/test_io.py::test_k5_default_mode_refuses_existing",
     "K7": "tests/test_io.py::test_k7_k8_text_and_json_lines",
     "K10": "tests/test_io.py::test_k10_show_is_bounded",
     "K11": "tests/test_io.py::test_k11_tap_metrics, tests/test_streams.py::test_stream_tap_reports_metrics",
+    "A1": "tests/test_edges.py::test_hot_key_third_of_rows_group_by_key, tests/test_fixtures.py::test_groups_have_one_shape_at_any_size",
+    "J1": "tests/test_edges.py::test_cogroup_keeps_a_shared_value_type",
+    "P6": "tests/test_edges.py::test_only_json_objects_are_valid",
+    "P10": "tests/test_edges.py::test_text_forms_keep_null_fields",
+    "R8": "tests/test_edges.py::test_replace_first_leaves_the_users_pattern_alone",
+    "T2": "tests/test_streams.py::test_stream_to_its_end_equals_batch",
+    "T4": "tests/test_plans.py::test_global_sessions_scan_the_events_once",
+    "T9": "tests/test_streams.py::test_update_mode_has_no_file_form, ::test_complete_mode_holds_all_keys_over_batches",
     "T10": "tests/test_streams.py::test_late_row_dropped_after_watermark",
     "T11": "tests/test_io.py::test_t11_shards",
     "X1": "tests/test_io.py::test_x1_map_hook",
     "X2": "tests/test_fixtures.py::test_x2_flat_map_hook",
-    "X3": "tests/test_fixtures.py::test_x3_combine_hook_hot_key",
+    "X3": "tests/test_fixtures.py::test_x3_combine_hook_hot_key, tests/test_edges.py::test_combine_hook_keeps_large_keys_and_null_keys_apart",
     "P14": "tests/test_fixtures.py::test_p14_numeric_columns",
     "R14": "tests/test_io.py::test_positional_csv_header_ragged_and_quoted",
 }

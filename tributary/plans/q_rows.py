@@ -23,7 +23,7 @@ def docs(spark, sf_dir, *cols):
 # ---------------------------------------------------------------- P1-P4
 
 
-@query("map_length", ids=("P1", "X1"), sql="""
+@query("map_length", ids=("P1",), sql="""
 select p_partkey, cast(length(p_name) as integer) as length from part
 """)
 def map_length(spark, sf_dir):
