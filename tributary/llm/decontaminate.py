@@ -30,6 +30,8 @@ from . import suffix_arrays as sa
 from .textmap import alnum_words, map_texts
 
 WINDOW = 10
+#: Text bytes of a shard: a longer document is a shard of its own.
+SHARD_BYTES = 4 << 20
 BLOCK_BYTES = 2 << 20
 
 _RESULT = T.StructType([
@@ -181,7 +183,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
             return lambda texts: search_shard(texts, tests)
         last = b == len(blocks) - 1
         kept = [c for c in frame.columns if c != "text" or not last]
-        frame = map_texts(frame, "text", kernel, _RESULT, keep=kept).select("row.*", F.col("res").alias(f"b{b}"))
+        frame = map_texts(frame, "text", kernel, _RESULT, keep=kept, group_bytes=SHARD_BYTES).select(
+            "row.*", F.col("res").alias(f"b{b}"))
     parts = [F.col(f"b{b}") for b in range(len(blocks))]
     spans = F.array_sort(F.flatten(F.array(*[F.arrays_zip(p["starts"].alias("s"), p["ends"].alias("e"))
                                              for p in parts])))

@@ -1,11 +1,12 @@
 """Quality by weak supervision: rules vote or abstain, EM weighs the votes.
 
 Each rule looks at a few counts of the whole text and votes bad (-1), good
-(+1) or abstains (0).  Spark counts the vote patterns (at most 3 ** rules rows
-reach the driver, whatever the corpus size); expectation-maximisation on those
-counts estimates how often each rule votes how on good and on bad documents;
-the posterior probability of good decides, not the strictest rule.  A base
-rule drops very short and very repetitive texts whatever the posterior is.
+(+1) or abstains (0).  Spark counts the vote patterns (twelve rules with two
+outcomes each: at most 4,096 rows reach the driver, whatever the corpus);
+expectation-maximisation on those counts estimates how often each rule votes
+how on good and on bad documents; the posterior probability of good decides,
+not the strictest rule.  A base rule drops very short and very repetitive
+texts whatever the posterior is.
 
 Defined cases: a null text has no words and fails the base rule, as does an
 empty one; ties and repeated rows are judged row by row; an empty table gives

@@ -85,7 +85,7 @@ def with_fingerprints(docs: DataFrame, keep: list, text: str = "text",
     """The kept columns and ``fingerprint`` (signed 64-bit) of every row."""
     def kernel():
         return lambda texts: [pa.array(fingerprints(texts, shingle))]
-    return map_texts(docs, text, kernel, _FINGERPRINT, keep=keep, group_bytes=2 << 20).select("row.*", "res.fingerprint")
+    return map_texts(docs, text, kernel, _FINGERPRINT, keep=keep, group_bytes=1 << 19).select("row.*", "res.fingerprint")
 
 
 def differing_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:

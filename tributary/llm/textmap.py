@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 #: Texts are handed to a kernel in groups of about this many bytes (a longer
 #: single text is a group of its own and stays whole).
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 1 << 20
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ALNUM = bytes(c + 32 if 65 <= c <= 90
@@ -85,20 +85,26 @@ def map_texts(df: DataFrame, text: str | Column, make_kernel: Callable[[], Kerne
     takes a list of texts (bytes or None) and returns one Arrow array per
     field of ``result``.
     """
-    text = F.col(text) if isinstance(text, str) else text
     kept = F.struct("*") if keep is None else F.struct(*keep)
-    packed = df.select(kept.alias("row"), text.cast("string").alias("text"))
-    row_type = packed.schema["row"].dataType
+    packed = df.select(kept.alias("row"))
+    row_type, place = packed.schema["row"].dataType, None
+    if isinstance(text, str) and text in row_type.fieldNames() and isinstance(row_type[text].dataType, T.StringType):
+        place = row_type.fieldNames().index(text)  # the text is in the row already
+    else:
+        column = F.col(text) if isinstance(text, str) else text
+        packed = df.select(kept.alias("row"), column.cast("string").alias("text"))
     out = T.StructType([T.StructField("row", row_type), T.StructField("res", result)])
     names = result.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel = make_kernel()
         for batch in batches:
-            texts = batch.column(1)
+            texts = batch.column(1) if place is None else batch.column(0).field(place)
             for a, b in byte_groups(texts, group_bytes):
                 res = pa.StructArray.from_arrays(kernel(text_bytes(texts.slice(a, b - a))), names=names)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), res],
                                                  names=["row", "res"])
+            del batch, texts
+            pa.default_memory_pool().release_unused()  # workers of a core may outlive their stage
 
     return packed.mapInArrow(run, out)
