@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 from ..operators import hooks as H
+from ..session import spread
 
 # The user functions below run on executors: ship them by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -41,7 +42,7 @@ from (select o_orderkey, unnest(range(len(p))) as pos, unnest(p) as piece
       from (select o_orderkey, string_split(o_orderpriority, '-') as p from orders))
 """)
 def udf_flatmap_hook(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"))
     return H.flat_map_hook(o, _priority_pieces, "o_orderkey bigint, pos int, piece string")
 
 
@@ -73,5 +74,5 @@ def _max(s):
 select o_custkey, max(o_totalprice) as combined from orders group by o_custkey
 """)
 def udf_combine_hook(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice"))
     return H.combine_hook(o, "o_custkey", "o_totalprice", _max, _max)

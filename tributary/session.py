@@ -158,10 +158,10 @@ def parallelism(spark: SparkSession) -> int:
 
 def spread(df, min_partitions: int | None = None):
     """Round-robin the rows of a scan over at least ``min_partitions``
-    partitions (default: the cluster's task slots) when it has fewer than half
-    as many, before CPU-heavy per-row work such as tokenising or regex over
-    long texts.  For frames read from files only: counting the partitions of a
-    derived frame can run its upstream shuffles.
+    partitions (default: the cluster's task slots) when it has fewer and its
+    files are fewer than a quarter of that, before CPU-heavy per-row work such
+    as tokenising or regex over long texts.  For frames read from files only:
+    counting the partitions of a derived frame can run its upstream shuffles.
 
     A table stored as one large row group is read by a single task however
     many splits the file is cut into; spreading its rows first lets every core
@@ -171,6 +171,6 @@ def spread(df, min_partitions: int | None = None):
     rows first (``spark.sql.execution.sortBeforeRepartition``).
     """
     target = min_partitions or parallelism(df.sparkSession)
-    if target <= 1 or 2 * df.rdd.getNumPartitions() >= target:
+    if target <= 1 or df.rdd.getNumPartitions() >= target or 4 * len(df.inputFiles()) > target:
         return df
     return df.repartition(target)

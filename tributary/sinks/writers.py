@@ -8,6 +8,7 @@ Display helpers only ever fetch a bounded number of rows.
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,11 +139,11 @@ def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None
     def brackets(batches):
         first = True
         for batch in batches:
-            docs = batch.column(0).to_pylist()
-            lines = ["," + doc for doc in docs]
-            if first and lines:
-                lines[0], first = "[" + docs[0], False
-            yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
+            docs = batch.column(0)
+            if first and len(docs):
+                yield pa.RecordBatch.from_pydict({"value": ["[" + docs[0].as_py()]})
+                docs, first = docs.slice(1), False
+            yield pa.RecordBatch.from_pydict({"value": pc.binary_join_element_wise(",", docs, "")})
         yield pa.RecordBatch.from_pydict({"value": ["[]" if first else "]"]})
 
     docs = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
