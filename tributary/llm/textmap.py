@@ -8,19 +8,21 @@ scan decides the tasks, a lost executor only repeats its own splits.
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Texts are handed to a kernel in groups of about this many bytes (a longer
 #: single text is a group of its own and stays whole).
 GROUP_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ALNUM = bytes(c + 32 if 65 <= c <= 90
@@ -73,6 +75,15 @@ def per_worker(key, make):
     return found[key]
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Spark hands a Python worker Arrow batches of up to 64 MB, held on both
+    sides: for whole texts the session's bound is lowered once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(re.match(r"-?\d+", spark.conf.get(key))[0])
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 Kernel = Callable[[list[bytes | None]], list[pa.Array]]
 
 
@@ -85,6 +96,7 @@ def map_texts(df: DataFrame, text: str | Column, make_kernel: Callable[[], Kerne
     takes a list of texts (bytes or None) and returns one Arrow array per
     field of ``result``.
     """
+    bound_batches(df.sparkSession)
     kept = F.struct("*") if keep is None else F.struct(*keep)
     packed = df.select(kept.alias("row"))
     row_type, place = packed.schema["row"].dataType, None
