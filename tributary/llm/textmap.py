@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import re
 import sys
+import threading
 import types
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -66,13 +68,22 @@ def byte_groups(texts: pa.Array, limit: int = GROUP_BYTES) -> Iterator[tuple[int
         yield start, len(texts)
 
 
-def per_worker(key, make):
-    """One object per key and Python worker process, kept between its tasks."""
-    kept = sys.modules.setdefault("_tributary_per_worker", types.ModuleType("_tributary_per_worker"))
-    found = kept.__dict__.setdefault("objects", {})
-    if key not in found:
-        found[key] = make()
-    return found[key]
+@contextmanager
+def kept_in_worker(key, make, idle_seconds: float = 2.0):
+    """An object that the next task of this Python worker finds again, if it
+    comes within ``idle_seconds``: an idle worker gives its memory back."""
+    kept = sys.modules.setdefault("_tributary_kept", types.ModuleType("_tributary_kept")).__dict__
+    found = kept.pop(key, None)
+    if found:
+        found[1].cancel()
+    held = found[0] if found else make()
+    try:
+        yield held
+    finally:
+        timer = threading.Timer(idle_seconds, kept.pop, (key, None))
+        timer.daemon = True
+        kept[key] = (held, timer)
+        timer.start()
 
 
 def bound_batches(spark: SparkSession) -> None:

@@ -37,11 +37,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import suffix_arrays as sa
-from .textmap import bound_batches, byte_groups, per_worker
+from .textmap import byte_groups, kept_in_worker
 
 END_ID = 2
-#: Remembered units per Python worker; when full, the rarer half and all units
-#: met only once are forgotten.
+#: Remembered units per Python worker; forgotten all at once when full.
 MEMORY_UNITS = 600_000
 ORC_OPTIONS = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01",
                "orc.row.index.stride": "1000", "orc.stripe.size": str(64 << 20),
@@ -65,27 +64,13 @@ class Encoder:
         self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for entry, number in vocabulary.items():
             self.id_bytes[number] = len(entry)
+        self._forget()
+
+    def _forget(self) -> None:
         self.number: dict[str, int] = defaultdict(count(1).__next__, {"": 0})  # "" has no ids
         self.tokens = np.zeros(0, np.int32)
         self.first = np.zeros(1, np.int64)
         self.length = np.zeros(1, np.int64)
-        self.met = np.zeros(1, np.int64)
-
-    def rest(self) -> None:
-        """Between tasks: remember what is worth the memory of an idle worker."""
-        self._forget(self.memory_units // 4)
-
-    def _forget(self, half: int) -> None:
-        """Keep the ``half`` most frequent units at most, none met only once."""
-        often = max(2, int(np.partition(self.met, -half)[-half])) if len(self.met) > half else 2
-        kept = self.met > often if (self.met >= often).sum() > half else self.met >= often
-        kept[0] = True
-        units = [u for u, k in zip(self.number, kept.tolist(), strict=True) if k]
-        self.number = defaultdict(count(len(units)).__next__, {u: i for i, u in enumerate(units)})
-        first, self.length = self.first[kept], self.length[kept]
-        self.tokens = self.tokens[sa.spread(first, self.length)]
-        self.first = np.cumsum(self.length) - self.length
-        self.met = np.zeros(len(units), np.int64)
 
     def _units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The unit numbers of all texts one after another, and how many each
@@ -100,9 +85,7 @@ class Encoder:
         new = distinct.filter(pa.array(number >= len(self.first)))  # in the order of their numbers
         if len(new):
             self._learn(new)
-        all_numbers = number[units.indices.to_numpy()]
-        self.met += np.bincount(all_numbers, minlength=len(self.met))
-        return all_numbers, pc.list_value_length(lists).to_numpy()
+        return number[units.indices.to_numpy()], pc.list_value_length(lists).to_numpy()
 
     def _encode_plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -140,14 +123,13 @@ class Encoder:
         first[~joins] = len(ids) + np.cumsum(lengths[~joins]) - lengths[~joins]
         self.first = np.concatenate([self.first, len(self.tokens) + first])
         self.length = np.concatenate([self.length, lengths])
-        self.met = np.concatenate([self.met, np.zeros(len(lengths), np.int64)])
         self.tokens = np.concatenate([self.tokens, ids, np.fromiter(chain.from_iterable(alone), np.int32)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the number of ids of each text, each
         with the end id."""
         if len(self.number) > self.memory_units:
-            self._forget(self.memory_units // 2)
+            self._forget()
         texts = pc.fill_null(texts, "")
         odd = pc.match_substring_regex(texts, _ODD)
         whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
@@ -171,21 +153,19 @@ class Encoder:
 
 def _encode_shards(ordered: DataFrame, tokenizer_json, name: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId()
-        encoder = per_worker(("encoder", name, end_id), lambda: Encoder(tokenizer_json.value, end_id))
-        at = 0
-        for batch in batches:
-            texts = batch.column("text")
-            for a, b in byte_groups(texts, 4 << 20):
-                ids, sizes = encoder.encode(texts.slice(a, b - a))
-                ends = np.cumsum(sizes)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(np.full(b - a, shard, np.int32)),
-                     pa.array(at + ends - sizes), pa.array(sizes),
-                     pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids))],
-                    names=["doc_id", "shard", "shard_start", "n_tokens", "ids"])
-                at += int(ends[-1])
-        encoder.rest()
+        shard, at = TaskContext.get().partitionId(), 0
+        with kept_in_worker(f"encoder {name} {end_id}", lambda: Encoder(tokenizer_json.value, end_id)) as encoder:
+            for batch in batches:
+                texts = batch.column("text")
+                for a, b in byte_groups(texts, 6 << 20):
+                    ids, sizes = encoder.encode(texts.slice(a, b - a))
+                    ends = np.cumsum(sizes)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").slice(a, b - a), pa.array(np.full(b - a, shard, np.int32)),
+                         pa.array(at + ends - sizes), pa.array(sizes),
+                         pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids))],
+                        names=["doc_id", "shard", "shard_start", "n_tokens", "ids"])
+                    at += int(ends[-1])
 
     return ordered.select("doc_id", "text").mapInArrow(
         run, "doc_id long, shard int, shard_start long, n_tokens long, ids array<int>")
@@ -198,7 +178,6 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
     spark = docs.sparkSession
     with open(tokenizer_file, "rb") as f:
         tokenizer_json = spark.sparkContext.broadcast(f.read())  # one tokenizer file, a few MB
-    bound_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
