@@ -36,8 +36,9 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in ORC, and per row what the files say about it."""
-    return token_rows(spark, docs)
+    """Token ids in ORC, and per row what the files say about it.  The workers
+    have served other stages before: a smaller memory than the operator's own."""
+    return token_rows(spark, docs, memory_units=150_000, group_bytes=2 << 20)
 
 
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates),

@@ -73,10 +73,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "res.n_repeat_words", "base_failed", "kept", F.round("probability", 6).alias("probability"))
 
 
-def token_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def token_rows(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """Write the ids of all documents, read the files back."""
     path = scratch_path(spark, "tokens.orc")
-    token_orc.write_tokens(docs, path, tokenizer_file())
+    token_orc.write_tokens(docs, path, tokenizer_file(), **options)
     return token_orc.with_crc32(token_orc.read_tokens(spark, path), ["doc_id", "start", "n_tokens"])
 
 

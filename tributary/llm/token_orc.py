@@ -151,13 +151,15 @@ class Encoder:
         return np.concatenate(pieces), sizes
 
 
-def _encode_shards(ordered: DataFrame, tokenizer_json, name: str, end_id: int) -> DataFrame:
+def _encode_shards(ordered: DataFrame, tokenizer_json, name: str, end_id: int, memory_units: int,
+                   group_bytes: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, at = TaskContext.get().partitionId(), 0
-        with kept_in_worker(f"encoder {name} {end_id}", lambda: Encoder(tokenizer_json.value, end_id)) as encoder:
+        with kept_in_worker(f"encoder {name} {end_id} {memory_units}",
+                            lambda: Encoder(tokenizer_json.value, end_id, memory_units)) as encoder:
             for batch in batches:
                 texts = batch.column("text")
-                for a, b in byte_groups(texts, 6 << 20):
+                for a, b in byte_groups(texts, group_bytes):
                     ids, sizes = encoder.encode(texts.slice(a, b - a))
                     ends = np.cumsum(sizes)
                     yield pa.RecordBatch.from_arrays(
@@ -172,9 +174,11 @@ def _encode_shards(ordered: DataFrame, tokenizer_json, name: str, end_id: int) -
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID,
-                 id_col: str = "doc_id", text: str = "text", shards: int | None = None) -> None:
+                 id_col: str = "doc_id", text: str = "text", shards: int | None = None,
+                 memory_units: int = MEMORY_UNITS, group_bytes: int = 6 << 20) -> None:
     """Write the ids of all documents as ORC under ``path``, ordered by doc_id
-    over the shards; equal ids are spread by the text's hash."""
+    over the shards; equal ids are spread by the text's hash.  Fewer remembered
+    units and smaller groups of texts take less memory and more time."""
     spark = docs.sparkSession
     with open(tokenizer_file, "rb") as f:
         tokenizer_json = spark.sparkContext.broadcast(f.read())  # one tokenizer file, a few MB
@@ -182,7 +186,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    _encode_shards(ordered, tokenizer_json, tokenizer_file, end_id).write.mode("overwrite").options(**ORC_OPTIONS).orc(path)
+    _encode_shards(ordered, tokenizer_json, tokenizer_file, end_id, memory_units, group_bytes).write.mode("overwrite").options(**ORC_OPTIONS).orc(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
