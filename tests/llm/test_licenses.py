@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 from messy import empty, messy, messy_rows, prose
@@ -50,6 +51,20 @@ def test_misspelt_notices_are_found_with_their_edits():
                 assert any(edits(own, n.text) <= n.edits for n in licenses.NOTICES if n.label == notice.label)
 
 
+def test_pieces_that_occur_twice_in_their_notice_do_not_hide_a_match():
+    scanner = licenses.Scanner()
+    found = scanner.near_matches("the work is licinsed undor thi apochi license version 2 0 and more")
+    assert [(m["label"], m["first_word"], m["last_word"], m["edits"]) for m in found] == [("apache", 3, 10, 5)]
+    rng = random.Random(4)
+    for notice in licenses.NOTICES:
+        for _ in range(60):
+            wrong = list(notice.text)
+            for at in rng.sample([i for i, c in enumerate(wrong) if c != " "], notice.edits):
+                wrong[at] = "q"
+            found = scanner.near_matches(f"license version {''.join(wrong)} the license")
+            assert any(m["label"] == notice.label for m in found), wrong
+
+
 def test_pieces_cover_the_notice_and_clean_text_has_no_label():
     for notice in licenses.NOTICES:
         assert "".join(p for _, p in notice.pieces) == notice.text and len(notice.pieces) == notice.edits + 1

@@ -95,12 +95,14 @@ class Scanner:
                 notice = self.notices[n]
                 start = last + 1 - size - offset - notice.edits
                 a, b = max(0, start - 1), start + len(notice.text) + 2 * notice.edits + 1
-                spans = around.setdefault(n, [])
+                around.setdefault(n, []).append([a, b])
+        for n, found in around.items():
+            spans = []
+            for a, b in sorted(found):  # seeds end in another order than their stretches start
                 if spans and a <= spans[-1][1]:
                     spans[-1][1] = max(spans[-1][1], b)
                 else:
                     spans.append([a, b])
-        for n, spans in around.items():
             for a, b in spans:
                 yield n, a, min(b, len(text))
 
