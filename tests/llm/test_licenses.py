@@ -65,6 +65,48 @@ def test_pieces_that_occur_twice_in_their_notice_do_not_hide_a_match():
             assert any(m["label"] == notice.label for m in found), wrong
 
 
+def brute_matches(text):
+    """All runs of words against all notices; of runs that share a word the best."""
+    words, found = text.split(), {}
+    for n in licenses.NOTICES:
+        runs = []
+        for a in range(len(words)):
+            for b in range(a, len(words)):
+                run = " ".join(words[a:b + 1])
+                if len(run) > len(n.text) + n.edits:
+                    break
+                if len(run) >= len(n.text) - n.edits and (d := edits(run, n.text)) <= n.edits:
+                    runs.append((d, a, b))
+        taken = set()
+        for d, a, b in sorted(runs):
+            if not taken & set(range(a, b + 1)):
+                taken |= set(range(a, b + 1))
+                found[a, b, n.label] = min(found.get((a, b, n.label), (d, len(n.text))), (d, len(n.text)))
+    return [(label, a, b, d) for (a, b, label), (d, _) in sorted(found.items())]
+
+
+def near(text, scanner=licenses.Scanner()):
+    return [(m["label"], m["first_word"], m["last_word"], m["edits"]) for m in scanner.near_matches(text)]
+
+
+def test_neighbouring_notices_are_all_found():
+    assert near("gnu general public licence gnu general public license gnu generl public license") == [
+        ("gpl", 0, 3, 1), ("gpl", 4, 7, 0), ("gpl", 8, 11, 1)]
+    mit = licenses.NOTICES[5].text
+    assert near(f"{mit.replace('granted', 'grantd')} {mit}") == [("mit", 0, 12, 1), ("mit", 13, 25, 0)]
+    rng = random.Random(6)
+    for _ in range(25):
+        parts = []
+        for notice in rng.choices(licenses.NOTICES, k=3):
+            wrong = list(notice.text)
+            for _ in range(rng.randint(0, notice.edits + 1)):
+                at = rng.randrange(len(wrong))
+                wrong[at:at + rng.randint(0, 1)] = rng.choice(("", "q", "e", " "))
+            parts.append("".join(wrong))
+        text = " ".join(" ".join(rng.choices((*parts, *parts, "the", "license"), k=5)).split())
+        assert near(text) == brute_matches(text), text
+
+
 def test_pieces_cover_the_notice_and_clean_text_has_no_label():
     for notice in licenses.NOTICES:
         assert "".join(p for _, p in notice.pieces) == notice.text and len(notice.pieces) == notice.edits + 1

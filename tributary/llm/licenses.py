@@ -2,10 +2,12 @@
 
 A text is searched as its lower-cased words joined by single spaces.  A notice
 with at most k edits is split into k + 1 pieces, so at least one piece occurs
-unchanged; one Aho-Corasick pass finds all pieces of all notices, and only the
-surroundings of a piece are verified, by the regex library's bounded-error
-matching.  Base phrases are found exactly, wherever their words stand
-consecutively.  Every text is scanned whole, in the task that read it.
+unchanged and moved by at most k characters; one Aho-Corasick pass finds all
+pieces of all notices, and only the words with which such a notice can start
+are verified, by bit-parallel edit distance.  Every run of whole words within k
+edits is seen; of runs of a notice that share a word the best one is a match.
+Base phrases are found exactly, wherever their words stand consecutively.
+Every text is scanned whole, in the task that read it.
 
 Defined cases: null and empty texts have no words and no matches; overlapping
 places of a base phrase count each; repeated rows are scanned row by row;
@@ -14,11 +16,12 @@ extra columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -71,7 +74,8 @@ _MATCHES = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()
 
 
 class Scanner:
-    """The automaton over all pieces, and a bounded-error pattern per notice."""
+    """The automaton over all pieces, and per notice the bits at which a
+    character stands."""
 
     def __init__(self, notices: tuple[Notice, ...] = NOTICES) -> None:
         import ahocorasick
@@ -84,43 +88,79 @@ class Scanner:
         for piece, places in of_piece.items():
             self.seeds.add_word(piece, (len(piece), places))
         self.seeds.make_automaton()
-        self.patterns = [regex.compile(rf"(?<![^ ])(?:{regex.escape(n.text, literal_spaces=True)}){{e<={n.edits}}}(?![^ ])",
-                                       regex.BESTMATCH) for n in notices]
-
-    def windows(self, text: str) -> Iterator[tuple[int, int, int]]:
-        """(notice, start, end): merged stretches that may hold the notice."""
-        around: dict[int, list[list[int]]] = {}
+        self.masks = [{c: sum(1 << i for i, x in enumerate(notice.text) if x == c) for c in notice.text}
+                      for notice in notices]
+
+    def places(self, text: str) -> Iterator[tuple[int, set[int]]]:
+        """(notice, words): the words with which an occurrence can start.  The
+        piece that it keeps has moved by at most as many characters as there
+        are edits."""
+        around: dict[int, set[int]] = {}
         for last, (size, places) in self.seeds.iter(text):
             for n, offset in places:
-                notice = self.notices[n]
-                start = last + 1 - size - offset - notice.edits
-                a, b = max(0, start - 1), start + len(notice.text) + 2 * notice.edits + 1
-                around.setdefault(n, []).append([a, b])
+                around.setdefault(n, set()).add(last + 1 - size - offset)
+        if not around:
+            return
+        starts = word_starts(text)
         for n, found in around.items():
-            spans = []
-            for a, b in sorted(found):  # seeds end in another order than their stretches start
-                if spans and a <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], b)
-                else:
-                    spans.append([a, b])
-            for a, b in spans:
-                yield n, a, min(b, len(text))
+            k = self.notices[n].edits
+            yield n, {w for at in found for w in range(bisect_left(starts, at - k), bisect_right(starts, at + k))}
+
+    def occurrences(self, n: int, text: str, starts: list[int], words: Iterable[int]) -> Iterator[tuple[int, int, int]]:
+        """(edits, first, last word) of all runs of whole words that begin with
+        one of ``words`` and are the notice with at most its number of edits.
+
+        Myers' bit-parallel edit distance: ``plus`` and ``minus`` hold by how
+        much each row of the column exceeds the row before it.
+        """
+        notice = self.notices[n]
+        size, k, masks = len(notice.text), notice.edits, self.masks[n]
+        every, top = (1 << size) - 1, 1 << (size - 1)
+        for w in words:
+            plus, minus, distance = every, 0, size
+            own = text[starts[w]:starts[w] + size + k + 1]
+            last = w
+            for c in own:
+                if c == " ":
+                    if distance <= k:
+                        yield distance, w, last
+                    last += 1
+                same = masks.get(c, 0)
+                rows = (((same & plus) + plus) ^ plus) | same | minus
+                up = minus | (every & ~(rows | plus))
+                down = plus & rows
+                if up & top:
+                    distance += 1
+                elif down & top:
+                    distance -= 1
+                up, down = (up << 1 | 1) & every, (down << 1) & every
+                plus, minus = down | (every & ~(rows | up)), up & rows
+            if starts[w] + len(own) == len(text) and distance <= k:
+                yield distance, w, last
 
     def near_matches(self, text: str) -> list[dict]:
-        """Verified matches: label, first and last word, edits."""
-        found = {}
-        for n, a, b in self.windows(text):
-            for m in self.patterns[n].finditer(text, a, b):
-                first = text.count(" ", 0, m.start())
-                last = first + m[0].strip(" ").count(" ")
-                label, edits = self.notices[n].label, sum(m.fuzzy_counts)
-                key = (first, last, label)
-                size = len(self.notices[n].text)
-                found[key] = min(found.get(key, (edits, size)), (edits, size))
+        """Matches: label, first and last word, edits.  Of occurrences of a
+        notice that share a word, the one with fewest edits stays, then the
+        first, then the shortest."""
+        found, starts = {}, None
+        for n, words in self.places(text):
+            starts = starts or word_starts(text)
+            label, size = self.notices[n].label, len(self.notices[n].text)
+            taken: set[int] = set()
+            for edits, first, last in sorted(self.occurrences(n, text, starts, words)):
+                if taken.isdisjoint(range(first, last + 1)):
+                    taken.update(range(first, last + 1))
+                    key = (first, last, label)
+                    found[key] = min(found.get(key, (edits, size)), (edits, size))
         return [{"label": label, "first_word": first, "last_word": last, "edits": edits, "length": length}
                 for (first, last, label), (edits, length) in sorted(found.items())]
 
 
+def word_starts(text: str) -> list[int]:
+    """Where the words of a text joined by single spaces begin."""
+    return [0, *(m.end() for m in re.finditer(" ", text))]
+
+
 def base_places(joined: str) -> list[tuple[int, str]]:
     """(word, label) of every place of a base phrase in " word word ... "."""
     places = []
