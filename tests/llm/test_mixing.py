@@ -80,3 +80,38 @@ def test_hot_source(spark):
     for s in ("src0", "src1"):
         own = [r for r in rows if r.source == s]
         assert abs(sum(r.m_size * len(r.shards) for r in own) - own[0].target) <= 150
+
+
+def test_small_sources_with_one_very_long_document_in_a_large_table(spark):
+    rows = [(i, prose(i, 20), "big") for i in range(3000)]
+    for s in range(6):
+        rows += [(10_000 + 100 * s + i, prose(i + 1, 4000 if i == 50 else 100), f"small{s}") for i in range(51)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = mixing.mix(docs, docs_per_block=8, weights=(8, 1, 1, 1, 1, 1, 1)).rows.select(
+        "row.doc_id", "row.source", "m_size", "target", "shards").collect()
+    taken, target, long_ones = Counter(), {}, set()
+    for r in got:
+        taken[r.source] += r.m_size * len(r.shards)
+        target[r.source] = r.target
+        if r.m_size == 4000:
+            long_ones.add(len(r.shards))
+    for s in target:
+        assert abs(taken[s] - target[s]) <= 50, (s, taken[s], target[s])
+    assert 1 in long_ones  # one pass, and not part of the next
+
+
+def test_rest_of_a_target_goes_to_documents_of_many_sizes(spark):
+    rng = np.random.default_rng(3)
+    n_words = [int(1 + 2 ** (10 * x)) for x in rng.random(600)]
+    rows = [(i, " ".join(["w"] * n), f"s{i % 3 if i < 200 else 0}") for i, n in enumerate(n_words)]
+    docs = spark.createDataFrame([*rows, *rows[:30]], "doc_id long, text string, source string")
+    for per_block in (1, 4):
+        got = mixing.mix(docs, docs_per_block=per_block, shard_words=3000).rows.select(
+            "row.doc_id", "row.source", "m_size", "target", "shards").collect()
+        taken, target = Counter(), {}
+        for r in got:
+            taken[r.source] += r.m_size * len(r.shards)
+            target[r.source] = r.target
+            assert len(r.shards) <= 2
+        for s in target:
+            assert abs(taken[s] - target[s]) <= 2, (per_block, s, taken[s], target[s])

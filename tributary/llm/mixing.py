@@ -4,8 +4,10 @@ Documents fall into blocks by a seeded hash of the row, so a source's blocks
 in number order are a random permutation of the source, and any run of blocks
 is a random draw without replacement.  Per source the target is met by whole
 passes plus the first blocks of one more pass; of the block in which the target
-falls, the documents that still fit are taken in hash order, which forms the
-last (partial) block of the quota.
+falls, the documents that still fit are taken in hash order.  What is left of
+the target then goes to the documents of the later blocks, until it is below
+the smallest one left; the smallest one is taken as well if that comes nearer.
+All these documents form the last (partial) block of the quota.
 
 The quotas are then dealt to output shards by a splitting tree: a node holds
 how many blocks of every source its shards receive, and a draw from the
@@ -19,7 +21,7 @@ Defined cases: a null or empty text has size 0 and is never taken; a null
 source is a source of its own, last in order; rows equal in id and text share
 a hash and are taken together; a source of size 0 has target 0; an empty table
 gives no rows.  Extra columns pass through untouched.  The driver sees one row
-per source (its size and number of blocks).
+per source (its size, number of blocks, and what is left of its target).
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 
 WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
@@ -140,21 +142,98 @@ def split_quotas(spark, quotas: list[int], n_shards: int, top: int = 6) -> DataF
     return tree.repartition(len(nodes)).mapInPandas(run, "number int, lo long, hi long, shard int").where("hi > lo")
 
 
+def _part(room: Column) -> Column:
+    """Whether a block is taken whole, cut, or not at all."""
+    return F.when(F.col("before") + F.col("words") <= room, F.lit("all")).when(
+        F.col("before") < room, F.lit("cut")).otherwise(F.lit("none"))
+
+
+_FITS = "number int, m_block long, hashes array<long>, words long, cut boolean, spare_size long, spare_hash long"
+
+
 def _fit_block(block: pd.DataFrame) -> pd.DataFrame:
     """The documents of one block that fit the rest of a target, in hash order,
-    and the smallest other one if that comes nearer (a block holds about
-    ``docs_per_block`` documents whatever the corpus)."""
+    and the smallest other one (a block holds about ``docs_per_block``
+    documents whatever the corpus)."""
     block = block.sort_values("m_hash")
-    room, taken, left = float(block["need"].iloc[0]), [], []
-    for h, size in zip(block["m_hash"], block["size"], strict=True):
-        if size <= room:
-            room -= size
+    room, taken, words, left = float(block["need"].iloc[0]), [], 0, []
+    for h, size in zip(block["m_hash"].tolist(), block["size"].tolist(), strict=True):
+        if words + size <= room:
+            words += size
             taken.append(h)
         else:
             left.append((size, h))
-    if left and min(left)[0] - room < room:
-        taken.append(min(left)[1])
-    return pd.DataFrame({"number": [block["number"].iloc[0]], "cut_hashes": [taken]})
+    size, h = min(left)  # a cut block does not fit as a whole
+    return pd.DataFrame({"number": [block["number"].iloc[0]], "m_block": [block["m_block"].iloc[0]], "hashes": [taken],
+                         "words": [words], "cut": [True], "spare_size": [size], "spare_hash": [h]})
+
+
+def _fill(sizes: DataFrame, cut: DataFrame) -> DataFrame:
+    """(number, m_block, cut_hashes): the documents that fill the rest of every
+    source's target, from the block in which it falls (``cut``) and, as far as
+    that one leaves room, from the blocks after it.
+
+    A round takes documents of at most half the room, in order, as far as they
+    go, or the first one that fits where all are larger.  So the room halves
+    with every round but the last, and all sources go through one round
+    together.
+    """
+    spark = sizes.sparkSession
+    cut_docs = sizes.where("m_size > 0").join(cut, F.expr("m_source <=> c_source and m_block = c_block"))
+    first = cut_docs.groupBy("number", "m_block", "need", "m_hash").agg(F.sum("m_size").alias("size")).groupBy(
+        "number").applyInPandas(_fit_block, _FITS)
+    fits = [materialize(first, "mix-fits")]
+    rooms = materialize(cut.join(fits[0].select("number", "words", "spare_size", "spare_hash"), "number").withColumn(
+        "room", F.col("need") - F.col("words")).coalesce(1), "mix-rooms")
+    room, spare = {}, {}
+    for r in rooms.collect():
+        room[r.number], spare[r.number] = r.room, (r.spare_size, r.c_block, r.spare_hash)
+
+    # Documents that may still be taken: those that fit, and one above the room.
+    pool = sizes.where("m_size > 0").join(rooms, F.expr("m_source <=> c_source and m_block > c_block and m_size < 2 * room"))
+    pool = materialize(pool.groupBy("number", "m_block", "m_hash", "room").agg(F.sum("m_size").alias("size")).where(
+        "size < 2 * room").select("number", "m_block", "m_hash", "size"), "mix-pool")
+    while True:
+        active = []
+        for r in pool.groupBy("number").agg(F.min(F.struct("size", "m_block", "m_hash")).alias("least")).collect():
+            if r.least.size <= room[r.number]:
+                half = room[r.number] / 2
+                active.append((r.number, room[r.number], half if r.least.size <= half else room[r.number]))
+            else:
+                spare[r.number] = min(spare[r.number], tuple(r.least))
+        if not active:
+            break
+        rooms = materialize(spark.createDataFrame(active, "number int, room double, top double").coalesce(1), "mix-rooms")
+        small = pool.join(rooms, "number").where("size <= top")
+        ran = _running(small.groupBy("number", "m_block").agg(F.sum("size").alias("words")), 1024).join(rooms, "number")
+        ran = materialize(ran.select("number", "m_block", _part(F.col("room")).alias("part"),
+                                     (F.col("room") - F.col("before")).alias("need")), "mix-round")
+        drawn = small.join(ran.where("part <> 'none'"), ["number", "m_block"])
+        whole = drawn.where("part = 'all'").groupBy("number", "m_block").agg(
+            F.collect_list("m_hash").alias("hashes"), F.sum("size").alias("words"), F.lit(False).alias("cut"),
+            F.lit(None).cast("long").alias("spare_size"), F.lit(None).cast("long").alias("spare_hash"))
+        last = drawn.where("part = 'cut'").select("number", "m_block", "m_hash", "size", "need").groupBy(
+            "number").applyInPandas(_fit_block, _FITS)
+        fits.append(materialize(whole.unionByName(last), "mix-fits"))
+        went = fits[-1].groupBy("number").agg(
+            F.sum("words").alias("words"), F.max(F.when(F.col("cut"), F.struct("spare_size", "m_block", "spare_hash"))).alias("end"))
+        state = []
+        for (number, _, top), r in zip(sorted(active), sorted(went.collect()), strict=True):
+            room[number] -= r.words
+            if r.end is not None:
+                spare[number] = min(spare[number], tuple(r.end))
+            state.append((number, room[number], top, None if r.end is None else r.end.m_block))
+        state = materialize(spark.createDataFrame(state, "number int, room double, top double, upto long").coalesce(1), "mix-rooms")
+        rest = materialize(pool.join(state, "number").where(  # without what was taken or passed over for good
+            "size < 2 * room and (size > top or m_block > upto)").select("number", "m_block", "m_hash", "size"), "mix-pool")
+        discard(pool)
+        pool = rest
+
+    nearer = [(n, block, [h]) for n, (size, block, h) in spare.items() if size - room[n] < room[n]]
+    found = spark.createDataFrame(nearer, "number int, m_block long, hashes array<long>")
+    for f in fits:
+        found = found.unionByName(f.select("number", "m_block", "hashes"))
+    return materialize(found.groupBy("number", "m_block").agg(F.flatten(F.collect_list("hashes")).alias("cut_hashes")), "mix-fills")
 
 
 @dataclass(frozen=True)
@@ -172,13 +251,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
         weights: tuple[int, ...] = WEIGHTS, keep: list[str] | None = None) -> Mix:
     """Decide how often each document is taken, and into which shards.
 
-    The texts are read twice, once for the block sizes and once for the
-    result; only block totals are shuffled in between.
+    The texts are read twice, once for their sizes and once for the result; in
+    between, block totals are shuffled, and (hash, size) of single documents
+    only where they may fill what a block has left of a target.
     """
     spark = docs.sparkSession
     n_blocks = max(1, -(-docs.count() // docs_per_block))
     numbered = _numbered(docs, id_col, text, source, n_blocks)
-    by_block = materialize(numbered.groupBy("m_source", "m_block").agg(F.sum("m_size").alias("words")), "mix-blocks")
+    sizes = materialize(numbered.select("m_source", "m_block", "m_hash", "m_size"), "mix-sizes")
+    by_block = materialize(sizes.groupBy("m_source", "m_block").agg(F.sum("m_size").alias("words")), "mix-blocks")
     plans = plan_targets([tuple(r) for r in by_block.groupBy("m_source").agg(F.sum("words")).collect()], weights)
     # Written, so that Spark knows its size: a small table is broadcast unasked.
     sources = materialize(spark.createDataFrame(
@@ -190,15 +271,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     # Of the last pass a block is taken whole, cut, or not at all.
     ran = _running(blocks.select("number", "m_block", "words"), 1024)
     ran = materialize(ran.join(sources.select("number", "rest", "passes"), "number").withColumn(
-        "part", F.when(F.col("before") + F.col("words") <= F.col("rest"), F.lit("all"))
-        .when(F.col("before") < F.col("rest"), F.lit("cut")).otherwise(F.lit("none"))), "mix-ranks")
+        "part", _part(F.col("rest"))), "mix-ranks")
     cut = ran.where("part = 'cut'").select("number", "m_block", (F.col("rest") - F.col("before")).alias("need"))
     cut = materialize(cut.join(sources, "number").select(
         F.col("m_source").alias("c_source"), F.col("m_block").alias("c_block"), "number", "need"), "mix-cuts")
-    cut_docs = numbered.select("m_source", "m_block", "m_hash", "m_size").where("m_size > 0").join(
-        cut, F.expr("m_source <=> c_source and m_block = c_block"))
-    fitted = cut_docs.groupBy("number", "need", "m_hash").agg(F.sum("m_size").alias("size")).groupBy(
-        "number").applyInPandas(_fit_block, "number int, cut_hashes array<long>")
+    fills = _fill(sizes, cut)
+    discard(sizes)
 
     counts = ran.groupBy("number").agg(
         F.count(F.lit(1)).alias("blocks"), F.count(F.when(F.col("part") != "none", 1)).alias("more")).collect()
@@ -208,14 +286,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     dealt = split_quotas(spark, quotas, n_shards).select(
         "number", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("k"), "shard")
 
-    total = ran.groupBy("number").agg(F.count(F.lit(1)).alias("blocks"))
-    drawn = ran.join(total, "number").withColumn(
+    # All that fills the rest of a target shares the draw of the block in which it falls.
+    total = ran.groupBy("number").agg(F.count(F.lit(1)).alias("blocks"), F.count(F.when(F.col("part") == "all", 1)).alias("whole"))
+    marked = ran.join(fills, ["number", "m_block"], "left").withColumn(
+        "part", F.when(F.col("cut_hashes").isNotNull(), F.lit("cut")).otherwise(F.col("part"))).drop("cut_hashes")
+    drawn = marked.join(total, "number").withColumn(
         "pass", F.explode(F.sequence(F.lit(0), F.col("passes")))).where("pass < passes or part <> 'none'")
-    drawn = drawn.withColumn("k", F.col("pass") * F.col("blocks") + F.col("rank")).join(dealt, ["number", "k"])
+    drawn = drawn.withColumn("k", F.col("pass") * F.col("blocks") + F.when(
+        (F.col("pass") == F.col("passes")) & (F.col("part") == "cut"), F.col("whole")).otherwise(F.col("rank"))).join(dealt, ["number", "k"])
     copies = drawn.groupBy("number", "m_block").agg(
         F.array_sort(F.collect_list(F.struct("pass", "shard"))).alias("draws"),  # at most one per pass
         F.max(F.when((F.col("pass") == F.col("passes")) & (F.col("part") == "cut"), F.col("passes"))).alias("cut_pass"))
-    copies = copies.join(materialize(fitted, "mix-fits"), "number", "left").join(sources, "number").select(
+    copies = copies.join(fills, ["number", "m_block"], "left").join(sources, "number").select(
         F.col("m_source").alias("c_source"), F.col("m_block").alias("c_block"), "draws", "cut_pass",
         F.when(F.col("cut_pass").isNotNull(), F.col("cut_hashes")).alias("cut_hashes"))
 
