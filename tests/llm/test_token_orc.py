@@ -70,3 +70,15 @@ def test_messy_documents(spark, tokenizer):
     assert got == expected(tokenizer, [(r.doc_id, r.text) for r in ordered])
     assert read(spark, empty(spark))[1] == []
     assert spark.read.orc(path).columns == ["doc_id", "shard", "shard_start", "n_tokens", "ids"]
+
+
+def test_added_tokens_get_the_ids_of_the_library(spark):
+    from tokenizers import Tokenizer
+    default = Tokenizer.from_file(tokenizer_file())
+    texts = ["a b", "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y  z", " <|endoftext|>\n<|endoftext|>", "<|endoftext", "c d"]
+    assert 50256 in default.encode(texts[1], add_special_tokens=False).ids
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert read(spark, docs, shards=2)[1] == expected(default, list(enumerate(texts)))
+    as_text = Tokenizer.from_file(tokenizer_file())
+    as_text.encode_special_tokens = True
+    assert read(spark, docs, shards=2, special_as_text=True)[1] == expected(as_text, list(enumerate(texts)))

@@ -15,6 +15,9 @@ Encoding: the byte-level tokenizer splits a text into pieces at white space
 before merging, so a text in which no two white-space characters meet is the
 concatenation of its space- and newline-led units, each encoded once per worker
 and remembered; any other text is encoded whole.  Both give the same ids.
+A text that holds the string of an added token (``<|endoftext|>``) gets the ids
+that the library gives it by default: it is encoded whole, and the string
+becomes that token.  With ``special_as_text`` such strings are plain text.
 
 Defined cases: a null or empty text is the end id alone; rows that repeat a
 doc_id stay rows of their own, ordered by the hash of the text; null ids come
@@ -24,6 +27,7 @@ first; an empty table writes no rows.  Extra columns are not written.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -53,11 +57,15 @@ _ODD = rf"{_SPACE}{{2}}|\x00"  # such a text is encoded whole
 class Encoder:
     """Encodes batches of texts with one tokenizer file."""
 
-    def __init__(self, tokenizer_json: bytes, end_id: int = END_ID, memory_units: int = MEMORY_UNITS) -> None:
+    def __init__(self, tokenizer_json: bytes, end_id: int = END_ID, memory_units: int = MEMORY_UNITS,
+                 special_as_text: bool = True) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_buffer(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()
+                 if not (special_as_text and t.special)]
+        self.odd = "|".join([_ODD, *map(re.escape, added)])
         self.end_id, self.memory_units = end_id, memory_units
         vocabulary = self.tokenizer.get_vocab()
         # In a byte-level vocabulary each character of an entry is one byte.
@@ -131,7 +139,7 @@ class Encoder:
         if len(self.number) > self.memory_units:
             self._forget()
         texts = pc.fill_null(texts, "")
-        odd = pc.match_substring_regex(texts, _ODD)
+        odd = pc.match_substring_regex(texts, self.odd)
         whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
         number, per_text = self._units(pc.if_else(odd, "", texts) if whole else texts)
         length = self.length[number]
@@ -152,11 +160,11 @@ class Encoder:
 
 
 def _encode_shards(ordered: DataFrame, tokenizer_json, name: str, end_id: int, memory_units: int,
-                   group_bytes: int) -> DataFrame:
+                   group_bytes: int, special_as_text: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, at = TaskContext.get().partitionId(), 0
-        with kept_in_worker(f"encoder {name} {end_id} {memory_units}",
-                            lambda: Encoder(tokenizer_json.value, end_id, memory_units)) as encoder:
+        with kept_in_worker(f"encoder {name} {end_id} {memory_units} {special_as_text}",
+                            lambda: Encoder(tokenizer_json.value, end_id, memory_units, special_as_text)) as encoder:
             for batch in batches:
                 texts = batch.column("text")
                 for a, b in byte_groups(texts, group_bytes):
@@ -175,7 +183,8 @@ def _encode_shards(ordered: DataFrame, tokenizer_json, name: str, end_id: int, m
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID,
                  id_col: str = "doc_id", text: str = "text", shards: int | None = None,
-                 memory_units: int = MEMORY_UNITS, group_bytes: int = 6 << 20) -> None:
+                 memory_units: int = MEMORY_UNITS, group_bytes: int = 6 << 20,
+                 special_as_text: bool = False) -> None:
     """Write the ids of all documents as ORC under ``path``, ordered by doc_id
     over the shards; equal ids are spread by the text's hash.  Fewer remembered
     units and smaller groups of texts take less memory and more time."""
@@ -186,7 +195,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    _encode_shards(ordered, tokenizer_json, tokenizer_file, end_id, memory_units, group_bytes).write.mode("overwrite").options(**ORC_OPTIONS).orc(path)
+    _encode_shards(ordered, tokenizer_json, tokenizer_file, end_id, memory_units, group_bytes, special_as_text).write.mode("overwrite").options(**ORC_OPTIONS).orc(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
