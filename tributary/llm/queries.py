@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import table
 from ..session import materialize, scratch_path
-from . import arc_warc, chat, decontaminate, licenses, mixing, quality, secrets, simhash, token_orc, toxicity
+from . import arc_warc, chat, decontaminate, licenses, merkle, mixing, quality, secrets, simhash, token_orc, toxicity
+from .merkle_sql import manifest_sql
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -168,3 +169,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, model, keep=["doc_id"])
     return scored.select("row.doc_id", toxicity.held_out(F.col("row.doc_id")).alias("held_out"), "res.score",
                          (F.col("res.score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op11_merkle", sql=manifest_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.document_manifest(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
