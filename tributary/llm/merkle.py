@@ -33,6 +33,7 @@ from collections.abc import Iterable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..operators.ordered import row_numbers
 from ..session import discard, materialize
@@ -113,6 +114,13 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[list[dict]]:
         yield held
 
 
+def _pathed(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[dict, list[dict]]]:
+    """The path of each block, and its nodes (``with_paths``)."""
+    for above, *nodes in _blocks(batches):
+        if nodes:
+            yield above, nodes
+
+
 def _by_block(nodes: DataFrame, *more: str) -> DataFrame:
     return nodes.repartition("gid", "block").sortWithinPartitions("gid", "block", *more)
 
@@ -160,8 +168,7 @@ def descend(rounds: list[DataFrame], tops: DataFrame) -> DataFrame:
     ``tops`` gives each group's own path and what else belongs to it as
     (gid, top, path)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _blocks(batches):
-            above, nodes = rows[0], rows[1:]
+        for above, nodes in _pathed(batches):
             parents = grow([bytes(r["digest"]) for r in nodes], levels_of(nodes[0]["n"]))
             yield _batch([(above["gid"], r["pos"], above["top"], own_path(parents, i) + above["path"])
                           for i, r in enumerate(nodes)], _DOWN)
@@ -255,8 +262,7 @@ def manifest(rows: DataFrame, group: str, order: str, leaf: Column, replaced: Co
     upper_paths = descend(upper_rounds, start)
 
     def paths_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches):
-            above, nodes = block[0], block[1:]
+        for above, nodes in _pathed(batches):
             parents = grow([bytes(r["digest"]) for r in nodes], levels_of(nodes[0]["n"]))
             yield _batch([(r["pos"] + 1, 0, bytes(r["digest"]), own_path(parents, i) + above["path"])
                           for i, r in enumerate(nodes)], _DOWN)
@@ -269,8 +275,7 @@ def manifest(rows: DataFrame, group: str, order: str, leaf: Column, replaced: Co
     row_type = leaves.schema["row"].dataType
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches):
-            above, nodes = block[0], block[1:]
+        for above, nodes in _pathed(batches):
             folder = Folder([bytes(r["digest"]) for r in nodes], nodes[0]["n"], above["path"])
             subroot = bytes(above["top"]).decode()
             own = [(r["row"], bytes(r["digest"]).decode(), subroot, folder.proof(i),
@@ -279,7 +284,6 @@ def manifest(rows: DataFrame, group: str, order: str, leaf: Column, replaced: Co
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], kept), *[pa.array(c, pa.string()) for c in columns[1:]]],
                                              names=["row", "leaf", "subroot", "proof_sha256", "folded_root"])
 
-    from pyspark.sql.pandas.types import to_arrow_type
     kept = to_arrow_type(row_type)
     joined = with_paths(leaves.withColumn("block", F.floor(F.col("pos") / BLOCK)), paths, ["row", "replaced"])
     folded = joined.mapInArrow(fold, f"row {row_type.simpleString()}, leaf string, subroot string, "
