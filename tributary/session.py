@@ -122,17 +122,32 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def materialize(df, name: str):
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df, name: str, free_shuffles: bool = False):
     """Write ``df`` as parquet under the shared folder and read it back.
 
     Cuts the lineage (a lost executor recomputes from the written table, not
     from the whole upstream plan), and gives Catalyst the table's real size,
     so a small derived side is broadcast on evidence, not on a hint.
-    ``discard`` removes the files again.
+    ``discard`` removes the files again.  ``free_shuffles`` has Spark remove
+    the shuffle files behind the table as soon as it is written, instead of
+    when the driver next collects its garbage.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    stored = df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_FREE_SHUFFLES, None) if free_shuffles else None
+    if free_shuffles:
+        spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        if free_shuffles and before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        elif free_shuffles:
+            spark.conf.set(_FREE_SHUFFLES, before)
+    stored = spark.read.parquet(path)
     stored._scratch = path
     return stored
 
