@@ -7,7 +7,20 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import table
 from ..session import materialize, scratch_path
-from . import arc_warc, chat, decontaminate, licenses, merkle, mixing, quality, secrets, simhash, token_orc, toxicity
+from . import (
+    arc_warc,
+    chat,
+    decontaminate,
+    licenses,
+    merkle,
+    mixing,
+    quality,
+    repeats,
+    secrets,
+    simhash,
+    token_orc,
+    toxicity,
+)
 from .merkle_sql import manifest_sql
 
 QUERIES: dict = {}
@@ -175,3 +188,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.document_manifest(table(spark, sf_dir, "documents"))
     return found.select("row.doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query("op13_repeats")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"], with_kept=False)
+    return found.select("row.doc_id", "res.n_bytes", "res.n_removed", "res.n_spans", "res.kept_sha256")
