@@ -120,3 +120,27 @@ def test_messy_documents(spark):
     by = sorted((str(r.doc_id), str(r[-8])) for r in licenses.scan(messy(spark), keep=["doc_id"]).select("row.doc_id", "res.*").collect())
     assert by == sorted((str(i), str(brute(t)[0])) for i, t, *_ in messy_rows())
     assert licenses.scan(empty(spark)).count() == 0
+
+
+def test_regex_counts_the_fewest_edits():
+    scanner, rng = licenses.Scanner(), random.Random(8)
+    for n, notice in enumerate(licenses.NOTICES):
+        for _ in range(120):
+            wrong = list(notice.text)
+            for _ in range(rng.randint(0, notice.edits + 2)):
+                at = rng.randrange(len(wrong))
+                wrong[at:at + rng.randint(0, 1)] = rng.choice(("", "q", "e", " ", "ic"))
+            run = "".join(wrong)
+            d = edits(run, notice.text)
+            assert scanner.edits(n, run) == (d if d <= notice.edits else None), (run, notice.text)
+
+
+def test_dense_texts_take_seconds():
+    import time
+    scanner, rng = licenses.Scanner(), random.Random(9)
+    words = sorted({w for n in licenses.NOTICES for w in n.text.split()})
+    began = time.time()
+    assert near("license version permission " * 190_000, scanner) == []
+    mixed = " ".join(rng.choice(words) for _ in range(60_000))
+    scanner.near_matches(mixed)
+    assert time.time() - began < 40

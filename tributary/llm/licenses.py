@@ -3,8 +3,9 @@
 A text is searched as its lower-cased words joined by single spaces.  A notice
 with at most k edits is split into k + 1 pieces, so at least one piece occurs
 unchanged and moved by at most k characters; one Aho-Corasick pass finds all
-pieces of all notices, and only the words with which such a notice can start
-are verified, by bit-parallel edit distance.  Every run of whole words within k
+pieces of all notices.  From the words with which such a notice can start (and
+whose letters keep enough of its grams) the regex library's bounded-error match
+verifies the runs of whole words and counts their edits.  Every run within k
 edits is seen; of runs of a notice that share a word the best one is a match.
 Base phrases are found exactly, wherever their words stand consecutively.
 Every text is scanned whole, in the task that read it.
@@ -20,11 +21,15 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .suffix_arrays import spread
 from .textmap import alnum_words, map_texts
 
 # The base phrases and their labels.
@@ -73,9 +78,12 @@ _MATCHES = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()
                                ("edits", pa.int64())]))
 
 
+#: Letters of the grams that are counted before a match is tried.
+GRAM = 3
+
+
 class Scanner:
-    """The automaton over all pieces, and per notice the bits at which a
-    character stands."""
+    """The automaton over all pieces, and a bounded-error pattern per notice."""
 
     def __init__(self, notices: tuple[Notice, ...] = NOTICES) -> None:
         import ahocorasick
@@ -88,55 +96,51 @@ class Scanner:
         for piece, places in of_piece.items():
             self.seeds.add_word(piece, (len(piece), places))
         self.seeds.make_automaton()
-        self.masks = [{c: sum(1 << i for i, x in enumerate(notice.text) if x == c) for c in notice.text}
-                      for notice in notices]
-
-    def places(self, text: str) -> Iterator[tuple[int, set[int]]]:
-        """(notice, words): the words with which an occurrence can start.  The
-        piece that it keeps has moved by at most as many characters as there
-        are edits."""
-        around: dict[int, set[int]] = {}
+        self.grams = [np.unique(gram_codes(notice.text)) for notice in notices]
+        self.patterns = [regex.compile(f"(?:{regex.escape(notice.text, literal_spaces=True)}){{e<={notice.edits}}}",
+                                       regex.BESTMATCH) for notice in notices]
+        self.edits = lru_cache(1 << 16)(self._edits)
+
+    def _edits(self, n: int, run: str) -> int | None:
+        """Edits between a run of words and a notice, None beyond its number."""
+        match = self.patterns[n].fullmatch(run)
+        return sum(match.fuzzy_counts) if match else None
+
+    def places(self, text: str) -> Iterator[tuple[int, list[int]]]:
+        """(notice, words): the words with which an occurrence can start.
+
+        One piece is kept and has moved by at most as many characters as there
+        are edits.  An edit touches at most ``GRAM`` grams, so an occurrence
+        also keeps all but ``GRAM`` times the edits of the notice's grams.
+        """
+        around: dict[int, list[int]] = {}
         for last, (size, places) in self.seeds.iter(text):
             for n, offset in places:
-                around.setdefault(n, set()).add(last + 1 - size - offset)
+                around.setdefault(n, []).append(last + 1 - size - offset)
         if not around:
             return
-        starts = word_starts(text)
+        starts, codes = np.array(word_starts(text)), gram_codes(text)
         for n, found in around.items():
-            k = self.notices[n].edits
-            yield n, {w for at in found for w in range(bisect_left(starts, at - k), bisect_right(starts, at + k))}
+            size, k = len(self.notices[n].text), self.notices[n].edits
+            at = np.unique(found)
+            low, high = np.searchsorted(starts, at - k), np.searchsorted(starts, at + k, "right")
+            words = np.unique(spread(low, high - low))
+            known = np.concatenate([[0], np.cumsum(np.isin(codes, self.grams[n]))])
+            begin = np.minimum(starts[words], len(codes))
+            kept = known[np.minimum(begin + size + k - GRAM + 1, len(codes))] - known[begin]
+            yield n, words[kept >= size - GRAM + 1 - GRAM * k].tolist()
 
     def occurrences(self, n: int, text: str, starts: list[int], words: Iterable[int]) -> Iterator[tuple[int, int, int]]:
         """(edits, first, last word) of all runs of whole words that begin with
-        one of ``words`` and are the notice with at most its number of edits.
-
-        Myers' bit-parallel edit distance: ``plus`` and ``minus`` hold by how
-        much each row of the column exceeds the row before it.
-        """
-        notice = self.notices[n]
-        size, k, masks = len(notice.text), notice.edits, self.masks[n]
-        every, top = (1 << size) - 1, 1 << (size - 1)
+        one of ``words`` and are the notice with at most its number of edits."""
+        size, k = len(self.notices[n].text), self.notices[n].edits
+        ends = [*(s - 1 for s in starts[1:]), len(text)]
         for w in words:
-            plus, minus, distance = every, 0, size
-            own = text[starts[w]:starts[w] + size + k + 1]
-            last = w
-            for c in own:
-                if c == " ":
-                    if distance <= k:
-                        yield distance, w, last
-                    last += 1
-                same = masks.get(c, 0)
-                rows = (((same & plus) + plus) ^ plus) | same | minus
-                up = minus | (every & ~(rows | plus))
-                down = plus & rows
-                if up & top:
-                    distance += 1
-                elif down & top:
-                    distance -= 1
-                up, down = (up << 1 | 1) & every, (down << 1) & every
-                plus, minus = down | (every & ~(rows | up)), up & rows
-            if starts[w] + len(own) == len(text) and distance <= k:
-                yield distance, w, last
+            low, high = bisect_left(ends, starts[w] + size - k), bisect_right(ends, starts[w] + size + k)
+            for last in range(max(low, w), high):
+                edits = self.edits(n, text[starts[w]:ends[last]])
+                if edits is not None:
+                    yield edits, w, last
 
     def near_matches(self, text: str) -> list[dict]:
         """Matches: label, first and last word, edits.  Of occurrences of a
@@ -156,6 +160,12 @@ class Scanner:
                 for (first, last, label), (edits, length) in sorted(found.items())]
 
 
+def gram_codes(text: str) -> np.ndarray:
+    """The grams of a text as numbers (a code point has 21 bits)."""
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+    return points[:-2] << 42 | points[1:-1] << 21 | points[2:] if len(points) >= GRAM else points[:0]
+
+
 def word_starts(text: str) -> list[int]:
     """Where the words of a text joined by single spaces begin."""
     return [0, *(m.end() for m in re.finditer(" ", text))]
