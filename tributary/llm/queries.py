@@ -11,6 +11,7 @@ from . import (
     arc_warc,
     chat,
     decontaminate,
+    hard_negatives,
     licenses,
     merkle,
     mixing,
@@ -110,16 +111,42 @@ def span_text(findings) -> Column:
     return F.array_join(F.transform(findings, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
 
-@query("op6_secrets")
+def secrets_sql() -> str:
+    """Per rule its matches and what lies between them; their lengths add up to the offsets."""
+    def rule(rank: int, r: secrets.Rule) -> str:
+        pattern = r.pattern.replace("'", "''")
+        return (f"SELECT rid, {rank} AS rank, '{r.kind}' AS kind, {r.least} AS least, "
+                f"regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', {r.group}) AS j, "
+                f"string_split_regex(t, '{pattern}') AS g FROM d")
+    base = ", ".join(f"'{r.kind}'" for r in secrets.RULES if r.base)
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.RULES if r.base)
+    zeros = ", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.RULES if r.base)
+    text = "kind || ':' || s || ':' || e"
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+     k AS ({" UNION ALL ".join(rule(i, r) for i, r in enumerate(secrets.RULES))}),
+     x AS (SELECT rid, rank, kind, least, length(m[i]) AS n, length(j[i]) AS judged,
+                  sum(length(g[i]) + length(m[i])) OVER (PARTITION BY rid, rank ORDER BY i) AS e
+           FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM k)),
+     f AS (SELECT rid, rank, kind, e - n AS s, e FROM x WHERE judged >= least),
+     p AS (SELECT rid, {counts}, string_agg({text}, ',' ORDER BY s, rank) FILTER (kind IN ({base})) AS base,
+                  string_agg({text}, ',' ORDER BY s, rank) AS spans FROM f GROUP BY rid)
+SELECT doc_id, {zeros}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN p USING (rid)
+"""
+
+
+@query("op6_secrets", sql=secrets_sql())
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan_history(table(spark, sf_dir, "documents"), scratch_path(spark, "secret-ledger"), ["doc_id"])
+    docs, ledger = table(spark, sf_dir, "documents"), scratch_path(spark, "secret-ledger")
+    secrets.update_ledger(docs, ledger)
+    found = secrets.scan_history(docs, ledger, ["doc_id"])  # all pairs are known: nothing is scanned anew
     base = [r.kind for r in secrets.RULES if r.base]
 
     def number(kind: str) -> Column:
         return F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return found.select(
-        "doc_id", *[number(k) for k in base],
+        "row.doc_id", *[number(k) for k in base],
         F.sha2(span_text(F.filter("findings", lambda x: x["kind"].isin(base))), 256).alias("base_sha256"),
         span_text(F.col("findings")).alias("spans"))
 
@@ -194,3 +221,26 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"], with_kept=False)
     return found.select("row.doc_id", "res.n_bytes", "res.n_removed", "res.n_spans", "res.kept_sha256")
+
+
+@query("op12_hard_negatives", sql="""
+WITH q AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                  CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+           FROM q a JOIN q b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+     p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+            AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0,
+                               label=hard_negatives.shifted_label())
