@@ -17,8 +17,14 @@ shuffled at most once, by page, to meet its decision.
 Defined cases: null html is an empty payload; a null or empty url is written
 as "-"; white space and control characters in a url are percent-encoded; pages
 with a null id are responses; rows that repeat id and html become records of
-the same type; payloads under ``MIN_REVISIT_BYTES`` are always responses;
-empty tables give no files.  A truncated or malformed archive raises.
+the same type, each with an id of its own; payloads under
+``MIN_REVISIT_BYTES`` are always responses; empty tables give no files.
+
+Legacy lines are read from both ends, so urls and content types may hold
+spaces.  What cannot be read (a line without a valid date or length, a record
+cut short, a file without version block, a damaged gzip member) is a reject with
+its file, its number there, a reason and the bytes in question; reading goes on
+with the next line that is a header.  A malformed WARC file raises.
 """
 
 from __future__ import annotations
@@ -28,8 +34,10 @@ import hashlib
 import io
 import re
 import uuid
+import zlib
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from datetime import datetime
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -126,7 +134,7 @@ def arc_head(version: int, name: str) -> bytes:
 
 
 def arc_record(version: int, url: str | None, date: str, name: str, content: bytes) -> bytes:
-    url = _SPACE.sub(lambda m: f"%{ord(m[0]):02X}", url or "-")
+    url = target(url or "-")
     fields = {1: "text/html", 2: f"text/html 200 - - 0 {name}.arc"}[version]
     return f"{url} 0.0.0.0 {date} {fields} {len(content)}\n".encode() + content
 
@@ -155,30 +163,104 @@ def write_arc(pages: DataFrame, path: str, page_id: str = "page_id", url: str =
     _write_files(rows, make, path, "\n")
 
 
-def parse_arc(file: io.BufferedReader, name: str) -> Iterator[tuple]:
-    """(url, ip, date, mime, status, content) of every record of an ARC file."""
-    first = file.readline().split()
-    if not first:
-        return  # a task without rows leaves an empty file
-    if len(first) < 5 or not first[0].startswith(b"filedesc:"):
-        raise ValueError(f"{name}: no ARC version block")
-    body = _exactly(file, int(first[-1]), name).split(b"\n")
-    version = int(body[0].split()[0])
-    if version not in ARC_FIELDS:
-        raise ValueError(f"{name}: unknown ARC version {version}")
-    place = {field: i for i, field in enumerate(body[1].decode().split())}
-    if len(place) != len(ARC_FIELDS[version].split()):
-        raise ValueError(f"{name}: version {version} with fields {body[1]!r}")
-    while line := file.readline():
-        if line == b"\n":
-            continue
-        fields = line.rstrip(b"\n").decode("utf-8", "replace").split(" ")
-        if len(fields) != len(place):
-            raise ValueError(f"{name}: version {version} line {line[:200]!r}")
-        content = _exactly(file, int(fields[place["Archive-length"]]), name)
-        status = fields[place["Result-code"]] if version == 2 else None
-        yield (fields[place["URL"]], fields[place["IP-address"]], fields[place["Archive-date"]],
-               fields[place["Content-type"]], status, content)
+_IP = re.compile(rb"[0-9.]+|[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*")
+_MIME = re.compile(rb"[^ ;]+(?: *;.*)?")  # a type, parameters after a semicolon
+#: A line this long without an end is no header.
+LINE_BYTES = 1 << 16
+
+
+def is_date(digits: bytes) -> bool:
+    """4 to 14 digits that name a time (missing ones are the earliest)."""
+    if not (digits.isdigit() and 4 <= len(digits) <= 14 and len(digits) % 2 == 0):
+        return False
+    try:
+        datetime.strptime(_full(digits.decode()), "%Y%m%d%H%M%S")
+    except ValueError:
+        return False
+    return True
+
+
+def _full(date: str) -> str:
+    return (date + "00000101000000"[len(date):])[:14]
+
+
+def header_fields(line: bytes, version: int) -> tuple[bytes, bytes, bytes, bytes, bytes | None, int] | None:
+    """(url, ip, date, content type, status, length) of a header line, or None.
+
+    The length is the last field, in version 2 after five others without
+    spaces; the date is the last time that follows an address.  What stands
+    before the address is the url, what follows the date the content type.
+    """
+    fields = line.rstrip(b"\r\n").split(b" ")
+    behind = len(ARC_FIELDS[version].split()) - 4  # the fields after the content type
+    if len(fields) < 4 + behind or not re.fullmatch(rb"[0-9]{1,18}", fields[-1]):
+        return None
+    for at in range(len(fields) - behind - 2, 1, -1):
+        if is_date(fields[at]) and _IP.fullmatch(fields[at - 1]):
+            url, mime = b" ".join(fields[:at - 1]), b" ".join(fields[at + 1:len(fields) - behind])
+            status = fields[-behind] if version == 2 else None
+            if not url.strip() or not _MIME.fullmatch(mime):
+                return None
+            return url, fields[at - 1], fields[at], mime, status, int(fields[-1])
+    return None
+
+
+class ArcEntry(NamedTuple):
+    """A record of an ARC file (number from 0), or, with a reason, a reject."""
+
+    number: int
+    url: str | None
+    ip: str | None
+    date: str | None
+    mime: str | None
+    status: str | None
+    content: bytes
+    reason: str | None = None
+
+
+def parse_arc(file: io.BufferedReader) -> Iterator[ArcEntry]:
+    """Every record of an ARC file, and what could not be read of it."""
+    number = 0
+
+    def reject(reason: str, content: bytes) -> ArcEntry:
+        return ArcEntry(number, None, None, None, None, None, content, reason)
+
+    try:
+        line = file.readline(LINE_BYTES)
+        if not line:
+            return  # a task without rows leaves an empty file
+        first = line.split()
+        size = first[-1] if first else b""
+        if len(first) < 5 or not first[0].startswith(b"filedesc:") or not size.isdigit():
+            yield reject("no version block", line)
+            return
+        body = file.read(int(size)).split(b"\n")
+        found = re.match(rb"([0-9]+)(?: |$)", body[0])
+        version = int(found[1]) if found else None
+        if version not in ARC_FIELDS:
+            yield reject("unknown version", b"\n".join(body))
+            return
+        lost = False  # whether the lines since the last record are rejects
+        while line := file.readline(LINE_BYTES):
+            if not line.strip():
+                continue
+            fields = header_fields(line, version)
+            if fields is None:
+                if not lost:
+                    yield reject("header line", line)
+                    number, lost = number + 1, True
+                continue
+            content = file.read(fields[-1])
+            if len(content) < fields[-1]:
+                yield reject(f"{fields[-1]} bytes declared, {len(content)} left", line + content)
+                number, lost = number + 1, True
+                file = io.BytesIO(content)  # a wrong length may have swallowed records
+                continue
+            url, ip, date, mime, status = (None if v is None else v.decode("utf-8", "replace") for v in fields[:-1])
+            yield ArcEntry(number, url, ip, date, mime, status, content)
+            number, lost = number + 1, False
+    except (EOFError, OSError, zlib.error) as damage:
+        yield reject(f"damaged file: {damage}", b"")
 
 
 def split_http(content: bytes) -> tuple[bytes, bytes]:
@@ -195,24 +277,45 @@ def head_field(head: bytes, name: bytes) -> str | None:
     return found[1].decode("utf-8", "replace") if found else None
 
 
-_RECORD_SCHEMA = "page_id long, url string, ip string, date string, head binary, payload binary, digest string"
-_RECORD_TYPES = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.string()]
+_RECORD_SCHEMA = ("page_id long, url string, ip string, date string, mime string, head binary, payload binary, "
+                  "digest string, place string")
+_RECORD_TYPES = [pa.int64(), *[pa.string()] * 4, pa.binary(), pa.binary(), pa.string(), pa.string()]
+_REJECT_SCHEMA = "file string, number long, reason string, content binary"
+_REJECT_TYPES = [pa.string(), pa.int64(), pa.string(), pa.binary()]
 
 
 def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """The records of all ARC files under ``path``, with payload digests."""
+    """The records of all ARC files under ``path``, with payload digests and
+    the place (file and number) that tells repeated records apart."""
     def parse(file, name):
-        for url, ip, date, _, _, content in parse_arc(file, name):
-            head, payload = split_http(content)
-            own = head_field(head, b"X-Page-Id")
-            yield (None if own is None else int(own), url, ip, date, head, payload, hashlib.sha256(payload).hexdigest())
+        base = name.rsplit("/", 1)[-1]
+        for r in parse_arc(file):
+            if r.reason is None:
+                head, payload = split_http(r.content)
+                yield (number(head_field(head, b"X-Page-Id")), r.url, r.ip, r.date, r.mime, head, payload,
+                       hashlib.sha256(payload).hexdigest(), f"{base}:{r.number:012d}")
     return _read_files(spark, path, parse, _RECORD_SCHEMA, _RECORD_TYPES)
 
 
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """What could not be read under ``path``: file, number there, reason, bytes."""
+    def parse(file, name):
+        for r in parse_arc(file):
+            if r.reason is not None:
+                yield name, r.number, r.reason, r.content
+    return _read_files(spark, path, parse, _REJECT_SCHEMA, _REJECT_TYPES)
+
+
+def number(text: str | None) -> int | None:
+    """A page id as written, None for anything else."""
+    return int(text) if text is not None and re.fullmatch(r"-?[0-9]{1,18}|-?9[0-9]{18}", text.strip()) else None
+
+
 # --- conversion ----------------------------------------------------------
 
 def decide_types(records: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """The records with ``refers_to`` and ``refers_url`` (null: a response).
+    """The records with ``refers_to``, the page of the response (null: they are
+    one), and the url, date and place that give that record its id.
 
     Groups of equal digests are found by a pre-aggregated minimum; only ids
     that are not the group's smallest are joined to the records, by page, so
@@ -221,25 +324,27 @@ def decide_types(records: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> Data
     of shuffling all payloads to a large one.
     """
     narrow = records.where((F.octet_length("payload") >= min_bytes) & F.col("page_id").isNotNull()).select(
-        "digest", "page_id", "url")
-    first = narrow.groupBy("digest").agg(F.min(F.struct("page_id", "url")).alias("first"),
+        "digest", "page_id", "url", "date", "place")
+    first = narrow.groupBy("digest").agg(F.min(F.struct("page_id", "place", "url", "date")).alias("first"),
                                          F.max("page_id").alias("last")).where("last > first.page_id")
     revisits = materialize(narrow.select("digest", "page_id").distinct().join(
         first.select("digest", "first"), "digest").where("page_id > first.page_id").select(
         F.col("digest").alias("r_digest"), F.col("page_id").alias("r_page"),
-        F.col("first.page_id").alias("refers_to"), F.col("first.url").alias("refers_url")), "warc-revisits")
+        F.col("first.page_id").alias("refers_to"), F.col("first.url").alias("refers_url"),
+        F.col("first.date").alias("refers_date"), F.col("first.place").alias("refers_place")), "warc-revisits")
     return records.join(revisits, (F.col("page_id") == F.col("r_page")) & (F.col("digest") == F.col("r_digest")),
                         "left").drop("r_page", "r_digest")
 
 
-def record_id(url: str | None, date: str, digest: str, page_id: int | None) -> str:
-    name = hashlib.sha256("\n".join([url or "", date, digest, str(page_id)]).encode()).digest()
+def record_id(url: str | None, date: str, digest: str, place: str) -> str:
+    """A UUID from what a record is and where it stood in its archive."""
+    name = hashlib.sha256("\n".join([url or "", date, digest, place]).encode()).digest()
     return f"<urn:uuid:{uuid.UUID(bytes=name[:16], version=5)}>"
 
 
 def warc_date(date: str) -> str:
     """14 digits as ISO 8601 in UTC (missing digits count as the earliest)."""
-    d = (date + "00000101000000"[len(date):])[:14]
+    d = _full(date)
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:]}Z"
 
 
@@ -250,40 +355,50 @@ def warc_record(fields: list[tuple[str, str | None]], block: bytes) -> bytes:
 
 def warc_head(name: str) -> bytes:
     body = b"software: tributary\r\nformat: WARC File Format 1.0\r\n"
-    return warc_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id(name, CAPTURED, "", None)),
+    return warc_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id(name, CAPTURED, "", "")),
                         ("WARC-Date", warc_date(CAPTURED)), ("WARC-Filename", f"{name}.warc"),
                         ("Content-Type", "application/warc-fields")], body)
 
 
-@dataclass(frozen=True)
-class ArcRecord:
+class ArcRecord(NamedTuple):
     page_id: int | None
     url: str | None
     ip: str
     date: str
+    mime: str
     head: bytes
     payload: bytes
     digest: str
+    place: str
     refers_to: int | None
     refers_url: str | None
+    refers_date: str | None
+    refers_place: str | None
 
     def to_warc(self) -> bytes:
         """The equivalent WARC record; a revisit keeps the head only."""
         revisit = self.refers_to is not None
-        of = record_id(self.refers_url, self.date, self.digest, self.refers_to) if revisit else None
+        of = record_id(self.refers_url, self.refers_date, self.digest, self.refers_place) if revisit else None
         http = bool(self.head)
         return warc_record([
             ("WARC-Type", "revisit" if revisit else "response" if http else "resource"),
-            ("WARC-Record-ID", record_id(self.url, self.date, self.digest, self.page_id)),
-            ("WARC-Target-URI", self.url), ("WARC-Date", warc_date(self.date)), ("WARC-IP-Address", self.ip),
+            ("WARC-Record-ID", record_id(self.url, self.date, self.digest, self.place)),
+            ("WARC-Target-URI", target(self.url)), ("WARC-Date", warc_date(self.date)), ("WARC-IP-Address", self.ip),
             ("WARC-Profile", "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest" if revisit else None),
-            ("WARC-Refers-To", of), ("X-Refers-To-Page-Id", str(self.refers_to) if revisit else None),
+            ("WARC-Refers-To", of), ("WARC-Refers-To-Target-URI", target(self.refers_url) if revisit else None),
+            ("WARC-Refers-To-Date", warc_date(self.refers_date) if revisit else None),
+            ("X-Refers-To-Page-Id", str(self.refers_to) if revisit else None),
             ("WARC-Payload-Digest", f"sha256:{self.digest}"),
             ("X-Payload-Length", str(len(self.payload))),
-            ("Content-Type", "application/http; msgtype=response" if http else "text/html"),
+            ("Content-Type", "application/http; msgtype=response" if http else _SPACE.sub(" ", self.mime)),
         ], self.head if revisit else self.head + self.payload)
 
 
+def target(url: str | None) -> str | None:
+    """A url as a header may hold it."""
+    return None if url is None else _SPACE.sub(lambda m: f"%{ord(m[0]):02X}", url)
+
+
 def write_warc(records: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
     """Write decided records (see ``decide_types``) as WARC files."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
@@ -293,13 +408,16 @@ def write_warc(records: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> N
                     yield ArcRecord(*row).to_warc()
         return _pack(warc_head, converted(), b"\r\n\r\n", file_bytes)
 
-    columns = ["page_id", "url", "ip", "date", "head", "payload", "digest", "refers_to", "refers_url"]
-    _write_files(records.select(*columns), make, path, "\r\n\r\n")
+    _write_files(records.select(*ArcRecord._fields), make, path, "\r\n\r\n")
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: int = MIN_REVISIT_BYTES) -> None:
-    """Convert all ARC files under one path to WARC files under another."""
+def convert(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: int = MIN_REVISIT_BYTES,
+            rejects_path: str | None = None) -> None:
+    """Convert all ARC files under one path to WARC files under another; what
+    could not be read is written as a table to ``rejects_path``, if given."""
     write_warc(decide_types(read_arc(spark, arc_path), min_bytes), warc_path)
+    if rejects_path:
+        read_rejects(spark, arc_path).write.mode("overwrite").parquet(rejects_path)
 
 
 # --- WARC ----------------------------------------------------------------
@@ -319,17 +437,13 @@ def parse_warc(file: io.BufferedReader, name: str) -> Iterator[tuple[bytes, byte
 
 
 _READ_SCHEMA = ("page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long, "
-                "url string, record_id string, date string, payload binary")
-_READ_TYPES = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(),
-               pa.binary()]
+                "url string, record_id string, refers_to_id string, date string, payload binary")
+_READ_TYPES = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), *[pa.string()] * 4, pa.binary()]
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The page records of all WARC files; a stored payload is checked against
     the digest its header declares."""
-    def number(text: str | None) -> int | None:
-        return None if text is None else int(text)
-
     def parse(file, name):
         for head, block in parse_warc(file, name):
             kind = head_field(head, b"WARC-Type")
@@ -342,6 +456,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 raise ValueError(f"{name}: a payload differs from its digest {digest}")
             yield (number(head_field(http, b"X-Page-Id")), kind, size, digest,
                    number(head_field(head, b"X-Refers-To-Page-Id")), head_field(head, b"WARC-Target-URI"),
-                   head_field(head, b"WARC-Record-ID"), head_field(head, b"WARC-Date"),
+                   head_field(head, b"WARC-Record-ID"), head_field(head, b"WARC-Refers-To"),
+                   head_field(head, b"WARC-Date"),
                    None if kind == "revisit" else payload)
     return _read_files(spark, path, parse, _READ_SCHEMA, _READ_TYPES)
