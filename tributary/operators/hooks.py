@@ -7,14 +7,17 @@ row, and none gathers a whole group in one task:
 * ``map_hook``       X1  scalar ``pandas_udf``
 * ``flat_map_hook``  X2  ``mapInPandas``: a row -> n rows function
 * ``combine_hook``   X3  a combiner lifted into partial + final steps
+* ``ordered_combine_hook`` A3/X3  a combiner whose merge does not commute
 * ``transform``      X4  ``DataFrame.transform`` for composite transforms
 * X5 is ``transforms.with_branch`` (a branch-number column) and ``transforms.partition``
 """
 
 from __future__ import annotations
 
+import pickle
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any, Protocol
 
 import pandas as pd
 import pyarrow as pa
@@ -23,6 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import materialize
+from .ordered import in_order, row_numbers
+
 # The batch functions below run in Python workers on the executors, which do
 # not have this package installed: ship them by value, not by module path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -115,6 +121,93 @@ def combine_hook(df: DataFrame, key: str, value: str,
                 .mapInArrow(finish, f"`{key}` {key_type}, `{out}` {acc_type}"))
 
 
+class OrderedCombiner(Protocol):
+    """A user combiner whose ``merge`` is associative but need not commute:
+    ``merge(a, b)`` always gets ``a`` from rows before those of ``b``."""
+
+    def create(self) -> Any: ...
+    def add(self, acc: Any, value: Any) -> Any: ...
+    def merge(self, a: Any, b: Any) -> Any: ...
+    def extract(self, acc: Any) -> Any: ...
+
+
+#: Accumulators that one step of the merge tree folds.
+MERGE_FAN = 16
+
+
+def ordered_combine_hook(df: DataFrame, value: str, order: Sequence[str], combiner: OrderedCombiner, out_type: str,
+                         by: Sequence[str] = (), out: str = "combined") -> DataFrame:
+    """Fold ``value`` in the given order, over the table or per group.
+
+    Rows are dealt by ranges of (``by``, ``order``), so a hot group spreads over
+    many tasks; each stretch of a range is folded where it lies, and only its
+    accumulator goes on.  The accumulators of a group, numbered in order, are
+    merged by a tree, ``MERGE_FAN`` neighbours at a time.  Rows that tie keep
+    the order of the input; NULL values are added as None, NULL groups are a
+    group; an empty table has no groups and no row.
+    """
+    types = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in by)
+    keyed = f"{types}, " if by else ""
+    placed = in_order(df.select(*dict.fromkeys([*by, *order, value])), order, by)
+    width = len(by)
+
+    def batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(schema.types)],
+                                          schema=schema)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, done, schema = None, [], None  # now: [keys, first place, last place, accumulator]
+        for b in batches:
+            schema = schema or pa.schema([*list(b.schema)[:width], pa.field("__at", pa.int64()), pa.field("__acc", pa.binary())])
+            columns = [c.to_pylist() for c in b.columns]
+            for *keys, v, at in zip(*columns, strict=True):
+                # a file's rows come in order; another file or split starts a new stretch
+                if now is None or now[0] != keys or at != now[2] + 1:
+                    if now:
+                        done.append((*now[0], now[1], pickle.dumps(now[3])))
+                    now = [keys, at, at, combiner.create()]
+                now[2], now[3] = at, combiner.add(now[3], v)
+            if len(done) >= 1000:
+                yield batch(done, schema)
+                done = []
+        if now:
+            yield batch([*done, (*now[0], now[1], pickle.dumps(now[3]))], schema)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, number = None, None
+        for b in batches:
+            rows = []
+            for *keys, up, acc in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                acc = pickle.loads(acc)
+                if held is not None and held[0] == (keys, up):
+                    held[1] = combiner.merge(held[1], acc)
+                    continue
+                if held is not None:
+                    rows.append((*held[0][0], held[0][1], pickle.dumps(held[1])))
+                held = [(keys, up), acc]
+            if rows:
+                yield batch(rows, b.schema)
+            number = b.schema
+        if held is not None:
+            yield batch([(*held[0][0], held[0][1], pickle.dumps(held[1]))], number)
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            results = pa.array([combiner.extract(pickle.loads(x)) for x in b.column(width + 1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*b.columns[:width], results], names=[*by, out])
+
+    accs = placed.select(*by, value, "__at").mapInArrow(fold, f"{keyed}__at long, __acc binary")
+    accs = materialize(row_numbers(accs, ["__at"], by=by, out="__up").select(*by, "__up", "__acc"), "ordered-accs")
+    most = accs.agg(F.max("__up")).first()[0] or 0
+    while most > 1:
+        up = accs.withColumn("__n", F.col("__up")).withColumn("__up", F.floor((F.col("__up") - 1) / MERGE_FAN) + 1)
+        dealt = up.repartition(*by, "__up").sortWithinPartitions(*by, "__up", "__n")
+        accs = materialize(dealt.select(*by, "__up", "__acc").mapInArrow(merge, f"{keyed}__up long, __acc binary"),
+                           "ordered-accs")
+        most = -(-most // MERGE_FAN)
+    return accs.mapInArrow(extract, f"{keyed}`{out}` {out_type}")
+
+
 def transform(df: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Apply a composite transform (a function of DataFrames)."""
     return df.transform(fn)

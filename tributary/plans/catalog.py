@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_aggregates, q_hooks, q_io, q_jobs, q_regex, q_rows, q_streams, q_windows  # noqa: F401
+from . import q_aggregates, q_hooks, q_io, q_jobs, q_ordered, q_regex, q_rows, q_streams, q_windows  # noqa: F401
 from .registry import QUERIES, Query
 
 __all__ = ["QUERIES", "Query", "all_queries", "oracle_sql"]

@@ -18,6 +18,7 @@ from ..operators import windows as WN
 from ..operators.windows import sessions_from_buckets
 from ..session import parallelism, scratch_path, table_path
 from ..sinks import writers as W
+from ..streaming import panes as PN
 from ..streaming import sessions as SS
 from ..streaming import streams as ST
 from .registry import query, table
@@ -166,6 +167,36 @@ def stream_late_rows(spark, sf_dir):
     return _windows(spark, ST.run_to_files(counts, "late", checkpoint=ckpt, output=out))
 
 
+#: Windows of ``stream_late_panes``, and for how long late rows still count.
+PANE_SECONDS, PANE_LATENESS_S = 3600, 60 * 86400
+
+
+@query("stream_late_panes", ids=("T9", "T10", "T2"), sql="""
+select time_bucket(interval 1 hour, ts) as window_start, time_bucket(interval 1 hour, ts) + interval 1 hour as window_end,
+       count(*) as n,
+       count(*) filter (event_type = 'error' and time_bucket(interval 1 hour, ts) + interval 1 hour <= w) as n_late
+from events, (select max(ts) as w from events where event_type <> 'error') group by 1, 2
+""")
+def stream_late_panes(spark, sf_dir):
+    """Hourly counts in panes: the ``error`` events arrive after all others,
+    when the watermark has closed all windows but the last; a late pane corrects
+    the count.  The last pane is the batch count, its excess over the panes in
+    time the late rows."""
+    events = table(spark, sf_dir, "events").select("ts", "event_type")
+    landing, out, ckpt = (scratch_path(spark, f"panes_{x}") for x in ("in", "out", "ckpt"))
+    events.filter("event_type <> 'error'").write.parquet(landing)
+    panes = PN.window_panes(ST.file_stream(spark, landing, events.schema), "ts", PANE_SECONDS, PANE_LATENESS_S)
+    PN.run(panes, "panes", checkpoint=ckpt, output=out)
+    events.filter("event_type = 'error'").write.mode("append").parquet(landing)
+    PN.run(panes, "panes", checkpoint=ckpt, output=out)
+    stored = spark.read.parquet(out)
+    kept = stored.groupBy("window_us").agg(F.max_by("n", "pane").alias("n"),
+                                           F.max(F.when(F.col("timing") != "late", F.col("n"))).alias("in_time"))
+    start = F.timestamp_add("MICROSECOND", F.col("window_us"), F.expr(T.EPOCH_NTZ))
+    return kept.select(start.alias("window_start"), F.timestamp_add("SECOND", F.lit(PANE_SECONDS), start).alias("window_end"),
+                       "n", (F.col("n") - F.coalesce("in_time", F.lit(0))).alias("n_late"))
+
+
 @query("stream_window_label", ids=("T2", "T6", "T9", "R18", "R15", "R21"), sql="""
 select format('{}  [{} - {}]', count(*),
               strftime(time_bucket(interval 5 seconds, ts), '%Y-%m-%d %H:%M:%S'),
