@@ -97,7 +97,8 @@ def test_zone_maps_leave_blocks_unread(spark, small_blocks):
     chunks = hn._packed(anchors, "chunk", found_.width).select("chunk", "rows", "ids", "labels", "vectors")
     whole = chunks.withColumn("windows", F.expr("array(struct(0 as of, cast(null as bigint) as positive))"))
     best = hn._units(whole, found_, None, True, found_.width).groupBy("chunk", "w").agg(F.max_by("block", "bound").alias("block"))
-    units = best.groupBy("chunk", "block").agg(F.collect_list("w").alias("ws"))
+    units = best.groupBy("chunk", "block").agg(F.collect_list("w").alias("ws")).withColumn(
+        "least", F.lit(None).cast("array<long>"))
     start = hn._read(units, whole, found_, True, 5, found_.width)
     floors = start.groupBy("chunk", "w").agg(F.min("score").alias("floor"))
     floors = best.join(floors, ["chunk", "w"]).groupBy("chunk").agg(F.collect_list(F.struct("w", "block", "floor")).alias("floors"))

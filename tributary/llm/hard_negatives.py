@@ -241,7 +241,8 @@ WINDOWS = "array<struct<of: int, positive: long>>"
 def _units(queries: DataFrame, found: Candidates, floors: DataFrame | None, same: bool, width: int) -> DataFrame:
     """Which blocks the windows of each chunk must read.  Without ``floors``:
     (chunk, w, block, bound), the most promising block of each window on each
-    page.  With them: (chunk, block, ws), every further block that can matter."""
+    page.  With them: (chunk, block, ws, least), every further block that can
+    matter, and the least score that still does."""
     each = queries.select("chunk", "labels", "vectors", "windows",
                           F.explode(F.sequence(*[F.lit(p).cast("long") for p in (0, found.n_pages - 1)])).alias("page"))
     each = each.join(found.pages, "page")
@@ -279,19 +280,23 @@ def _units(queries: DataFrame, found: Candidates, floors: DataFrame | None, same
         for batch in batches:
             for row in batch.to_pylist():
                 block, can, most = reach(row)
+                least = np.full(len(can), np.iinfo(np.int64).min)
                 for f in row["floors"] or ():
                     can[f["w"]] &= block != f["block"]
                     if f["floor"] is not None:
                         can[f["w"]] &= most[f["w"]] >= f["floor"]
+                        least[f["w"]] = f["floor"]
                 used = np.flatnonzero(can.any(0))
+                ws = [np.flatnonzero(can[:, b]) for b in used]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["chunk"]] * len(used), pa.int64()), pa.array(block[used]),
-                     pa.array([np.flatnonzero(can[:, b]).tolist() for b in used], pa.list_(pa.int32()))],
-                    names=["chunk", "block", "ws"])
+                     pa.array([w.tolist() for w in ws], pa.list_(pa.int32())),
+                     pa.array([least[w].tolist() for w in ws], pa.list_(pa.int64()))],
+                    names=["chunk", "block", "ws", "least"])
 
     if floors is None:
         return each.mapInArrow(first, "chunk long, w int, block long, bound double")
-    return each.mapInArrow(further, "chunk long, block long, ws array<int>")
+    return each.mapInArrow(further, "chunk long, block long, ws array<int>, least array<long>")
 
 
 def _read(units: DataFrame, queries: DataFrame, found: Candidates, same: bool, k: int, width: int) -> DataFrame:
@@ -311,8 +316,9 @@ def _read(units: DataFrame, queries: DataFrame, found: Candidates, same: bool, k
                 anchors = _rows_of(row["vectors"], width)[own] if width else np.zeros((len(own), 0))
                 block = _rows_of(row["c_vectors"], width) if width else np.zeros((len(ids), 0))
                 scores = inner(anchors, block)[where]
+                least = np.array(row["least"], np.int64)[:, None] if row["least"] else np.iinfo(np.int64).min
                 ok = (_ints(row["labels"])[of][:, None] == labels) == same
-                ok &= _ints(row["rows"])[of][:, None] != _ints(row["c_rows"])
+                ok &= (_ints(row["rows"])[of][:, None] != _ints(row["c_rows"])) & (scores >= least)
                 if not same:
                     ok &= in_window(scores, np.array([row["windows"][w]["positive"] for w in row["ws"]], np.int64)[:, None])
                 for _ in range(k):  # rows stand by rising id: the first of equal scores is the smaller id
@@ -341,7 +347,8 @@ def search(queries: DataFrame, found: Candidates, same: bool, k: int) -> DataFra
     width, window = found.width, Window.partitionBy("chunk", "w").orderBy(F.desc("score"), "vec_id")
     best = _units(queries, found, None, same, width).groupBy("chunk", "w").agg(F.max_by("block", "bound").alias("block"))
     best = materialize(best, "first-blocks")
-    units = best.groupBy("chunk", "block").agg(F.collect_list("w").alias("ws"))
+    units = best.groupBy("chunk", "block").agg(F.collect_list("w").alias("ws")).withColumn(
+        "least", F.lit(None).cast("array<long>"))
     start = materialize(_read(units, queries, found, same, k, width), "first-rows")
     floors = start.groupBy("chunk", "w").agg(F.when(F.count("score") >= k, F.min("score")).alias("floor"))
     floors = best.join(floors, ["chunk", "w"], "left").groupBy("chunk").agg(
