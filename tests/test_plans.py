@@ -14,6 +14,8 @@ from tributary.plans import catalog
 QUERIES = {n: q.build for n, q in catalog.all_queries().items()}
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "PythonUDF", "MapInArrow")
+# One JSON array in byte ranges: its state has no column expression.
+PYTHON_READERS = ("src_json_array_ranges",)
 # Streams run to completion when built; their plans are checked by their tests.
 PLANNED = sorted(n for n in QUERIES if not n.startswith("stream_"))
 
@@ -30,7 +32,7 @@ def plans(spark):
 
 @pytest.mark.parametrize("name", PLANNED)
 def test_no_python_in_builtin_operators(plans, name):
-    if name.startswith("udf_"):
+    if name.startswith("udf_") or name in PYTHON_READERS:
         return
     assert not any(node in plans[name] for node in PYTHON_NODES), name
 

@@ -84,7 +84,7 @@ def test_ingested_files_leave_the_landing_folder(spark):
     for n in (3, 2):
         _drop_file(spark, landing, list(range(n)))
         ST.ingest_and_remove(spark, landing, "ts timestamp_ntz", "rm", output=out, checkpoint=ckpt)
-        assert ST.files_in(spark, landing) == []
+        assert ST.files_in(spark, landing).isEmpty()
     assert spark.read.parquet(out).count() == 5
 
 

@@ -207,8 +207,8 @@ def clean_csv_ingest(spark: SparkSession, landing_dir: str, out_path: str,
     Types are decided from each micro-batch's content; later batches are cast
     to the table's types where that is lossless.  ``numeric_as_double`` types
     every numeric column as double, which never conflicts.  ``remove_source``
-    takes the files that were there when the run began out of the landing
-    folder once it has committed; ``processed_at`` replaces the clock."""
+    takes the files that the run has taken in out of the landing folder once
+    it has committed; ``processed_at`` replaces the clock."""
     # A file stream needs a schema: take it from the header of the files present.
     files = spark.read.option("header", True).option("sep", sep).csv(landing_dir)
     stream = (spark.readStream.schema(files.schema).option("header", True)
@@ -225,9 +225,9 @@ def clean_csv_ingest(spark: SparkSession, landing_dir: str, out_path: str,
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("batch_id").parquet(out_path)
 
-    present = ST.files_in(spark, landing_dir) if remove_source else []
     ST.run_foreach_batch(stream, "clean_ingest", handle, checkpoint=checkpoint)
-    ST.delete_files(spark, present)
+    if remove_source:
+        ST.delete_files(spark, ST.taken_files(spark, checkpoint))
     return spark.read.parquet(out_path)
 
 

@@ -17,6 +17,7 @@ after the previous one joins its session.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,6 +63,36 @@ def sliding_windows(df: DataFrame, ts: str, size: str, slide: str,
     return _window_agg(df, F.window(ts, size, slide), keys, aggs)
 
 
+#: How the partial results of panes add up to a window's.
+_PANE_MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+
+
+def sliding_by_panes(df: DataFrame, ts: str, size_seconds: int, slide_seconds: int, keys: Sequence[str] = (),
+                     aggs: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """T3 by shared panes: the same rows as ``sliding_windows``.
+
+    A pane is ``gcd(size, slide)`` long, so every window is made of whole panes.
+    Rows are aggregated once, per pane; each pane, not each row, is copied to
+    its ``size / slide`` windows.  ``aggs`` is ``{out: (kind, column)}`` with
+    kind count, sum, min or max (default: ``n``, the number of rows).
+    """
+    aggs = aggs or {"n": ("count", "1")}
+    size, slide = int(size_seconds) * 1_000_000, int(slide_seconds) * 1_000_000
+    pane = gcd(size, slide)
+    start = F.floor(F.col("__us") / F.lit(pane)) * F.lit(pane)
+    partial = (df.withColumn("__us", _micros(df, ts)).where("__us is not null")
+               .groupBy(*keys, start.alias("__pane"))
+               .agg(*[getattr(F, kind)(F.expr(column)).alias(out) for out, (kind, column) in aggs.items()]))
+    # the windows of a pane: starts are multiples of the slide, from the first
+    # whose end lies behind the pane to the last that begins by it
+    last = F.floor(F.col("__pane") / F.lit(slide)) * F.lit(slide)
+    first = (F.floor((F.col("__pane") - F.lit(size)) / F.lit(slide)) + 1) * F.lit(slide)
+    copied = partial.where(first <= last).withColumn("__start", F.explode(F.sequence(first, last, F.lit(slide))))
+    merged = copied.groupBy(*keys, "__start").agg(*[_PANE_MERGE[kind](out).alias(out) for out, (kind, _) in aggs.items()])
+    return merged.select(*keys, _from_micros(df, ts, F.col("__start")).alias("window_start"),
+                         _from_micros(df, ts, F.col("__start") + F.lit(size)).alias("window_end"), *aggs)
+
+
 def session_buckets(df: DataFrame, ts: str, gap_seconds: int,
                     keys: Sequence[str] = ()) -> DataFrame:
     """Phase 1: (keys, bucket, first us, last us, count) per ``floor(ts / gap)``.

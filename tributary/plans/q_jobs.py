@@ -59,7 +59,7 @@ def job_clean_csv_ingest(spark, sf_dir):
         "header", True).option("sep", ";").csv(landing)
     out = jobs.clean_csv_ingest(spark, landing, scratch_path(spark, "clean"), scratch_path(spark, "clean_ckpt"),
                                 remove_source=True, processed_at=F.to_timestamp_ntz(F.lit("2024-03-01 12:30:00")))
-    if ST.files_in(spark, landing):
+    if not ST.files_in(spark, landing).isEmpty():
         raise RuntimeError("ingested files are still in the landing folder")
     return out.drop("batch_id")
 

@@ -35,6 +35,30 @@ def window_sliding_count(spark, sf_dir):
     return WN.sliding_windows(table(spark, sf_dir, "events"), "ts", SLIDE_SIZE, SLIDE_STEP)
 
 
+@query("window_sliding_panes", ids=("T3",), sql="""
+with m as (select time_bucket(interval 1 minute, ts) as p, count(*) as n, max(value) as v from events group by 1),
+     w as (select p - to_minutes(cast(i as integer)) as s, n, v from m, range(60) r(i))
+select s as window_start, s + interval 1 hour as window_end, cast(sum(n) as bigint) as n, max(v) as highest
+from w group by s
+""")
+def window_sliding_panes(spark, sf_dir):
+    """An hour every minute: 60 windows hold each event, but an event is
+    aggregated once, into its pane."""
+    return WN.sliding_by_panes(table(spark, sf_dir, "events"), "ts", 3600, 60,
+                               aggs={"n": ("count", "1"), "highest": ("max", "value")})
+
+
+@query("window_sliding_panes_user", ids=("T3",), sql="""
+with a as (select event_type, time_bucket(interval 100 seconds, ts) - to_seconds(100 * cast(i as integer)) as s, ts
+           from events, range(3) r(i))
+select event_type, s as window_start, s + interval 250 seconds as window_end, count(*) as n
+from a where ts < s + interval 250 seconds group by 1, 2
+""")
+def window_sliding_panes_user(spark, sf_dir):
+    """250 s every 100 s: panes of 50 s, and windows by key."""
+    return WN.sliding_by_panes(table(spark, sf_dir, "events"), "ts", 250, 100, keys=["event_type"])
+
+
 _SESSIONS_SQL = """
 with e as (select {keys_sel} ts, lag(ts) over (partition by {part} order by ts) as prev from events),
 s as (select *, sum(case when prev is null or ts - prev > interval 30 minutes then 1 else 0 end)

@@ -137,28 +137,37 @@ def before_closing(ts) -> Column:
     return F.col(ts) < F.timestamp_add("DAY", F.lit(-1), F.to_timestamp_ntz(F.lit(CLOSING_TIME)))
 
 
-def files_in(spark: SparkSession, folder: str) -> list[str]:
-    """The data files of a folder (one name per file; contents are not read)."""
-    return [r.path for r in spark.read.format("binaryFile").load(folder).select("path").collect()]
+def files_in(spark: SparkSession, folder: str) -> DataFrame:
+    """The data files of a folder: (path); contents are not read."""
+    return spark.read.format("binaryFile").load(folder).select("path")
 
 
-def delete_files(spark: SparkSession, paths: list[str]) -> None:
-    """Remove files on whatever file system they are."""
+def taken_files(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The files that a stream's source has taken in committed batches, from
+    its own log in the checkpoint: (path), as the log spells them."""
+    log = spark.read.text(f"{checkpoint.rstrip('/')}/sources/0").where(F.col("value").startswith("{"))
+    return log.select(F.get_json_object("value", "$.path").alias("path")).distinct()
+
+
+def delete_files(spark: SparkSession, paths: DataFrame) -> None:
+    """Remove files (URIs in column ``path``) on whatever file system they are;
+    the list streams by, a partition at a time.  Missing ones are skipped."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jvm = spark.sparkContext._jvm
+    for row in paths.toLocalIterator():
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.path))
         p.getFileSystem(hadoop).delete(p, False)
 
 
 def ingest_and_remove(spark: SparkSession, landing: str, schema, name: str, fmt: str = "parquet",
                       output: str | None = None, checkpoint: str | None = None) -> str:
     """Append everything in the landing folder, then remove the files that
-    were there when the run began.  They go only after the run has committed;
-    after a failure in between, the checkpoint keeps the next run from taking
-    them twice, and it removes them.  Files that arrive meanwhile stay."""
-    present = files_in(spark, landing)
+    the stream has taken.  They go only after the run has committed; after a
+    failure in between, the checkpoint keeps the next run from taking them
+    twice, and it removes them.  Files that arrive meanwhile stay."""
+    checkpoint = checkpoint or scratch_path(spark, f"{name}_ckpt")
     output = run_to_files(file_stream(spark, landing, schema, fmt), name, output=output, checkpoint=checkpoint)
-    delete_files(spark, present)
+    delete_files(spark, taken_files(spark, checkpoint))
     return output
 
 
