@@ -330,15 +330,16 @@ def repeated_spans(docs: DataFrame, text: str = "text", depth: int = DEPTH) -> D
         "k1", "k2", "at", "size")
     # The edges: stretches of their own, and what shares their gram.
     edges = stretches.groupBy("gram").agg(F.count(F.lit(1)).alias("many"), F.min("n").alias("least")).where("least = 1")
+    edges = materialize(edges, "repeat-edges", free_shuffles=True)  # a join on a shuffle of its own splits a hot gram
     wanted = stretches.join(edges, "gram").select("gram", "stretch", "n", "many", "place.*")
-    cut = materialize(fetch(docs, text, wanted), "repeat-edges", free_shuffles=True)
+    cut = materialize(fetch(docs, text, wanted), "repeat-cut", free_shuffles=True)
     spans = whole.unionByName(copies).select("k1", "k2", F.col("at").alias("a"), (F.col("at") + F.col("size")).alias("b"))
     spans = spans.unionByName(sort_edges(cut.where(F.col("many") <= GROUP), depth))
     if not cut.where(F.col("many") > GROUP).isEmpty():
         spans = spans.unionByName(count_windows(cut.where(F.col("many") > GROUP), depth))
     spans = materialize(spans.distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "b")).alias("spans")),
                         "repeat-spans", free_shuffles=True)
-    for frame in (known, stretches, cut):
+    for frame in (known, stretches, edges, cut):
         discard(frame)
     return spans
 
