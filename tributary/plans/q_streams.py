@@ -18,6 +18,7 @@ from ..operators import windows as WN
 from ..operators.windows import sessions_from_buckets
 from ..session import parallelism, scratch_path, table_path
 from ..sinks import writers as W
+from ..sources import messages as MS
 from ..streaming import panes as PN
 from ..streaming import sessions as SS
 from ..streaming import streams as ST
@@ -72,6 +73,23 @@ def _json_messages(spark, sf_dir):
               .select("event_id", damaged.alias("value")))
 
 
+@query("stream_message_log", ids=("S13", "S14", "S17"), sql="""
+select event_id, user_id, event_type, value, row_number() over (order by event_id) - 1 as offset from events
+""")
+def stream_message_log(spark, sf_dir):
+    """The events as a message log: published in two batches, consumed a seventh
+    at a time by two runs of the stream, the second from the first's checkpoint."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    log, out, ckpt = (scratch_path(spark, f"log_{x}") for x in ("messages", "out", "ckpt"))
+    half = ev.select(F.expr("percentile_approx(event_id, 0.5)")).scalar()
+    MS.publish(ev.where(F.col("event_id") <= half), log, ["event_id"])
+    step = -(-2 * MS.end_offset(log) // 7)
+    MS.listen(MS.stream(spark, log, ev.schema, ckpt, step, step // 2), "log", ckpt, out, until=step)
+    MS.publish(ev.where(F.col("event_id") > half), log, ["event_id"])
+    messages = MS.stream(spark, log, ev.schema, ckpt, step, step // 2)
+    return spark.read.parquet(MS.listen(messages, "log", ckpt, out, until=MS.end_offset(log)))
+
+
 @query("stream_json_parse", ids=("T8", "P6", "R16", "K1"), sql="""
 select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as timestamp, props as data
 from events where event_type <> 'error'
