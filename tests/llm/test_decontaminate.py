@@ -102,3 +102,23 @@ def test_copies_of_a_passage_in_many_documents(spark):
     found = decontaminate.scan(docs, bench, keep=["doc_id"]).where("res.n_hit > 0")
     assert found.count() == 300
     assert {tuple(r[0]) for r in found.select("res.items").distinct().collect()} == {tuple(sorted(map(str, range(20))))}
+
+
+def test_twenty_blocks_are_read_one_at_a_time(spark, monkeypatch):
+    """The blocks go to the shared folder; the driver gets no item, and a task
+    holds one block while it searches."""
+    items = [(i, prose(100 + i, 30)) for i in range(80)]
+    docs = [(i, prose(300 + i, 20) + " " + " ".join(items[i][1].split()[j] for j in range(5, 25)) + " " + prose(100 + (i * 7) % 80, 30))
+            for i in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    size = sum(len(t) for _, t in items)
+    stored = decontaminate.write_blocks(bench, "item_id", "text", 10, size // 20)
+    assert stored.count() >= 18 and len(stored.inputFiles()) >= stored.count()
+    (one,) = decontaminate.read_block(stored.inputFiles()[0])
+    assert 0 < len(one.names) < 20
+    got = decontaminate.scan(frame, bench, block_bytes=size // 20).select("row.*", "res.*").collect()
+    want = brute(docs, items)
+    assert [(r.n_words, r.n_hit, r["items"], r.longest) for r in got] == [want[(r.doc_id, r.text)] for r in got]
+    whole = decontaminate.scan(frame, bench).select("row.*", "res.*").collect()
+    assert sorted(map(str, got)) == sorted(map(str, whole))

@@ -4,9 +4,14 @@ Every task cuts its documents into shards, builds a word-level suffix array
 per shard, and binary-searches every suffix of the test items in it.  The
 places that share a whole window with a test item are hits; from each the
 longest verbatim match is read off the test items' own suffix array.  Nothing
-of the corpus is shuffled or collected.  The test items go to the tasks in
-blocks of at most ``BLOCK_BYTES`` (measured before they are sent); a larger
-benchmark takes more passes, not a larger broadcast.
+of the corpus is shuffled or collected.
+
+The test items are cut into blocks of about ``BLOCK_BYTES``; tasks index them
+and write them to the shared folder.  A task over documents searches a shard
+for one block after another: neither the driver nor any task ever holds more
+than one block, and a larger benchmark takes more passes over a shard, not
+more memory.  (Where there is one block, it travels with the kernel.)  The
+shared folder must be one that Arrow's file systems reach.
 
 Defined cases: a null or empty document has no words and is clean; a null or
 empty item has no window; an item shorter than the window is one window of
@@ -17,15 +22,20 @@ judged row by row.  Extra columns pass through untouched.
 
 from __future__ import annotations
 
+import pickle
 from collections import defaultdict
+from collections.abc import Iterator
 from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from . import suffix_arrays as sa
 from .textmap import alnum_words, map_texts
 
@@ -36,8 +46,7 @@ BLOCK_BYTES = 2 << 20
 
 _RESULT = T.StructType([
     T.StructField("n_words", T.LongType()),
-    T.StructField("starts", T.ArrayType(T.LongType())),
-    T.StructField("ends", T.ArrayType(T.LongType())),
+    T.StructField("n_hit", T.LongType()),
     T.StructField("items", T.ArrayType(T.StringType())),
     T.StructField("longest", T.LongType()),
     T.StructField("longest_word", T.LongType()),
@@ -152,17 +161,79 @@ def search_shard(texts: list[bytes | None], tests: TestSet) -> list[pa.Array]:
             pa.array(top[3], mask=none)]
 
 
-def test_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> list[list[tuple[str, str | None]]]:
-    """The items in blocks of about ``block_bytes``, by a hash of the row."""
+def write_blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_bytes: int) -> DataFrame:
+    """The items, indexed in blocks of about ``block_bytes`` by a hash of the
+    row: (block, data).  Equal rows are one."""
     rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"),
                             F.col(text).cast("string").alias("t")).where("t is not null")
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = -(-size // block_bytes) or 1
-    block = F.pmod(F.xxhash64("i", "t"), F.lit(n))
-    return [sorted((r.i, r.t) for r in rows.where(block == b).distinct().collect()) for b in range(n)]
 
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            for block, i, t in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if held and block != at:
+                    yield done(at, held)
+                    held = []
+                at = block
+                held.append((i, t))
+        if held:
+            yield done(at, held)
+
+    def done(block: int, items: list[tuple[str, str]]) -> pa.RecordBatch:
+        data = pickle.dumps(vars(TestSet(sorted(set(items)), window)), protocol=5)
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([data], pa.binary())], names=["block", "data"])
+
+    numbered = rows.select(F.pmod(F.xxhash64("i", "t"), F.lit(n)).cast("int").alias("block"), "i", "t")
+    dealt = numbered.repartitionById(n, "block").sortWithinPartitions("block")  # a block is a task and a file
+    return materialize(dealt.mapInArrow(index, "block long, data binary"), "test-blocks")
+
+
+def _restored(data: bytes) -> TestSet:
+    tests = TestSet.__new__(TestSet)
+    vars(tests).update(pickle.loads(data))
+    return tests
+
+
+def read_block(uri: str) -> list[TestSet]:
+    """The block of a file in the shared folder (none, if no item fell there)."""
+    where, path = fs.FileSystem.from_uri(uri)
+    return [_restored(d) for d in pq.read_table(path, filesystem=where, columns=["data"]).column(0).to_pylist()]
 
-test_blocks.__test__ = False
+
+class Found:
+    """What a shard's documents share with the blocks searched so far."""
+
+    def __init__(self, texts: list[bytes | None]) -> None:
+        self.n = len(texts)
+        self.words: pa.Array = pa.array([0] * self.n, pa.int64())
+        self.hits = np.zeros(self.n, np.int64)
+        self.spans: dict[int, list[tuple[int, int]]] = {}
+        self.items: dict[int, set[str]] = {}
+        self.best: list[tuple] = [(0, None, None, None)] * self.n
+
+    def add(self, part: list[pa.Array]) -> None:
+        self.words, starts, ends, items, *top = part
+        for i in np.flatnonzero(np.diff(starts.offsets.to_numpy())).tolist():
+            own = self.spans.setdefault(i, [])
+            own += zip(starts[i].as_py(), ends[i].as_py(), strict=True)
+            self.items.setdefault(i, set()).update(items[i].as_py())
+            # the longest match; of equal ones the first, then the item's name and place
+            new = tuple(c[i].as_py() for c in top)
+            self.best[i] = max(self.best[i], new, key=lambda t: (t[0], -(t[1] or 0), t[2] or "", t[3] or 0))
+
+    def result(self) -> list[pa.Array]:
+        for i, own in self.spans.items():
+            end = 0
+            for a, b in sorted(own):
+                self.hits[i] += max(0, b - max(a, end))
+                end = max(end, b)
+        items = [sorted(self.items.get(i, ())) for i in range(self.n)]
+        longest = zip(*self.best, strict=True) if self.n else [[]] * 4
+        types = (pa.int64(), pa.int64(), pa.string(), pa.int64())
+        return [self.words, pa.array(self.hits), pa.array(items, pa.list_(pa.string())),
+                *[pa.array(c, t) for c, t in zip(longest, types, strict=True)]]
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
@@ -174,33 +245,28 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
     (sorted ids of the items met), and the longest verbatim match: its length
     in words, where it starts, the item, and where it starts there.
     """
-    frame = docs.select((F.struct("*") if keep is None else F.struct(*keep)).alias("row"),
-                        F.col(text).cast("string").alias("text"))
-    blocks = test_blocks(benchmark, item_id, item_text, block_bytes)
-    for b, items in enumerate(blocks):
-        def kernel(items=items):
-            tests = TestSet(items, window)
-            return lambda texts: search_shard(texts, tests)
-        last = b == len(blocks) - 1
-        kept = [c for c in frame.columns if c != "text" or not last]
-        frame = map_texts(frame, "text", kernel, _RESULT, keep=kept, group_bytes=SHARD_BYTES).select(
-            "row.*", F.col("res").alias(f"b{b}"))
-    parts = [F.col(f"b{b}") for b in range(len(blocks))]
-    spans = F.array_sort(F.flatten(F.array(*[F.arrays_zip(p["starts"].alias("s"), p["ends"].alias("e"))
-                                             for p in parts])))
-    n_hit = F.aggregate(
-        spans, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to")),
-        lambda a, x: F.struct((a["n"] + F.greatest(x["e"] - F.greatest(x["s"], a["to"]), F.lit(0))).alias("n"),
-                              F.greatest(a["to"], x["e"]).alias("to")),
-        lambda a: a["n"])
-    best = F.array_max(F.array(*[F.struct(p["longest"], (-p["longest_word"]).alias("w"), p["longest_item"],
-                                          p["longest_item_word"]) for p in parts]))
-    return frame.select("row", F.struct(
-        parts[0]["n_words"].alias("n_words"), n_hit.alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.array(*[p["items"] for p in parts])))).alias("items"),
-        best["longest"].alias("longest"), (-best["w"]).alias("longest_word"),
-        best["longest_item"].alias("longest_item"),
-        best["longest_item_word"].alias("longest_item_word")).alias("res"))
+    stored = write_blocks(benchmark, item_id, item_text, window, block_bytes)
+    files = sorted(stored.inputFiles())
+    only = bytes(stored.first().data) if stored.limit(2).count() == 1 else None  # one block travels with the kernel
+    if not files or (only is None and stored.isEmpty()):
+        only = pickle.dumps(vars(TestSet([], window)))
+
+    def kernel():
+        kept = [_restored(only)] if only is not None else None
+
+        def run(texts):
+            found = Found(texts)
+            if kept:
+                found.add(search_shard(texts, kept[0]))
+            else:
+                for uri in files:
+                    for tests in read_block(uri):
+                        found.add(search_shard(texts, tests))
+            return found.result()
+        return run
+
+    size = SHARD_BYTES if only is not None else 4 * SHARD_BYTES
+    return map_texts(docs, text, kernel, _RESULT, keep=keep, group_bytes=size)
 
 
 def contaminated(res: Column) -> Column:
