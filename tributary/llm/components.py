@@ -4,7 +4,9 @@ Links stay distributed; each round is written to the shared folder, so a lost
 executor repeats one round at most.  Every round replaces the links of a node
 by links to the smallest node it knows, so that a component becomes a star
 around its smallest node in a few rounds.  Smallest neighbours are found by a
-pre-aggregated minimum, never by gathering a node's links.
+pre-aggregated minimum, never by gathering a node's links; the minima are
+written before links are joined to them, so that the join has shuffles of its
+own and Spark can split those of a node with very many links.
 """
 
 from __future__ import annotations
@@ -21,13 +23,14 @@ def _least(edges: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    joined = both.join(_least(both).select("u", F.least("u", "m").alias("m")), "u").where("v > u")
+    least = materialize(_least(both).select("u", F.least("u", "m").alias("m")), "links-least")
+    joined = both.join(least, "u").where("v > u")
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = _least(down)
+    least = materialize(_least(down), "links-least")
     rest = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return rest.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -43,5 +46,7 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         if now[0] == 0 or now == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen, before = now, edges
-        edges = materialize(_small_star(_large_star(before)), "links")
+        large = materialize(_large_star(before), "links")
+        edges = materialize(_small_star(large), "links")
         discard(before)
+        discard(large)

@@ -279,9 +279,10 @@ def components(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK)
         nodes.join(first, nodes["fp"] == first["node"], "left")
         .select("fp", "least_id", F.coalesce("root", "fp").alias("label")), "simhash-groups")
     second = connected_components(_find_links(grouped, all_keys, max_bits, block), "a", "b")
-    rooted = grouped.join(second, grouped["label"] == second["node"], "left").select(
-        "fp", "least_id", F.coalesce("root", "label").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component"))
+    # Both sides are written: a join on shuffles of its own lets Spark split a large component.
+    rooted = materialize(grouped.join(second, grouped["label"] == second["node"], "left").select(
+        "fp", "least_id", F.coalesce("root", "label").alias("root")), "simhash-roots")
+    least = materialize(rooted.groupBy("root").agg(F.min("least_id").alias("component")), "simhash-least")
     return rooted.join(least, "root").select("fp", "root", "component")
 
 
