@@ -317,8 +317,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix: every taken document with its own columns, once per copy, in
-    its shard and there in the order of a seeded hash."""
+    its shard and there in the order of a seeded hash.  Neighbouring shards
+    share a task, as many as keep the tasks within the session's shuffle
+    partitions: shard after shard stands in a task's output."""
     mixed = mix(docs, **options)
     copies = mixed.rows.select("row", "m_hash", F.posexplode("shards").alias("copy", "shard"))
     order = F.xxhash64(F.lit(SEED + 1), F.col("m_hash"), F.col("copy"))
-    return copies.repartition(mixed.n_shards, "shard").sortWithinPartitions("shard", order).select("row.*")
+    tasks = min(mixed.n_shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    task = F.floor(F.col("shard").cast("long") * tasks / mixed.n_shards).cast("int")
+    return copies.repartitionById(tasks, task).sortWithinPartitions("shard", order).select("row.*")
