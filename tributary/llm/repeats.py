@@ -302,6 +302,7 @@ def fetch(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
                     names=["gram", "stretch", "n", "many", "k1", "k2", "at", "bytes"])
 
     lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("gram", "stretch", "n", "many", "at", "size")).alias("w"))
+    lists = materialize(lists, "repeat-lists", free_shuffles=True)
     own = docs.select(*key(text), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     return own.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "w").mapInArrow(
         cut, "gram long, stretch long, n long, many long, k1 long, k2 long, at long, bytes binary")
