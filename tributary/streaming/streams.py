@@ -111,11 +111,11 @@ def run_to_end(stream: DataFrame, ts: str, name: str, build: Callable[[DataFrame
     """T2-T5 over a stream that ends: every window closes, the last ones too.
 
     ``build`` turns the events into the windowed result (append mode, bounded
-    state).  The first run takes all events; then a closing message, a row
+    state).  One run takes all events; when it has, a closing message, a row
     with only ``ts`` set to ``CLOSING_TIME``, moves the watermark past every
-    open window and a second run from the same checkpoint emits them.  Rows of
-    the closing message's own windows are the caller's to drop (see
-    ``before_closing``).  Returns the output path.
+    open window and the same run emits them and stops.  Rows of the closing
+    message's own windows are the caller's to drop (see ``before_closing``).
+    A run that fails goes on from its checkpoint.  Returns the output path.
     """
     spark = stream.sparkSession
     output = output or scratch_path(spark, f"{name}_out")
@@ -126,9 +126,17 @@ def run_to_end(stream: DataFrame, ts: str, name: str, build: Callable[[DataFrame
         for f in stream.schema])
     row.limit(0).write.parquet(closing)
     both = build(stream.unionByName(spark.readStream.schema(stream.schema).parquet(closing)))
-    run_to_files(both, name, checkpoint=checkpoint, output=output)
-    row.write.mode("append").parquet(closing)
-    return run_to_files(both, name, checkpoint=checkpoint, output=output)
+    query = (both.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+             .trigger(processingTime="0 seconds").start(output))
+    try:
+        query.processAllAvailable()
+        row.write.mode("append").parquet(closing)
+        query.processAllAvailable()  # the message, and the batch that its watermark closes the windows in
+    finally:
+        query.stop()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return output
 
 
 def before_closing(ts) -> Column:
