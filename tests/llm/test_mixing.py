@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from messy import empty, hot, messy, prose
+from pyspark.sql import functions as F
 
 from tributary.llm import mixing
 
@@ -115,3 +116,16 @@ def test_rest_of_a_target_goes_to_documents_of_many_sizes(spark):
             assert len(r.shards) <= 2
         for s in target:
             assert abs(taken[s] - target[s]) <= 2, (per_block, s, taken[s], target[s])
+
+
+def test_very_many_sources(spark):
+    """One row a source reaches the driver: with very many sources it still runs,
+    and every source's taken words come near its target."""
+    n = 20_000
+    docs = spark.range(2 * n).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % n).alias("source"),
+                                     F.repeat(F.lit("w "), (F.col("id") % 7 + 1).cast("int")).alias("text"))
+    mixed = mixing.mix(docs, keep=["doc_id", "source"], shard_words=8_000)
+    assert mixed.n_shards > 20
+    rows = mixed.rows.select("row.source", "source_size", "target", (F.col("m_size") * F.size("shards")).alias("taken"), "m_size")
+    per = rows.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("m_size").alias("most"))
+    assert per.count() == n and per.where("abs(taken - target) > most").count() == 0

@@ -129,15 +129,18 @@ def split_quotas(spark, quotas: list[int], n_shards: int, top: int = 6) -> DataF
     """(number, lo, hi, shard): which of a source's drawn blocks [lo, hi) go to
     which shard.  The driver splits ``top`` levels, tasks the rest."""
     quota = np.array(quotas, np.int64)
-    nodes = [(int(lo), int(hi), f.tolist(), q.tolist())
+    # Eight bytes a source and node: a hundred thousand sources are a megabyte a node.
+    nodes = [(int(lo), int(hi), f.tobytes(), q.tobytes())
              for lo, hi, f, q in _split(quota, np.zeros_like(quota), 0, n_shards, top)]
-    tree = spark.createDataFrame(nodes, "lo int, hi int, first array<long>, quota array<long>")
+    tree = spark.createDataFrame(nodes, "lo int, hi int, first binary, quota binary")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for node in frame.itertuples():
-                for lo, _, first, own in _split(np.array(node.quota), np.array(node.first), node.lo, node.hi, -1):
-                    yield pd.DataFrame({"number": np.arange(len(own)), "lo": first, "hi": first + own, "shard": lo})
+                drawn = (np.frombuffer(x, np.int64) for x in (node.quota, node.first))
+                for lo, _, first, own in _split(*drawn, node.lo, node.hi, -1):
+                    some = np.flatnonzero(own)
+                    yield pd.DataFrame({"number": some, "lo": first[some], "hi": (first + own)[some], "shard": lo})
 
     return tree.repartition(len(nodes)).mapInPandas(run, "number int, lo long, hi long, shard int").where("hi > lo")
 
