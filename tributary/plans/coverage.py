@@ -16,13 +16,21 @@ SECTIONS = [("S", 17, "Sources"), ("K", 11, "Sinks"), ("P", 22, "Projections and
 TESTS = {
     "S1": "tests/test_fixtures.py (every in-memory dataset)",
     "S2": "tests/test_fixtures.py (typed and names-only frames)",
-    "S14": "tests/test_io.py::test_s17_rate_source_messages (bounded listen)",
-    "S10": "tests/test_io.py::test_json_array_files_round_trip",
+    "S10": "tests/test_io.py::test_json_array_files_round_trip, tests/test_loads.py (byte ranges)",
+    "S13": "tests/test_messages.py (offsets, restart, admission)",
+    "S14": "tests/test_io.py::test_s17_rate_source_messages, tests/test_messages.py (bounded listen)",
+    "A3": "tests/test_ordered.py::test_ordered_concatenation",
+    "A10": "tests/test_loads.py (merged sketches, error of the estimates)",
+    "J2": "tests/test_ordered.py::test_full_outer_with_hot_keys, ::test_no_cell_holds_the_hot_key",
+    "K4": "tests/test_loads.py (incremental summary: new files only, failed runs)",
+    "P22": "tests/test_ordered.py::test_row_numbers_over_hot_ties, ::test_hot_ties_spread_over_ranges",
+    "T3": "tests/test_loads.py (windows by panes)",
+    "W1": "tests/test_ordered.py::test_running_measures",
     "S11": "tests/test_io.py::test_sql_sources_leave_no_view_behind",
     "S15": "tests/test_streams.py::test_ingested_files_leave_the_landing_folder",
     "S17": "tests/test_io.py::test_s17_rate_source_messages",
     "K1": "tests/test_io.py::test_declared_schema_takes_nested_ddl",
-    "K2": "tests/test_io.py::test_k2_append_autodetect_checks_columns, ::test_append_refuses_other_types_and_broken_targets",
+    "K2": "tests/test_io.py::test_k2_append_autodetect_checks_columns, tests/test_loads.py (evolving schemas)",
     "K5": "tests/test_io.py::test_k5_default_mode_refuses_existing",
     "K7": "tests/test_io.py::test_k7_k8_text_and_json_lines",
     "K10": "tests/test_io.py::test_k10_show_is_bounded",
@@ -35,7 +43,7 @@ TESTS = {
     "T2": "tests/test_streams.py::test_stream_to_its_end_equals_batch",
     "T4": "tests/test_plans.py::test_global_sessions_scan_the_events_once",
     "T9": "tests/test_streams.py::test_update_mode_has_no_file_form, ::test_complete_mode_holds_all_keys_over_batches",
-    "T10": "tests/test_streams.py::test_late_row_dropped_after_watermark",
+    "T10": "tests/test_streams.py::test_late_row_dropped_after_watermark, tests/test_panes.py",
     "T11": "tests/test_io.py::test_t11_shards",
     "X1": "tests/test_io.py::test_x1_map_hook",
     "X2": "tests/test_fixtures.py::test_x2_flat_map_hook",
@@ -43,11 +51,6 @@ TESTS = {
     "P14": "tests/test_fixtures.py::test_p14_numeric_columns",
     "R14": "tests/test_io.py::test_positional_csv_header_ragged_and_quoted",
 }
-NOT_BUILT = {
-    "P22": "generated row id as an order: not stable across plans; callers pass a key instead",
-}
-
-
 def table() -> str:
     by_id: dict[str, list[str]] = {}
     sql = {}
@@ -63,7 +66,7 @@ def table() -> str:
         for k in range(1, n + 1):
             i = f"{prefix}{k}"
             qs = ", ".join(f"`{q}` ({'O' if sql[q] else 'R'})" for q in sorted(by_id.get(i, [])))
-            note = TESTS.get(i, NOT_BUILT.get(i, ""))
+            note = TESTS.get(i, "")
             lines.append(f"| {i} | {qs or '–'} | {note} |")
         lines.append("")
     return "\n".join(lines)

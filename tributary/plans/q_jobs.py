@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import jobs
-from ..session import scratch_path
+from ..session import scratch_path, unique_name
 from ..sinks import writers as W
 from ..streaming import streams as ST
-from .q_aggregates import employees
+from .q_aggregates import employees, trades
 from .q_io import _PLAYER_ROWS_SQL, PLAYER_DDL, _player_docs
+from .q_streams import _json_messages
 from .registry import query, table
 
 
@@ -73,3 +74,96 @@ def job_player_totals(spark, sf_dir):
     path = scratch_path(spark, "players_json")
     W.write_json_arrays(_player_docs(spark, sf_dir), path)
     return jobs.player_totals(spark, path, scratch_path(spark, "player_totals"), PLAYER_DDL)
+
+
+@query("job_trading_net_quantity", ids=("S4", "S5", "A12", "K1", "R10"), sql="""
+select cast(l_partkey as varchar) as symbol,
+       cast(sum(case when l_returnflag = 'N' then 1 else -1 end * cast(l_quantity * 100 as bigint)) as bigint) as net
+from lineitem group by 1
+""")
+def job_trading_net_quantity(spark, sf_dir):
+    """The trading feed as CSV, quantities with thousands commas, net per symbol."""
+    path = scratch_path(spark, "trades_csv")
+    feed = trades(spark, sf_dir)
+    feed = feed.select(*[(F.col(c) if c in feed.columns else F.lit("")).cast("string").alias(c) for c in jobs.TRADING_FIELDS])
+    feed.write.option("header", True).csv(path)
+    out = jobs.trading_net_quantity(spark, path, scratch_path(spark, "net_quantity"))
+    return out.select(F.col(out.columns[0]).alias("symbol"), F.col(out.columns[1]).cast("long").alias("net"))
+
+
+@query("job_selected_word_counts", ids=("S3", "P2", "F3", "A5"), sql="""
+select word, count(*) as n from (select unnest(string_split(p_name, ' ')) as word from part)
+where word in ('red', 'blue', 'green', 'steel', 'small', 'large') group by 1
+""")
+def job_selected_word_counts(spark, sf_dir):
+    path = scratch_path(spark, "part_names")
+    table(spark, sf_dir, "part").select("p_name").write.text(path)
+    out = jobs.selected_word_counts(spark, path, ["red", "blue", "green", "steel", "small", "large"])
+    return out.select(F.col(out.columns[0]).alias("word"), F.col(out.columns[1]).alias("n"))
+
+
+@query("job_json_messages_stream", ids=("S13", "T8", "P6", "R16", "K1"), sql="""
+select strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as timestamp, props as data from events where event_type <> 'error'
+""")
+def job_json_messages_stream(spark, sf_dir):
+    topic = scratch_path(spark, "messages_topic")
+    _json_messages(spark, sf_dir).select("value").write.parquet(topic)
+    out, rejects, ckpt = (scratch_path(spark, f"messages_{x}") for x in ("out", "rejects", "ckpt"))
+    return jobs.json_messages_stream(spark, topic, out, rejects, ckpt)
+
+
+@query("job_country_counts", ids=("S6", "A9", "K6"), sql="""
+select n_name as DEST_COUNTRY_NAME, count(case when c_acctbal >= 0 then c_name end) as n
+from customer join nation on c_nationkey = n_nationkey group by 1
+""")
+def job_country_counts(spark, sf_dir):
+    """Customers as flights to their nation, the origin missing where the balance is negative."""
+    path, out = scratch_path(spark, "flights_csv"), scratch_path(spark, "flight_counts")
+    flights = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    flights.select(F.col("n_name").alias("DEST_COUNTRY_NAME"), F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("ORIGIN_COUNTRY_NAME"),
+                   F.lit(1).alias("count")).write.option("header", True).csv(path)
+    jobs.country_counts(spark, path, out)
+    stored = spark.read.csv(out, header=True, schema="DEST_COUNTRY_NAME string, n long")
+    return stored
+
+
+@query("job_news_lines", ids=("P4", "F3", "F5", "F6", "F7", "R22"), sql=r"""
+with l as (select unnest(string_split(text, chr(10))) as line from documents),
+     s as (select trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) as line from l)
+select line, count(*) as n from s
+where line <> '' and line not in ('Home', 'Menu') and not regexp_matches(line, '^[0-9]+ (hours|hour) ago$') group by 1
+""")
+def job_news_lines(spark, sf_dir):
+    lines = jobs.news_lines(table(spark, sf_dir, "documents").select("text"), "text", ["Home", "Menu"])
+    return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("job_top_rentals", ids=("L1", "F9", "S11"), sql="""
+select distinct user_id as rental_id, ts as start_date from events where cast(ts as date) = date '2024-01-15'
+order by start_date, rental_id limit 100
+""")
+def job_top_rentals(spark, sf_dir):
+    rentals = table(spark, sf_dir, "events").select(F.col("user_id").alias("rental_id"), F.col("ts").alias("start_date"))
+    return jobs.distinct_top_rentals(spark, rentals, "2024-01-15")
+
+
+@query("job_load_then_summarize", ids=("S9", "K3", "K4", "A15"), sql="""
+select 'P' || l_partkey as Symbol, case when l_returnflag = 'N' then 'Buy' else 'Sell' end as BuyOrSell,
+       cast(sum(l_linenumber) as bigint) as total_count
+from lineitem group by all
+""")
+def job_load_then_summarize(spark, sf_dir):
+    path = scratch_path(spark, "load_csv")
+    table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("P"), "l_partkey").alias("Symbol"), F.when(F.col("l_returnflag") == "N", "Buy").otherwise("Sell").alias("BuyOrSell"),
+        F.col("l_linenumber").alias("QuantityTraded")).write.option("header", True).csv(path)
+    return jobs.load_then_summarize(spark, path, scratch_path(spark, "load_stage"), unique_name("job_summary"),
+                                    scratch_path(spark, "load_summary"))
+
+
+@query("job_sql_to_table", ids=("K9", "A14", "S12"), sql="""
+select c_nationkey, max(c_acctbal) as highest from customer group by 1
+""")
+def job_sql_to_table(spark, sf_dir):
+    return jobs.sql_to_table(spark, "select c_nationkey, max(c_acctbal) as highest from {customer} group by 1",
+                             unique_name("job_sql"), scratch_path(spark, "job_sql"), customer=table(spark, sf_dir, "customer"))
