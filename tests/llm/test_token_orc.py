@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from messy import empty, hot, messy
+from pyspark.sql import functions as F
 
 from tributary.llm import token_orc
 from tributary.llm.queries import tokenizer_file
@@ -82,3 +83,24 @@ def test_added_tokens_get_the_ids_of_the_library(spark):
     as_text = Tokenizer.from_file(tokenizer_file())
     as_text.encode_special_tokens = True
     assert read(spark, docs, shards=2, special_as_text=True)[1] == expected(as_text, list(enumerate(texts)))
+
+
+def test_files_hold_bloom_filters_and_other_stripes_are_skipped(spark):
+    """Looked up through the ORC library itself: the Bloom filter's streams and
+    the row index are there, and a look-up reads the rows of one shard only."""
+    docs = hot(spark, 120).withColumn("doc_id", F.col("doc_id") * 3)
+    path, rows = read(spark, docs, shards=10)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in spark.read.orc(path).inputFiles():
+        orc = jvm.org.apache.orc.OrcFile
+        reader = orc.createReader(jvm.org.apache.hadoop.fs.Path(name), orc.readerOptions(conf))
+        records = reader.rows()
+        for stripe in reader.getStripes():
+            kinds = {(s.getColumn(), s.getKind().toString()) for s in records.readStripeFooter(stripe).getStreamsList()}
+            assert {(1, "BLOOM_FILTER_UTF8"), (1, "ROW_INDEX")} <= kinds
+        assert reader.getStripes().size() and reader.getRowIndexStride() > 0
+    for wanted, found in ((150, 1), (151, 0)):
+        plan = token_orc.read_documents(spark, path, [wanted])._jdf.queryExecution().executedPlan()
+        assert len(plan.executeCollect()) == found
+        read_rows = plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+        assert read_rows <= len(rows) / 4
