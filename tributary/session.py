@@ -125,7 +125,7 @@ def table_path(sf_dir: str, name: str) -> str:
 _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df, name: str, free_shuffles: bool = False):
+def materialize(df, name: str, free_shuffles: bool = False, **options):
     """Write ``df`` as parquet under the shared folder and read it back.
 
     Cuts the lineage (a lost executor recomputes from the written table, not
@@ -133,7 +133,7 @@ def materialize(df, name: str, free_shuffles: bool = False):
     so a small derived side is broadcast on evidence, not on a hint.
     ``discard`` removes the files again.  ``free_shuffles`` has Spark remove
     the shuffle files behind the table as soon as it is written, instead of
-    when the driver next collects its garbage.
+    when the driver next collects its garbage.  ``options`` go to the writer.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
@@ -141,7 +141,7 @@ def materialize(df, name: str, free_shuffles: bool = False):
     if free_shuffles:
         spark.conf.set(_FREE_SHUFFLES, "true")
     try:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").options(**options).parquet(path)
     finally:
         if free_shuffles and before is None:
             spark.conf.unset(_FREE_SHUFFLES)
