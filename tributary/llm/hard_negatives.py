@@ -224,7 +224,9 @@ class Candidates:
         self.width = own.agg(F.max(F.size("v"))).first()[0] or 0
         numbered = row_numbers(_on_curve(own, self.width), ["label", "curve", "vec_id"], out="row")
         self.rows = materialize(numbered.withColumn("block", F.floor((F.col("row") - 1) / BLOCK_ROWS)), "vectors")
-        self.blocks = materialize(_packed(self.rows, "block", self.width), "vector-blocks")
+        # A row group is a block: a read that names its blocks skips all others.
+        self.blocks = materialize(_packed(self.rows, "block", self.width), "vector-blocks",
+                                  **{"parquet.block.row.count.limit": "1"})
         zones = self.blocks.select(F.floor(F.col("block") / PAGE_BLOCKS).alias("page"),
                                    F.struct("block", "low", "high", "low_label", "high_label").alias("zone"))
         self.pages = materialize(zones.groupBy("page").agg(F.collect_list("zone").alias("zones")), "vector-zones")
