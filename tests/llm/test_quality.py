@@ -62,3 +62,25 @@ def test_messy_documents(spark):
     assert {r.doc_id for r in kept.collect()} == {1, 2, 3, None, 8, 11, 14}
     assert same_rows(kept, docs.where("doc_id in (1, 2, 3, 8, 11, 14) or doc_id is null"))
     assert quality.filter_quality(empty(spark)).count() == 0
+
+
+def test_em_and_not_the_limits_decides_over_a_spoiled_detector():
+    """Votes as the rules cast them: ten detectors vote bad or abstain, two rules
+    vote good or abstain.  One detector votes at random: the first guess (a bad
+    vote outweighs a good one) drops what it hits, EM finds it out."""
+    rng = np.random.default_rng(2)
+    n = 20_000
+    good = rng.random(n) < 0.85
+    votes = np.zeros((n, 12), np.int64)
+    votes[:, 1:10] = -1 * (rng.random((n, 9)) < np.where(good, 0.003, 0.35)[:, None])
+    votes[:, 0] = -1 * (rng.random(n) < 0.35)
+    votes[:, 10:] = rng.random((n, 2)) < np.where(good, 0.85, 0.15)[:, None]
+    patterns, inverse, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    model = quality.fit_votes(patterns, counts.astype(float))
+    logit = np.log(model.prior / (1 - model.prior)) + model.log_odds[np.arange(12)[None, :], patterns + 1].sum(1)
+    kept = (logit >= 0)[inverse.ravel()]
+    guess = (2 * (votes < 0).sum(1) <= (votes > 0).sum(1))
+    assert (kept == good).mean() > 0.975 and (guess == good).mean() < 0.92
+    assert model.accuracies[0] < 0.35 and model.accuracies[1:].min() > 0.85
+    sound = quality.fit_votes(*np.unique(votes[:, 1:], axis=0, return_counts=True))
+    assert np.abs(sound.accuracies - model.accuracies[1:]).max() < 0.02  # the others are judged as without it
