@@ -99,3 +99,24 @@ def test_fields_of_a_leaf(spark):
     got = [tuple(r) for r in df.select(merkle.field("a"), merkle.field("b")).collect()]
     assert got == [("-", "0:"), ("2:é", "1:a")]
     assert [r[0] for r in df.select(merkle.leaf("a", F.col("b"))).collect()] == [h("-0:"), h("2:é1:a")]
+
+
+def test_changes_fold_against_a_kept_manifest(spark, monkeypatch, tmp_path):
+    """A manifest read back: changed leaves give the root of the changed table,
+    and only the blocks they touch are folded."""
+    monkeypatch.setattr(merkle, "HEIGHT", 1)
+    monkeypatch.setattr(merkle, "BLOCK", 3)
+    rows = [(i, f"text {i}", "en", f"s{i % 4}", i) for i in range(80)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    merkle.build(spark.createDataFrame(rows, schema), "source", "doc_id", merkle.leaf(*fields), ["doc_id"]).write(str(tmp_path))
+    kept = merkle.Manifest.read(spark, str(tmp_path))
+    assert kept.fold().count() == 0  # nothing to fold
+    for changed in (7, 79):
+        other = [(i, "changed" if i == changed else t, *r) for i, t, *r in rows]
+        new = spark.createDataFrame([other[changed]], schema).select("doc_id", merkle.leaf(*fields).alias("leaf"))
+        (folded,) = kept.fold_changes(new, "doc_id").collect()
+        assert (folded.row.doc_id, folded.root, folded.verified) == (changed, kept.root, False)
+        assert folded.folded_root == brute(other)[0][3]
+    same = spark.createDataFrame(rows[3:5], schema).select("doc_id", merkle.leaf(*fields).alias("leaf"))
+    assert [r.verified for r in kept.fold_changes(same, "doc_id").collect()] == [True, True]

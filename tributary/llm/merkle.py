@@ -16,7 +16,8 @@ of any size spreads over many tasks and no task holds more than one block.  One
 round up turns each block into one node (a few rounds reach the top); one round
 down hands each block the path above it, as the bytes left and right of it on
 every level; the block hashes the left ones once and folds all its rows
-through the states.  Only digests are shuffled, never texts.
+through the states.  Only digests are shuffled, never texts.  A manifest can be
+kept; changes of a few rows are folded against it by the blocks they touch.
 
 Defined cases: a null field is ``-`` (unlike an empty one, ``0:``); a null group
 is a group and comes first, as does a null id in its group; rows that tie on
@@ -29,9 +30,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -231,24 +233,78 @@ class Folder:
         return found.hexdigest()
 
 
-def manifest(rows: DataFrame, group: str, order: str, leaf: Column, replaced: Column,
-             keep: Sequence[str] = ()) -> DataFrame:
-    """Leaf, subroot, root, proof and the root folded from a replaced leaf, per row.
-
-    ``leaf`` and ``replaced`` are the row's leaf hash and the one to fold in
-    (the same one proves the row itself).  Returns struct ``row`` (the ``keep``
-    columns), leaf, subroot, root, proof_sha256, folded_root and verified.
-    """
+@dataclass(frozen=True)
+class Manifest:
+    """The stored tree: ``leaves`` (row, gid, block, pos, n, digest, replaced),
+    ``paths`` above every block (gid, block, top, path), and the root (None for
+    an empty table)."""
+
+    leaves: DataFrame
+    paths: DataFrame
+    root: str | None
+
+    def write(self, path: str) -> None:
+        """Keep the manifest under ``path``; changes are folded against it later."""
+        for name in ("leaves", "paths"):
+            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
+        spark = self.leaves.sparkSession
+        spark.createDataFrame([(self.root,)], "root string").coalesce(1).write.mode("overwrite").parquet(f"{path}/root")
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> Manifest:
+        leaves, paths, root = (spark.read.parquet(f"{path}/{name}") for name in ("leaves", "paths", "root"))
+        return cls(leaves, paths, root.first().root)
+
+    def fold(self, leaves: DataFrame | None = None) -> DataFrame:
+        """Per leaf with a ``replaced`` hash: row, leaf, subroot, root,
+        proof_sha256, folded_root and verified."""
+        leaves = self.leaves if leaves is None else leaves
+        row_type = leaves.schema["row"].dataType
+        kept = to_arrow_type(row_type)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for above, nodes in _pathed(batches):
+                folder = Folder([bytes(r["digest"]) for r in nodes], nodes[0]["n"], above["path"])
+                subroot = bytes(above["top"]).decode()
+                own = [(r["row"], bytes(r["digest"]).decode(), subroot, folder.proof(i),
+                        folder.fold(i, bytes(r["replaced"])).decode()) for i, r in enumerate(nodes) if r["replaced"] is not None]
+                columns = zip(*own, strict=True) if own else [[]] * 5
+                types = [kept, *[pa.string()] * 4]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                                                 names=["row", "leaf", "subroot", "proof_sha256", "folded_root"])
+
+        joined = with_paths(leaves, self.paths, ["row", "replaced"])
+        folded = joined.mapInArrow(run, f"row {row_type.simpleString()}, leaf string, subroot string, "
+                                        "proof_sha256 string, folded_root string")
+        return folded.select("row", "leaf", "subroot", F.lit(self.root).alias("root"), "proof_sha256", "folded_root",
+                             (F.col("folded_root") == F.lit(self.root)).alias("verified"))
+
+    def fold_changes(self, changes: DataFrame, key: str, leaf: str = "leaf") -> DataFrame:
+        """The same for the rows that ``changes`` (``key``, a column of ``row``,
+        and the new ``leaf`` hash) names: only their blocks are read and hashed."""
+        new = changes.select(F.col(key).alias("k"), F.col(leaf).cast("binary").alias("new"))
+        named = self.leaves.drop("replaced").join(new, F.col(f"row.{key}").eqNullSafe(F.col("k")), "left").withColumnRenamed(
+            "new", "replaced").drop("k")
+        touched = materialize(named.where("replaced is not null").select("gid", "block").distinct(), "merkle-touched")
+        own = Manifest(self.leaves, self.paths.join(touched, ["gid", "block"], "left_semi"), self.root)
+        return own.fold(named.join(touched, ["gid", "block"], "left_semi"))
+
+
+def build(rows: DataFrame, group: str, order: str, leaf: Column, keep: Sequence[str] = (),
+          replaced: Column | None = None) -> Manifest:
+    """The manifest of ``rows``: per ``group`` the leaves by ``order``.
+    ``replaced`` is a hash to fold in for the row (the leaf itself proves it)."""
     spark = rows.sparkSession
     hashed = rows.select(F.struct(*keep, F.lit(0).alias("_")).alias("row"), F.col(group).cast("string").alias("grp"),
-                         F.col(order).alias("ord"), leaf.alias("leaf"), replaced.alias("replaced"))
+                         F.col(order).alias("ord"), leaf.alias("leaf"),
+                         (F.lit(None) if replaced is None else replaced).cast("string").alias("replaced"))
     placed = materialize(row_numbers(hashed, ["ord", "leaf"], by=["grp"], out="pos"), "merkle-leaves")
     groups = placed.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     groups = materialize(row_numbers(groups, ["grp"], out="gid"), "merkle-groups")
     leaves = materialize(
         placed.join(groups.withColumnRenamed("grp", "g"), F.col("grp").eqNullSafe(F.col("g")))
-        .select("row", "gid", (F.col("pos") - 1).alias("pos"), "n", F.col("leaf").cast("binary").alias("digest"),
-                F.col("replaced").cast("binary").alias("replaced")), "merkle-placed")
+        .select("row", "gid", F.floor((F.col("pos") - 1) / BLOCK).alias("block"), (F.col("pos") - 1).alias("pos"), "n",
+                F.col("leaf").cast("binary").alias("digest"), F.col("replaced").cast("binary").alias("replaced")), "merkle-placed")
     discard(placed)
 
     rounds, tops = climb(leaves.select("gid", "pos", "n", "digest"))
@@ -257,7 +313,6 @@ def manifest(rows: DataFrame, group: str, order: str, leaf: Column, replaced: Co
                         F.lit(n_groups).cast("long").alias("n"), "digest")
     upper_rounds, root = climb(upper)
     root = root.first()
-    root = bytes(root.digest).decode() if root else None
     start = spark.createDataFrame([(0, b"", [])], f"gid long, top binary, path {PATH}")
     upper_paths = descend(upper_rounds, start)
 
@@ -270,26 +325,7 @@ def manifest(rows: DataFrame, group: str, order: str, leaf: Column, replaced: Co
     upper = upper.withColumn("block", F.floor(F.col("pos") / BLOCK))
     tops = materialize(with_paths(upper, upper_paths, []).mapInArrow(
         paths_of, f"gid long, block long, top binary, path {PATH}"), "merkle-tops").drop("block")
-    paths = descend(rounds, tops)
-
-    row_type = leaves.schema["row"].dataType
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for above, nodes in _pathed(batches):
-            folder = Folder([bytes(r["digest"]) for r in nodes], nodes[0]["n"], above["path"])
-            subroot = bytes(above["top"]).decode()
-            own = [(r["row"], bytes(r["digest"]).decode(), subroot, folder.proof(i),
-                    folder.fold(i, bytes(r["replaced"])).decode()) for i, r in enumerate(nodes)]
-            columns = list(zip(*own, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], kept), *[pa.array(c, pa.string()) for c in columns[1:]]],
-                                             names=["row", "leaf", "subroot", "proof_sha256", "folded_root"])
-
-    kept = to_arrow_type(row_type)
-    joined = with_paths(leaves.withColumn("block", F.floor(F.col("pos") / BLOCK)), paths, ["row", "replaced"])
-    folded = joined.mapInArrow(fold, f"row {row_type.simpleString()}, leaf string, subroot string, "
-                                     "proof_sha256 string, folded_root string")
-    return folded.select("row", "leaf", "subroot", F.lit(root).alias("root"), "proof_sha256", "folded_root",
-                         (F.col("folded_root") == F.lit(root)).alias("verified"))
+    return Manifest(leaves, descend(rounds, tops), bytes(root.digest).decode() if root else None)
 
 
 def without_breaks(text: Column) -> Column:
@@ -304,4 +340,4 @@ def document_manifest(docs: DataFrame, fields: Sequence[str] = ("doc_id", "sourc
     own = leaf(*fields)
     tampered = leaf(*[without_breaks(F.col(text)) if f == text else f for f in fields])
     touched = F.crc32(F.encode(F.col(order).cast("string"), "utf-8")) % 2 == 0
-    return manifest(docs, group, order, own, F.when(touched, tampered).otherwise(own), keep=[order])
+    return build(docs, group, order, own, [order], F.when(touched, tampered).otherwise(own)).fold()
