@@ -47,8 +47,9 @@ def hot_keys(left: DataFrame, right: DataFrame, key: str, share: float = SHARE)
         own = side.join(F.broadcast(named), key, "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias(name))
         many = own if many is None else many.join(own, key, "full_outer")
     n_left, n_right = left.count(), right.count()
-    return many.select(key, F.coalesce("l", F.lit(0)).alias("l"), F.coalesce("r", F.lit(0)).alias("r")).where(
-        (F.col("l") >= max(2, share * n_left)) | (F.col("r") >= max(2, share * n_right))).collect()
+    hot = many.select(key, F.coalesce("l", F.lit(0)).alias("l"), F.coalesce("r", F.lit(0)).alias("r")).where(
+        (F.col("l") >= max(2, share * n_left)) | (F.col("r") >= max(2, share * n_right)))
+    return hot.limit(2 * round(1 / share) + 2).collect()  # no more keys can hold that share of a side
 
 
 def grid(l: int, r: int, cells: int) -> tuple[int, int]:  # noqa: E741
