@@ -26,7 +26,7 @@ def test_stages_are_the_listed_ones():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "near_duplicates", "benchmark_decontamination", "source_mixing", "token_output"]
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_every_stage_against_brute_force(spark, tokenizer):  # noqa: F811
