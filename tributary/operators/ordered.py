@@ -81,7 +81,8 @@ def running(df: DataFrame, order: Sequence[str | Column], measures: Mapping[str,
     """Running measures, ``{out: (kind, column)}`` with ``kind`` one of
     sum, count, min, max and avg, over all rows up to and with this one
     (``ROWS UNBOUNDED PRECEDING``).  NULLs are left out as SQL aggregates do;
-    sums of decimals and integers do not depend on how the rows were dealt."""
+    sums of decimals and integers do not depend on how the rows were dealt, an
+    average is the double nearest to such a sum, divided by the count."""
     wanted: dict[str, tuple[str, str]] = {}
     for out, (kind, column) in measures.items():
         wanted |= ({f"__s_{out}": ("sum", column), f"__c_{out}": ("count", column)} if kind == "avg"
@@ -102,7 +103,7 @@ def running(df: DataFrame, order: Sequence[str | Column], measures: Mapping[str,
 
     def result(out: str, kind: str) -> Column:
         if kind == "avg":
-            return F.try_divide(done[f"__s_{out}"], done[f"__c_{out}"]).alias(out)
+            return F.try_divide(done[f"__s_{out}"].cast("double"), done[f"__c_{out}"]).alias(out)
         return done[f"__m_{out}"].alias(out)
 
     return joined.select(*[F.col(c) for c in df.columns], *[result(out, kind) for out, (kind, _) in measures.items()])

@@ -44,7 +44,7 @@ with d as (select o_orderkey, o_orderdate,
                   cast(case when o_orderstatus <> 'P' then o_totalprice end as decimal(18, 2)) as price from orders)
 select o_orderkey, cast(sum(price) over w as decimal(28, 2)) as total, count(price) over w as n,
        max(price) over w as highest, min(price) over w as lowest,
-       round(cast(sum(price) over w as double) / nullif(count(price) over w, 0), 3) as average
+       cast(sum(price) over w as double) / nullif(count(price) over w, 0) as average
 from d window w as (order by o_orderdate, o_orderkey rows unbounded preceding)
 """)
 def running_totals(spark, sf_dir):
@@ -54,8 +54,7 @@ def running_totals(spark, sf_dir):
     found = O.running(orders.select("o_orderkey", "o_orderdate", price.alias("price")), ["o_orderdate", "o_orderkey"], {
         "total": ("sum", "price"), "n": ("count", "price"), "highest": ("max", "price"), "lowest": ("min", "price"),
         "average": ("avg", "price")})
-    return found.select("o_orderkey", F.col("total").cast("decimal(28,2)").alias("total"), "n", "highest", "lowest",
-                        F.round("average", 3).alias("average"))
+    return found.select("o_orderkey", F.col("total").cast("decimal(28,2)").alias("total"), "n", "highest", "lowest", "average")
 
 
 @query("running_by_user", ids=("W1", "W2"), sql="""
