@@ -186,11 +186,27 @@ def test_merged_sketches_stay_within_their_error(spark):
 
 def test_approximate_counts_of_the_summary(spark):
     from tributary.plans import q_aggregates
-    near = {(r.Year, r.Country): r.gas_count for r in q_aggregates.emission_shape_agg_approx(spark, MEDIUM).collect()}
+    named = q_aggregates._emission_rows(spark, MEDIUM)
+    near = {(r.Year, r.Country): r.gas_count for r in q_aggregates.emission_estimates(named).collect()}
     exact = {(r.Year, r.Country): r.gas_count for r in q_aggregates.emission_shape_agg(spark, MEDIUM).collect()}
     assert near.keys() == exact.keys() and all(abs(near[k] - exact[k]) <= max(1, .1 * exact[k]) for k in exact)
 
 
+def test_approximate_counts_are_held_against_the_exact_ones(spark, tmp_path, monkeypatch):
+    from tributary.plans import q_aggregates
+    spark.range(36_000).select(
+        F.expr("case when id % 3 < 2 then date '1994-01-01' + cast(id % 3 * 366 as int) end").alias("l_shipdate"),
+        F.expr("case when id % 2 = 0 then 'A' end").alias("l_returnflag"),
+        (F.col("id") % 18_000).alias("l_suppkey"), F.lit(1.5).alias("l_extendedprice"),
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    want = [(y, c, 9000.0, True) for y in ("1994", "1995", None) for c in ("A", None)]
+    columns = ("Year", "Country", "total_emission", "gas_count_close")
+    found = q_aggregates.emission_shape_agg_approx(spark, str(tmp_path))
+    assert tuple(found.columns) == columns and rows(found) == sorted(want, key=str) and len(want) == 6
+    monkeypatch.setattr(q_aggregates, "EMISSION_RSD", 0.39)  # sketches too small for the bound
+    assert not all(r.gas_count_close for r in q_aggregates.emission_shape_agg_approx(spark, str(tmp_path)).collect())
+
+
 # ------------------------------------------------------------ T3
 
 
