@@ -17,6 +17,7 @@ from tributary.plans.registry import table
 from tributary.session import scratch_path
 from tributary.sinks import evolving as EV
 from tributary.sinks import summary as SM
+from tributary.sinks import writers as W
 from tributary.sources import files as SRC
 from tributary.sources import json_arrays as JA
 
@@ -66,6 +67,18 @@ def test_odd_arrays(spark, tmp_path, small_ranges):
         assert sorted((r.id for r in JA.read_json_array_ranges(spark, str(tmp_path / f"d{i}"), DOC).collect()), key=str) == ids
 
 
+def test_one_file_is_written_from_many_tasks_and_cut_once(spark, tmp_path, small_ranges):
+    docs = spark.range(0, 300, 1, 5).select("id", F.expr("concat('{\"}', id)").alias("text"))
+    path = str(tmp_path / "one")
+    W.write_json_arrays(docs, path, one_file=True)
+    (part,) = (tmp_path / "one").glob("part-*")
+    assert sorted((d["id"], d["text"]) for d in json.loads(part.read_text())) == rows(docs)
+    small_ranges(997)
+    found = JA.read_json_array_ranges(spark, path, "id long, text string")
+    assert rows(found) == rows(docs)
+    assert found.inputFiles() and not [f for f in found.inputFiles() if path in f]  # the ranges are not parsed again
+
+
 def test_states_compose_like_one_pass():
     text = json.dumps(documents(40, 9))
     pieces = [p + "}" for p in text.split("}")]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
-from ..session import scratch_path
+from ..session import discard, materialize, scratch_path
 
 # Type names of the "name:TYPE,..." sink schema text and their
 # Spark equivalents.
@@ -133,9 +133,10 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite", one_file: bool = False) -> None:
     """Files that each hold one JSON array, a document per line.  Every task
-    streams its rows between the brackets of its own file."""
+    streams its rows between the brackets of its own file.  With ``one_file``
+    all tasks make the documents' texts, and one task only copies them."""
     def brackets(batches):
         first = True
         for batch in batches:
@@ -147,7 +148,10 @@ def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None
         yield pa.RecordBatch.from_pydict({"value": ["[]" if first else "]"]})
 
     docs = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
-    docs.mapInArrow(brackets, "value string").write.mode(mode).text(path)
+    stored = materialize(docs, "json-texts") if one_file else docs
+    texts = stored.coalesce(1) if one_file else docs
+    texts.mapInArrow(brackets, "value string").write.mode(mode).text(path)
+    discard(stored)
 
 
 def show_rows(df: DataFrame, n: int = 20) -> list:
