@@ -104,3 +104,18 @@ def test_files_hold_bloom_filters_and_other_stripes_are_skipped(spark):
         assert len(plan.executeCollect()) == found
         read_rows = plan.collectLeaves().head().metrics().apply("numOutputRows").value()
         assert read_rows <= len(rows) / 4
+
+
+def test_full_memory_keeps_the_units_of_several_groups(tokenizer, monkeypatch):
+    with open(tokenizer_file(), "rb") as f:
+        encoder = token_orc.Encoder(f.read(), memory_units=40)
+    asked = []
+    plain = token_orc.Encoder._encode_plain
+    monkeypatch.setattr(token_orc.Encoder, "_encode_plain", lambda self, texts: asked.extend(texts) or plain(self, texts))
+    for i in range(30):
+        texts = [" often seen\nwords", *(f" rare{i}x{j} often" for j in range(10)), " "]
+        ids, sizes = encoder.encode(pa.array(texts))
+        want = [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+        assert ids.tolist() == [x for w in want for x in w] and sizes.tolist() == [len(w) for w in want]
+        assert len(encoder.number) < 60
+    assert sum(" often" in t for t in asked) == 1 and sum("rare" in t for t in asked) == 30

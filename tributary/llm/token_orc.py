@@ -44,7 +44,7 @@ from . import suffix_arrays as sa
 from .textmap import byte_groups, kept_in_worker
 
 END_ID = 2
-#: Remembered units per Python worker; forgotten all at once when full.
+#: Remembered units per Python worker; when full, those of one group of texts are forgotten.
 MEMORY_UNITS = 600_000
 ORC_OPTIONS = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01",
                "orc.row.index.stride": "1000", "orc.stripe.size": str(64 << 20),
@@ -79,6 +79,22 @@ class Encoder:
         self.tokens = np.zeros(0, np.int32)
         self.first = np.zeros(1, np.int64)
         self.length = np.zeros(1, np.int64)
+        self.groups = np.zeros(1, np.int32)  # of texts that had the unit
+
+    def _forget_rare(self) -> None:
+        """Forget the units that only one group of texts had; all, if the rest
+        fills more than half of the memory."""
+        kept = np.flatnonzero(self.groups[1:] > 1) + 1
+        if 2 * len(kept) > self.memory_units:
+            return self._forget()
+        names, tokens, first, length = list(self.number), self.tokens, self.first[kept], self.length[kept]
+        self._forget()
+        for i in kept.tolist():
+            self.number[names[i]]  # the next number
+        self.tokens = tokens[sa.spread(first, length)]
+        self.first = np.append(0, np.cumsum(length) - length)
+        self.length = np.append(0, length)
+        self.groups = np.zeros(len(self.length), np.int32)
 
     def _units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The unit numbers of all texts one after another, and how many each
@@ -93,6 +109,7 @@ class Encoder:
         new = distinct.filter(pa.array(number >= len(self.first)))  # in the order of their numbers
         if len(new):
             self._learn(new)
+        self.groups[number] += 1
         return number[units.indices.to_numpy()], pc.list_value_length(lists).to_numpy()
 
     def _encode_plain(self, texts: list[str]) -> list[list[int]]:
@@ -131,13 +148,14 @@ class Encoder:
         first[~joins] = len(ids) + np.cumsum(lengths[~joins]) - lengths[~joins]
         self.first = np.concatenate([self.first, len(self.tokens) + first])
         self.length = np.concatenate([self.length, lengths])
+        self.groups = np.concatenate([self.groups, np.zeros(len(new), np.int32)])
         self.tokens = np.concatenate([self.tokens, ids, np.fromiter(chain.from_iterable(alone), np.int32)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the number of ids of each text, each
         with the end id."""
         if len(self.number) > self.memory_units:
-            self._forget()
+            self._forget_rare()
         texts = pc.fill_null(texts, "")
         odd = pc.match_substring_regex(texts, self.odd)
         whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
