@@ -56,6 +56,23 @@ def test_hot_gram_is_counted_by_a_shuffle(spark, monkeypatch):
     assert found(spark, corpus(3), 60) == brute(corpus(3), 60)
 
 
+def test_counted_windows_come_as_spans(spark):
+    """Near copies: a row per span of a stretch that occurs once, not per window."""
+    base, depth = prose(5, 60).encode()[:120], 40
+    edited = [base[:i] + b"#%02d#" % i + base[i + 4:] for i in range(0, 100, 5)]
+    rows = [(1, s, 1, s, s, 7, t) for s, t in enumerate(edited)] + [(1, 99, 3, 99, 99, 0, base)]
+    ddl = "gram long, stretch long, n long, k1 long, k2 long, at long, bytes binary"
+    got = repeats.count_windows(spark.createDataFrame([*rows, rows[0]], ddl), depth).collect()
+    many = Counter()
+    for _, _, n, *_, t in rows:
+        many.update({t[i:i + depth]: n for i in range(len(t) - depth + 1)})
+    want = []
+    for _, _, n, k1, k2, at, t in rows:
+        hit = np.array([many[t[i:i + depth]] > 1 for i in range(len(t) - depth + 1)])
+        want += [(k1, k2, at + a, at + b) for a, b in zip(*repeats.covered(hit, depth), strict=True) if n == 1]
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) < 3 * len(edited)
+
+
 def test_small_batches_of_the_sort(spark, monkeypatch):
     monkeypatch.setattr(repeats, "SORTED_AT_ONCE", 50)
     assert found(spark, corpus(4), 200) == brute(corpus(4), 200)

@@ -262,7 +262,9 @@ def _sorted_spans(rows: list[dict], depth: int) -> pa.RecordBatch:
 
 def count_windows(stretches: DataFrame, depth: int) -> DataFrame:
     """The same for grams with very many stretches: one digit of ``depth``
-    bytes, counted by a shuffle with partial counts instead of gathered."""
+    bytes, counted by a shuffle with partial counts instead of gathered.  A
+    digit that counts one names its only window, so the count itself gives what
+    is alone; a stretch that occurs once is repeated everywhere else."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
         for batch in batches:
@@ -272,16 +274,23 @@ def count_windows(stretches: DataFrame, depth: int) -> DataFrame:
                 pair = np.frombuffer(digits, ">i8").astype(np.int64).reshape(-1, 2)
                 many = len(pair)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row[c]] * many, pa.int64()) for c in ("gram", "stretch", "n", "k1", "k2")]
-                    + [pa.array(np.arange(many) + row["at"]), pa.array(pair[:, 0]), pa.array(pair[:, 1])],
-                    names=["gram", "stretch", "n", "k1", "k2", "a", "d1", "d2"])
-
-    once = stretches.dropDuplicates(["gram", "stretch"])
-    windows = once.mapInArrow(cut, "gram long, stretch long, n long, k1 long, k2 long, a long, d1 long, d2 long")
-    windows = materialize(windows, "repeat-windows")
-    same = windows.groupBy("gram", "d1", "d2").agg(F.sum("n").alias("many")).where("many > 1").drop("many")
-    hit = windows.where("n = 1").join(same, ["gram", "d1", "d2"], "left_semi")
-    return hit.select("k1", "k2", "a", (F.col("a") + depth).alias("b"))
+                    [pa.array([row[c]] * many, pa.int64()) for c in ("gram", "stretch", "n")]
+                    + [pa.array(np.arange(many)), pa.array(pair[:, 0]), pa.array(pair[:, 1])],
+                    names=["gram", "stretch", "n", "i", "d1", "d2"])
+
+    once = stretches.select("gram", "stretch", "n", "bytes").dropDuplicates(["gram", "stretch"])
+    windows = once.mapInArrow(cut, "gram long, stretch long, n long, i long, d1 long, d2 long")
+    alone = windows.groupBy("gram", "d1", "d2").agg(
+        F.sum("n").alias("many"), F.min("stretch").alias("stretch"), F.min("i").alias("i")).where("many = 1")
+    # at most one number per window of a stretch
+    alone = alone.groupBy("gram", "stretch").agg(F.array_sort(F.collect_list("i")).alias("alone"))
+    own = stretches.where("n = 1").select(
+        "gram", "stretch", "k1", "k2", "at", (F.length("bytes") - F.lit(depth - 1)).cast("long").alias("windows"))
+    own = own.dropDuplicates(["gram", "stretch"]).join(alone, ["gram", "stretch"], "left").withColumn(
+        "ends", F.concat(F.coalesce("alone", F.array().cast("array<long>")), F.array("windows")))
+    hit = F.expr(f"""filter(transform(ends, (y, j) -> struct(at + if(j = 0, 0L, get(ends, j - 1) + 1) as a,
+                                                             at + y + {depth - 1} as b)), s -> s.b - s.a >= {depth})""")
+    return own.select("k1", "k2", F.inline(hit))
 
 
 def fetch(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
