@@ -119,3 +119,23 @@ def test_full_memory_keeps_the_units_of_several_groups(tokenizer, monkeypatch):
         assert ids.tolist() == [x for w in want for x in w] and sizes.tolist() == [len(w) for w in want]
         assert len(encoder.number) < 60
     assert sum(" often" in t for t in asked) == 1 and sum("rare" in t for t in asked) == 30
+
+
+def test_remembered_units_are_no_python_objects(tokenizer):
+    """A text per unit in Python's memory costs a hash and a look-up of each in every group."""
+    import tracemalloc
+    with open(tokenizer_file(), "rb") as f:
+        encoder = token_orc.Encoder(f.read())
+    encoder.encode(pa.array(["a b"]))
+    texts = [" ".join(f"w{i}x{k}" for k in range(40)) for i in range(2500)]  # 100,000 units
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        ids, sizes = encoder.encode(pa.array(texts))
+        held = tracemalloc.get_traced_memory()[0] - before - ids.nbytes - sizes.nbytes
+    finally:
+        tracemalloc.stop()
+    assert held < 70 * 100_000  # ids, places and counts
+    assert ids.tolist() == [t for x in texts for t in [*tokenizer.encode(x, add_special_tokens=False).ids, 2]]
+    again, _ = encoder.encode(pa.array(["zz new", *texts]).slice(1))
+    assert np.array_equal(ids, again)

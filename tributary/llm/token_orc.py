@@ -29,9 +29,8 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, count
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -75,7 +74,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = defaultdict(count(1).__next__, {"": 0})  # "" has no ids
+        self.number = pa.array([""], pa.string())  # of a unit: its place; "" has no ids
         self.tokens = np.zeros(0, np.int32)
         self.first = np.zeros(1, np.int64)
         self.length = np.zeros(1, np.int64)
@@ -87,10 +86,10 @@ class Encoder:
         kept = np.flatnonzero(self.groups[1:] > 1) + 1
         if 2 * len(kept) > self.memory_units:
             return self._forget()
-        names, tokens, first, length = list(self.number), self.tokens, self.first[kept], self.length[kept]
+        known = self.number.take(pa.array(np.append(0, kept)))
+        tokens, first, length = self.tokens, self.first[kept], self.length[kept]
         self._forget()
-        for i in kept.tolist():
-            self.number[names[i]]  # the next number
+        self.number = known
         self.tokens = tokens[sa.spread(first, length)]
         self.first = np.append(0, np.cumsum(length) - length)
         self.length = np.append(0, length)
@@ -98,19 +97,18 @@ class Encoder:
 
     def _units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The unit numbers of all texts one after another, and how many each
-        text has.  Arrow cuts the texts and folds equal units; the dictionary
-        is asked once per distinct unit, and new units are encoded."""
+        text has.  Arrow cuts the texts and folds equal units behind the known
+        ones, which so keep their numbers; new units follow and are encoded."""
         marked = pc.replace_substring(texts, " ", "\x00 ")
         marked = pc.replace_substring(marked, "\n", "\x00\n\x00")
         lists = pc.split_pattern(marked, "\x00")
-        units = lists.flatten().dictionary_encode()
-        distinct = units.dictionary
-        number = np.fromiter(map(self.number.__getitem__, distinct.to_pylist()), np.int64, len(distinct))
-        new = distinct.filter(pa.array(number >= len(self.first)))  # in the order of their numbers
-        if len(new):
-            self._learn(new)
-        self.groups[number] += 1
-        return number[units.indices.to_numpy()], pc.list_value_length(lists).to_numpy()
+        units = pa.chunked_array([self.number, lists.flatten()]).dictionary_encode().chunk(1)
+        number, n_known = units.indices.to_numpy(), len(self.number)
+        if len(units.dictionary) > n_known:
+            self._learn(units.dictionary.slice(n_known))
+            self.number = units.dictionary
+        self.groups += np.bincount(number, minlength=len(self.groups)) > 0
+        return number, pc.list_value_length(lists).to_numpy()
 
     def _encode_plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -124,13 +122,13 @@ class Encoder:
         """
         if not len(units):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        ends = np.frombuffer(units.buffers()[1], np.int32)[:len(units) + 1]  # one after another in one buffer
+        ends = np.frombuffer(units.buffers()[1], np.int32)[units.offset:][:len(units) + 1]  # one after another in one buffer
         content, cuts = memoryview(units.buffers()[2] or b""), np.append(ends[:-1:100], ends[-1]).tolist()
         encoded = self._encode_plain([str(content[a:b], "utf-8") for a, b in zip(cuts, cuts[1:], strict=False)])
         ids = np.fromiter(chain.from_iterable(encoded), np.int32, sum(map(len, encoded)))
         reached = np.cumsum(self.id_bytes[ids])
-        last = np.searchsorted(reached, ends[1:])
-        if not np.array_equal(reached[last], ends[1:]):
+        last = np.searchsorted(reached, ends[1:] - ends[0])
+        if not np.array_equal(reached[last], ends[1:] - ends[0]):
             raise ValueError("the tokenizer merges over a space")
         return ids, np.diff(np.append(-1, last))
 
