@@ -139,3 +139,4 @@ def test_remembered_units_are_no_python_objects(tokenizer):
     assert ids.tolist() == [t for x in texts for t in [*tokenizer.encode(x, add_special_tokens=False).ids, 2]]
     again, _ = encoder.encode(pa.array(["zz new", *texts]).slice(1))
     assert np.array_equal(ids, again)
+    assert [x.tolist() for x in encoder.encode(pa.array([], pa.string()))] == [[], []]

@@ -102,8 +102,9 @@ class Encoder:
         marked = pc.replace_substring(texts, " ", "\x00 ")
         marked = pc.replace_substring(marked, "\n", "\x00\n\x00")
         lists = pc.split_pattern(marked, "\x00")
-        units = pa.chunked_array([self.number, lists.flatten()]).dictionary_encode().chunk(1)
-        number, n_known = units.indices.to_numpy(), len(self.number)
+        n_known = len(self.number)
+        units = pa.concat_arrays([self.number, lists.flatten()]).dictionary_encode()
+        number = units.indices.to_numpy()[n_known:]
         if len(units.dictionary) > n_known:
             self._learn(units.dictionary.slice(n_known))
             self.number = units.dictionary
